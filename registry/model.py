@@ -11,6 +11,7 @@ import string
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tradewinds import schemas
 from tradewinds.session import prepare
 from tradewinds.tables import RawTables
 
@@ -126,16 +127,22 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(text, **tables)
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
-    prepare(spark)
-    return RawTables(
-        customers=view(spark, sf_dir, "m_customers"),
-        orders=view(spark, sf_dir, "m_orders"),
-        order_items=view(spark, sf_dir, "m_order_items"),
-        order_payments=view(spark, sf_dir, "m_order_payments"),
-        order_reviews=view(spark, sf_dir, "m_order_reviews"),
-        products=view(spark, sf_dir, "m_products"),
-        sellers=view(spark, sf_dir, "m_sellers"),
-        geolocation=view(spark, sf_dir, "m_geolocation"),
-        product_category_translation=view(spark, sf_dir, "m_category_translation"),
-    )
+class ViewTables:
+    """The raw tables of a test directory; a view is made when it is first used."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._source = (prepare(spark), sf_dir)
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name not in schemas.RAW:
+            raise AttributeError(name)
+        text = "m_category_translation" if name == "product_category_translation" else f"m_{name}"
+        df = view(*self._source, text)
+        setattr(self, name, df)
+        return df
+
+    items = RawTables.items
+
+
+def raw_tables(spark: SparkSession, sf_dir: str) -> ViewTables:
+    return ViewTables(spark, sf_dir)

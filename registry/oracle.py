@@ -9,6 +9,8 @@ from __future__ import annotations
 import re
 
 from registry.model import OFF_TIE, PIPELINES, VIEWS, _names
+from tradewinds.plans.quality import REFERENCES
+from tradewinds.schemas import RAW, required_columns
 
 # Results that other checks build on.
 DERIVED = {
@@ -118,6 +120,78 @@ SELECT * EXCLUDE (products_score, categories_score),
             WHEN recency_score <= 2 AND frequency_score >= 3 THEN 'at_risk'
             WHEN recency_score <= 2 THEN 'lost' ELSE 'potential_loyalist' END AS customer_segment
 FROM customer_scores""",
+    "order_lookup": """
+SELECT o.order_id, o.customer_id, o.order_status, o.order_purchase_timestamp AS order_date,
+       CAST(year(o.order_purchase_timestamp) AS INTEGER) AS year,
+       CAST(month(o.order_purchase_timestamp) AS INTEGER) AS month,
+       COALESCE(p.payment_type, 'no_payment') AS payment_type, COALESCE(p.payment_value, 0.0) AS payment_value
+FROM m_orders o
+LEFT JOIN (SELECT * FROM m_order_payments
+           QUALIFY ROW_NUMBER() OVER (PARTITION BY order_id ORDER BY payment_sequential) = 1) p
+  ON o.order_id = p.order_id
+WHERE o.order_status = 'delivered'""",
+    "revenue_comparison": """
+SELECT *, CAST(ROUND(CAST((yesterday - avg_7d_before) / avg_7d_before * 100 AS DECIMAL(24, 8)), 2) AS DOUBLE) AS pct_change
+FROM (SELECT SUM(CASE WHEN order_date = DATE '2001-07-31' THEN total_revenue ELSE 0 END) AS yesterday,
+             AVG(CASE WHEN order_date BETWEEN DATE '2001-07-24' AND DATE '2001-07-30' THEN total_revenue END)
+                 AS avg_7d_before
+      FROM daily_metrics)""",
+    "cancellations": """
+SELECT CAST(ROUND(CAST(COUNT(*) FILTER (order_status = 'canceled') * 100.0 / COUNT(*) AS DECIMAL(24, 8)), 2) AS DOUBLE)
+           AS cancel_rate
+FROM m_orders WHERE CAST(order_purchase_timestamp AS DATE) = DATE '2001-07-31'""",
+    "inactive": """
+SELECT COUNT(*) AS at_risk_count FROM customer_features WHERE days_since_last_order BETWEEN 60 AND 90""",
+    "alerts": """
+SELECT 'CRITICAL' AS type, 'Revenue Drop Alert' AS title,
+       printf('Revenue dropped %.1f%% vs 7-day average', abs(pct_change)) AS message
+FROM revenue_comparison WHERE pct_change < -20
+UNION ALL
+SELECT 'WARNING', 'High Cancellation Rate',
+       'Cancellation rate at ' || CAST(cancel_rate AS VARCHAR) || '% (threshold: 5%)'
+FROM cancellations WHERE cancel_rate > 5
+UNION ALL
+SELECT 'INFO', 'Churn Risk Alert',
+       CAST(at_risk_count AS VARCHAR) || ' customers at risk of churning (60-90 days inactive)'
+FROM inactive WHERE at_risk_count > 100""",
+    "kpis": """
+SELECT DATE '2001-08-01' AS report_date,
+       CAST(COALESCE((SELECT SUM(num_orders) FROM daily_metrics WHERE order_date = DATE '2001-07-31'), 0) AS BIGINT)
+           AS orders_yesterday,
+       (SELECT SUM(total_revenue) FROM daily_metrics WHERE order_date = DATE '2001-07-31') AS revenue_yesterday,
+       (SELECT AVG(total_revenue) FROM daily_metrics WHERE order_date >= DATE '2001-07-25') AS avg_revenue_7d,
+       (SELECT COUNT(DISTINCT customer_unique_id) FROM customer_features WHERE customer_segment = 'champions')
+           AS champions_count,
+       (SELECT COUNT(DISTINCT customer_unique_id) FROM customer_features WHERE churn_risk IN ('high', 'very_high'))
+           AS at_risk_customers,
+       (SELECT COUNT(*) FROM product_analytics WHERE avg_review_score >= 4.5) AS top_rated_products""",
+    # Events as the damaged messages of `files._messages` carry them; n tells the damage.
+    "messages": """
+SELECT *, CAST(event_id AS BIGINT) % 50 AS n,
+       CASE WHEN CAST(event_id AS BIGINT) % 50 <> 4 THEN payment_value END AS paid
+FROM m_events""",
+    "good_events": """
+SELECT event_id, event_type, order_id, customer_id, product_id, order_status, paid AS payment_value,
+       strftime(event_ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS event_timestamp,
+       CASE WHEN COALESCE(paid, 0) >= 200 THEN 'high' WHEN COALESCE(paid, 0) >= 100 THEN 'medium' ELSE 'low' END
+           AS value_category,
+       CASE WHEN hour(event_ts) BETWEEN 6 AND 11 THEN 'morning' WHEN hour(event_ts) BETWEEN 12 AND 17 THEN 'afternoon'
+            WHEN hour(event_ts) >= 18 THEN 'evening' ELSE 'night' END AS time_of_day,
+       CASE WHEN n = 5 THEN '' ELSE 'web' END AS metadata_source,
+       CASE WHEN n = 5 THEN '' ELSE '1.0' END AS metadata_version, event_ts
+FROM messages WHERE n > 3""",
+    "minute_metrics": """
+SELECT event_type, time_bucket(INTERVAL '1' MINUTE, event_ts) AS window_start,
+       time_bucket(INTERVAL '1' MINUTE, event_ts) + INTERVAL '1' MINUTE AS window_end,
+       COUNT(*) AS event_count, SUM(COALESCE(payment_value, 0)) AS revenue,
+       COUNT(DISTINCT customer_id) AS unique_customers, COUNT(DISTINCT order_id) AS unique_orders
+FROM good_events GROUP BY 1, 2, 3""",
+    "five_minute_metrics": """
+SELECT time_bucket(INTERVAL '1' MINUTE, event_ts) - INTERVAL '1' MINUTE * k AS window_start,
+       time_bucket(INTERVAL '1' MINUTE, event_ts) + INTERVAL '1' MINUTE * (5 - k) AS window_end,
+       COUNT(*) AS event_count, SUM(COALESCE(payment_value, 0)) AS revenue,
+       COUNT(DISTINCT customer_id) AS unique_customers, COUNT(DISTINCT order_id) AS unique_orders
+FROM good_events, range(5) AS r(k) GROUP BY 1, 2""",
     "product_stats": """
 SELECT p.product_id, p.product_category_name, t.product_category_name_english AS category,
        COUNT(DISTINCT oi.order_id) AS total_sales, COUNT(DISTINCT o.customer_id) AS unique_buyers,
@@ -136,6 +210,69 @@ WHERE o.order_status = 'delivered'
 GROUP BY 1, 2, 3""",
 }
 
+_SUMMARY = ("count", "mean", "std", "min", "25%", "50%", "75%", "max")
+
+
+def _profile(*parts: str) -> str:
+    """A profile as the union of `SELECT section, item, value, text` parts."""
+    return "SELECT section, item, ROUND(value, 6) AS value, text FROM (\n" + "\nUNION ALL\n".join(parts) + ")"
+
+
+def _value(section: str, item: str, value: str, rest: str) -> str:
+    return (
+        f"SELECT '{section}' AS section, {item} AS item, CAST({value} AS DOUBLE) AS value, "
+        f"CAST(NULL AS VARCHAR) AS text FROM {rest}"
+    )
+
+
+def _shape(table: str, columns: int, *more: tuple[str, str]) -> list[str]:
+    facts = [("rows", "COUNT(*)"), ("columns", str(columns)), *more]
+    return [_value("shape", f"'{name}'", expr, table) for name, expr in facts]
+
+
+def _freq(table: str, column: str, n: int | None = None) -> str:
+    keep = f" ORDER BY n DESC, {column} LIMIT {n}" if n else ""
+    inner = f"(SELECT {column}, COUNT(*) AS n FROM {table} WHERE {column} IS NOT NULL GROUP BY 1{keep})"
+    return _value(column, f"CAST({column} AS VARCHAR)", "n", inner)
+
+
+def _nulls(table: str, columns: list[str]) -> list[str]:
+    return [_value("nulls", f"'{c}'", f"COUNT(*) - COUNT({c})", table) for c in columns]
+
+
+def _describe(table: str, column: str, section: str = "describe") -> list[str]:
+    sql = {
+        "count": "COUNT({c})", "mean": "AVG({c})", "std": "STDDEV_SAMP({c})", "min": "MIN({c})", "max": "MAX({c})",
+        "25%": "QUANTILE_CONT(CAST({c} AS DOUBLE), 0.25)", "50%": "QUANTILE_CONT(CAST({c} AS DOUBLE), 0.5)",
+        "75%": "QUANTILE_CONT(CAST({c} AS DOUBLE), 0.75)",
+    }
+    return [_value(section, f"'{column}.{s}'", sql[s].format(c=column), table) for s in _SUMMARY]
+
+
+def _comments(score: int) -> str:
+    return (
+        f"SELECT 'comments_{score}', review_id, CAST(NULL AS DOUBLE), substr(review_comment_message, 1, 200) || '...' "
+        f"FROM (SELECT * FROM m_order_reviews WHERE review_score = {score} AND review_comment_message IS NOT NULL "
+        "ORDER BY review_id LIMIT 3)"
+    )
+
+
+RAW_VIEWS = {
+    name: ("m_category_translation" if name == "product_category_translation" else f"m_{name}") for name in RAW
+}
+_DELIVERY = (
+    "(SELECT floor((epoch_us(order_delivered_customer_date) - epoch_us(order_purchase_timestamp)) / 86400000000.0) AS d "
+    "FROM m_orders)"
+)
+_ROUND2 = "CAST(ROUND(CAST({} AS DECIMAL(24, 8)), 2) AS DOUBLE)"
+_METRICS = (
+    f"event_count, {_ROUND2.format('revenue')} AS total_revenue, "
+    f"{_ROUND2.format('revenue / event_count')} AS avg_order_value, unique_customers, unique_orders"
+)
+_CLOSED = "window_end <= (SELECT MAX(event_ts) - INTERVAL '10' MINUTE FROM good_events)"
+_ISO = "strftime({0}, '%Y-%m-%dT%H:%M:%SZ') AS {0}"
+_EVENT_ROWS = "SELECT * EXCLUDE (event_ts) REPLACE (ROUND(payment_value, 6) AS payment_value) FROM good_events"
+
 _SEGMENTS = """
 SELECT customer_unique_id, customer_state, customer_city, total_orders, ROUND(total_spent, 6) AS total_spent,
        ROUND(avg_order_value, 6) AS avg_order_value, first_order_date, last_order_date,
@@ -211,6 +348,272 @@ SELECT product_id, product_category_name, category, total_sales, unique_buyers,
 FROM product_stats""",
 }
 
+QUERIES.update({
+    "daily_metrics_grain_safe": """
+WITH p AS (SELECT order_id, SUM(payment_value) AS paid, COUNT(payment_value) AS n,
+                  COUNT(*) FILTER (payment_type = 'credit_card') AS cc, COUNT(*) FILTER (payment_type = 'boleto') AS bo,
+                  COUNT(*) FILTER (payment_type = 'voucher') AS vo FROM m_order_payments GROUP BY 1),
+     i AS (SELECT order_id, SUM(price) AS price, SUM(freight_value) AS freight FROM m_order_items GROUP BY 1),
+     u AS (SELECT CAST(o.order_purchase_timestamp AS DATE) AS d, COUNT(DISTINCT x.product_id) AS n
+           FROM m_orders o JOIN m_order_items x ON o.order_id = x.order_id GROUP BY 1)
+SELECT CAST(o.order_purchase_timestamp AS DATE) AS order_date, COUNT(*) AS num_orders,
+       COUNT(DISTINCT o.customer_id) AS num_customers, ROUND(SUM(p.paid), 6) AS total_revenue,
+       ROUND(SUM(p.paid) / SUM(p.n), 6) AS avg_order_value,
+       COUNT(*) FILTER (o.order_status = 'delivered') AS delivered_orders,
+       COUNT(*) FILTER (o.order_status = 'canceled') AS canceled_orders,
+       COUNT(*) FILTER (o.order_status = 'shipped') AS shipped_orders,
+       CAST(SUM(cc) AS BIGINT) AS credit_card_orders, CAST(SUM(bo) AS BIGINT) AS boleto_orders,
+       CAST(SUM(vo) AS BIGINT) AS voucher_orders, COUNT(DISTINCT c.customer_state) AS unique_states,
+       COALESCE(ANY_VALUE(u.n), 0) AS unique_products, ROUND(SUM(i.price), 6) AS items_revenue,
+       ROUND(SUM(i.freight), 6) AS freight_revenue
+FROM m_orders o LEFT JOIN m_customers c ON o.customer_id = c.customer_id
+LEFT JOIN p ON o.order_id = p.order_id LEFT JOIN i ON o.order_id = i.order_id
+LEFT JOIN u ON u.d = CAST(o.order_purchase_timestamp AS DATE)
+WHERE CAST(o.order_purchase_timestamp AS DATE) <= DATE '2001-08-01' GROUP BY 1""",
+    "monthly_metrics": """
+SELECT strftime(order_date, '%Y-%m') AS year_month, COUNT(*) AS total_orders,
+       ROUND(SUM(payment_value), 6) AS total_revenue, ROUND(AVG(payment_value), 6) AS avg_order_value
+FROM order_lookup GROUP BY 1""",
+    "monthly_metrics_json": """
+SELECT year_month, SUM(n) OVER (PARTITION BY year_month, histogram)::BIGINT AS total_orders, histogram, label, n
+FROM (SELECT strftime(order_date, '%Y-%m') AS year_month, 'payment_types' AS histogram, payment_type AS label,
+             COUNT(*) AS n FROM order_lookup GROUP BY ALL
+      UNION ALL
+      SELECT strftime(order_date, '%Y-%m'), 'order_statuses', order_status, COUNT(*) FROM order_lookup GROUP BY ALL)""",
+    "order_payment_lookup": """
+SELECT * REPLACE (ROUND(payment_value, 6) AS payment_value) FROM order_lookup""",
+    "daily_kpis": """
+SELECT * REPLACE (ROUND(revenue_yesterday, 6) AS revenue_yesterday, ROUND(avg_revenue_7d, 6) AS avg_revenue_7d)
+FROM kpis""",
+    "top_products_daily": """
+SELECT CAST(ROW_NUMBER() OVER (ORDER BY revenue DESC, product_id) AS INTEGER) AS rank, product_id, category, orders,
+       ROUND(revenue, 6) AS revenue,
+       ROUND(CAST(ROUND(CAST(rating AS DECIMAL(24, 8)), 2) AS DOUBLE), 6) AS avg_rating,
+       DATE '2001-07-31' AS report_date
+FROM (SELECT oi.product_id, t.product_category_name_english AS category, COUNT(DISTINCT oi.order_id) AS orders,
+             SUM(oi.price) AS revenue, AVG(r.review_score) AS rating
+      FROM m_order_items oi
+      LEFT JOIN m_orders o ON oi.order_id = o.order_id
+      LEFT JOIN m_products p ON oi.product_id = p.product_id
+      LEFT JOIN m_category_translation t ON p.product_category_name = t.product_category_name
+      LEFT JOIN m_order_reviews r ON o.order_id = r.order_id
+      WHERE CAST(o.order_purchase_timestamp AS DATE) = DATE '2001-07-31' AND o.order_status = 'delivered'
+      GROUP BY 1, 2)
+ORDER BY revenue DESC, product_id LIMIT 10""",
+    "revenue_drop_alert": """
+SELECT ROUND(yesterday, 6) AS yesterday, ROUND(avg_7d_before, 6) AS avg_7d_before,
+       ROUND(pct_change, 6) AS pct_change, COALESCE(pct_change < -20, false) AS alert
+FROM revenue_comparison""",
+    "cancellation_alert": """
+SELECT ROUND(cancel_rate, 6) AS cancel_rate, COALESCE(cancel_rate > 5, false) AS alert FROM cancellations""",
+    "churn_alert": "SELECT at_risk_count, at_risk_count > 100 AS alert FROM inactive",
+    "business_alerts": "SELECT * FROM alerts",
+    "daily_report": """
+SELECT * REPLACE (ROUND(revenue_yesterday, 6) AS revenue_yesterday, ROUND(avg_revenue_7d, 6) AS avg_revenue_7d),
+       (SELECT COALESCE(STRING_AGG(message, '; ' ORDER BY type, title, message), '') FROM alerts) AS alerts
+FROM kpis""",
+    "top_cities": """
+SELECT customer_city, customer_state, COUNT(*) AS num_customers FROM m_customers GROUP BY 1, 2
+ORDER BY 3 DESC, 1, 2 LIMIT 10""",
+    "revenue_by_month": """
+SELECT strftime(o.order_purchase_timestamp, '%Y-%m') AS year_month, COUNT(DISTINCT o.order_id) AS num_orders,
+       ROUND(SUM(p.payment_value), 6) AS total_revenue, ROUND(SUM(p.payment_value) * 0.20::DOUBLE, 6) AS revenue_usd
+FROM m_orders o JOIN m_order_payments p ON o.order_id = p.order_id
+WHERE o.order_status = 'delivered' GROUP BY 1 ORDER BY 1 DESC LIMIT 12""",
+    "top_categories": """
+SELECT p.product_category_name, t.product_category_name_english,
+       COALESCE(NULLIF(t.product_category_name_english, ''), p.product_category_name) AS category,
+       COUNT(DISTINCT oi.order_id) AS num_orders
+FROM m_order_items oi JOIN m_products p ON oi.product_id = p.product_id
+LEFT JOIN m_category_translation t ON p.product_category_name = t.product_category_name
+WHERE p.product_category_name IS NOT NULL GROUP BY ALL ORDER BY 4 DESC, 1 LIMIT 10""",
+    "volume_class": """
+SELECT COUNT(*) AS order_count,
+       CASE WHEN COUNT(*) > 1000 THEN 'full_processing' ELSE 'quick_processing' END AS strategy
+FROM m_orders WHERE CAST(order_purchase_timestamp AS DATE) = DATE '2001-07-31'""",
+    "segment_distribution": "SELECT customer_segment, COUNT(*) AS n FROM customer_features GROUP BY 1",
+    "latest_daily_metrics": QUERIES["daily_metrics"] + " ORDER BY order_date DESC LIMIT 5",
+    "orders_by_month": """
+SELECT strftime(order_purchase_timestamp, '%Y-%m') AS year_month, COUNT(*) AS n FROM m_orders GROUP BY 1""",
+    "top_states": """
+SELECT customer_state, COUNT(*) AS n FROM m_orders o JOIN m_customers c ON o.customer_id = c.customer_id
+GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10""",
+    "pipeline_health": f"""
+SELECT e.dag_id, runs, success, failed, ROUND(avg_duration_min, 6) AS avg_duration_min, status,
+       CASE WHEN status = 'NO_RUNS' THEN 'No runs in last 24 hours' END AS message,
+       status IN ('UNHEALTHY', 'NO_RUNS') AS needs_attention
+FROM (SELECT e.dag_id, runs, success, failed,
+             CAST(ROUND(CAST(minutes AS DECIMAL(24, 8)), 2) AS DOUBLE) AS avg_duration_min,
+             CASE WHEN runs IS NULL THEN 'NO_RUNS' WHEN failed > 2 THEN 'UNHEALTHY'
+                  WHEN success / runs < 0.8 THEN 'DEGRADED' ELSE 'HEALTHY' END AS status
+      FROM (VALUES {", ".join(f"('{p}')" for p in PIPELINES)}) e(dag_id)
+      LEFT JOIN (SELECT dag_id, COUNT(*) AS runs, COUNT(*) FILTER (state = 'success') AS success,
+                        COUNT(*) FILTER (state = 'failed') AS failed,
+                        COALESCE(AVG((epoch_us(end_date) - epoch_us(start_date)) / 60000000.0::DOUBLE), 0) AS minutes
+                 FROM (SELECT * FROM m_run_log WHERE execution_date >= TIMESTAMP '2024-01-30'
+                       QUALIFY ROW_NUMBER() OVER (PARTITION BY dag_id ORDER BY execution_date DESC, run_id) <= 10)
+                 GROUP BY 1) s ON e.dag_id = s.dag_id) e""",
+    "slow_tasks": """
+SELECT dag_id, task_id, ROUND(AVG((epoch_us(end_date) - epoch_us(start_date)) / 1000000.0::DOUBLE), 6) AS avg_duration_sec
+FROM m_task_log
+WHERE start_date >= TIMESTAMP '2024-01-30' AND end_date IS NOT NULL AND state = 'success'
+GROUP BY 1, 2 HAVING AVG((epoch_us(end_date) - epoch_us(start_date)) / 1000000.0::DOUBLE) > 1800""",
+    "output_row_counts": """
+SELECT table_name, n_rows, n_rows > 0 AS not_empty FROM (
+  SELECT 'orders_enriched' AS table_name, COUNT(*) AS n_rows FROM m_orders
+  WHERE CAST(order_purchase_timestamp AS DATE) <= DATE '2001-08-01'
+  UNION ALL SELECT 'product_analytics', COUNT(*) FROM product_analytics
+  UNION ALL SELECT 'daily_metrics', COUNT(*) FROM daily_metrics
+  UNION ALL SELECT 'customer_segments', COUNT(*) FROM customer_segments)""",
+    "table_row_counts": "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS table_name, COUNT(*) AS n_rows, COUNT(*) > 0 AS not_empty FROM {v}"
+        for name, v in RAW_VIEWS.items()
+    ),
+    "orders_quality_gate": """
+SELECT COUNT(*) AS total_orders, COUNT(*) - COUNT(DISTINCT order_id) AS duplicate_order_ids,
+       CAST(SUM((order_id IS NULL)::INT + (customer_id IS NULL)::INT + (order_status IS NULL)::INT
+           + (order_purchase_timestamp IS NULL)::INT) AS BIGINT) AS null_values,
+       '' AS missing_columns, COUNT(*) > 0 AND COUNT(*) = COUNT(DISTINCT order_id) AS passed
+FROM m_orders""",
+    "daily_load_check": """
+SELECT COUNT(*) > 0 AS arrived FROM m_orders WHERE CAST(order_purchase_timestamp AS DATE) = DATE '2001-08-01'""",
+    "schema_check": "\nUNION ALL\n".join(
+        f"SELECT 'orders' AS table_name, '{c}' AS column_name, true AS present, COUNT({c}) AS n_values FROM m_orders"
+        for c in required_columns("orders")
+    ),
+    "data_freshness": "SELECT MAX(order_purchase_timestamp) AS last_order FROM m_orders",
+    "valid_order_ids": """
+SELECT order_id, length(order_id) = 32 AND regexp_full_match(order_id, '[0-9a-zA-Z]+') AS valid
+FROM (SELECT CASE CAST(order_id AS BIGINT) % 4 WHEN 0 THEN order_id WHEN 1 THEN md5(order_id)
+                  WHEN 2 THEN substr(md5(order_id), 1, 31) || '-' ELSE md5(order_id) || 'a' END AS order_id
+      FROM m_orders)""",
+    "valid_payments": """
+SELECT order_id, payment_sequential, ROUND((payment_value - 100) * 60, 6) AS value,
+       (payment_value - 100) * 60 > 0 AND (payment_value - 100) * 60 < 10000 AS valid
+FROM m_order_payments""",
+    "orphan_orders": """
+SELECT COUNT(*) AS orphan_count FROM m_orders o LEFT JOIN m_customers c ON o.customer_id = c.customer_id
+WHERE c.customer_id IS NULL""",
+    "integrity_report": "\nUNION ALL\n".join(
+        f"SELECT '{child}' AS child, '{key}' AS key, '{parent}' AS parent, COUNT(*) AS orphan_keys "
+        f"FROM (SELECT DISTINCT {key} FROM m_{child} EXCEPT SELECT {key} FROM m_{parent})"
+        for child, key, parent in REFERENCES
+    ),
+    "null_report": "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS table_name, n AS null_cells, ROUND(n / cells * 100.0::DOUBLE, 6) AS null_pct FROM ("
+        f"SELECT CAST({' + '.join(f'COUNT(*) - COUNT({f})' for f in RAW[name].fieldNames())} AS BIGINT) AS n, "
+        f"COUNT(*) * {len(RAW[name])}.0::DOUBLE AS cells FROM {v})"
+        for name, v in RAW_VIEWS.items()
+    ),
+    "duplicate_report": "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS table_name, a - b AS duplicate_rows, ROUND((a - b) / a::DOUBLE * 100, 6) AS duplicate_pct "
+        f"FROM (SELECT (SELECT COUNT(*) FROM {v}) AS a, (SELECT COUNT(*) FROM (SELECT DISTINCT * FROM {v})) AS b)"
+        for name, v in RAW_VIEWS.items()
+    ),
+    "profile_customers": _profile(
+        *_shape("m_customers", 5, ("unique_people", "COUNT(DISTINCT customer_unique_id)"),
+                ("customer_ids", "COUNT(DISTINCT customer_id)"),
+                ("difference", "COUNT(DISTINCT customer_id) - COUNT(DISTINCT customer_unique_id)")),
+        _freq("m_customers", "customer_state", 10), _freq("m_customers", "customer_city", 10),
+        *_nulls("m_customers", RAW["customers"].fieldNames()),
+    ),
+    "profile_orders": _profile(
+        *_shape("m_orders", 8), _freq("m_orders", "order_status"),
+        "SELECT 'range', 'first', NULL, strftime(MIN(order_purchase_timestamp), '%Y-%m-%dT%H:%M:%SZ') FROM m_orders",
+        "SELECT 'range', 'last', NULL, strftime(MAX(order_purchase_timestamp), '%Y-%m-%dT%H:%M:%SZ') FROM m_orders",
+        _value("year_month", "ym", "n", "(SELECT strftime(order_purchase_timestamp, '%Y-%m') AS ym, COUNT(*) AS n "
+               "FROM m_orders GROUP BY 1 ORDER BY 1 DESC LIMIT 12)"),
+        _value("delivery_days", "'mean'", "AVG(d)", _DELIVERY), _value("delivery_days", "'min'", "MIN(d)", _DELIVERY),
+        _value("delivery_days", "'max'", "MAX(d)", _DELIVERY),
+        _value("delivery_days", "'delivery_days.median'", "MEDIAN(d)", _DELIVERY),
+        *_nulls("m_orders", RAW["orders"].fieldNames()),
+    ),
+    "profile_items": _profile(
+        *_shape("m_order_items", 7), *_describe("m_order_items", "price"),
+        *_describe("m_order_items", "freight_value"),
+        _value("per_order", "'mean'", "AVG(n)", "(SELECT COUNT(*) AS n FROM m_order_items GROUP BY order_id)"),
+        _value("per_order", "'max'", "MAX(n)", "(SELECT COUNT(*) AS n FROM m_order_items GROUP BY order_id)"),
+        _value("items_per_order", "CAST(k AS VARCHAR)", "n", "(SELECT k, COUNT(*) AS n FROM (SELECT COUNT(*) AS k "
+               "FROM m_order_items GROUP BY order_id) GROUP BY 1 ORDER BY n DESC, k LIMIT 10)"),
+        _freq("m_order_items", "product_id", 10), _freq("m_order_items", "seller_id", 10),
+    ),
+    "profile_payments": _profile(
+        *_shape("m_order_payments", 5), _freq("m_order_payments", "payment_type"),
+        _freq("m_order_payments", "payment_installments", 15), *_describe("m_order_payments", "payment_value"),
+        *[
+            _value(f"{name}_by_type", "payment_type", f"{f}(payment_value)",
+                   "m_order_payments WHERE payment_type IS NOT NULL GROUP BY payment_type")
+            for name, f in (("mean", "AVG"), ("count", "COUNT"), ("median", "MEDIAN"))
+        ],
+        _value("revenue", "'total'", "SUM(payment_value)", "m_order_payments"),
+        _value("revenue", "'total_usd'", "SUM(payment_value) * 0.20::DOUBLE", "m_order_payments"),
+    ),
+    "profile_reviews": _profile(
+        *_shape("m_order_reviews", 7), _freq("m_order_reviews", "review_score"),
+        *[
+            _value("content", f"'{name}'", expr, "m_order_reviews") for name, expr in (
+                ("mean_score", "AVG(review_score)"),
+                ("with_title", "COUNT(review_comment_title)"),
+                ("with_title_pct", "COUNT(review_comment_title) / COUNT(*) * 100.0::DOUBLE"),
+                ("with_message", "COUNT(review_comment_message)"),
+                ("with_message_pct", "COUNT(review_comment_message) / COUNT(*) * 100.0::DOUBLE"),
+            )
+        ],
+        _comments(1), _comments(5),
+    ),
+    "profile_products": _profile(
+        *_shape("m_products", 9, ("without_category", "COUNT(*) - COUNT(product_category_name)")),
+        _freq("m_products", "product_category_name", 20),
+        *[p for c in ("product_weight_g", "product_length_cm", "product_height_cm", "product_width_cm")
+          for p in _describe("m_products", c)],
+        _freq("m_products", "product_photos_qty", 10),
+    ),
+    "profile_sellers": _profile(
+        *_shape("m_sellers", 4), _freq("m_sellers", "seller_state"), _freq("m_sellers", "seller_city", 15),
+    ),
+    "load_csv": "SELECT * FROM m_orders",
+    "load_csv_infer": """
+SELECT CAST(order_id AS INTEGER) AS order_id, CAST(payment_sequential AS INTEGER) AS payment_sequential, payment_type,
+       CAST(payment_installments AS INTEGER) AS payment_installments, ROUND(payment_value, 6) AS payment_value
+FROM m_order_payments""",
+    "load_reviews": """
+SELECT * REPLACE ('"' || review_comment_message || '", she said' || chr(10) || 'and left' AS review_comment_message)
+FROM m_order_reviews""",
+    "load_reviews_rejects": """
+SELECT CASE WHEN n % 101 <> 0 THEN review_id END AS review_id, order_id,
+       CASE WHEN n % 97 = 0 THEN 'five' ELSE CAST(review_score AS VARCHAR) END AS review_score,
+       CASE WHEN n % 89 = 0 THEN 'wrong number of fields' WHEN n % 101 = 0 THEN 'missing review_id'
+            ELSE 'bad review_score' END AS reason
+FROM (SELECT *, CAST(order_id AS BIGINT) AS n FROM m_order_reviews)
+WHERE n % 89 = 0 OR n % 101 = 0 OR n % 97 = 0""",
+    "load_all": "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS table_name, true AS loaded, COUNT(*) AS n_rows FROM {v}" for name, v in RAW_VIEWS.items()
+    ),
+    "load_daily_orders": "SELECT *, DATE '2001-08-01' AS load_date FROM m_orders",
+    "load_summary": """
+SELECT COUNT(*) FILTER (CAST(order_purchase_timestamp AS DATE) = DATE '2001-08-01') AS rows_loaded,
+       COUNT(*) AS total_rows FROM m_orders""",
+    "landing_missing": "SELECT '2001-08-01/olist_order_items_dataset.csv' AS path",
+    "orders_partitioned": "SELECT *, CAST(order_purchase_timestamp AS DATE) AS order_date FROM m_orders",
+    "partition_stats": """
+SELECT CAST(order_purchase_timestamp AS DATE) AS partition_id, COUNT(*) AS total_rows, true AS has_size
+FROM m_orders GROUP BY 1 ORDER BY 1 DESC LIMIT 10""",
+    "realtime_orders": _EVENT_ROWS,
+    "realtime_rejects": """
+SELECT event_id, CASE n WHEN 0 THEN 'not a JSON object' WHEN 1 THEN 'bad payment_value'
+                        WHEN 2 THEN 'bad event_timestamp' ELSE 'no event_type' END AS reason
+FROM messages WHERE n <= 3""",
+    "realtime_metrics": f"SELECT event_type, window_start, window_end, {_METRICS} FROM minute_metrics",
+    "rolling_metrics": f"SELECT window_start, window_end, {_METRICS} FROM five_minute_metrics",
+    "latest_events": _EVENT_ROWS + " ORDER BY event_ts DESC, event_id LIMIT 10",
+    "stream_realtime_metrics": f"SELECT event_type, {_ISO.format('window_start')}, {_ISO.format('window_end')}, "
+    f"{_METRICS} FROM minute_metrics WHERE {_CLOSED}",
+    "stream_rolling_metrics": f"SELECT {_ISO.format('window_start')}, {_ISO.format('window_end')}, "
+    f"{_METRICS} FROM five_minute_metrics WHERE {_CLOSED}",
+})
+QUERIES["stream_realtime_orders"] = QUERIES["realtime_orders"]
+QUERIES["stream_realtime_rejects"] = QUERIES["realtime_rejects"]
+
 
 def _off_ties(sql: str) -> str:
     """Every `ROUND(x, 6)` with `OFF_TIE` added to x, as `queries.comparable` does."""

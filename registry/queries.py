@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from registry.model import AS_OF, OFF_TIE, raw_tables
-from tradewinds.plans import features, marts
+from registry import files
+from registry.model import AS_OF, OFF_TIE, PIPELINES, RUN_TIME, raw_tables, view
+from tradewinds.plans import features, health, marts, monthly, profiles, quality, reports
+from tradewinds.session import prepare
 from tradewinds.tables import RawTables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,12 +43,140 @@ def _orders_enriched(raw: RawTables) -> DataFrame:
     )
 
 
+def _kpis(raw: RawTables) -> DataFrame:
+    return reports.daily_kpis(
+        _recent_days(raw), features.customer_features(raw, AS_OF), marts.product_analytics(raw), AS_OF
+    )
+
+
+def _recent_days(raw: RawTables) -> DataFrame:
+    """As many days of daily_metrics as the reports look back."""
+    return marts.daily_metrics(raw, AS_OF, since=AS_OF - dt.timedelta(days=8))
+
+
+def _alerts(raw: RawTables) -> DataFrame:
+    return reports.business_alerts(raw, _recent_days(raw), features.customer_features(raw, AS_OF), AS_OF)
+
+
+def _daily_report(raw: RawTables) -> DataFrame:
+    report = reports.daily_report(_kpis(raw), _alerts(raw))
+    return report.withColumn("alerts", F.array_join(F.transform("alerts", lambda a: a["message"]), "; "))
+
+
+def _marts(raw: RawTables) -> dict[str, DataFrame]:
+    return {
+        "orders_enriched": marts.orders_enriched(raw, AS_OF),
+        "product_analytics": marts.product_analytics(raw),
+        "daily_metrics": marts.daily_metrics(raw, AS_OF),
+        "customer_segments": marts.customer_segments(raw, AS_OF),
+    }
+
+
+def _order_ids(raw: RawTables) -> DataFrame:
+    """Order ids of several shapes: short, a 32 character digest, one with a dash, too long."""
+    n, digest = F.col("order_id").cast("bigint"), F.md5("order_id")
+    shaped = (
+        F.when(n % 4 == 0, F.col("order_id"))
+        .when(n % 4 == 1, digest)
+        .when(n % 4 == 2, F.concat(F.substring(digest, 1, 31), F.lit("-")))
+        .otherwise(F.concat(digest, F.lit("a")))
+    )
+    return raw.orders.select(shaped.alias("order_id")).withColumn("valid", quality.is_order_id(F.col("order_id")))
+
+
+def _payment_checks(raw: RawTables) -> DataFrame:
+    """Payment values spread over and beyond the valid range."""
+    value = (F.col("payment_value") - 100) * 60
+    return raw.order_payments.select("order_id", "payment_sequential", value.alias("value")).withColumn(
+        "valid", quality.is_payment_value(F.col("value"))
+    )
+
+
+def _on_view(name: str, plan: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, sf_dir: comparable(plan(view(prepare(spark), sf_dir, name)))
+
+
+def _rounded(query: Query) -> Query:
+    return lambda spark, sf_dir: comparable(query(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
+    # analytics and feature tables
     "orders_enriched": _on_raw(_orders_enriched),
     "order_payment_lines": _on_raw(lambda raw: marts.order_payment_lines(raw, AS_OF)),
     "product_analytics": _on_raw(marts.product_analytics),
     "daily_metrics": _on_raw(lambda raw: marts.daily_metrics(raw, AS_OF)),
+    "daily_metrics_grain_safe": _on_raw(lambda raw: marts.daily_metrics(raw, AS_OF, grain_safe=True)),
     "customer_segments": _on_raw(lambda raw: marts.customer_segments(raw, AS_OF)),
     "customer_features": _on_raw(lambda raw: features.customer_features(raw, AS_OF)),
     "product_features": _on_raw(features.product_features),
+    # monthly metrics
+    "monthly_metrics": _on_raw(monthly.monthly_metrics),
+    "monthly_metrics_json": _rounded(files.monthly_metrics_json),
+    "order_payment_lookup": _on_raw(monthly.order_payment_lookup),
+    # reports and alerts
+    "daily_kpis": _on_raw(_kpis),
+    "top_products_daily": _on_raw(lambda raw: reports.top_products_daily(raw, AS_OF)),
+    "revenue_drop_alert": _on_raw(lambda raw: reports.revenue_drop(_recent_days(raw), AS_OF)),
+    "cancellation_alert": _on_raw(lambda raw: reports.cancellation_rate(raw, AS_OF)),
+    "churn_alert": _on_raw(lambda raw: reports.inactive_customers(features.customer_features(raw, AS_OF))),
+    "business_alerts": _on_raw(_alerts),
+    "daily_report": _on_raw(_daily_report),
+    "top_cities": _on_raw(reports.top_cities),
+    "revenue_by_month": _on_raw(reports.revenue_by_month),
+    "top_categories": _on_raw(reports.top_categories),
+    "volume_class": _on_raw(lambda raw: reports.volume_class(raw, AS_OF)),
+    "segment_distribution": _on_raw(
+        lambda raw: reports.segment_distribution(features.customer_features(raw, AS_OF))
+    ),
+    "latest_daily_metrics": _on_raw(
+        lambda raw: reports.latest(marts.daily_metrics(raw, AS_OF), "order_date", "num_orders", 5)
+    ),
+    "orders_by_month": _on_raw(reports.orders_by_month),
+    "top_states": _on_raw(reports.top_states),
+    # run logs
+    "pipeline_health": _on_view("m_run_log", lambda log: health.pipeline_health(log, PIPELINES, RUN_TIME)),
+    "slow_tasks": _on_view("m_task_log", lambda log: health.slow_tasks(log, RUN_TIME)),
+    # checks
+    "output_row_counts": _on_raw(lambda raw: quality.row_counts(_marts(raw))),
+    "table_row_counts": _on_raw(lambda raw: quality.row_counts(dict(raw.items()))),
+    "orders_quality_gate": _on_raw(lambda raw: quality.orders_gate(raw.orders)),
+    "daily_load_check": _on_raw(lambda raw: quality.daily_load_check(raw.orders, AS_OF)),
+    "schema_check": _on_raw(lambda raw: quality.schema_check("orders", raw.orders)),
+    "data_freshness": _on_raw(lambda raw: quality.freshness(raw.orders)),
+    "valid_order_ids": _on_raw(_order_ids),
+    "valid_payments": _on_raw(_payment_checks),
+    "orphan_orders": _on_raw(quality.orphan_orders),
+    "integrity_report": _on_raw(quality.integrity_report),
+    "null_report": _on_raw(quality.null_report),
+    "duplicate_report": _on_raw(quality.duplicate_report),
+    # profiles
+    "profile_customers": _on_raw(profiles.profile_customers),
+    "profile_orders": _on_raw(profiles.profile_orders),
+    "profile_items": _on_raw(profiles.profile_items),
+    "profile_payments": _on_raw(profiles.profile_payments),
+    "profile_reviews": _on_raw(profiles.profile_reviews),
+    "profile_products": _on_raw(profiles.profile_products),
+    "profile_sellers": _on_raw(profiles.profile_sellers),
+    # files
+    "load_csv": _rounded(files.load_csv),
+    "load_csv_infer": _rounded(files.load_csv_infer),
+    "load_reviews": _rounded(files.load_reviews),
+    "load_reviews_rejects": _rounded(files.load_reviews_rejects),
+    "load_all": _rounded(files.load_all),
+    "load_daily_orders": _rounded(files.load_daily_orders),
+    "load_summary": _rounded(files.load_summary),
+    "landing_missing": _rounded(files.landing_missing),
+    "orders_partitioned": _rounded(files.orders_partitioned),
+    "partition_stats": _rounded(files.partition_stats),
+    # events
+    "realtime_orders": _rounded(files.realtime_orders),
+    "realtime_rejects": _rounded(files.realtime_rejects),
+    "realtime_metrics": _rounded(files.realtime_metrics_batch),
+    "rolling_metrics": _rounded(files.rolling_metrics_batch),
+    "latest_events": _rounded(files.latest_events),
+    "stream_realtime_orders": _rounded(files.stream_realtime_orders),
+    "stream_realtime_rejects": _rounded(files.stream_realtime_rejects),
+    "stream_realtime_metrics": _rounded(files.stream_realtime_metrics),
+    "stream_rolling_metrics": _rounded(files.stream_rolling_metrics),
 }

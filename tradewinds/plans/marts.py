@@ -143,39 +143,58 @@ def product_analytics(raw: RawTables) -> DataFrame:
     )
 
 
-def daily_metrics(raw: RawTables, as_of: dt.date | None = None, grain_safe: bool = False) -> DataFrame:
-    """Per purchase date: orders, customers, revenue, status and payment mix, products."""
-    orders = _orders_up_to(raw, as_of).withColumn("order_date", F.to_date("order_purchase_timestamp"))
+def daily_metrics(
+    raw: RawTables,
+    as_of: dt.date | None = None,
+    since: dt.date | None = None,
+    grain_safe: bool = False,
+) -> DataFrame:
+    """Per purchase date: orders, customers, revenue, status and payment mix, products.
+
+    Sums repeat a payment for each item of its order and an item for each payment;
+    `grain_safe` counts each once. `since` leaves out earlier dates.
+    """
+    orders = _orders_up_to(raw, as_of)
+    if since is not None:
+        orders = orders.where(F.col("order_purchase_timestamp") >= F.lit(since).cast("timestamp"))
+    orders = orders.withColumn("order_date", F.to_date("order_purchase_timestamp"))
     per_item, per_payment = copies("n_items", not grain_safe), copies("n_payments", not grain_safe)
     status = F.col("order_status")
 
     def rows_with(test: Column) -> Column:
-        return F.sum(F.when(test, per_item * per_payment).otherwise(F.lit(0)))
-
-    def payments_of(kind: str) -> Column:
-        return F.sum(count_of(f"n_{kind}") * per_item)
-
-    per_day = (
-        orders.join(payments_per_order(raw.order_payments), "order_id", "left")
+        return F.when(test, per_item * per_payment).otherwise(F.lit(0))
+
+    measures = {
+        "total_revenue": F.col("paid") * per_item,
+        "n_payment_values": F.col("n_payment_values") * per_item,
+        "delivered_orders": rows_with(status == "delivered"),
+        "canceled_orders": rows_with(status == "canceled"),
+        "shipped_orders": rows_with(status == "shipped"),
+        "credit_card_orders": count_of("n_credit_card") * per_item,
+        "boleto_orders": count_of("n_boleto") * per_item,
+        "voucher_orders": count_of("n_voucher") * per_item,
+        "items_revenue": F.col("price") * per_payment,
+        "freight_revenue": F.col("freight") * per_payment,
+    }
+    # The joins by order_id leave each order in one partition, so the grouping by order
+    # needs no shuffle, and one order is one row whatever copies the orders have.
+    per_order = (
+        orders.join(raw.customers.select("customer_id", "customer_state"), "customer_id", "left")
+        .join(payments_per_order(raw.order_payments), "order_id", "left")
         .join(items_per_order(raw.order_items), "order_id", "left")
-        .join(raw.customers.select("customer_id", "customer_state"), "customer_id", "left")
-        .groupBy("order_date")
+        .groupBy("order_id", "order_date")
         .agg(
-            F.count_distinct("order_id").alias("num_orders"),
-            F.count_distinct("customer_id").alias("num_customers"),
-            F.sum(F.col("paid") * per_item).alias("total_revenue"),
-            F.sum(F.col("n_payment_values") * per_item).alias("n_payment_values"),
-            rows_with(status == "delivered").alias("delivered_orders"),
-            rows_with(status == "canceled").alias("canceled_orders"),
-            rows_with(status == "shipped").alias("shipped_orders"),
-            payments_of("credit_card").alias("credit_card_orders"),
-            payments_of("boleto").alias("boleto_orders"),
-            payments_of("voucher").alias("voucher_orders"),
-            F.count_distinct("customer_state").alias("unique_states"),
-            F.sum(F.col("price") * per_payment).alias("items_revenue"),
-            F.sum(F.col("freight") * per_payment).alias("freight_revenue"),
+            F.max("customer_id").alias("customer_id"),
+            F.max("customer_state").alias("customer_state"),
+            *[F.sum(m).alias(name) for name, m in measures.items()],
         )
     )
+    per_day = per_order.groupBy("order_date").agg(
+        F.count("*").alias("num_orders"),
+        F.count_distinct("customer_id").alias("num_customers"),
+        F.count_distinct("customer_state").alias("unique_states"),
+        *[F.sum(name).alias(name) for name in measures],
+    )
     products = (
         join_lines(raw.order_items.select("order_id", "product_id"), orders.select("order_id", "order_date"), "order_id")
         .groupBy("order_date")
@@ -234,70 +253,70 @@ def customer_segments(raw: RawTables, as_of: dt.date | None = None, grain_safe:
 def customer_metrics(raw: RawTables, keys: list[str], grain_safe: bool = False) -> DataFrame:
     """Delivered orders of each customer; `keys` are columns of customers.
 
-    Order rows carry the sums and product rows the diversity; both go through one
-    grouping, so a customer's rows meet in a single shuffle.
+    Order rows carry the sums and category rows the diversity. Both are free of
+    repeats before they meet, so one grouping without distinct counts is enough.
     """
-    delivered = raw.orders.where(F.col("order_status") == "delivered").select(
-        "order_id", "customer_id", "order_purchase_timestamp"
-    )
     buyers = raw.customers.select(
         "customer_id", *dict.fromkeys([*keys, "customer_state", "customer_city"])
     )
+    delivered = (
+        raw.orders.where(F.col("order_status") == "delivered")
+        .select("order_id", "customer_id", "order_purchase_timestamp")
+        .join(buyers, "customer_id")
+    )
     per_item, per_payment = copies("n_items", not grain_safe), copies("n_payments", not grain_safe)
     per_review = copies("n_reviews", not grain_safe)
     of_payment, of_review = per_item * per_review, per_payment * per_item
-    place = F.struct("customer_state", "customer_city")
+    sums = {
+        "paid": of_payment,
+        "paid_squares": of_payment,
+        "n_payment_values": of_payment,
+        "installments": of_payment,
+        "n_installments": of_payment,
+        "score": of_review,
+        "n_scores": of_review,
+        "n_review_ids": of_review,
+    }
+    extremes = {
+        "first_order_date": (F.min, "order_purchase_timestamp"),
+        "last_order_date": (F.max, "order_purchase_timestamp"),
+        "min_order_value": (F.min, "paid_min"),
+        "max_order_value": (F.max, "paid_max"),
+        "place": (F.min, F.struct("customer_state", "customer_city")),
+    }
+    # No shuffle: the joins by order_id already hold an order's rows together.
     order_rows = (
         delivered.join(payments_per_order(raw.order_payments), "order_id", "left")
         .join(items_per_order(raw.order_items), "order_id", "left")
         .join(reviews_per_order(raw.order_reviews), "order_id", "left")
-        .join(buyers, "customer_id")
-        .select(
-            *keys,
-            "order_id",
-            place.alias("place"),
-            "order_purchase_timestamp",
-            (F.col("paid") * of_payment).alias("paid"),
-            (F.col("paid_squares") * of_payment).alias("paid_squares"),
-            (F.col("n_payment_values") * of_payment).alias("n_payment_values"),
-            "paid_min",
-            "paid_max",
-            (F.col("installments") * of_payment).alias("installments"),
-            (F.col("n_installments") * of_payment).alias("n_installments"),
-            (F.col("score") * of_review).alias("score"),
-            (F.col("n_scores") * of_review).alias("n_scores"),
-            (F.col("n_review_ids") * of_review).alias("n_review_ids"),
+        .groupBy(*keys, "order_id")
+        .agg(
+            *[F.sum(F.col(name) * repeat).alias(name) for name, repeat in sums.items()],
+            *[f(c).alias(name) for name, (f, c) in extremes.items()],
         )
     )
-    product_rows = (
+    category_rows = (
         join_lines(
             raw.order_items.select("order_id", "product_id"),
-            delivered.join(buyers, "customer_id").select("order_id", *keys),
+            delivered.select("order_id", *keys),
             "order_id",
         )
         .select(*keys, "product_id")
         .distinct()
         .join(raw.products.select("product_id", "product_category_name"), "product_id", "left")
         .join(raw.product_category_translation, "product_category_name", "left")
-        .select(*keys, "product_id", F.col("product_category_name_english").alias("category"))
+        .groupBy(*keys, F.col("product_category_name_english").alias("category"))
+        .agg(F.count("product_id").alias("n_products"))
     )
-    total = {name: F.sum(name).alias(name) for name in (
-        "paid", "paid_squares", "n_payment_values", "installments", "n_installments",
-        "score", "n_scores", "n_review_ids",
-    )}
     return (
-        order_rows.unionByName(product_rows, allowMissingColumns=True)
+        order_rows.unionByName(category_rows, allowMissingColumns=True)
         .groupBy(*keys)
         .agg(
-            F.count_distinct("order_id").alias("total_orders"),
-            F.count("product_id").alias("unique_products_bought"),
-            F.count_distinct("category").alias("unique_categories"),
-            F.min("order_purchase_timestamp").alias("first_order_date"),
-            F.max("order_purchase_timestamp").alias("last_order_date"),
-            F.min("place").alias("place"),
-            F.min("paid_min").alias("min_order_value"),
-            F.max("paid_max").alias("max_order_value"),
-            *total.values(),
+            F.count("order_id").alias("total_orders"),
+            F.coalesce(F.sum("n_products"), F.lit(0)).alias("unique_products_bought"),
+            F.count("category").alias("unique_categories"),
+            *[F.sum(name).alias(name) for name in sums],
+            *[f(name).alias(name) for name, (f, _) in extremes.items()],
         )
         .withColumn("total_spent", F.col("paid"))
         .withColumn("avg_order_value", ratio(F.col("paid"), F.col("n_payment_values")))

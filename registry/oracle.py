@@ -226,7 +226,7 @@ def _value(section: str, item: str, value: str, rest: str) -> str:
 
 
 def _shape(table: str, columns: int, *more: tuple[str, str]) -> list[str]:
-    facts = [("rows", "COUNT(*)"), ("columns", str(columns)), *more]
+    facts = [("rows", "COUNT(*)"), ("columns", f"MAX({columns})"), *more]
     return [_value("shape", f"'{name}'", expr, table) for name, expr in facts]
 
 
@@ -267,7 +267,7 @@ _DELIVERY = (
 _ROUND2 = "CAST(ROUND(CAST({} AS DECIMAL(24, 8)), 2) AS DOUBLE)"
 _METRICS = (
     f"event_count, {_ROUND2.format('revenue')} AS total_revenue, "
-    f"{_ROUND2.format('revenue / event_count')} AS avg_order_value, unique_customers, unique_orders"
+    f"{_ROUND2.format('ROUND(revenue, 6) / event_count')} AS avg_order_value, unique_customers, unique_orders"
 )
 _CLOSED = "window_end <= (SELECT MAX(event_ts) - INTERVAL '10' MINUTE FROM good_events)"
 _ISO = "strftime({0}, '%Y-%m-%dT%H:%M:%SZ') AS {0}"
@@ -350,12 +350,6 @@ FROM product_stats""",
 
 QUERIES.update({
     "daily_metrics_grain_safe": """
-WITH p AS (SELECT order_id, SUM(payment_value) AS paid, COUNT(payment_value) AS n,
-                  COUNT(*) FILTER (payment_type = 'credit_card') AS cc, COUNT(*) FILTER (payment_type = 'boleto') AS bo,
-                  COUNT(*) FILTER (payment_type = 'voucher') AS vo FROM m_order_payments GROUP BY 1),
-     i AS (SELECT order_id, SUM(price) AS price, SUM(freight_value) AS freight FROM m_order_items GROUP BY 1),
-     u AS (SELECT CAST(o.order_purchase_timestamp AS DATE) AS d, COUNT(DISTINCT x.product_id) AS n
-           FROM m_orders o JOIN m_order_items x ON o.order_id = x.order_id GROUP BY 1)
 SELECT CAST(o.order_purchase_timestamp AS DATE) AS order_date, COUNT(*) AS num_orders,
        COUNT(DISTINCT o.customer_id) AS num_customers, ROUND(SUM(p.paid), 6) AS total_revenue,
        ROUND(SUM(p.paid) / SUM(p.n), 6) AS avg_order_value,
@@ -367,8 +361,15 @@ SELECT CAST(o.order_purchase_timestamp AS DATE) AS order_date, COUNT(*) AS num_o
        COALESCE(ANY_VALUE(u.n), 0) AS unique_products, ROUND(SUM(i.price), 6) AS items_revenue,
        ROUND(SUM(i.freight), 6) AS freight_revenue
 FROM m_orders o LEFT JOIN m_customers c ON o.customer_id = c.customer_id
-LEFT JOIN p ON o.order_id = p.order_id LEFT JOIN i ON o.order_id = i.order_id
-LEFT JOIN u ON u.d = CAST(o.order_purchase_timestamp AS DATE)
+LEFT JOIN (SELECT order_id, SUM(payment_value) AS paid, COUNT(payment_value) AS n,
+                  COUNT(*) FILTER (payment_type = 'credit_card') AS cc, COUNT(*) FILTER (payment_type = 'boleto') AS bo,
+                  COUNT(*) FILTER (payment_type = 'voucher') AS vo FROM m_order_payments GROUP BY 1) p
+  ON o.order_id = p.order_id
+LEFT JOIN (SELECT order_id, SUM(price) AS price, SUM(freight_value) AS freight FROM m_order_items GROUP BY 1) i
+  ON o.order_id = i.order_id
+LEFT JOIN (SELECT CAST(o.order_purchase_timestamp AS DATE) AS d, COUNT(DISTINCT x.product_id) AS n
+           FROM m_orders o JOIN m_order_items x ON o.order_id = x.order_id GROUP BY 1) u
+  ON u.d = CAST(o.order_purchase_timestamp AS DATE)
 WHERE CAST(o.order_purchase_timestamp AS DATE) <= DATE '2001-08-01' GROUP BY 1""",
     "monthly_metrics": """
 SELECT strftime(order_date, '%Y-%m') AS year_month, COUNT(*) AS total_orders,

@@ -19,6 +19,16 @@ def percent_change(now: Column, before: Column) -> Column:
     return F.round(ratio(now - before, before) * F.lit(100.0), 2)
 
 
+def money_mean(total: Column, n: Column) -> Column:
+    """Mean to 2 places, divided as decimals.
+
+    The last bit of a sum of doubles depends on the order of adding; here a mean that
+    lies between two cents comes out the same on every run.
+    """
+    exact = F.when(n > 0, F.round(total, 6).cast("decimal(28,6)") / n)
+    return F.round(exact, 2).cast("double")
+
+
 def weighted_stddev(n: Column, total: Column, squares: Column, low: Column, high: Column) -> Column:
     """Sample standard deviation from the weighted count, sum and sum of squares.
 

@@ -37,11 +37,13 @@ def write_by_day(df: DataFrame, path: str, ts: str, day: str, cluster_by: list[s
 
     A filter on `day` then reads one folder, and one on a sort column skips row groups.
     Ranges over the unique `key` as well give every task its share: a small day goes to
-    one file, and a large one is cut into files with ranges of their own.
+    one file, and a large one is cut into files with ranges of their own. The number of
+    ranges is fixed, as joining small ones would leave few tasks to open many files.
     """
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (
         df.withColumn(day, F.to_date(ts))
-        .repartitionByRange(day, *cluster_by, key)
+        .repartitionByRange(ranges, day, *cluster_by, key)
         .sortWithinPartitions(day, *cluster_by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static")

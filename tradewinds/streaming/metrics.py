@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewinds.functions.dates import iso_utc
-from tradewinds.functions.numbers import ratio
+from tradewinds.functions.numbers import money_mean
 from tradewinds.operators.rollups import rollup_with_members
 
 
@@ -42,7 +42,7 @@ def _windowed(events: DataFrame, window: Column, keys: list[str], delay: str, ti
         F.current_timestamp().alias("processing_ts"),
         "event_count",
         F.round("revenue", 2).alias("total_revenue"),
-        F.round(ratio(F.col("revenue"), F.col("event_count")), 2).alias("avg_order_value"),
+        money_mean(F.col("revenue"), F.col("event_count")).alias("avg_order_value"),
         "unique_customers",
         "unique_orders",
     )

@@ -16,7 +16,9 @@ from tradewinds.streaming.events import event_rows, read_events, rejected, usabl
 from tradewinds.streaming.jobs import Sinks, run_available
 from tradewinds.streaming.metrics import realtime_metrics, rolling_metrics
 
-_STEMS = {table: stem for stem, table in schemas.FILE_TABLES.items()}
+
+def _stem(table: str) -> str:
+    return "product_category_name_translation" if table == "product_category_translation" else f"{table}_dataset"
 
 
 def _write_csv(df: DataFrame, path: str) -> str:
@@ -68,7 +70,7 @@ def _land(spark: SparkSession, sf_dir: str, tables: list[str]) -> tuple[str, dic
     """The tables as CSV files of the landing folder of the run date."""
     raw, root = raw_tables(spark, sf_dir), new_path(spark, "landing")
     return root, {
-        _STEMS[t]: _write_csv(getattr(raw, t), landing.landing_path(root, AS_OF, _STEMS[t])) for t in tables
+        _stem(t): _write_csv(getattr(raw, t), landing.landing_path(root, AS_OF, _stem(t))) for t in tables
     }
 
 
@@ -82,8 +84,7 @@ def load_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def load_daily_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The daily load, run twice; the second run replaces what the first wrote."""
-    tables = [schemas.FILE_TABLES[s] for s in schemas.DAILY_FILES]
-    root, _ = _land(spark, sf_dir, tables)
+    root, _ = _land(spark, sf_dir, schemas.DAILY_TABLES)
     target = new_path(spark, "daily")
     landing.load_day(spark, root, AS_OF, target)
     return landing.load_day(spark, root, AS_OF, target)["orders"]

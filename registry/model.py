@@ -113,6 +113,21 @@ SELECT event_type AS dag_id, CAST(event_id % 20 AS STRING) AS task_id, CAST(ts A
 FROM {events}""",
 }
 
+# Columns of the test tables the views read; declared, so that no job has to look them up.
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
 # Pipelines the health report expects; the last one has no runs in the log.
 PIPELINES = ["click", "error", "purchase", "signup", "view", "refund"]
 
@@ -123,7 +138,7 @@ def _names(text: str) -> list[str]:
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     text = VIEWS[name]
-    tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in _names(text)}
+    tables = {t: spark.read.schema(TABLES[t]).parquet(f"{sf_dir}/{t}.parquet") for t in _names(text)}
     return spark.sql(text, **tables)
 
 

@@ -8,118 +8,172 @@ from __future__ import annotations
 
 import re
 
-from registry.model import OFF_TIE, PIPELINES, VIEWS, _names
+from registry.model import AS_OF, OFF_TIE, PIPELINES, VIEWS, _names
 from tradewinds.plans.quality import REFERENCES
 from tradewinds.schemas import RAW, required_columns
 
+# Joins from an order outward. Chained, they repeat an order's rows for each payment, item
+# and review, which is what the sums of the analytics tables mean.
+_BUYER = "LEFT JOIN m_customers USING (customer_id)"
+_PAID = "LEFT JOIN m_order_payments USING (order_id)"
+_ITEMS = "LEFT JOIN m_order_items USING (order_id)"
+_REVIEWED = "LEFT JOIN m_order_reviews USING (order_id)"
+_PRODUCT = (
+    "LEFT JOIN m_products USING (product_id) LEFT JOIN m_category_translation USING (product_category_name)"
+)
+_SOLD = f"m_order_items JOIN m_orders USING (order_id) {_PRODUCT} {_REVIEWED}"
+_DAY = "CAST(order_purchase_timestamp AS DATE)"
+_TODAY = f"DATE '{AS_OF}'"
+_DELIVERED = "order_status = 'delivered'"
+_PAST = f"{_DAY} <= {_TODAY}"
+
+
+def _group(source: str, where: str, keys: dict[str, str], measures: dict[str, str]) -> str:
+    columns = ", ".join(f"{expr} AS {name}" for name, expr in {**keys, **measures}.items())
+    return f"SELECT {columns} FROM {source} WHERE {where} GROUP BY {', '.join(keys.values())}"
+
+
+def _ladder(column: str, op: str, steps: list[tuple[int, str]], default: str) -> str:
+    tests = " ".join(f"WHEN {column} {op} {bound} THEN '{label}'" for bound, label in steps)
+    return f"CASE {tests} ELSE '{default}' END"
+
+
+def _rounded(source: str, *doubles: str) -> str:
+    """All of `source` with the named doubles rounded."""
+    return f"SELECT * REPLACE ({', '.join(f'ROUND({c}, 6) AS {c}' for c in doubles)}) FROM {source}"
+
+
+def _tile(tiles: int, order: str, key: str, group: str = "") -> str:
+    return f"CAST(NTILE({tiles}) OVER ({group} ORDER BY {order}, {key}) AS INTEGER)"
+
+
+_SPENDING = {
+    "total_orders": "COUNT(DISTINCT order_id)",
+    "total_spent": "SUM(payment_value)",
+    "avg_order_value": "AVG(payment_value)",
+    "unique_products_bought": "COUNT(DISTINCT product_id)",
+    "unique_categories": "COUNT(DISTINCT product_category_name_english)",
+    "avg_review_score": "AVG(review_score)",
+}
+_SALES = {
+    "total_revenue": "SUM(price)",
+    "avg_price": "AVG(price)",
+    "avg_weight_g": "AVG(product_weight_g)",
+    "avg_volume_cm3": "AVG(product_length_cm * product_width_cm * product_height_cm)",
+    "unique_sellers": "COUNT(DISTINCT seller_id)",
+}
+_BOUGHT = f"m_orders {_BUYER} {_PAID} {_ITEMS} {_PRODUCT} {_REVIEWED}"
+_PERSON = "customer_unique_id"
+
 # Results that other checks build on.
 DERIVED = {
-    "daily_metrics": """
-SELECT CAST(o.order_purchase_timestamp AS DATE) AS order_date,
-       COUNT(DISTINCT o.order_id) AS num_orders, COUNT(DISTINCT o.customer_id) AS num_customers,
-       SUM(p.payment_value) AS total_revenue, AVG(p.payment_value) AS avg_order_value,
-       COUNT(*) FILTER (o.order_status = 'delivered') AS delivered_orders,
-       COUNT(*) FILTER (o.order_status = 'canceled') AS canceled_orders,
-       COUNT(*) FILTER (o.order_status = 'shipped') AS shipped_orders,
-       COUNT(*) FILTER (p.payment_type = 'credit_card') AS credit_card_orders,
-       COUNT(*) FILTER (p.payment_type = 'boleto') AS boleto_orders,
-       COUNT(*) FILTER (p.payment_type = 'voucher') AS voucher_orders,
-       COUNT(DISTINCT c.customer_state) AS unique_states, COUNT(DISTINCT oi.product_id) AS unique_products,
-       SUM(oi.price) AS items_revenue, SUM(oi.freight_value) AS freight_revenue
-FROM m_orders o
-LEFT JOIN m_customers c ON o.customer_id = c.customer_id
-LEFT JOIN m_order_payments p ON o.order_id = p.order_id
-LEFT JOIN m_order_items oi ON o.order_id = oi.order_id
-WHERE CAST(o.order_purchase_timestamp AS DATE) <= DATE '2001-08-01'
-GROUP BY 1""",
-    "product_analytics": """
-SELECT p.product_id, p.product_category_name, t.product_category_name_english AS product_category,
-       COUNT(DISTINCT oi.order_id) AS total_orders, COUNT(*) AS total_items_sold,
-       SUM(oi.price) AS total_revenue, AVG(oi.price) AS avg_price, SUM(oi.freight_value) AS total_freight,
-       AVG(p.product_weight_g) AS avg_weight_g,
-       AVG(p.product_length_cm * p.product_width_cm * p.product_height_cm) AS avg_volume_cm3,
-       COUNT(DISTINCT oi.seller_id) AS unique_sellers, AVG(r.review_score) AS avg_review_score,
-       COUNT(DISTINCT r.review_id) AS total_reviews,
-       MIN(o.order_purchase_timestamp) AS first_sale_date, MAX(o.order_purchase_timestamp) AS last_sale_date
-FROM m_products p
-LEFT JOIN m_category_translation t ON p.product_category_name = t.product_category_name
-LEFT JOIN m_order_items oi ON p.product_id = oi.product_id
-LEFT JOIN m_orders o ON oi.order_id = o.order_id
-LEFT JOIN m_order_reviews r ON o.order_id = r.order_id
-WHERE o.order_status = 'delivered'
-GROUP BY 1, 2, 3""",
-    "customer_base": """
-SELECT c.customer_unique_id, c.customer_state, c.customer_city, o.order_id, o.order_purchase_timestamp,
-       p.payment_value, p.payment_installments, oi.product_id,
-       t.product_category_name_english AS category, r.review_id, r.review_score
-FROM m_customers c
-LEFT JOIN m_orders o ON c.customer_id = o.customer_id
-LEFT JOIN m_order_payments p ON o.order_id = p.order_id
-LEFT JOIN m_order_items oi ON o.order_id = oi.order_id
-LEFT JOIN m_products pr ON oi.product_id = pr.product_id
-LEFT JOIN m_category_translation t ON pr.product_category_name = t.product_category_name
-LEFT JOIN m_order_reviews r ON o.order_id = r.order_id
-WHERE o.order_status = 'delivered'""",
-    "customer_segments": """
-SELECT *,
-       CASE WHEN inactive <= 90 AND total_orders >= 3 AND total_spent >= 500 THEN 'VIP'
-            WHEN inactive <= 180 AND total_orders >= 2 THEN 'Active'
-            WHEN inactive <= 365 THEN 'At Risk' ELSE 'Churned' END AS customer_segment,
-       CASE WHEN total_spent >= 1000 THEN 'High Value' WHEN total_spent >= 500 THEN 'Medium Value'
-            ELSE 'Low Value' END AS value_tier
-FROM (SELECT *, datediff('day', CAST(last_order_date AS DATE), DATE '2001-08-01') AS inactive
-      FROM (SELECT customer_unique_id, customer_state, customer_city,
-                   COUNT(DISTINCT order_id) AS total_orders, SUM(payment_value) AS total_spent,
-                   AVG(payment_value) AS avg_order_value,
-                   MIN(order_purchase_timestamp) AS first_order_date,
-                   MAX(order_purchase_timestamp) AS last_order_date,
-                   datediff('day', MIN(CAST(order_purchase_timestamp AS DATE)),
-                            MAX(CAST(order_purchase_timestamp AS DATE))) AS customer_lifetime_days,
-                   COUNT(DISTINCT product_id) AS unique_products_bought,
-                   COUNT(DISTINCT category) AS unique_categories,
-                   AVG(review_score) AS avg_review_score, COUNT(review_id) AS total_reviews
-            FROM customer_base GROUP BY 1, 2, 3))""",
-    "customer_metrics": """
-SELECT customer_unique_id, MAX(CAST(order_purchase_timestamp AS DATE)) AS last_order_date,
-       COUNT(DISTINCT order_id) AS total_orders, SUM(payment_value) AS total_spent,
-       AVG(payment_value) AS avg_order_value, STDDEV_SAMP(payment_value) AS stddev_order_value,
-       MIN(payment_value) AS min_order_value, MAX(payment_value) AS max_order_value,
-       MIN(CAST(order_purchase_timestamp AS DATE)) AS first_order_date,
-       AVG(payment_installments) AS avg_installments,
-       COUNT(DISTINCT product_id) AS unique_products_bought,
-       COUNT(DISTINCT category) AS unique_categories,
-       AVG(review_score) AS avg_review_score, COUNT(review_id) AS total_reviews_given,
-       MIN({{'s': customer_state, 'c': customer_city}}) AS place
-FROM customer_base GROUP BY 1""".replace("{{", "{").replace("}}", "}"),
-    "customer_scores": """
+    "daily_metrics": _group(f"m_orders {_BUYER} {_PAID} {_ITEMS}", _PAST, {"order_date": _DAY}, {
+        "num_orders": "COUNT(DISTINCT order_id)",
+        "num_customers": "COUNT(DISTINCT customer_id)",
+        "total_revenue": "SUM(payment_value)",
+        "avg_order_value": "AVG(payment_value)",
+        **{f"{s}_orders": f"COUNT(*) FILTER (order_status = '{s}')" for s in ("delivered", "canceled", "shipped")},
+        **{f"{t}_orders": f"COUNT(*) FILTER (payment_type = '{t}')" for t in ("credit_card", "boleto", "voucher")},
+        "unique_states": "COUNT(DISTINCT customer_state)",
+        "unique_products": "COUNT(DISTINCT product_id)",
+        "items_revenue": "SUM(price)",
+        "freight_revenue": "SUM(freight_value)",
+    }),
+    "product_analytics": _group(
+        _SOLD, _DELIVERED,
+        {"product_id": "product_id", "product_category_name": "product_category_name",
+         "product_category": "product_category_name_english"},
+        {
+            **_SALES,
+            "total_orders": "COUNT(DISTINCT order_id)",
+            "total_items_sold": "COUNT(*)",
+            "total_freight": "SUM(freight_value)",
+            "avg_review_score": "AVG(review_score)",
+            "total_reviews": "COUNT(DISTINCT review_id)",
+            "first_sale_date": "MIN(order_purchase_timestamp)",
+            "last_sale_date": "MAX(order_purchase_timestamp)",
+        },
+    ),
+    "segment_metrics": _group(
+        _BOUGHT, _DELIVERED, {c: c for c in (_PERSON, "customer_state", "customer_city")},
+        {
+            **_SPENDING,
+            "total_reviews": "COUNT(review_id)",
+            "first_order_date": "MIN(order_purchase_timestamp)",
+            "last_order_date": "MAX(order_purchase_timestamp)",
+        },
+    ),
+    "customer_segments": f"""
+SELECT * EXCLUDE (idle),
+       CASE WHEN idle <= 90 AND total_orders >= 3 AND total_spent >= 500 THEN 'VIP'
+            WHEN idle <= 180 AND total_orders >= 2 THEN 'Active'
+            WHEN idle <= 365 THEN 'At Risk' ELSE 'Churned' END AS customer_segment,
+       {_ladder("total_spent", ">=", [(1000, "High Value"), (500, "Medium Value")], "Low Value")} AS value_tier
+FROM (SELECT *, {_TODAY} - CAST(last_order_date AS DATE) AS idle,
+             CAST(CAST(last_order_date AS DATE) - CAST(first_order_date AS DATE) AS INTEGER)
+                 AS customer_lifetime_days
+      FROM segment_metrics)""",
+    "customer_metrics": _group(_BOUGHT, _DELIVERED, {_PERSON: _PERSON}, {
+        **_SPENDING,
+        "stddev_order_value": "STDDEV_SAMP(payment_value)",
+        "min_order_value": "MIN(payment_value)",
+        "max_order_value": "MAX(payment_value)",
+        "avg_installments": "AVG(payment_installments)",
+        "total_reviews_given": "COUNT(review_id)",
+        "first_order_date": f"MIN({_DAY})",
+        "last_order_date": f"MAX({_DAY})",
+        "place": "MIN({'s': customer_state, 'c': customer_city})",
+    }),
+    "customer_days": f"""
 SELECT * EXCLUDE (place), place.s AS customer_state, place.c AS customer_city,
-       datediff('day', last_order_date, DATE '2001-08-01') AS days_since_last_order,
-       datediff('day', first_order_date, last_order_date) AS customer_lifetime_days,
-       CAST(NTILE(5) OVER (ORDER BY datediff('day', last_order_date, DATE '2001-08-01') DESC NULLS LAST,
-                           customer_unique_id) AS INTEGER) AS recency_score,
-       CAST(NTILE(5) OVER (ORDER BY total_orders NULLS FIRST, customer_unique_id) AS INTEGER) AS frequency_score,
-       CAST(NTILE(5) OVER (ORDER BY total_spent NULLS FIRST, customer_unique_id) AS INTEGER) AS monetary_score,
-       NTILE(5) OVER (ORDER BY unique_products_bought NULLS FIRST, customer_unique_id) AS products_score,
-       NTILE(5) OVER (ORDER BY unique_categories NULLS FIRST, customer_unique_id) AS categories_score
+       CAST({_TODAY} - last_order_date AS INTEGER) AS days_since_last_order,
+       CAST(last_order_date - first_order_date AS INTEGER) AS customer_lifetime_days
 FROM customer_metrics""",
-    "customer_features": """
+    "customer_scores": "SELECT *, " + ", ".join(
+        f"{_tile(5, order, _PERSON)} AS {name}_score" for name, order in {
+            "recency": "days_since_last_order DESC NULLS LAST",
+            "frequency": "total_orders NULLS FIRST",
+            "monetary": "total_spent NULLS FIRST",
+            "products": "unique_products_bought NULLS FIRST",
+            "categories": "unique_categories NULLS FIRST",
+        }.items()
+    ) + " FROM customer_days",
+    "customer_features": f"""
 SELECT * EXCLUDE (products_score, categories_score),
-       CASE WHEN customer_lifetime_days > 0 THEN total_orders * 30.0::DOUBLE / customer_lifetime_days
-            ELSE 0 END AS orders_per_month,
-       CASE WHEN total_orders > 1 THEN customer_lifetime_days / (total_orders - 1.0::DOUBLE) END
-           AS avg_days_between_orders,
+       COALESCE(total_orders * 30.0::DOUBLE / NULLIF(customer_lifetime_days, 0), 0) AS orders_per_month,
+       customer_lifetime_days / NULLIF(total_orders - 1.0::DOUBLE, 0) AS avg_days_between_orders,
        (frequency_score + products_score + categories_score) / 3.0::DOUBLE AS engagement_score,
-       CASE WHEN total_spent >= 2000 THEN 'platinum' WHEN total_spent >= 1000 THEN 'gold'
-            WHEN total_spent >= 500 THEN 'silver' ELSE 'bronze' END AS value_tier,
-       CASE WHEN days_since_last_order > 365 THEN 'very_high' WHEN days_since_last_order > 180 THEN 'high'
-            WHEN days_since_last_order > 90 THEN 'medium' WHEN days_since_last_order > 30 THEN 'low'
-            ELSE 'very_low' END AS churn_risk,
-       CASE WHEN recency_score >= 4 AND frequency_score >= 4 AND monetary_score >= 4 THEN 'champions'
+       {_ladder("total_spent", ">=", [(2000, "platinum"), (1000, "gold"), (500, "silver")], "bronze")} AS value_tier,
+       {_ladder("days_since_last_order", ">",
+                [(365, "very_high"), (180, "high"), (90, "medium"), (30, "low")], "very_low")} AS churn_risk,
+       CASE WHEN LEAST(recency_score, frequency_score, monetary_score) >= 4 THEN 'champions'
             WHEN recency_score >= 4 AND frequency_score >= 3 THEN 'loyal_customers'
             WHEN monetary_score >= 4 THEN 'big_spenders'
-            WHEN recency_score <= 2 AND frequency_score >= 3 THEN 'at_risk'
-            WHEN recency_score <= 2 THEN 'lost' ELSE 'potential_loyalist' END AS customer_segment
+            WHEN recency_score > 2 THEN 'potential_loyalist'
+            WHEN frequency_score >= 3 THEN 'at_risk' ELSE 'lost' END AS customer_segment
 FROM customer_scores""",
+    "product_stats": _group(
+        _SOLD, _DELIVERED,
+        {"product_id": "product_id", "product_category_name": "product_category_name",
+         "category": "product_category_name_english"},
+        {
+            **_SALES,
+            "total_sales": "COUNT(DISTINCT order_id)",
+            "unique_buyers": "COUNT(DISTINCT customer_id)",
+            "price_stddev": "STDDEV_SAMP(price)",
+            "avg_rating": "AVG(review_score)",
+            "rating_stddev": "STDDEV_SAMP(review_score)",
+            "review_count": "COUNT(review_id)",
+            "avg_delivery_days": "AVG(datesub('day', order_purchase_timestamp, order_delivered_customer_date))",
+        },
+    ),
+    "product_features": f"""
+SELECT *, {_tile(10, "total_sales NULLS FIRST", "product_id")} AS popularity_decile,
+       CASE WHEN avg_rating >= 4.5 AND review_count >= 10 THEN 'excellent'
+            WHEN avg_rating >= 4 AND review_count >= 5 THEN 'good'
+            WHEN avg_rating >= 3 THEN 'average' ELSE 'poor' END AS quality_tier,
+       {_tile(5, "avg_price NULLS FIRST", "product_id", "PARTITION BY category")} AS price_tier_in_category
+FROM product_stats""",
     "order_lookup": """
 SELECT o.order_id, o.customer_id, o.order_status, o.order_purchase_timestamp AS order_date,
        CAST(year(o.order_purchase_timestamp) AS INTEGER) AS year,
@@ -130,18 +184,17 @@ LEFT JOIN (SELECT * FROM m_order_payments
            QUALIFY ROW_NUMBER() OVER (PARTITION BY order_id ORDER BY payment_sequential) = 1) p
   ON o.order_id = p.order_id
 WHERE o.order_status = 'delivered'""",
+    # Days back from the run date (0 is today) make the reports' periods plain.
+    "days_back": f"SELECT *, {_TODAY} - order_date AS back FROM daily_metrics",
     "revenue_comparison": """
-SELECT *, CAST(ROUND(CAST((yesterday - avg_7d_before) / avg_7d_before * 100 AS DECIMAL(24, 8)), 2) AS DOUBLE) AS pct_change
-FROM (SELECT SUM(CASE WHEN order_date = DATE '2001-07-31' THEN total_revenue ELSE 0 END) AS yesterday,
-             AVG(CASE WHEN order_date BETWEEN DATE '2001-07-24' AND DATE '2001-07-30' THEN total_revenue END)
-                 AS avg_7d_before
-      FROM daily_metrics)""",
-    "cancellations": """
-SELECT CAST(ROUND(CAST(COUNT(*) FILTER (order_status = 'canceled') * 100.0 / COUNT(*) AS DECIMAL(24, 8)), 2) AS DOUBLE)
+SELECT *, CAST(ROUND(CAST((yesterday / avg_7d_before - 1) * 100 AS DECIMAL(24, 8)), 2) AS DOUBLE) AS pct_change
+FROM (SELECT COALESCE(SUM(total_revenue) FILTER (back = 1), 0) AS yesterday,
+             AVG(total_revenue) FILTER (back BETWEEN 2 AND 8) AS avg_7d_before FROM days_back)""",
+    "cancellations": f"""
+SELECT CAST(ROUND(CAST(AVG(CASE WHEN order_status = 'canceled' THEN 100 ELSE 0 END) AS DECIMAL(24, 8)), 2) AS DOUBLE)
            AS cancel_rate
-FROM m_orders WHERE CAST(order_purchase_timestamp AS DATE) = DATE '2001-07-31'""",
-    "inactive": """
-SELECT COUNT(*) AS at_risk_count FROM customer_features WHERE days_since_last_order BETWEEN 60 AND 90""",
+FROM m_orders WHERE {_TODAY} - {_DAY} = 1""",
+    "inactive": "SELECT COUNT(*) AS at_risk_count FROM customer_features WHERE days_since_last_order BETWEEN 60 AND 90",
     "alerts": """
 SELECT 'CRITICAL' AS type, 'Revenue Drop Alert' AS title,
        printf('Revenue dropped %.1f%% vs 7-day average', abs(pct_change)) AS message
@@ -154,17 +207,16 @@ UNION ALL
 SELECT 'INFO', 'Churn Risk Alert',
        CAST(at_risk_count AS VARCHAR) || ' customers at risk of churning (60-90 days inactive)'
 FROM inactive WHERE at_risk_count > 100""",
-    "kpis": """
-SELECT DATE '2001-08-01' AS report_date,
-       CAST(COALESCE((SELECT SUM(num_orders) FROM daily_metrics WHERE order_date = DATE '2001-07-31'), 0) AS BIGINT)
-           AS orders_yesterday,
-       (SELECT SUM(total_revenue) FROM daily_metrics WHERE order_date = DATE '2001-07-31') AS revenue_yesterday,
-       (SELECT AVG(total_revenue) FROM daily_metrics WHERE order_date >= DATE '2001-07-25') AS avg_revenue_7d,
-       (SELECT COUNT(DISTINCT customer_unique_id) FROM customer_features WHERE customer_segment = 'champions')
-           AS champions_count,
-       (SELECT COUNT(DISTINCT customer_unique_id) FROM customer_features WHERE churn_risk IN ('high', 'very_high'))
-           AS at_risk_customers,
-       (SELECT COUNT(*) FROM product_analytics WHERE avg_review_score >= 4.5) AS top_rated_products""",
+    "kpis": f"""
+SELECT {_TODAY} AS report_date, orders_yesterday, revenue_yesterday, avg_revenue_7d, champions_count,
+       at_risk_customers, top_rated_products
+FROM (SELECT CAST(COALESCE(SUM(num_orders) FILTER (back = 1), 0) AS BIGINT) AS orders_yesterday,
+             SUM(total_revenue) FILTER (back = 1) AS revenue_yesterday,
+             AVG(total_revenue) FILTER (back <= 7) AS avg_revenue_7d FROM days_back)
+CROSS JOIN (SELECT COUNT(*) FILTER (customer_segment = 'champions') AS champions_count,
+                   COUNT(*) FILTER (churn_risk IN ('high', 'very_high')) AS at_risk_customers
+            FROM customer_features)
+CROSS JOIN (SELECT COUNT(*) FILTER (avg_review_score >= 4.5) AS top_rated_products FROM product_analytics)""",
     # Events as the damaged messages of `files._messages` carry them; n tells the damage.
     "messages": """
 SELECT *, CAST(event_id AS BIGINT) % 50 AS n,
@@ -192,22 +244,6 @@ SELECT time_bucket(INTERVAL '1' MINUTE, event_ts) - INTERVAL '1' MINUTE * k AS w
        COUNT(*) AS event_count, SUM(COALESCE(payment_value, 0)) AS revenue,
        COUNT(DISTINCT customer_id) AS unique_customers, COUNT(DISTINCT order_id) AS unique_orders
 FROM good_events, range(5) AS r(k) GROUP BY 1, 2""",
-    "product_stats": """
-SELECT p.product_id, p.product_category_name, t.product_category_name_english AS category,
-       COUNT(DISTINCT oi.order_id) AS total_sales, COUNT(DISTINCT o.customer_id) AS unique_buyers,
-       SUM(oi.price) AS total_revenue, AVG(oi.price) AS avg_price, STDDEV_SAMP(oi.price) AS price_stddev,
-       AVG(r.review_score) AS avg_rating, STDDEV_SAMP(r.review_score) AS rating_stddev,
-       COUNT(r.review_id) AS review_count, AVG(p.product_weight_g) AS avg_weight_g,
-       AVG(p.product_length_cm * p.product_height_cm * p.product_width_cm) AS avg_volume_cm3,
-       COUNT(DISTINCT oi.seller_id) AS unique_sellers,
-       AVG(datesub('day', o.order_purchase_timestamp, o.order_delivered_customer_date)) AS avg_delivery_days
-FROM m_products p
-LEFT JOIN m_category_translation t ON p.product_category_name = t.product_category_name
-LEFT JOIN m_order_items oi ON p.product_id = oi.product_id
-LEFT JOIN m_orders o ON oi.order_id = o.order_id
-LEFT JOIN m_order_reviews r ON o.order_id = r.order_id
-WHERE o.order_status = 'delivered'
-GROUP BY 1, 2, 3""",
 }
 
 _SUMMARY = ("count", "mean", "std", "min", "25%", "50%", "75%", "max")
@@ -273,81 +309,51 @@ _CLOSED = "window_end <= (SELECT MAX(event_ts) - INTERVAL '10' MINUTE FROM good_
 _ISO = "strftime({0}, '%Y-%m-%dT%H:%M:%SZ') AS {0}"
 _EVENT_ROWS = "SELECT * EXCLUDE (event_ts) REPLACE (ROUND(payment_value, 6) AS payment_value) FROM good_events"
 
-_SEGMENTS = """
-SELECT customer_unique_id, customer_state, customer_city, total_orders, ROUND(total_spent, 6) AS total_spent,
-       ROUND(avg_order_value, 6) AS avg_order_value, first_order_date, last_order_date,
-       CAST(customer_lifetime_days AS INTEGER) AS customer_lifetime_days, unique_products_bought,
-       unique_categories, ROUND(avg_review_score, 6) AS avg_review_score, total_reviews,
-       customer_segment, value_tier
-FROM customer_segments"""
-
 QUERIES = {
-    "orders_enriched": """
-SELECT o.order_id, o.customer_id, c.customer_unique_id, c.customer_city, c.customer_state, o.order_status,
-       o.order_purchase_timestamp, o.order_delivered_customer_date, o.order_estimated_delivery_date,
-       datesub('day', o.order_purchase_timestamp, o.order_delivered_customer_date) AS delivery_time_days,
-       datesub('day', o.order_estimated_delivery_date, o.order_delivered_customer_date) AS delivery_delay_days,
-       CAST(COUNT(*) AS INTEGER) AS n_payment_entries,
-       STRING_AGG(p.payment_type, ',' ORDER BY p.payment_type) AS payment_types,
-       ROUND(SUM(p.payment_value), 6) AS total_payment, MAX(p.payment_installments) AS max_installments,
-       MAX(r.review_score) AS review_score, MAX(r.review_comment_message) AS review_comment,
-       '2001-08-01' AS processing_date
-FROM m_orders o
-LEFT JOIN m_customers c ON o.customer_id = c.customer_id
-LEFT JOIN m_order_payments p ON o.order_id = p.order_id
-LEFT JOIN m_order_reviews r ON o.order_id = r.order_id
-WHERE CAST(o.order_purchase_timestamp AS DATE) <= DATE '2001-08-01'
-GROUP BY ALL""",
-    "order_payment_lines": """
-SELECT p.order_id, p.payment_sequential, p.payment_type, ROUND(p.payment_value, 6) AS payment_value,
-       p.payment_installments, CAST(GREATEST(COUNT(r.order_id), 1) AS BIGINT) AS copies
-FROM m_order_payments p JOIN m_orders o ON p.order_id = o.order_id
-LEFT JOIN m_order_reviews r ON o.order_id = r.order_id
-WHERE CAST(o.order_purchase_timestamp AS DATE) <= DATE '2001-08-01'
-GROUP BY ALL""",
-    "product_analytics": """
-SELECT product_id, product_category_name, product_category, total_orders, total_items_sold,
-       ROUND(total_revenue, 6) AS total_revenue, ROUND(avg_price, 6) AS avg_price,
-       ROUND(total_freight, 6) AS total_freight, ROUND(avg_weight_g, 6) AS avg_weight_g,
-       ROUND(avg_volume_cm3, 6) AS avg_volume_cm3, unique_sellers,
-       ROUND(avg_review_score, 6) AS avg_review_score, total_reviews, first_sale_date, last_sale_date
-FROM product_analytics""",
-    "daily_metrics": """
-SELECT order_date, num_orders, num_customers, ROUND(total_revenue, 6) AS total_revenue,
-       ROUND(avg_order_value, 6) AS avg_order_value, delivered_orders, canceled_orders, shipped_orders,
-       credit_card_orders, boleto_orders, voucher_orders, unique_states, unique_products,
-       ROUND(items_revenue, 6) AS items_revenue, ROUND(freight_revenue, 6) AS freight_revenue
-FROM daily_metrics""",
-    "customer_segments": _SEGMENTS,
-    "customer_features": """
-SELECT customer_unique_id, last_order_date, total_orders, ROUND(total_spent, 6) AS total_spent,
-       ROUND(avg_order_value, 6) AS avg_order_value, ROUND(stddev_order_value, 6) AS stddev_order_value,
-       ROUND(min_order_value, 6) AS min_order_value, ROUND(max_order_value, 6) AS max_order_value,
-       first_order_date, ROUND(avg_installments, 6) AS avg_installments, unique_products_bought,
-       unique_categories, ROUND(avg_review_score, 6) AS avg_review_score, total_reviews_given,
-       customer_state, customer_city, CAST(days_since_last_order AS INTEGER) AS days_since_last_order,
-       CAST(customer_lifetime_days AS INTEGER) AS customer_lifetime_days,
-       ROUND(orders_per_month, 6) AS orders_per_month,
-       ROUND(avg_days_between_orders, 6) AS avg_days_between_orders,
-       recency_score, frequency_score, monetary_score, ROUND(engagement_score, 6) AS engagement_score,
-       value_tier, churn_risk, customer_segment
-FROM customer_features""",
-    "product_features": """
-SELECT product_id, product_category_name, category, total_sales, unique_buyers,
-       ROUND(total_revenue, 6) AS total_revenue, ROUND(avg_price, 6) AS avg_price,
-       ROUND(price_stddev, 6) AS price_stddev, ROUND(avg_rating, 6) AS avg_rating,
-       ROUND(rating_stddev, 6) AS rating_stddev, review_count, ROUND(avg_weight_g, 6) AS avg_weight_g,
-       ROUND(avg_volume_cm3, 6) AS avg_volume_cm3, unique_sellers,
-       ROUND(avg_delivery_days, 6) AS avg_delivery_days,
-       CAST(NTILE(10) OVER (ORDER BY total_sales NULLS FIRST, product_id) AS INTEGER) AS popularity_decile,
-       CASE WHEN avg_rating >= 4.5 AND review_count >= 10 THEN 'excellent'
-            WHEN avg_rating >= 4.0 AND review_count >= 5 THEN 'good'
-            WHEN avg_rating >= 3.0 THEN 'average' ELSE 'poor' END AS quality_tier,
-       CAST(NTILE(5) OVER (PARTITION BY category ORDER BY avg_price NULLS FIRST, product_id) AS INTEGER)
-           AS price_tier_in_category
-FROM product_stats""",
+    "orders_enriched": _group(
+        f"m_orders {_BUYER} {_PAID} {_REVIEWED}", _PAST,
+        {c: c for c in (
+            "order_id", "customer_id", "customer_unique_id", "customer_city", "customer_state", "order_status",
+            "order_purchase_timestamp", "order_delivered_customer_date", "order_estimated_delivery_date",
+        )},
+        {
+            "delivery_time_days":
+                "ANY_VALUE(datesub('day', order_purchase_timestamp, order_delivered_customer_date))",
+            "delivery_delay_days":
+                "ANY_VALUE(datesub('day', order_estimated_delivery_date, order_delivered_customer_date))",
+            "n_payment_entries": "CAST(COUNT(*) AS INTEGER)",
+            "payment_types": "STRING_AGG(payment_type, ',' ORDER BY payment_type)",
+            "total_payment": "ROUND(SUM(payment_value), 6)",
+            "max_installments": "MAX(payment_installments)",
+            "review_score": "MAX(m_order_reviews.review_score)",
+            "review_comment": "MAX(review_comment_message)",
+            "processing_date": f"'{AS_OF}'",
+        },
+    ),
+    "order_payment_lines": f"""
+SELECT order_id, payment_sequential, payment_type, ROUND(payment_value, 6) AS payment_value, payment_installments,
+       CAST(GREATEST((SELECT COUNT(*) FROM m_order_reviews r WHERE r.order_id = p.order_id), 1) AS BIGINT) AS copies
+FROM m_order_payments p JOIN m_orders USING (order_id) WHERE {_PAST}""",
+    "product_analytics": _rounded(
+        "product_analytics", "total_revenue", "avg_price", "total_freight", "avg_weight_g", "avg_volume_cm3",
+        "avg_review_score",
+    ),
+    "daily_metrics": _rounded(
+        "daily_metrics", "total_revenue", "avg_order_value", "items_revenue", "freight_revenue"
+    ),
+    "customer_segments": _rounded("customer_segments", "total_spent", "avg_order_value", "avg_review_score"),
+    "customer_features": _rounded(
+        "customer_features", "total_spent", "avg_order_value", "stddev_order_value", "min_order_value",
+        "max_order_value", "avg_installments", "avg_review_score", "orders_per_month", "avg_days_between_orders",
+        "engagement_score",
+    ),
+    "product_features": _rounded(
+        "product_features", "total_revenue", "avg_price", "price_stddev", "avg_rating", "rating_stddev",
+        "avg_weight_g", "avg_volume_cm3", "avg_delivery_days",
+    ),
 }
 
+
 QUERIES.update({
     "daily_metrics_grain_safe": """
 SELECT CAST(o.order_purchase_timestamp AS DATE) AS order_date, COUNT(*) AS num_orders,
@@ -386,21 +392,15 @@ SELECT * REPLACE (ROUND(payment_value, 6) AS payment_value) FROM order_lookup"""
     "daily_kpis": """
 SELECT * REPLACE (ROUND(revenue_yesterday, 6) AS revenue_yesterday, ROUND(avg_revenue_7d, 6) AS avg_revenue_7d)
 FROM kpis""",
-    "top_products_daily": """
-SELECT CAST(ROW_NUMBER() OVER (ORDER BY revenue DESC, product_id) AS INTEGER) AS rank, product_id, category, orders,
-       ROUND(revenue, 6) AS revenue,
+    "top_products_daily": f"""
+SELECT CAST(ROW_NUMBER() OVER (ORDER BY total DESC, product_id) AS INTEGER) AS rank, product_id, category, orders,
+       ROUND(total, 6) AS revenue,
        ROUND(CAST(ROUND(CAST(rating AS DECIMAL(24, 8)), 2) AS DOUBLE), 6) AS avg_rating,
-       DATE '2001-07-31' AS report_date
-FROM (SELECT oi.product_id, t.product_category_name_english AS category, COUNT(DISTINCT oi.order_id) AS orders,
-             SUM(oi.price) AS revenue, AVG(r.review_score) AS rating
-      FROM m_order_items oi
-      LEFT JOIN m_orders o ON oi.order_id = o.order_id
-      LEFT JOIN m_products p ON oi.product_id = p.product_id
-      LEFT JOIN m_category_translation t ON p.product_category_name = t.product_category_name
-      LEFT JOIN m_order_reviews r ON o.order_id = r.order_id
-      WHERE CAST(o.order_purchase_timestamp AS DATE) = DATE '2001-07-31' AND o.order_status = 'delivered'
-      GROUP BY 1, 2)
-ORDER BY revenue DESC, product_id LIMIT 10""",
+       {_TODAY} - 1 AS report_date
+FROM ({_group(_SOLD, f"{_DELIVERED} AND {_TODAY} - {_DAY} = 1",
+              {"product_id": "product_id", "category": "product_category_name_english"},
+              {"orders": "COUNT(DISTINCT order_id)", "total": "SUM(price)", "rating": "AVG(review_score)"})})
+ORDER BY rank LIMIT 10""",
     "revenue_drop_alert": """
 SELECT ROUND(yesterday, 6) AS yesterday, ROUND(avg_7d_before, 6) AS avg_7d_before,
        ROUND(pct_change, 6) AS pct_change, COALESCE(pct_change < -20, false) AS alert
@@ -416,18 +416,17 @@ FROM kpis""",
     "top_cities": """
 SELECT customer_city, customer_state, COUNT(*) AS num_customers FROM m_customers GROUP BY 1, 2
 ORDER BY 3 DESC, 1, 2 LIMIT 10""",
-    "revenue_by_month": """
-SELECT strftime(o.order_purchase_timestamp, '%Y-%m') AS year_month, COUNT(DISTINCT o.order_id) AS num_orders,
-       ROUND(SUM(p.payment_value), 6) AS total_revenue, ROUND(SUM(p.payment_value) * 0.20::DOUBLE, 6) AS revenue_usd
-FROM m_orders o JOIN m_order_payments p ON o.order_id = p.order_id
-WHERE o.order_status = 'delivered' GROUP BY 1 ORDER BY 1 DESC LIMIT 12""",
-    "top_categories": """
-SELECT p.product_category_name, t.product_category_name_english,
-       COALESCE(NULLIF(t.product_category_name_english, ''), p.product_category_name) AS category,
-       COUNT(DISTINCT oi.order_id) AS num_orders
-FROM m_order_items oi JOIN m_products p ON oi.product_id = p.product_id
-LEFT JOIN m_category_translation t ON p.product_category_name = t.product_category_name
-WHERE p.product_category_name IS NOT NULL GROUP BY ALL ORDER BY 4 DESC, 1 LIMIT 10""",
+    "revenue_by_month": f"""
+SELECT strftime(order_purchase_timestamp, '%Y-%m') AS year_month, COUNT(DISTINCT order_id) AS num_orders,
+       ROUND(SUM(payment_value), 6) AS total_revenue, ROUND(SUM(payment_value) * 0.20::DOUBLE, 6) AS revenue_usd
+FROM m_orders JOIN m_order_payments USING (order_id) WHERE {_DELIVERED}
+GROUP BY 1 ORDER BY 1 DESC LIMIT 12""",
+    "top_categories": f"""
+SELECT product_category_name, product_category_name_english,
+       COALESCE(NULLIF(product_category_name_english, ''), product_category_name) AS category,
+       COUNT(DISTINCT order_id) AS num_orders
+FROM m_order_items {_PRODUCT} WHERE product_category_name IS NOT NULL
+GROUP BY ALL ORDER BY num_orders DESC, product_category_name LIMIT 10""",
     "volume_class": """
 SELECT COUNT(*) AS order_count,
        CASE WHEN COUNT(*) > 1000 THEN 'full_processing' ELSE 'quick_processing' END AS strategy
@@ -594,7 +593,7 @@ WHERE n % 89 = 0 OR n % 101 = 0 OR n % 97 = 0""",
     "load_summary": """
 SELECT COUNT(*) FILTER (CAST(order_purchase_timestamp AS DATE) = DATE '2001-08-01') AS rows_loaded,
        COUNT(*) AS total_rows FROM m_orders""",
-    "landing_missing": "SELECT '2001-08-01/olist_order_items_dataset.csv' AS path",
+    "landing_missing": "SELECT '2001-08-01/order_items_dataset.csv' AS path",
     "orders_partitioned": "SELECT *, CAST(order_purchase_timestamp AS DATE) AS order_date FROM m_orders",
     "partition_stats": """
 SELECT CAST(order_purchase_timestamp AS DATE) AS partition_id, COUNT(*) AS total_rows, true AS has_size

@@ -12,6 +12,7 @@ from registry import files
 from registry.model import AS_OF, OFF_TIE, PIPELINES, RUN_TIME, raw_tables, view
 from tradewinds.plans import features, health, marts, monthly, profiles, quality, reports
 from tradewinds.session import prepare
+from tradewinds.sources.staging import stage
 from tradewinds.tables import RawTables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,23 +44,24 @@ def _orders_enriched(raw: RawTables) -> DataFrame:
     )
 
 
-def _kpis(raw: RawTables) -> DataFrame:
-    return reports.daily_kpis(
-        _recent_days(raw), features.customer_features(raw, AS_OF), marts.product_analytics(raw), AS_OF
-    )
-
-
 def _recent_days(raw: RawTables) -> DataFrame:
     """As many days of daily_metrics as the reports look back."""
     return marts.daily_metrics(raw, AS_OF, since=AS_OF - dt.timedelta(days=8))
 
 
+def _kpis(raw: RawTables) -> DataFrame:
+    customers = features.customer_features(raw, AS_OF)
+    return reports.daily_kpis(_recent_days(raw), customers, marts.product_analytics(raw), AS_OF)
+
+
 def _alerts(raw: RawTables) -> DataFrame:
     return reports.business_alerts(raw, _recent_days(raw), features.customer_features(raw, AS_OF), AS_OF)
 
 
 def _daily_report(raw: RawTables) -> DataFrame:
-    report = reports.daily_report(_kpis(raw), _alerts(raw))
+    customers, days = features.customer_features(raw, AS_OF), stage(_recent_days(raw), "days")
+    kpis = reports.daily_kpis(days, customers, marts.product_analytics(raw), AS_OF)
+    report = reports.daily_report(kpis, reports.business_alerts(raw, days, customers, AS_OF))
     return report.withColumn("alerts", F.array_join(F.transform("alerts", lambda a: a["message"]), "; "))
 
 

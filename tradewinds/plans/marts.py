@@ -182,12 +182,8 @@ def daily_metrics(
         orders.join(raw.customers.select("customer_id", "customer_state"), "customer_id", "left")
         .join(payments_per_order(raw.order_payments), "order_id", "left")
         .join(items_per_order(raw.order_items), "order_id", "left")
-        .groupBy("order_id", "order_date")
-        .agg(
-            F.max("customer_id").alias("customer_id"),
-            F.max("customer_state").alias("customer_state"),
-            *[F.sum(m).alias(name) for name, m in measures.items()],
-        )
+        .groupBy("order_id", "order_date", "customer_id", "customer_state")
+        .agg(*[F.sum(m).alias(name) for name, m in measures.items()])
     )
     per_day = per_order.groupBy("order_date").agg(
         F.count("*").alias("num_orders"),
@@ -256,9 +252,9 @@ def customer_metrics(raw: RawTables, keys: list[str], grain_safe: bool = False)
     Order rows carry the sums and category rows the diversity. Both are free of
     repeats before they meet, so one grouping without distinct counts is enough.
     """
-    buyers = raw.customers.select(
-        "customer_id", *dict.fromkeys([*keys, "customer_state", "customer_city"])
-    )
+    place = ["customer_state", "customer_city"]
+    customer = list(dict.fromkeys([*keys, *place]))
+    buyers = raw.customers.select("customer_id", *customer)
     delivered = (
         raw.orders.where(F.col("order_status") == "delivered")
         .select("order_id", "customer_id", "order_purchase_timestamp")
@@ -282,14 +278,13 @@ def customer_metrics(raw: RawTables, keys: list[str], grain_safe: bool = False)
         "last_order_date": (F.max, "order_purchase_timestamp"),
         "min_order_value": (F.min, "paid_min"),
         "max_order_value": (F.max, "paid_max"),
-        "place": (F.min, F.struct("customer_state", "customer_city")),
     }
     # No shuffle: the joins by order_id already hold an order's rows together.
     order_rows = (
         delivered.join(payments_per_order(raw.order_payments), "order_id", "left")
         .join(items_per_order(raw.order_items), "order_id", "left")
         .join(reviews_per_order(raw.order_reviews), "order_id", "left")
-        .groupBy(*keys, "order_id")
+        .groupBy(*customer, "order_id")
         .agg(
             *[F.sum(F.col(name) * repeat).alias(name) for name, repeat in sums.items()],
             *[f(c).alias(name) for name, (f, c) in extremes.items()],
@@ -315,6 +310,9 @@ def customer_metrics(raw: RawTables, keys: list[str], grain_safe: bool = False)
             F.count("order_id").alias("total_orders"),
             F.coalesce(F.sum("n_products"), F.lit(0)).alias("unique_products_bought"),
             F.count("category").alias("unique_categories"),
+            *([] if set(place) <= set(keys) else [
+                F.min(F.when(F.col("order_id").isNotNull(), F.struct(*place))).alias("place")
+            ]),
             *[F.sum(name).alias(name) for name in sums],
             *[f(name).alias(name) for name, (f, _) in extremes.items()],
         )

@@ -95,23 +95,23 @@ RAW = {
     ),
 }
 
-# Landing file stem -> raw table.
-FILE_TABLES = {
-    "olist_customers_dataset": "customers",
-    "olist_orders_dataset": "orders",
-    "olist_order_items_dataset": "order_items",
-    "olist_order_payments_dataset": "order_payments",
-    "olist_order_reviews_dataset": "order_reviews",
-    "olist_products_dataset": "products",
-    "olist_sellers_dataset": "sellers",
-    "olist_geolocation_dataset": "geolocation",
-    "product_category_name_translation": "product_category_translation",
-}
-
-# Files a daily run needs, and the columns its gate insists on.
-DAILY_FILES = ["olist_orders_dataset", "olist_order_items_dataset", "olist_order_payments_dataset"]
+# Tables a daily run needs, and the columns its gate insists on.
+DAILY_TABLES = ["orders", "order_items", "order_payments"]
 GATE_COLUMNS = ["order_id", "customer_id", "order_status", "order_purchase_timestamp"]
 
+
+def table_of(stem: str) -> str:
+    """The raw table of a landing file: `<prefix>_<table>_dataset` or `<table>_dataset`.
+
+    The category names come as `product_category_name_translation`. A stem that names
+    no raw table stands for a table of its own.
+    """
+    if stem == "product_category_name_translation":
+        return "product_category_translation"
+    named = [t for t in RAW if f"_{stem}".endswith(f"_{t}_dataset")]
+    return max(named, key=len, default=stem)
+
+
 EVENT = T.StructType(
     [
         T.StructField("event_id", T.StringType()),
@@ -122,12 +122,7 @@ EVENT = T.StructType(
         T.StructField("order_status", T.StringType()),
         T.StructField("payment_value", T.DoubleType()),
         T.StructField("event_timestamp", T.StringType()),
-        T.StructField(
-            "metadata",
-            T.StructType(
-                [T.StructField("source", T.StringType()), T.StructField("version", T.StringType())]
-            ),
-        ),
+        T.StructField("metadata", T.MapType(T.StringType(), T.StringType())),
     ]
 )
 

@@ -17,12 +17,15 @@ def landing_path(root: str, day: dt.date, stem: str) -> str:
     return f"{root}/{day.isoformat()}/{stem}.csv"
 
 
-def missing_files(
-    spark: SparkSession, root: str, day: dt.date, stems: list[str] | None = None
-) -> DataFrame:
+def daily_stems(prefix: str = "") -> list[str]:
+    """File stems of the tables a daily run needs."""
+    return [f"{prefix}{table}_dataset" for table in schemas.DAILY_TABLES]
+
+
+def missing_files(spark: SparkSession, root: str, day: dt.date, prefix: str = "") -> DataFrame:
     """Required files of a day that have not landed, as `path`."""
     folder = f"{root}/{day.isoformat()}"
-    expected = spark.createDataFrame([(f"{s}.csv",) for s in stems or schemas.DAILY_FILES], "file string")
+    expected = spark.createDataFrame([(f"{s}.csv",) for s in daily_stems(prefix)], "file string")
     path = F.concat(F.lit(f"{folder}/"), "file").alias("path")
     try:
         listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
@@ -33,8 +36,8 @@ def missing_files(
     return expected.join(landed, "file", "left_anti").select(path)
 
 
-def require_files(spark: SparkSession, root: str, day: dt.date) -> None:
-    missing = [r["path"] for r in missing_files(spark, root, day).collect()]
+def require_files(spark: SparkSession, root: str, day: dt.date, prefix: str = "") -> None:
+    missing = [r["path"] for r in missing_files(spark, root, day, prefix).collect()]
     if missing:
         raise FileNotFoundError(f"missing {len(missing)} required files: {', '.join(missing)}")
 
@@ -46,7 +49,7 @@ def load_all(spark: SparkSession, files: dict[str, str], target: str) -> DataFra
     """
     results = []
     for stem, path in files.items():
-        table = schemas.FILE_TABLES.get(stem, stem)
+        table = schemas.table_of(stem)
         try:
             df = load_csv(spark, path, table) if table in schemas.RAW else infer_csv(spark, path)
             overwrite(df, f"{target}/{table}")
@@ -56,15 +59,17 @@ def load_all(spark: SparkSession, files: dict[str, str], target: str) -> DataFra
     return spark.createDataFrame(results, "table_name string, loaded boolean, error string")
 
 
-def load_day(spark: SparkSession, root: str, day: dt.date, target: str) -> dict[str, DataFrame]:
+def load_day(
+    spark: SparkSession, root: str, day: dt.date, target: str, prefix: str = ""
+) -> dict[str, DataFrame]:
     """Load the required files of a day into partition `load_date` of their tables.
 
     A second run for the same day replaces that partition and leaves the others.
     """
-    require_files(spark, root, day)
+    require_files(spark, root, day, prefix)
     loaded = {}
-    for stem in schemas.DAILY_FILES:
-        table = schemas.FILE_TABLES[stem]
+    for stem in daily_stems(prefix):
+        table = schemas.table_of(stem)
         rows = load_csv(spark, landing_path(root, day, stem), table).withColumn("load_date", F.lit(day))
         replace_days(rows, f"{target}/{table}", "load_date")
         loaded[table] = spark.read.parquet(f"{target}/{table}")

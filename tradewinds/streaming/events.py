@@ -19,11 +19,15 @@ def read_events(messages: DataFrame) -> DataFrame:
     `reason` is null for a usable event and says otherwise why it is not.
     """
     text = F.col("value").cast("string")
+    # Generated as a row, the message is parsed once; as plain columns, the parsing
+    # would be repeated in every filter and column that uses a field.
     parsed = messages.select(
         text.alias("value"),
-        F.from_json(text, schemas.EVENT).alias("e"),
-        # Tells a missing field from one that is null or of a wrong type.
-        F.from_json(text, "map<string,string>").alias("given"),
+        F.inline(F.array(F.struct(
+            F.from_json(text, schemas.EVENT).alias("e"),
+            # Tells a missing field from one that is null or of a wrong type.
+            F.from_json(text, "map<string,string>").alias("given"),
+        ))),
     ).select("value", "given", "e.*")
 
     def has(name: str) -> Column:
@@ -37,14 +41,11 @@ def read_events(messages: DataFrame) -> DataFrame:
         .when(event_ts.isNull(), "bad event_timestamp")
         .when(F.col("event_type").isNull(), "no event_type")
     )
-    about = F.from_json(F.try_element_at("given", F.lit("metadata")), "map<string,string>")
-
     def metadata(name: str) -> Column:
-        inner = F.coalesce(F.map_contains_key(about, F.lit(name)), F.lit(False))
         return (
             F.when(~has("metadata"), F.lit(""))
-            .when(about.isNull(), F.lit(None).cast("string"))
-            .when(inner, F.try_element_at(about, F.lit(name)))
+            .when(F.col("metadata").isNull(), F.lit(None).cast("string"))
+            .when(F.map_contains_key("metadata", F.lit(name)), F.try_element_at("metadata", F.lit(name)))
             .otherwise(F.lit(""))
         )
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tradewinds import schemas
 from tradewinds.sources.csv import BadRecordLimit, infer_csv, load_csv
-from tradewinds.sources.writers import overwrite, replace_days
+from tradewinds.sources.writers import overwrite, replace_day
 
 
 def landing_path(root: str, day: dt.date, stem: str) -> str:
@@ -70,7 +70,6 @@ def load_day(
     loaded = {}
     for stem in daily_stems(prefix):
         table = schemas.table_of(stem)
-        rows = load_csv(spark, landing_path(root, day, stem), table).withColumn("load_date", F.lit(day))
-        replace_days(rows, f"{target}/{table}", "load_date")
+        replace_day(load_csv(spark, landing_path(root, day, stem), table), f"{target}/{table}", "load_date", day)
         loaded[table] = spark.read.parquet(f"{target}/{table}")
     return loaded

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +24,15 @@ def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+def replace_day(df: DataFrame, path: str, column: str, day: dt.date) -> None:
+    """Write `df` as the partition `column`=`day`, in place of what is there.
+
+    An empty `df` empties the partition.
+    """
+    folder = f"{path}/{column}={day.isoformat()}"
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(folder)
+
+
 def replace_days(df: DataFrame, path: str, day: str) -> None:
     """Replace only the days of `df` in a table partitioned by `day`."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(path)

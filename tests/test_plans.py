@@ -176,6 +176,21 @@ def test_parse_orders_drops_rows_without_a_required_field(table):
     ]
 
 
+def test_filters_and_columns_reach_the_files(spark, small, tmp_path):
+    from tradewinds import RawTables
+    from tradewinds.sources import writers
+
+    for name, df in small.items():
+        writers.overwrite(df, f"{tmp_path}/{name}")
+    raw = RawTables.from_parquet(spark, str(tmp_path))
+    plan = reports.cancellation_rate(raw, AS_OF)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(order_purchase_timestamp," in plan and "LessThan(order_purchase_timestamp," in plan
+    assert "ReadSchema: struct<order_status:string,order_purchase_timestamp:timestamp>" in plan
+    plan = reports.revenue_by_month(raw)._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(order_status,delivered)" in plan
+    assert "ReadSchema: struct<order_id:string,payment_value:double>" in plan
+
+
 def test_quality(small, table):
     assert rows(quality.integrity_report(small)) == [
         ("order_items", "order_id", "orders", 0), ("order_items", "product_id", "products", 1),

@@ -9,12 +9,12 @@ _SPREAD = "__key_hash"
 
 
 def join_lines(lines: DataFrame, per_key: DataFrame, key: str, how: str = "inner") -> DataFrame:
-    """Join many `lines` per key with at most one row of `per_key` (inner or left).
+    """Join many `lines` per key with `per_key` (inner, left, left_semi or left_anti).
 
     A key may own a large part of the lines. Adaptive execution splits such a
     partition, but only where both inputs come straight from a shuffle; a side that
     is already grouped by `key` would skip it. Joining on a hash of the key as well
-    makes both sides shuffle, and costs one pass over the smaller, narrower one.
+    makes both sides shuffle, and costs a shuffle of `per_key`, which is much the smaller one.
     """
     left = lines.withColumn(_SPREAD, F.xxhash64(key))
     right = per_key.withColumn(_SPREAD, F.xxhash64(key))

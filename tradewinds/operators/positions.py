@@ -26,9 +26,11 @@ def rows_at(
     """
     n = F.col(weight) if weight else F.lit(1)
     # The boundaries of a range partitioning come from a sample, so the partition
-    # number is written down before two steps rely on it.
+    # number is written down before two steps rely on it. The number of ranges is fixed:
+    # the more there are, the fewer rows share a range with a wanted rank.
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = stage(
-        df.repartitionByRange("grp", *order).select(
+        df.repartitionByRange(ranges, "grp", *order).select(
             "grp", *order, n.cast("bigint").alias("n"), F.spark_partition_id().alias("part")
         ),
         "ranged",
@@ -94,16 +96,19 @@ def percentiles(df: DataFrame, shares: dict[str, float]) -> DataFrame:
     return picks.groupBy("grp").agg(*[value_at(s).alias(name) for name, s in shares.items()])
 
 
-def ntile_cuts(df: DataFrame, tiles: int) -> DataFrame:
+def ntile_cuts(df: DataFrame, tiles: int | Column) -> DataFrame:
     """Per `grp`, the sorted first rows (`value`, `id`) of tiles 2..`tiles`, as `cuts`.
 
-    A group has fewer than `tiles` cuts, however large it is.
+    A group has fewer than `tiles` cuts, however large it is. `tiles` may depend on `grp`.
     """
+    last = F.lit(tiles) - 1 if isinstance(tiles, int) else tiles - 1
 
     def starts(total: Column) -> Column:
-        small, extra = F.floor(total / tiles), total % tiles
-        firsts = [F.lit(t) * small + F.least(F.lit(t), extra) + 1 for t in range(1, tiles)]
-        return F.filter(F.array(*[f.cast("bigint") for f in firsts]), lambda start: start <= total)
+        small, extra = F.floor(total / (last + 1)), total % (last + 1)
+        firsts = F.transform(
+            F.sequence(F.lit(1), last), lambda t: (t * small + F.least(t, extra) + 1).cast("bigint")
+        )
+        return F.filter(firsts, lambda start: start <= total)
 
     firsts = rows_at(df, ["value", "id"], starts)
     return firsts.groupBy("grp").agg(

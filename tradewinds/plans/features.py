@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradewinds.functions import dates, labels
@@ -66,9 +66,21 @@ def customer_features(raw: RawTables, as_of: dt.date | None = None, grain_safe:
         "products_score": F.col("unique_products_bought"),
         "categories_score": F.col("unique_categories"),
     }
+    person = F.col("customer_unique_id")
+    entries = F.array(*[
+        F.struct(F.lit(name).alias("grp"), value.cast("double").alias("value")) for name, value in ranked.items()
+    ])
+    ranking = features.select(F.explode(entries).alias("e"), person.alias("id")).select("e.*", "id")
+    # At most four cuts for each of five rankings: a row is compared with those, and the
+    # customers are neither sorted nor moved.
+    cuts = ntile_cuts(ranking, 5).agg(F.map_from_entries(F.collect_list(F.struct("grp", "cuts"))))
     recency, frequency, monetary, products, categories = (F.col(name) for name in ranked)
     return (
-        _with_tiles(features, ranked, F.col("customer_unique_id"), 5)
+        features.withColumn("cuts", cuts.scalar())
+        .withColumns({
+            name: tile_of(value, person, F.try_element_at("cuts", F.lit(name))) for name, value in ranked.items()
+        })
+        .drop("cuts")
         .withColumn("engagement_score", (frequency + products + categories) / F.lit(3.0))
         .drop("products_score", "categories_score")
         .withColumn("value_tier", labels.spend_tier(F.col("total_spent")))
@@ -138,37 +150,21 @@ def product_features(raw: RawTables) -> DataFrame:
     )
     stats = stage(stats, "product-features")
     # A missing category is a group of its own, kept apart from every category name.
-    group = F.coalesce(F.concat(F.lit("="), "category"), F.lit(""))
-    cuts = ntile_cuts(
-        stats.select(group.alias("grp"), F.col("avg_price").alias("value"), F.col("product_id").alias("id")), 5
+    group = F.coalesce(F.concat(F.lit("="), "category"), F.lit("none"))
+    sales, product = F.lit("sales"), F.col("product_id")
+    entries = F.array(
+        F.struct(sales.alias("grp"), F.col("total_sales").cast("double").alias("value")),
+        F.struct(group.alias("grp"), F.col("avg_price").alias("value")),
     )
+    ranking = stats.select(F.explode(entries).alias("e"), product.alias("id")).select("e.*", "id")
+    cuts = stage(ntile_cuts(ranking, F.when(F.col("grp") == sales, 10).otherwise(5)), "cuts")
     return (
-        _with_tiles(stats, {"popularity_decile": F.col("total_sales")}, F.col("product_id"), 10)
+        stats.withColumn("sales_cuts", cuts.where(F.col("grp") == sales).select("cuts").scalar())
+        .withColumn("popularity_decile", tile_of(F.col("total_sales"), product, F.col("sales_cuts")))
         .withColumn("quality_tier", labels.quality_tier(F.col("avg_rating"), F.col("review_count")))
         .withColumn("grp", group)
         .join(cuts, "grp", "left")
-        .withColumn("price_tier_in_category", tile_of(F.col("avg_price"), F.col("product_id"), F.col("cuts")))
-        .drop("grp", "cuts")
+        .withColumn("price_tier_in_category", tile_of(F.col("avg_price"), product, F.col("cuts")))
+        .drop("grp", "cuts", "sales_cuts")
         .withColumn("feature_timestamp", F.current_timestamp())
     )
-
-
-def _with_tiles(
-    df: DataFrame, ranked: dict[str, Column], id_: Column, tiles: int
-) -> DataFrame:
-    """Add, for each ranking of the whole of `df`, the tile of the row under that name.
-
-    All rankings are cut in one pass, and a row is compared with the at most
-    `tiles` - 1 cuts of each, so the rows of `df` are neither sorted nor moved.
-    """
-    entries = F.array(*[
-        F.struct(F.lit(name).alias("grp"), value.cast("double").alias("value")) for name, value in ranked.items()
-    ])
-    rows = df.select(F.explode(entries).alias("e"), id_.alias("id")).select("e.*", "id")
-    cuts = stage(ntile_cuts(rows, tiles), "cuts")
-    out = df
-    for name in ranked:
-        out = out.withColumn(f"{name}_cuts", cuts.where(F.col("grp") == name).select("cuts").scalar())
-    return out.withColumns(
-        {name: tile_of(value, id_, F.col(f"{name}_cuts")) for name, value in ranked.items()}
-    ).drop(*[f"{name}_cuts" for name in ranked])

@@ -333,7 +333,7 @@ def _payment_arrays(payments: DataFrame, max_entries: int) -> DataFrame:
     too_many = payments.groupBy("order_id").agg(F.count("*").alias("n")).where(F.col("n") > max_entries)
     entry = F.struct("payment_type", "payment_value", "payment_installments")
     return (
-        payments.join(too_many, "order_id", "left_anti")
+        join_lines(payments, too_many, "order_id", "left_anti")
         .groupBy("order_id")
         .agg(F.collect_list(entry).alias("payment_rows"))
     )

@@ -30,10 +30,9 @@ def daily_kpis(
     """
     today = dates.run_date(as_of)
     is_yesterday = F.col("order_date") == F.date_sub(today, 1)
-    champions = F.count_distinct(F.when(F.col("customer_segment") == "champions", F.col("customer_unique_id")))
-    at_risk = F.count_distinct(
-        F.when(F.col("churn_risk").isin("high", "very_high"), F.col("customer_unique_id"))
-    )
+    person = F.col("customer_unique_id")  # one row per customer in `features`
+    champions = F.count(F.when(F.col("customer_segment") == "champions", person))
+    at_risk = F.count(F.when(F.col("churn_risk").isin("high", "very_high"), person))
     customers = features.agg(F.struct(champions.alias("champions"), at_risk.alias("at_risk")).alias("c"))
     rated = products.agg(F.count_if(F.col("avg_review_score") >= 4.5))
     return (
@@ -239,7 +238,8 @@ def top_states(raw: RawTables, n: int = 10) -> DataFrame:
     """States by number of orders."""
     state = raw.customers.select("customer_id", "customer_state")
     return (
-        join_lines(raw.orders.select("customer_id"), state, "customer_id")
+        raw.orders.select("customer_id")
+        .join(state, "customer_id")
         .where(F.col("customer_state").isNotNull())
         .groupBy("customer_state")
         .agg(F.count("*").alias("n"))

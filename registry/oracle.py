@@ -458,13 +458,24 @@ SELECT dag_id, task_id, ROUND(AVG((epoch_us(end_date) - epoch_us(start_date)) /
 FROM m_task_log
 WHERE start_date >= TIMESTAMP '2024-01-30' AND end_date IS NOT NULL AND state = 'success'
 GROUP BY 1, 2 HAVING AVG((epoch_us(end_date) - epoch_us(start_date)) / 1000000.0::DOUBLE) > 1800""",
-    "output_row_counts": """
-SELECT table_name, n_rows, n_rows > 0 AS not_empty FROM (
-  SELECT 'orders_enriched' AS table_name, COUNT(*) AS n_rows FROM m_orders
-  WHERE CAST(order_purchase_timestamp AS DATE) <= DATE '2001-08-01'
-  UNION ALL SELECT 'product_analytics', COUNT(*) FROM product_analytics
-  UNION ALL SELECT 'daily_metrics', COUNT(*) FROM daily_metrics
-  UNION ALL SELECT 'customer_segments', COUNT(*) FROM customer_segments)""",
+    "output_row_counts": "SELECT table_name, n_rows, n_rows > 0 AS not_empty FROM (" + " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, COUNT(*) AS n_rows FROM {source}" for name, source in {
+            "orders_enriched": f"m_orders WHERE {_PAST}",
+            "order_payment_lines": f"m_orders JOIN m_order_payments USING (order_id) WHERE {_PAST}",
+            "product_analytics": "product_analytics",
+            "daily_metrics": "daily_metrics",
+            "customer_segments": "customer_segments",
+            "monthly_metrics": "(SELECT DISTINCT strftime(order_date, '%Y-%m') FROM order_lookup)",
+            "ml_customer_features": "customer_features",
+            "ml_product_features": "product_stats",
+            "report_daily_kpis": "kpis",
+            "report_top_products_daily": f"""(
+                SELECT DISTINCT product_id FROM m_order_items JOIN m_orders USING (order_id)
+                WHERE {_DELIVERED} AND {_TODAY} - {_DAY} = 1 LIMIT 10)""",
+            "business_alerts": "alerts",
+            "daily_report": "kpis",
+        }.items()
+    ) + ")",
     "table_row_counts": "\nUNION ALL\n".join(
         f"SELECT '{name}' AS table_name, COUNT(*) AS n_rows, COUNT(*) > 0 AS not_empty FROM {v}"
         for name, v in RAW_VIEWS.items()

@@ -147,3 +147,21 @@ def test_late_events(spark, tmp_path):
     assert got == [("2024-01-01T10:00:00Z", 1), ("2024-01-01T10:03:00Z", 1), ("2024-01-01T10:05:00Z", 1)]
     # the event itself is kept
     assert tables["realtime_orders"].count() == 5
+
+
+def test_windows_by_arrival(spark, tmp_path):
+    """Windows may follow the time of processing instead of the time in the event."""
+    incoming = tmp_path / "incoming"
+    incoming.mkdir()
+    (incoming / "0.json").write_text(message() + "\n" + message(event_timestamp="2020-01-01T00:00:00Z") + "\n")
+    events = usable(read_events(bus.read_bus(spark, "text", path=str(incoming))))
+    query = (
+        realtime_metrics(events, time_col="processing_ts")
+        .writeStream.format("memory").queryName("by_arrival").outputMode("append")
+        .option("checkpointLocation", str(tmp_path / "progress"))
+        .trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    assert query.exception() is None
+    batch = realtime_metrics(usable(read(spark, message(), message())), time_col="processing_ts")
+    assert rows(batch, "event_count") == [(2,)]

@@ -368,11 +368,11 @@ def _shared_reviews(raw: RawTables) -> DataFrame:
         .where(F.col("first_order") < F.col("last_order"))
         .select("review_id")
     )
+    delivered = raw.orders.where(F.col("order_status") == "delivered")
     return (
-        raw.order_reviews.select("review_id", "order_id")
+        join_lines(raw.order_reviews.select("review_id", "order_id"), shared, "review_id", "left_semi")
+        .join(delivered, "order_id", "left_semi")
         .distinct()
-        .join(shared, "review_id", "left_semi")
-        .join(raw.orders.where(F.col("order_status") == "delivered"), "order_id", "left_semi")
         .select("order_id", F.col("review_id").alias("shared_review"))
     )
 

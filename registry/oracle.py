@@ -438,7 +438,7 @@ SELECT strftime(order_purchase_timestamp, '%Y-%m') AS year_month, COUNT(*) AS n
     "top_states": """
 SELECT customer_state, COUNT(*) AS n FROM m_orders o JOIN m_customers c ON o.customer_id = c.customer_id
 GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10""",
-    "pipeline_health": f"""
+    "run_health": f"""
 SELECT e.dag_id, runs, success, failed, ROUND(avg_duration_min, 6) AS avg_duration_min, status,
        CASE WHEN status = 'NO_RUNS' THEN 'No runs in last 24 hours' END AS message,
        status IN ('UNHEALTHY', 'NO_RUNS') AS needs_attention

@@ -135,7 +135,7 @@ QUERIES: dict[str, Query] = {
     "orders_by_month": _on_raw(reports.orders_by_month),
     "top_states": _on_raw(reports.top_states),
     # run logs
-    "pipeline_health": _on_view("m_run_log", lambda log: health.pipeline_health(log, PIPELINES, RUN_TIME)),
+    "run_health": _on_view("m_run_log", lambda log: health.run_health(log, PIPELINES, RUN_TIME)),
     "slow_tasks": _on_view("m_task_log", lambda log: health.slow_tasks(log, RUN_TIME)),
     # checks
     "output_row_counts": _output_row_counts,

@@ -9,6 +9,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tradewinds import RawTables, schemas
+from tradewinds.plans import marts, reports
 from tradewinds.sources import csv, landing, writers
 from tradewinds.sources.staging import new_path, shared_folder, stage
 
@@ -124,6 +125,15 @@ def test_partitioned_orders(spark, small, tmp_path):
     assert rows(df.drop("order_date")) == rows(small.orders)
     day = df.where(F.col("order_date") == F.lit(dt.date(2024, 1, 9)))
     assert "PartitionFilters: [isnotnull(order_date" in day._jdf.queryExecution().executedPlan().toString()
+    # The plans prune folders as well when they are given the copy.
+    raw = RawTables(**{**dict(small.items()), "orders": df})
+    for plan in (
+        reports.cancellation_rate(raw, dt.date(2024, 1, 10)), marts.daily_metrics(raw, dt.date(2024, 1, 9)),
+        reports.top_products_daily(raw, dt.date(2024, 1, 10)),
+    ):
+        text = plan._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(order_date" in text, text
+    assert rows(marts.daily_metrics(raw, dt.date(2024, 1, 10))) == rows(marts.daily_metrics(small, dt.date(2024, 1, 10)))
     stats = rows(writers.partition_stats(spark, path, "order_date", 2), "partition_id", "total_rows")
     assert stats == [(dt.date(2024, 1, 5), 1), (dt.date(2024, 1, 9), 2)]
     assert rows(writers.table_sizes(spark, {"orders": path}).where("size_gb > 0"), "table_name", "n_rows") == [("orders", 7)]

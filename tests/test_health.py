@@ -17,7 +17,7 @@ def run(dag, minute, state, minutes=3, day="2024-01-02"):
     return (dag, f"{dag}-{minute}", start, start, end, state)
 
 
-def test_pipeline_health(spark):
+def test_run_health(spark):
     log = [run("good", i, "success") for i in range(5)]
     log += [run("broken", i, "failed" if i < 3 else "success") for i in range(10)]
     log += [run("shaky", i, "success" if i < 7 else "running", None if i == 9 else 4) for i in range(10)]
@@ -27,7 +27,7 @@ def test_pipeline_health(spark):
     df = spark.createDataFrame(
         log, "dag_id string, run_id string, execution_date timestamp, start_date timestamp, end_date timestamp, state string"
     )
-    got = health.pipeline_health(df, ["good", "broken", "shaky", "busy", "idle"], NOW)
+    got = health.run_health(df, ["good", "broken", "shaky", "busy", "idle"], NOW)
     assert rows(got, "dag_id", "status", "runs", "success", "failed", "avg_duration_min", "needs_attention") == [
         ("broken", "UNHEALTHY", 10, 7, 3, 3.0, True),
         ("busy", "HEALTHY", 10, 10, 0, 6.5, False),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from conftest import ts
 from tradewinds.functions import dates, labels, numbers
+from tradewinds.operators.days import orders_between
 
 
 def value(spark, column):
@@ -85,13 +86,13 @@ def test_day_differences(spark):
 
 
 def test_days_as_ranges(spark):
-    day = lit(dt.date(2024, 1, 1))
-    for text, same, upto in (
-        ("2023-12-31 23:59:59.999999", False, True), ("2024-01-01 00:00:00", True, True),
-        ("2024-01-01 23:59:59.999999", True, True), ("2024-01-02 00:00:00", False, False),
-    ):
-        stamp = lit(text).cast("timestamp")
-        assert (value(spark, dates.on_day(stamp, day)), value(spark, dates.up_to_day(stamp, day))) == (same, upto)
+    day = dt.date(2024, 1, 1)
+    texts = ["2023-12-31 23:59:59.999999", "2024-01-01 00:00:00", "2024-01-01 23:59:59.999999", "2024-01-02 00:00:00"]
+    orders = spark.createDataFrame([(ts(t),) for t in texts], "order_purchase_timestamp timestamp")
+    dated = orders.withColumn("order_date", F.to_date("order_purchase_timestamp"))
+    for df in (orders, dated):
+        assert orders_between(df, lit(day), lit(day)).count() == 2
+        assert orders_between(df, None, lit(day)).count() == 3
 
 
 def test_numbers(spark):

@@ -38,11 +38,6 @@ def month_key(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM")
 
 
-def on_day(ts: Column, day: Column) -> Column:
-    """`ts` falls on `day`, as a range of `ts` so that file statistics can prune."""
-    return (ts >= day.cast("timestamp")) & (ts < F.date_add(day, 1).cast("timestamp"))
-
-
 def up_to_day(ts: Column, day: Column) -> Column:
     """`ts` falls on `day` or before it."""
     return ts < F.date_add(day, 1).cast("timestamp")

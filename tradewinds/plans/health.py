@@ -16,7 +16,7 @@ RUNS_PER_PIPELINE = 10
 SLOW_TASK_SECONDS = 1800
 
 
-def pipeline_health(run_log: DataFrame, expected: list[str], now: dt.datetime | None = None) -> DataFrame:
+def run_health(run_log: DataFrame, expected: list[str], now: dt.datetime | None = None) -> DataFrame:
     """Per expected pipeline: its latest runs of the last 24 hours and a status."""
     since = run_time(now) - F.expr("INTERVAL 1 DAY")
     recent = run_log.where(F.col("dag_id").isin(expected) & (F.col("execution_date") >= since))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tradewinds.functions import dates, labels
 from tradewinds.functions.numbers import ratio
+from tradewinds.operators.days import orders_between
 from tradewinds.operators.joins import join_lines
 from tradewinds.operators.rollups import (
     copies,
@@ -47,7 +48,7 @@ def orders_enriched(
     per_review = F.flatten(F.array_repeat(F.coalesce("payment_rows", nothing), repeat.cast("int")))
     purchase, delivered = F.col("order_purchase_timestamp"), F.col("order_delivered_customer_date")
     return (
-        _orders_up_to(raw, as_of)
+        orders_between(raw.orders, None, dates.run_date(as_of))
         .join(raw.customers, "customer_id", "left")
         .join(payments_per_order(raw.order_payments), "order_id", "left")
         .join(_payment_arrays(raw.order_payments, max_entries), "order_id", "left")
@@ -82,7 +83,7 @@ def order_payment_lines(raw: RawTables, as_of: dt.date | None = None) -> DataFra
     `copies` is how often the entry stands in the order's `payments` array.
     """
     orders = (
-        _orders_up_to(raw, as_of)
+        orders_between(raw.orders, None, dates.run_date(as_of))
         .select("order_id")
         .join(reviews_per_order(raw.order_reviews), "order_id", "left")
         .select("order_id", copies("n_reviews").alias("copies"))
@@ -154,10 +155,8 @@ def daily_metrics(
     Sums repeat a payment for each item of its order and an item for each payment;
     `grain_safe` counts each once. `since` leaves out earlier dates.
     """
-    orders = _orders_up_to(raw, as_of)
-    if since is not None:
-        orders = orders.where(F.col("order_purchase_timestamp") >= F.lit(since).cast("timestamp"))
-    orders = orders.withColumn("order_date", F.to_date("order_purchase_timestamp"))
+    first = None if since is None else F.lit(since)
+    orders = orders_between(raw.orders, first, dates.run_date(as_of)).withColumn("order_date", F.to_date("order_purchase_timestamp"))
     per_item, per_payment = copies("n_items", not grain_safe), copies("n_payments", not grain_safe)
     status = F.col("order_status")
 
@@ -324,10 +323,6 @@ def customer_metrics(raw: RawTables, keys: list[str], grain_safe: bool = False)
     )
 
 
-def _orders_up_to(raw: RawTables, as_of: dt.date | None) -> DataFrame:
-    return raw.orders.where(dates.up_to_day(F.col("order_purchase_timestamp"), dates.run_date(as_of)))
-
-
 def _payment_arrays(payments: DataFrame, max_entries: int) -> DataFrame:
     """The payments of each order as one array, for orders with at most `max_entries`."""
     too_many = payments.groupBy("order_id").agg(F.count("*").alias("n")).where(F.col("n") > max_entries)

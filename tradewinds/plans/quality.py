@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tradewinds import schemas
 from tradewinds.functions import dates
 from tradewinds.functions.numbers import percent
+from tradewinds.operators.days import orders_between
 from tradewinds.operators.frames import stack
 from tradewinds.tables import RawTables
 
@@ -76,9 +77,8 @@ def orders_gate(orders: DataFrame) -> DataFrame:
 
 def daily_load_check(orders: DataFrame, day: dt.date | None = None) -> DataFrame:
     """Did any order of `day` arrive."""
-    return orders.where(dates.on_day(F.col("order_purchase_timestamp"), dates.run_date(day))).agg(
-        (F.count("*") > 0).alias("arrived")
-    )
+    of_day = orders_between(orders, dates.run_date(day), dates.run_date(day))
+    return of_day.agg((F.count("*") > 0).alias("arrived"))
 
 
 def load_summary(orders: DataFrame, day: dt.date | None = None) -> DataFrame:

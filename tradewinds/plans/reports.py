@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tradewinds.functions import dates, labels
 from tradewinds.functions.numbers import percent, percent_change, ratio
+from tradewinds.operators.days import orders_between
 from tradewinds.operators.joins import join_lines
 from tradewinds.operators.rollups import copies, payments_per_order, reviews_per_order
 from tradewinds.tables import RawTables
@@ -60,9 +61,8 @@ def top_products_daily(raw: RawTables, as_of: dt.date | None = None, n: int = 10
     """Yesterday's delivered products with the highest revenue, ranked."""
     yesterday = F.date_sub(dates.run_date(as_of), 1)
     orders = (
-        raw.orders.where(
-            (F.col("order_status") == "delivered") & dates.on_day(F.col("order_purchase_timestamp"), yesterday)
-        )
+        orders_between(raw.orders, yesterday, yesterday)
+        .where(F.col("order_status") == "delivered")
         .select("order_id")
         .join(reviews_per_order(raw.order_reviews), "order_id", "left")
     )
@@ -117,7 +117,7 @@ def cancellation_rate(raw: RawTables, as_of: dt.date | None = None) -> DataFrame
     yesterday = F.date_sub(dates.run_date(as_of), 1)
     canceled = F.count_if(F.col("order_status") == "canceled")
     return (
-        raw.orders.where(dates.on_day(F.col("order_purchase_timestamp"), yesterday))
+        orders_between(raw.orders, yesterday, yesterday)
         .agg(F.round(percent(canceled, F.count("*")), 2).alias("cancel_rate"))
         .withColumn("alert", F.coalesce(F.col("cancel_rate") > CANCEL_RATE_PERCENT, F.lit(False)))
     )
@@ -212,7 +212,7 @@ def volume_class(raw: RawTables, as_of: dt.date | None = None) -> DataFrame:
     """How many orders came yesterday and which processing that calls for."""
     yesterday = F.date_sub(dates.run_date(as_of), 1)
     return (
-        raw.orders.where(dates.on_day(F.col("order_purchase_timestamp"), yesterday))
+        orders_between(raw.orders, yesterday, yesterday)
         .agg(F.count("*").alias("order_count"))
         .withColumn("strategy", labels.volume_class(F.col("order_count")))
     )

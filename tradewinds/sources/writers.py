@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tradewinds.operators.days import ORDER_DAY
 from tradewinds.operators.frames import stack
 
 
@@ -66,7 +67,7 @@ def write_by_day(df: DataFrame, path: str, ts: str, day: str, cluster_by: list[s
 def orders_partitioned(orders: DataFrame, path: str) -> DataFrame:
     """The copy of orders that is partitioned by purchase date."""
     cluster_by = ["customer_id", "order_status"]
-    write_by_day(orders, path, "order_purchase_timestamp", "order_date", cluster_by, "order_id")
+    write_by_day(orders, path, "order_purchase_timestamp", ORDER_DAY, cluster_by, "order_id")
     return orders.sparkSession.read.parquet(path)
 
 

@@ -70,7 +70,8 @@ def test_bad_record_limit_of_reviews(spark, tmp_path):
     bad = "".join(f"r{i},o{i},many\n" for i in range(501))
     with pytest.raises(csv.BadRecordLimit):
         csv.load_csv(spark, write(tmp_path / "many.csv", REVIEWS + bad), "order_reviews")
-    assert csv.load_csv(spark, write(tmp_path / "few.csv", REVIEWS + bad[: bad.rindex("r500")]), "order_reviews").count() == 0
+    few = write(tmp_path / "few.csv", REVIEWS + bad[: bad.rindex("r500")])
+    assert csv.load_csv(spark, few, "order_reviews").count() == 0
 
 
 def test_file_names():
@@ -82,7 +83,9 @@ def test_file_names():
 
 def test_load_all_reports_failures(spark, tmp_path, small):
     files = {
-        "shop_sellers_dataset": write(tmp_path / "s.csv", "seller_id,seller_zip_code_prefix,seller_city,seller_state\ns1,01234,rio,RJ\n"),
+        "shop_sellers_dataset": write(
+            tmp_path / "s.csv", "seller_id,seller_zip_code_prefix,seller_city,seller_state\ns1,01234,rio,RJ\n"
+        ),
         "shop_order_items_dataset": write(tmp_path / "i.csv", ITEMS + "o1,x,p1,s1,,1,1\n"),
         "weather": write(tmp_path / "w.csv", "day,rain\n2024-01-01,3\n"),
         "shop_products_dataset": str(tmp_path / "absent.csv"),
@@ -107,7 +110,8 @@ def test_daily_load_replaces_its_own_day(spark, tmp_path):
             write(base / "shop_order_payments_dataset.csv", "order_id,n,t,i,v\no1,1,boleto,1,5\n")
     root, target = str(tmp_path / "landing"), str(tmp_path / "raw")
     assert landing.missing_files(spark, root, day, "shop_").count() == 0
-    assert rows(landing.missing_files(spark, root, other, "shop_")) == [(f"{root}/2024-01-03/shop_order_payments_dataset.csv",)]
+    missing = rows(landing.missing_files(spark, root, other, "shop_"))
+    assert missing == [(f"{root}/2024-01-03/shop_order_payments_dataset.csv",)]
     assert landing.missing_files(spark, root, dt.date(2030, 1, 1), "shop_").count() == 3
     with pytest.raises(FileNotFoundError, match="order_payments"):
         landing.load_day(spark, root, other, target, "shop_")
@@ -153,6 +157,20 @@ def test_tables_and_sinks(spark, small, tmp_path):
     spark.sql("DROP TABLE kept_sellers")
 
 
+class Session:
+    """A session with these settings only."""
+
+    def __init__(self, **settings):
+        self.conf = {k.replace("__", "."): v for k, v in settings.items()}
+
+
+def test_shared_folder_without_setting():
+    local = Session(spark__master="local[2]", spark__app__id="app-1")
+    assert shared_folder(local) == shared_folder(local)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Session(spark__master="yarn", spark__app__id="app-2"))
+
+
 def test_stage_writes_to_the_shared_folder(spark):
     df = stage(spark.range(3), "numbers")
     assert df.count() == 3

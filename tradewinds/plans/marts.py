@@ -191,7 +191,9 @@ def daily_metrics(
         *[F.sum(name).alias(name) for name in measures],
     )
     products = (
-        join_lines(raw.order_items.select("order_id", "product_id"), orders.select("order_id", "order_date"), "order_id")
+        join_lines(
+            raw.order_items.select("order_id", "product_id"), orders.select("order_id", "order_date"), "order_id"
+        )
         .groupBy("order_date")
         .agg(F.count_distinct("product_id").alias("unique_products"))
     )

@@ -11,6 +11,9 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Parquet files are several times smaller than their rows in memory; without this a
+    # side could be broadcast that is far larger than the threshold.
+    "spark.sql.sources.fileCompressionFactor": "4.0",
     # State of open windows goes to disk instead of filling the executors' heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

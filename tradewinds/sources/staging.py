@@ -8,13 +8,23 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_own_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """`spark.checkpoint.dir` of the session; a local folder only where it is unset."""
+    """`spark.checkpoint.dir` of the session.
+
+    Only where that is unset, and then only on a local master, a folder of its own.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="tradewinds-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+    if folder:
+        return folder.rstrip("/")
+    if not spark.conf.get("spark.master").startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    app = spark.conf.get("spark.app.id")
+    if app not in _own_folders:
+        _own_folders[app] = tempfile.mkdtemp(prefix="tradewinds-")
+    return _own_folders[app]
 
 
 def new_path(spark: SparkSession, name: str) -> str:

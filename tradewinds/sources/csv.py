@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradewinds import schemas
+from tradewinds.sources.staging import stage
 
 
 @dataclass(frozen=True)
@@ -38,7 +39,29 @@ def infer_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_csv(spark: SparkSession, path: str | list[str], table: str) -> tuple[DataFrame, DataFrame]:
-    """Rows of the raw table `table`, and the rejected rows with a `reason`.
+    """Rows of the raw table `table`, and the rejected rows (as text) with a `reason`."""
+    records = _records(spark, path, table)
+    good = records.where(F.col("reason").isNull()).select("row.*")
+    rejects = records.where(F.col("reason").isNotNull()).select("text.*", "reason")
+    return good, rejects
+
+
+def load_csv(spark: SparkSession, path: str | list[str], table: str) -> DataFrame:
+    """The table's rows, with `ingestion_timestamp`; fails over the bad-record limit.
+
+    The files are read once: what is counted is what is loaded.
+    """
+    records = stage(_records(spark, path, table).select("row.*", "reason"), table)
+    limit = rules_of(table).max_bad_records
+    bad = records.where(F.col("reason").isNotNull()).count()
+    if bad > limit:
+        raise BadRecordLimit(f"{table}: {bad} bad rows, {limit} allowed")
+    good = records.where(F.col("reason").isNull()).drop("reason")
+    return good.withColumn("ingestion_timestamp", F.current_timestamp())
+
+
+def _records(spark: SparkSession, path: str | list[str], table: str) -> DataFrame:
+    """Every record as typed `row` and as `text`, with a `reason` where it is rejected.
 
     Fields are read as text and converted one by one, so that a bad value rejects its
     row with a reason instead of ending the read. With quoted newlines a file cannot be
@@ -70,20 +93,9 @@ def read_csv(spark: SparkSession, path: str | list[str], table: str) -> tuple[Da
             if f.dataType != T.StringType()
         ],
     )
-    marked = rows.withColumn("reason", reason)
-    good = marked.where(F.col("reason").isNull()).select(*typed.values())
-    rejects = marked.where(F.col("reason").isNotNull()).select(*names, "reason")
-    return good, rejects
-
-
-def load_csv(spark: SparkSession, path: str | list[str], table: str) -> DataFrame:
-    """The table's rows, with `ingestion_timestamp`; fails over the bad-record limit."""
-    good, rejects = read_csv(spark, path, table)
-    limit = rules_of(table).max_bad_records
-    bad = rejects.count()
-    if bad > limit:
-        raise BadRecordLimit(f"{table}: {bad} bad rows, {limit} allowed")
-    return good.withColumn("ingestion_timestamp", F.current_timestamp())
+    return rows.select(
+        F.struct(*typed.values()).alias("row"), F.struct(*names).alias("text"), reason.alias("reason")
+    )
 
 
 def _convert(value: Column, kind: T.DataType) -> Column:

@@ -159,6 +159,7 @@ def test_monthly_metrics(small, table):
     assert rows(monthly.monthly_metrics(small)) == [("2024-01", 5, 46.85, 9.37)]
     assert rows(monthly.monthly_metrics(small, mode="sum"), "total_revenue") == [(73.85,)]
     assert rows(monthly.monthly_metrics(small, limit=2), "total_orders") == [(2,)]
+    assert "collect_list" not in monthly.monthly_metrics(small)._jdf.queryExecution().executedPlan().toString()
     month = monthly.monthly_histograms(small).collect()[0]
     assert month["payment_types"] == {"boleto": 1, "credit_card": 1, "no_payment": 1, "unknown": 1, "voucher": 1}
     assert month["order_statuses"] == {"delivered": 5}

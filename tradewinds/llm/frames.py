@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewinds.sources.staging import stage
 
-__all__ = ["documents", "held_out", "in_batches", "stage", "table"]
+__all__ = ["documents", "held_out", "prepared", "stage", "table"]
 
 #: Rows of a batch that goes to Python: some are very long.
 BATCH_ROWS = 500
@@ -22,12 +26,28 @@ def held_out(doc_id: Column, parts: int, part: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % parts == part, F.lit(False))
 
 
-def in_batches(spark: SparkSession) -> None:
-    """Bound the rows that one Python batch holds."""
+_sent_by: set[str] = set()
+
+
+def prepared(spark: SparkSession) -> None:
+    """Bound the rows that one Python batch holds, and send this package to the executors once.
+
+    The archive is the driver's own file, which Spark's file server hands to every executor.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    application = spark.sparkContext.applicationId
+    if application in _sent_by:
+        return
+    package = Path(__file__).resolve().parent.parent
+    archive = Path(tempfile.mkdtemp()) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _sent_by.add(application)
 
 
 def documents(df: DataFrame, *more: str) -> DataFrame:
     """doc_id as long and text (null: empty), and more columns; nothing else a caller's table may have."""
-    in_batches(df.sparkSession)
+    prepared(df.sparkSession)
     return df.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), *more)

@@ -60,24 +60,39 @@ def blocks(texts: list[str | None]) -> Iterator[tuple[int, list[bytes]]]:
         yield first, block
 
 
-def word_hashes(block: list[bytes], lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of the words of all texts in order, and where each text's words begin.
+def joined(block: list[bytes]) -> np.ndarray:
+    """The bytes of all texts, each followed by white space."""
+    return np.frombuffer(b"\n".join(block) + b"\n", np.uint8)
 
-    Words are split at ASCII white space; A-Z count as a-z. The hash of a word is a
-    polynomial over its bytes modulo 2**64, mixed; it depends on the word alone.
+
+class Words:
+    """Words (runs of bytes that are not ASCII white space) of a byte array, and their hashes.
+
+    A hash is a polynomial over a word's bytes modulo 2**64, mixed; it depends on the word alone.
     """
-    data = np.frombuffer(b"\n".join(block) + b"\n", np.uint8)
-    if lower:
-        data = _LOWER[data]
-    space = _SPACE[data]
-    edge = np.diff(space.view(np.int8), prepend=np.int8(1))
-    starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
-    up, down = _powers.of(len(data) + 1)
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE_VALUES[data] * up[:len(data)], out=total[1:])
-    hashes = _mixed((total[ends] - total[starts]) * down[starts])
-    begins = np.cumsum([0, *(len(x) + 1 for x in block)])
-    return hashes, np.searchsorted(starts, begins)
+
+    def __init__(self, data: np.ndarray) -> None:
+        edge = np.diff(_SPACE[data].view(np.int8), prepend=np.int8(1))
+        self.starts, self.ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+        up, self._down = _powers.of(len(data) + 1)
+        self._total = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(_BYTE_VALUES[data] * up[:len(data)], out=self._total[1:])
+
+    def hashes(self, first_bytes: int | None = None) -> np.ndarray:
+        """A hash per word, or of the first bytes of each."""
+        ends = self.ends if first_bytes is None else np.minimum(self.ends, self.starts + first_bytes)
+        return _mixed((self._total[ends] - self._total[self.starts]) * self._down[self.starts])
+
+
+def begins(block: list[bytes], starts: np.ndarray) -> np.ndarray:
+    """Where the words of each text begin among words that start at the given bytes; the end is last."""
+    return np.searchsorted(starts, np.cumsum([0, *(len(x) + 1 for x in block)]))
+
+
+def word_hashes(block: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of all texts in order (A-Z count as a-z), and where each text's begin."""
+    words = Words(_LOWER[joined(block)])
+    return words.hashes(), begins(block, words.starts)
 
 
 def chained(parts: list[np.ndarray]) -> np.ndarray:
@@ -98,9 +113,9 @@ def shingles(hashes: np.ndarray, size: int) -> np.ndarray:
 def shingle_sets(texts: list[str | None], size: int = SHINGLE_WORDS) -> Iterator[np.ndarray]:
     """For every text its distinct shingle hashes, sorted; empty without words."""
     for _, block in blocks(texts):
-        hashes, begins = word_hashes(block)
+        hashes, at = word_hashes(block)
         whole = shingles(hashes, size)
-        for begin, end in zip(begins[:-1], begins[1:]):
+        for begin, end in zip(at[:-1], at[1:]):
             if end - begin >= size:
                 yield np.unique(whole[begin:end - size + 1])
             else:

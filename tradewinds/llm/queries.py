@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewinds.llm import chat, langid, neardup, quality, topk
+from tradewinds.llm import chat, langid, neardup, quality, topk, toxicity
 from tradewinds.llm.frames import table
 
 
@@ -14,6 +14,11 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return chat.digest(chat.format_conversations(turns.unionByName(chat.control_conversation(spark))))
@@ -34,6 +39,7 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_quality": op3_quality,
+    "op6_toxicity": op6_toxicity,
     "op7_chat": op7_chat,
     "op8_topk": op8_topk,
     "op9_langid": op9_langid,

@@ -9,9 +9,9 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewinds.sources.staging import stage
+from tradewinds.sources.staging import new_path, stage
 
-__all__ = ["documents", "held_out", "prepared", "stage", "table"]
+__all__ = ["documents", "held_out", "new_path", "prepared", "stage", "table"]
 
 #: Rows of a batch that goes to Python: some are very long.
 BATCH_ROWS = 500

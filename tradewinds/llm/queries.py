@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewinds.llm import chat, langid, neardup, quality, topk, toxicity
+from tradewinds.llm import chat, langid, neardup, packing, quality, topk, toxicity
 from tradewinds.llm.frames import table
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.digest(packing.pack(table(spark, sf_dir, "documents")))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
@@ -38,6 +42,7 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_packing": op2_packing,
     "op3_quality": op3_quality,
     "op6_toxicity": op6_toxicity,
     "op7_chat": op7_chat,

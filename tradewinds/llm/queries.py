@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewinds.llm import chat, langid, neardup, packing, quality, topk, toxicity
+from tradewinds.llm import chat, decontaminate, langid, neardup, packing, quality, topk, toxicity
 from tradewinds.llm.frames import table
 
 
@@ -18,6 +18,10 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
@@ -44,6 +48,7 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_packing": op2_packing,
     "op3_quality": op3_quality,
+    "op4_decontamination": op4_decontamination,
     "op6_toxicity": op6_toxicity,
     "op7_chat": op7_chat,
     "op8_topk": op8_topk,

@@ -14,6 +14,11 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
+#: Letters (A-Z as a-z), digits and all bytes beyond ASCII stay, anything else counts as white space.
+CLEAN = np.full(256, 32, np.uint8)
+for _low, _high in ((48, 58), (97, 123), (128, 256)):
+    CLEAN[_low:_high] = np.arange(_low, _high)
+CLEAN[65:91] = np.arange(97, 123)
 _BYTE_VALUES = np.random.default_rng(20_240_501).integers(1, 2**63, 256, dtype=np.uint64)
 _BASE = 0x9E3779B97F4A7C15
 _MULTIPLY = np.uint64(_BASE)

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from tradewinds.llm.frames import documents, held_out, stage
 from tradewinds.llm.langid import sampled
 from tradewinds.llm.linear import sigmoid
-from tradewinds.llm.text import Words, as_bytes, begins, blocks, joined
+from tradewinds.llm.text import CLEAN, Words, as_bytes, begins, blocks, joined
 
 SAMPLE_DOCS = 1_500
 FIT_DOCS = 2_000
@@ -59,18 +59,14 @@ INSULTS = {
 # Pronouns that address someone.
 PRONOUNS = "you your youre du dich dir ihr euch tu te toi vous ustedes usted tú vosotros"
 
-_CLEAN = np.full(256, ord(" "), np.uint8)
-for _low, _high in ((48, 58), (97, 123), (128, 256)):
-    _CLEAN[_low:_high] = np.arange(_low, _high)
-_CLEAN[65:91] = np.arange(97, 123)
 # Characters that stand for letters in disguised spellings.
-_PLAIN = _CLEAN.copy()
+_PLAIN = CLEAN.copy()
 for _sign, _letter in zip(b"0134578@$!", b"oieastbasi"):
     _PLAIN[_sign] = _letter
 
 
 def _hashes(words: str) -> np.ndarray:
-    return np.unique(Words(_CLEAN[joined([as_bytes(words.lower())])]).hashes())
+    return np.unique(Words(CLEAN[joined([as_bytes(words.lower())])]).hashes())
 
 
 _LEXICONS = [_hashes(words) for words in INSULTS.values()]
@@ -100,7 +96,7 @@ def _any_in(flags: np.ndarray, at: np.ndarray) -> np.ndarray:
 def _openings(texts: list[str | None]) -> Iterator[tuple[list[bytes], np.ndarray, list[np.ndarray], np.ndarray]]:
     """Blocks of texts: the bytes, whole-word hashes, hashes of word openings by length, where texts begin."""
     for _, block in blocks([(t or "").lower() for t in texts]):
-        words = Words(_CLEAN[joined(block)])
+        words = Words(CLEAN[joined(block)])
         yield block, words.hashes(), [words.hashes(n) for n in OPENING_BYTES], begins(block, words.starts)
 
 

@@ -90,9 +90,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", parts: int =
         .where("label IN (0, 1) AND doc_id IS NOT NULL").where(~held_out(F.col("doc_id"), parts, part))
         .withColumn("text", F.lit(""))
     )
+    # At most 2 * SAMPLE_DOCS ids, so they can be sent to where the texts are.
     sample = sampled(known, "label", SAMPLE_DOCS).drop("text")
     drawn = (
-        documents(docs).join(sample, "doc_id").mapInPandas(_rows, "doc_id bigint, label int, row binary")
+        documents(docs).join(F.broadcast(sample), "doc_id").mapInPandas(_rows, "doc_id bigint, label int, row binary")
         .orderBy(F.xxhash64("doc_id"), "doc_id", "label", "row").collect()
     )
     rows = [np.frombuffer(bytes(r.row), np.int32) for r in drawn]

@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewinds.llm import chat, decontaminate, langid, neardup, packing, quality, topk, toxicity
+from tradewinds.llm import chat, decontaminate, langid, neardup, packing, pii, quality, topk, toxicity
 from tradewinds.llm.frames import table
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.digest(pii.find(docs, pii.fit(docs)))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(packing.pack(table(spark, sf_dir, "documents")))
 
@@ -46,6 +51,7 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_pii": op1_pii,
     "op2_packing": op2_packing,
     "op3_quality": op3_quality,
     "op4_decontamination": op4_decontamination,

@@ -191,5 +191,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """`docs` without the documents that hold benchmark passages; rows without doc_id stay."""
-    found = matches(docs, benchmark).where("doc_id IS NOT NULL").select(F.col("doc_id").alias("found")).distinct()
+    found = stage(
+        matches(docs, benchmark).where("doc_id IS NOT NULL").select(F.col("doc_id").alias("found")).distinct(), "found"
+    )
     return docs.join(found, F.col("doc_id").cast("bigint") == F.col("found"), "left_anti")

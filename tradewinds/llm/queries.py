@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewinds.llm import chat, decontaminate, langid, neardup, packing, pii, quality, topk, toxicity
+from tradewinds.llm import chat, decontaminate, langid, licenses, neardup, packing, pii, quality, topk, toxicity
 from tradewinds.llm.frames import table
 
 
@@ -27,6 +27,11 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return licenses.scan(docs, licenses.fit(docs))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
@@ -55,6 +60,7 @@ QUERIES = {
     "op2_packing": op2_packing,
     "op3_quality": op3_quality,
     "op4_decontamination": op4_decontamination,
+    "op5_licenses": op5_licenses,
     "op6_toxicity": op6_toxicity,
     "op7_chat": op7_chat,
     "op8_topk": op8_topk,

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewinds.llm.frames import documents, prepared, stage
+from tradewinds.llm.frames import documents, map_documents, prepared, stage
 from tradewinds.llm.text import CLEAN, Words, begins, blocks, chained, joined
 
 #: Fixed masks: 1 is looked at, 0 ignored.
@@ -40,7 +40,7 @@ EQUAL = 0.8
 MARGIN = 2 * WINDOW
 TABLE_BITS = 2**22
 
-_REGION = "region bigint, doc_id bigint, first bigint, words array<bigint>, seeds array<struct<at: int, hash: bigint>>"
+_REGION = "doc_id bigint, region bigint, first bigint, words array<bigint>, seeds array<struct<at: int, hash: bigint>>"
 
 
 def _words(texts: list[str | None]) -> Iterator[np.ndarray]:
@@ -103,13 +103,11 @@ def _regions(table: np.ndarray, sizes: list[int]):
                 for some, those in zip(np.split(at, cuts), np.split(found, cuts)):
                     first = max(0, int(some[0]) - MARGIN)
                     rows.append((
-                        number, doc_id, first, words[first:int(some[-1]) + SPAN + MARGIN].view(np.int64),
+                        doc_id, number, first, words[first:int(some[-1]) + SPAN + MARGIN].view(np.int64),
                         list(zip((some - first).tolist(), those.tolist())),
                     ))
                     number += 1
-            out = pd.DataFrame(rows, columns=["region", "doc_id", "first", "words", "seeds"])
-            out["doc_id"] = out["doc_id"].astype("Int64")
-            yield out
+            yield pd.DataFrame(rows, columns=["doc_id", "region", "first", "words", "seeds"])
 
     return find
 
@@ -134,8 +132,7 @@ def _verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             found = stretch(np.asarray(r.words), np.asarray(r.item_words), r.diagonal, r.whole > 0)
             if found:
                 rows.append((r.doc_id, r.item_id, r.first + found[0], found[1], found[2]))
-        out = pd.DataFrame(rows, columns=["doc_id", "item_id", "word", "words", "equal"])
-        yield out.astype({"doc_id": "Int64", "item_id": "Int64"})
+        yield pd.DataFrame(rows, columns=["doc_id", "item_id", "word", "words", "equal"])
 
 
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -165,19 +162,19 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         return _regions(np.unpackbits(bits, bitorder="little").view(bool), sizes)(batches)
 
-    regions = stage(documents(docs).mapInPandas(find, _REGION), "regions")
+    regions = stage(map_documents(documents(docs), find, _REGION), "regions")
     hits = regions.select("region", F.explode("seeds").alias("seed")).select(
         "region", F.col("seed.at").alias("at"), F.col("seed.hash").alias("hash")
     )
     candidates = (
         hits.join(seeds, "hash").select("region", "item_id", (F.col("at") - F.col("item_at")).alias("diagonal")).distinct()
     )
-    return (
+    placed = (
         candidates.join(regions.select("region", "doc_id", "first", "words"), "region")
         .join(items.select("item_id", F.col("words").alias("item_words"), "whole"), "item_id")
         .select("doc_id", "first", "words", "item_id", "item_words", "whole", "diagonal")
-        .mapInPandas(_verified, "doc_id bigint, item_id bigint, word bigint, words int, equal int")
     )
+    return map_documents(placed, _verified, "doc_id bigint, item_id bigint, word bigint, words int, equal int")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tradewinds.sources.staging import new_path, stage
 
-__all__ = ["documents", "held_out", "new_path", "prepared", "stage", "table"]
+__all__ = ["documents", "held_out", "map_documents", "new_path", "prepared", "stage", "table"]
 
 #: Rows of a batch that goes to Python: some are very long.
 BATCH_ROWS = 500
@@ -47,6 +47,13 @@ def prepared(spark: SparkSession) -> None:
     _sent_by.add(application)
 
 
+def map_documents(df: DataFrame, function, schema: str) -> DataFrame:
+    """`mapInPandas` with doc_id, first in `schema`, carried as text: among nulls pandas would make it a float."""
+    in_text = df.withColumn("doc_id", F.col("doc_id").cast("string"))
+    out = in_text.mapInPandas(function, schema.replace("doc_id bigint", "doc_id string"))
+    return out.withColumn("doc_id", F.col("doc_id").cast("bigint"))
+
+
 def documents(df: DataFrame, *more: str) -> DataFrame:
     """doc_id as long and text (null: empty), and more columns; nothing else a caller's table may have."""
     prepared(df.sparkSession)

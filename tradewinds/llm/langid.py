@@ -23,7 +23,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradewinds.llm.frames import documents, held_out
+from tradewinds.llm.frames import documents, held_out, map_documents
 
 SAMPLE_DOCS = 400
 PIECE_CHARS = 400
@@ -97,6 +97,7 @@ def _predictor(learned: dict[str, bytes]):
 
 def predict_language(docs: DataFrame, learned: dict[str, bytes], parts: int = 4, part: int = 2) -> DataFrame:
     """doc_id, held_out, lang_pred, score, rejected for every row of `docs`."""
-    return documents(docs).withColumn("held_out", held_out(F.col("doc_id"), parts, part)).mapInPandas(
+    return map_documents(
+        documents(docs).withColumn("held_out", held_out(F.col("doc_id"), parts, part)),
         _predictor(learned), "doc_id bigint, held_out boolean, lang_pred string, score double, rejected boolean"
     )

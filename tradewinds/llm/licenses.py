@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewinds.llm.frames import documents
+from tradewinds.llm.frames import documents, map_documents
 from tradewinds.llm.text import CLEAN, Words, as_bytes, blocks, chained, joined
 
 SAMPLE_LINES = 3_000
@@ -239,7 +239,7 @@ def scan(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, line (from 0), family, probability, confirmed, template, cover, text: a row per notice found."""
     def found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            ids, texts, rows = list(batch["doc_id"].astype("Int64")), list(batch["text"]), []
+            ids, texts, rows = list(batch["doc_id"]), list(batch["text"]), []
             for first, block, words, at, starts in lines(texts):
                 begins = np.cumsum([0, *(len(b) + 1 for b in block)])
                 for k, p in model.lines_found(words, at):
@@ -250,11 +250,9 @@ def scan(docs: DataFrame, model: Model) -> DataFrame:
                     text = (texts[first + n] or "").split("\n")[number]
                     rows.append((ids[first + n], number, model.families[family], float(p[family]), share >= LEAST_COVER,
                                  template, share, text))
-            out = pd.DataFrame(rows, columns=["doc_id", "line", "family", "probability", "confirmed", "template", "cover", "text"])
-            out["doc_id"] = out["doc_id"].astype("Int64")
-            yield out
+            yield pd.DataFrame(rows, columns=["doc_id", "line", "family", "probability", "confirmed", "template", "cover", "text"])
 
-    return documents(docs).mapInPandas(
-        found, "doc_id bigint, line int, family string, probability double, confirmed boolean, template string, cover double, "
-               "text string"
+    return map_documents(
+        documents(docs), found,
+        "doc_id bigint, line int, family string, probability double, confirmed boolean, template string, cover double, text string",
     )

@@ -28,10 +28,11 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewinds.llm.frames import documents, prepared
+from tradewinds.llm.frames import documents, map_documents, prepared
 
 KINDS = ("email", "ip", "card", "phone", "secret")
 MAX_TOKENS = 6
@@ -393,8 +394,8 @@ def find(docs: DataFrame, model: Field) -> DataFrame:
                 rows.append([(s, e, kind, (s, e, kind) not in base, text[s:e]) for s, e, kind in every])
             yield pd.DataFrame({"doc_id": batch["doc_id"], "spans": rows})
 
-    return documents(docs).mapInPandas(
-        found, "doc_id bigint, spans array<struct<start: int, end: int, kind: string, added: boolean, text: string>>"
+    return map_documents(
+        documents(docs), found, "doc_id bigint, spans array<struct<start: int, end: int, kind: string, added: boolean, text: string>>"
     )
 
 
@@ -427,10 +428,11 @@ def redact(docs: DataFrame, model: Field) -> DataFrame:
     """`docs` with the spans replaced in `text`, and `n_chars`, where there is one, counted anew; null text stays null."""
     prepared(docs.sparkSession)
 
-    def clean(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            text = [None if t is None else redacted(t, spans(t, model)[1]) for t in batch["text"]]
-            yield batch.assign(text=pd.Series(text, index=batch.index, dtype=object))
+            at = batch.schema.get_field_index("text")
+            text = [None if t is None else redacted(t, spans(t, model)[1]) for t in batch.column(at).to_pylist()]
+            yield batch.set_column(at, batch.schema.field(at), pa.array(text, batch.schema.field(at).type))
 
-    out = docs.mapInPandas(clean, docs.schema)
+    out = docs.mapInArrow(clean, docs.schema)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out

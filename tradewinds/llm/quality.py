@@ -23,10 +23,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewinds.llm.frames import documents, held_out, prepared
+from tradewinds.llm.frames import documents, held_out, map_documents, prepared
 from tradewinds.llm.langid import sampled
 from tradewinds.llm.linear import calibrated, hinge_by_dual_descent, sigmoid
 from tradewinds.llm.text import Words, begins, blocks, chained, joined, word_hashes
@@ -93,7 +94,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", parts: int =
     # At most 2 * SAMPLE_DOCS ids, so they can be sent to where the texts are.
     sample = sampled(known, "label", SAMPLE_DOCS).drop("text")
     drawn = (
-        documents(docs).join(F.broadcast(sample), "doc_id").mapInPandas(_rows, "doc_id bigint, label int, row binary")
+        map_documents(documents(docs).join(F.broadcast(sample), "doc_id"), _rows, "doc_id bigint, label int, row binary")
         .orderBy(F.xxhash64("doc_id"), "doc_id", "label", "row").collect()
     )
     rows = [np.frombuffer(bytes(r.row), np.int32) for r in drawn]
@@ -139,7 +140,8 @@ def score(docs: DataFrame, model: Model, parts: int = 3, part: int = 1, label_fr
                 "predicted": (scores >= label_from).astype(np.int32),
             })
 
-    return documents(docs).withColumn("held_out", held_out(F.col("doc_id"), parts, part)).mapInPandas(
+    return map_documents(
+        documents(docs).withColumn("held_out", held_out(F.col("doc_id"), parts, part)),
         scored, "doc_id bigint, held_out boolean, score double, predicted int"
     )
 
@@ -147,9 +149,9 @@ def score(docs: DataFrame, model: Model, parts: int = 3, part: int = 1, label_fr
 def accepted(docs: DataFrame, model: Model) -> DataFrame:
     """The rows of `docs`, all columns, that the model does not reject."""
 
-    def passing(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch[[model.score(r) >= 0.5 for r in features(list(batch["text"]))]]
+            yield batch.filter(pa.array([model.score(r) >= 0.5 for r in features(batch["text"].to_pylist())], pa.bool_()))
 
     prepared(docs.sparkSession)
-    return docs.mapInPandas(passing, docs.schema)
+    return docs.mapInArrow(passing, docs.schema)

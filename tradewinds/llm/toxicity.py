@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewinds.llm.frames import documents, held_out, stage
+from tradewinds.llm.frames import documents, held_out, map_documents, stage
 from tradewinds.llm.langid import sampled
 from tradewinds.llm.linear import sigmoid
 from tradewinds.llm.text import CLEAN, Words, as_bytes, begins, blocks, joined
@@ -174,7 +174,7 @@ def learn_voters(docs: DataFrame, labels: DataFrame, parts: int = 4, part: int =
     )
     # At most 2 * SAMPLE_DOCS ids, so they can be sent to where the texts are.
     sample = sampled(known, "label", SAMPLE_DOCS).drop("text")
-    found = documents(docs).join(F.broadcast(sample), "doc_id").mapInPandas(_rows, "doc_id bigint, label int, rows array<binary>").collect()
+    found = map_documents(documents(docs).join(F.broadcast(sample), "doc_id"), _rows, "doc_id bigint, label int, rows array<binary>").collect()
     labels_found = np.array([r.label for r in found])
     if len(set(labels_found.tolist())) < 2:
         return Voters([])
@@ -293,7 +293,7 @@ def fit(docs: DataFrame, labels: DataFrame, parts: int = 4, part: int = 2) -> Mo
         for batch in batches:
             yield pd.DataFrame({"doc_id": batch["doc_id"], "pattern": voters.votes(list(batch["text"]))})
 
-    voted = stage(documents(docs).mapInPandas(voting, "doc_id bigint, pattern bigint"), "votes")
+    voted = stage(map_documents(documents(docs), voting, "doc_id bigint, pattern bigint"), "votes")
     seen = voted.groupBy("pattern").count().orderBy("pattern").collect()
     patterns, counts = np.array([r.pattern for r in seen], np.int64), np.array([r["count"] for r in seen])
     if not len(seen) or not patterns.any():
@@ -316,7 +316,7 @@ def fit(docs: DataFrame, labels: DataFrame, parts: int = 4, part: int = 2) -> Mo
             })
 
     found = (
-        documents(docs).join(F.broadcast(drawn), "doc_id").mapInPandas(rows, "doc_id bigint, pattern bigint, row binary")
+        map_documents(documents(docs).join(F.broadcast(drawn), "doc_id"), rows, "doc_id bigint, pattern bigint, row binary")
         .orderBy("doc_id", "row").collect()
     )
     target = labelling.posterior(np.array([r.pattern for r in found], np.int64)) if found else np.empty(0)
@@ -336,6 +336,7 @@ def score(docs: DataFrame, model: Model, parts: int = 4, part: int = 2, label_fr
                 "predicted": (scores >= label_from).astype(np.int32),
             })
 
-    return documents(docs).withColumn("held_out", held_out(F.col("doc_id"), parts, part)).mapInPandas(
+    return map_documents(
+        documents(docs).withColumn("held_out", held_out(F.col("doc_id"), parts, part)),
         scored, "doc_id bigint, held_out boolean, score double, predicted int"
     )

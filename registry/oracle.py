@@ -1,7 +1,8 @@
-"""The SQL each registered query is checked against, written as plainly as SQL allows.
+"""The SQL each registered query is checked against.
 
-The joins here fan out on purpose: the SQL states the meaning, the plans compute it
-without building those rows.
+An order's payments, items and reviews are first summed up per order (`order_facts`). The analytics
+tables count a payment once for every item and review of its order, and so on, so their sums are an
+order's sum times the numbers of the other lines (`per_payment`, `per_item`, `per_review`: at least 1).
 """
 
 from __future__ import annotations
@@ -9,33 +10,29 @@ from __future__ import annotations
 import re
 
 from registry.model import AS_OF, OFF_TIE, PIPELINES, VIEWS, _names
-from tradewinds.plans.quality import REFERENCES
-from tradewinds.schemas import RAW, required_columns
-
-# Joins from an order outward. Chained, they repeat an order's rows for each payment, item
-# and review, which is what the sums of the analytics tables mean.
-_BUYER = "LEFT JOIN m_customers USING (customer_id)"
-_PAID = "LEFT JOIN m_order_payments USING (order_id)"
-_ITEMS = "LEFT JOIN m_order_items USING (order_id)"
-_REVIEWED = "LEFT JOIN m_order_reviews USING (order_id)"
-_PRODUCT = (
-    "LEFT JOIN m_products USING (product_id) LEFT JOIN m_category_translation USING (product_category_name)"
-)
-_SOLD = f"m_order_items JOIN m_orders USING (order_id) {_PRODUCT} {_REVIEWED}"
-_DAY = "CAST(order_purchase_timestamp AS DATE)"
+
 _TODAY = f"DATE '{AS_OF}'"
 _DELIVERED = "order_status = 'delivered'"
-_PAST = f"{_DAY} <= {_TODAY}"
-
-
-def _group(source: str, where: str, keys: dict[str, str], measures: dict[str, str]) -> str:
-    columns = ", ".join(f"{expr} AS {name}" for name, expr in {**keys, **measures}.items())
-    return f"SELECT {columns} FROM {source} WHERE {where} GROUP BY {', '.join(keys.values())}"
-
-
-def _ladder(column: str, op: str, steps: list[tuple[int, str]], default: str) -> str:
-    tests = " ".join(f"WHEN {column} {op} {bound} THEN '{label}'" for bound, label in steps)
-    return f"CASE {tests} ELSE '{default}' END"
+_PAST = f"CAST(order_purchase_timestamp AS DATE) <= {_TODAY}"
+
+# Keys that must have a parent row: child table, key, parent table.
+REFERENCES = [("order_items", "order_id", "orders"), ("order_items", "product_id", "products"), ("orders", "customer_id", "customers")]
+# The columns of the raw tables.
+RAW = {
+    "customers": "customer_id customer_unique_id customer_zip_code_prefix customer_city customer_state",
+    "orders": "order_id customer_id order_status order_purchase_timestamp order_approved_at order_delivered_carrier_date "
+    "order_delivered_customer_date order_estimated_delivery_date",
+    "order_items": "order_id order_item_id product_id seller_id shipping_limit_date price freight_value",
+    "order_payments": "order_id payment_sequential payment_type payment_installments payment_value",
+    "order_reviews": "review_id order_id review_score review_comment_title review_comment_message review_creation_date "
+    "review_answer_timestamp",
+    "products": "product_id product_category_name product_name_length product_description_length product_photos_qty "
+    "product_weight_g product_length_cm product_height_cm product_width_cm",
+    "sellers": "seller_id seller_zip_code_prefix seller_city seller_state",
+    "geolocation": "geolocation_zip_code_prefix geolocation_lat geolocation_lng geolocation_city geolocation_state",
+    "product_category_translation": "product_category_name product_category_name_english",
+}
+REQUIRED_OF_ORDERS = "order_id customer_id order_purchase_timestamp"
 
 
 def _rounded(source: str, *doubles: str) -> str:
@@ -43,157 +40,217 @@ def _rounded(source: str, *doubles: str) -> str:
     return f"SELECT * REPLACE ({', '.join(f'ROUND({c}, 6) AS {c}' for c in doubles)}) FROM {source}"
 
 
-def _tile(tiles: int, order: str, key: str, group: str = "") -> str:
-    return f"CAST(NTILE({tiles}) OVER ({group} ORDER BY {order}, {key}) AS INTEGER)"
-
-
-_SPENDING = {
-    "total_orders": "COUNT(DISTINCT order_id)",
-    "total_spent": "SUM(payment_value)",
-    "avg_order_value": "AVG(payment_value)",
-    "unique_products_bought": "COUNT(DISTINCT product_id)",
-    "unique_categories": "COUNT(DISTINCT product_category_name_english)",
-    "avg_review_score": "AVG(review_score)",
-}
-_SALES = {
-    "total_revenue": "SUM(price)",
-    "avg_price": "AVG(price)",
-    "avg_weight_g": "AVG(product_weight_g)",
-    "avg_volume_cm3": "AVG(product_length_cm * product_width_cm * product_height_cm)",
-    "unique_sellers": "COUNT(DISTINCT seller_id)",
-}
-_BOUGHT = f"m_orders {_BUYER} {_PAID} {_ITEMS} {_PRODUCT} {_REVIEWED}"
-_PERSON = "customer_unique_id"
-
 # Results that other checks build on.
 DERIVED = {
-    "daily_metrics": _group(f"m_orders {_BUYER} {_PAID} {_ITEMS}", _PAST, {"order_date": _DAY}, {
-        "num_orders": "COUNT(DISTINCT order_id)",
-        "num_customers": "COUNT(DISTINCT customer_id)",
-        "total_revenue": "SUM(payment_value)",
-        "avg_order_value": "AVG(payment_value)",
-        **{f"{s}_orders": f"COUNT(*) FILTER (order_status = '{s}')" for s in ("delivered", "canceled", "shipped")},
-        **{f"{t}_orders": f"COUNT(*) FILTER (payment_type = '{t}')" for t in ("credit_card", "boleto", "voucher")},
-        "unique_states": "COUNT(DISTINCT customer_state)",
-        "unique_products": "COUNT(DISTINCT product_id)",
-        "items_revenue": "SUM(price)",
-        "freight_revenue": "SUM(freight_value)",
-    }),
-    "product_analytics": _group(
-        _SOLD, _DELIVERED,
-        {"product_id": "product_id", "product_category_name": "product_category_name",
-         "product_category": "product_category_name_english"},
-        {
-            **_SALES,
-            "total_orders": "COUNT(DISTINCT order_id)",
-            "total_items_sold": "COUNT(*)",
-            "total_freight": "SUM(freight_value)",
-            "avg_review_score": "AVG(review_score)",
-            "total_reviews": "COUNT(DISTINCT review_id)",
-            "first_sale_date": "MIN(order_purchase_timestamp)",
-            "last_sale_date": "MAX(order_purchase_timestamp)",
-        },
-    ),
-    "segment_metrics": _group(
-        _BOUGHT, _DELIVERED, {c: c for c in (_PERSON, "customer_state", "customer_city")},
-        {
-            **_SPENDING,
-            "total_reviews": "COUNT(review_id)",
-            "first_order_date": "MIN(order_purchase_timestamp)",
-            "last_order_date": "MAX(order_purchase_timestamp)",
-        },
-    ),
+    "order_paid": """
+SELECT order_id, COUNT(*) AS n_payments, COUNT(payment_value) AS n_values, SUM(payment_value) AS paid,
+       COUNT(payment_installments) AS n_installments, SUM(payment_installments) AS installments,
+       MAX(payment_installments) AS max_installments,
+       COUNT(*) FILTER (payment_type = 'credit_card') AS n_credit_card,
+       COUNT(*) FILTER (payment_type = 'boleto') AS n_boleto,
+       COUNT(*) FILTER (payment_type = 'voucher') AS n_voucher,
+       COUNT(*) FILTER (payment_type = 'debit_card') AS n_debit_card,
+       SUM(payment_value) FILTER (payment_type = 'credit_card') AS credit_card_amount,
+       SUM(payment_value) FILTER (payment_type = 'boleto') AS boleto_amount,
+       SUM(payment_value) FILTER (payment_type = 'voucher') AS voucher_amount,
+       SUM(payment_value) FILTER (payment_type = 'debit_card') AS debit_card_amount
+FROM m_order_payments GROUP BY order_id""",
+    "order_sold": """
+SELECT order_id, COUNT(*) AS n_items, SUM(price) AS price, SUM(freight_value) AS freight
+FROM m_order_items GROUP BY order_id""",
+    "order_rated": """
+SELECT order_id, COUNT(*) AS n_reviews, COUNT(review_id) AS n_review_ids, COUNT(review_score) AS n_scores,
+       SUM(review_score) AS score, MAX(review_score) AS max_score, MAX(review_comment_message) AS max_message
+FROM m_order_reviews GROUP BY order_id""",
+    "order_facts": """
+SELECT o.*, CAST(o.order_purchase_timestamp AS DATE) AS day, c.customer_unique_id, c.customer_state, c.customer_city,
+       p.* EXCLUDE (order_id), i.* EXCLUDE (order_id), r.* EXCLUDE (order_id),
+       GREATEST(COALESCE(n_payments, 0), 1) AS per_payment, GREATEST(COALESCE(n_items, 0), 1) AS per_item,
+       GREATEST(COALESCE(n_reviews, 0), 1) AS per_review
+FROM m_orders o
+LEFT JOIN m_customers c ON c.customer_id = o.customer_id
+LEFT JOIN order_paid p ON p.order_id = o.order_id
+LEFT JOIN order_sold i ON i.order_id = o.order_id
+LEFT JOIN order_rated r ON r.order_id = o.order_id""",
+    "day_products": """
+SELECT CAST(o.order_purchase_timestamp AS DATE) AS day, COUNT(DISTINCT i.product_id) AS unique_products
+FROM m_orders o JOIN m_order_items i ON i.order_id = o.order_id GROUP BY 1""",
+    "daily_metrics": f"""
+SELECT day AS order_date, COUNT(*) AS num_orders, COUNT(DISTINCT customer_id) AS num_customers,
+       SUM(paid * per_item) AS total_revenue, SUM(paid * per_item) / SUM(n_values * per_item) AS avg_order_value,
+       CAST(COALESCE(SUM(per_payment * per_item) FILTER (order_status = 'delivered'), 0) AS BIGINT) AS delivered_orders,
+       CAST(COALESCE(SUM(per_payment * per_item) FILTER (order_status = 'canceled'), 0) AS BIGINT) AS canceled_orders,
+       CAST(COALESCE(SUM(per_payment * per_item) FILTER (order_status = 'shipped'), 0) AS BIGINT) AS shipped_orders,
+       CAST(COALESCE(SUM(n_credit_card * per_item), 0) AS BIGINT) AS credit_card_orders,
+       CAST(COALESCE(SUM(n_boleto * per_item), 0) AS BIGINT) AS boleto_orders,
+       CAST(COALESCE(SUM(n_voucher * per_item), 0) AS BIGINT) AS voucher_orders,
+       COUNT(DISTINCT customer_state) AS unique_states, COALESCE(ANY_VALUE(unique_products), 0) AS unique_products,
+       SUM(price * per_payment) AS items_revenue, SUM(freight * per_payment) AS freight_revenue
+FROM order_facts LEFT JOIN day_products USING (day)
+WHERE day <= {_TODAY} GROUP BY day""",
+    # An item counts once for every review of its order.
+    "delivered_items": """
+SELECT i.*, f.customer_id, f.order_purchase_timestamp, f.per_review,
+       datesub('day', f.order_purchase_timestamp, f.order_delivered_customer_date) AS delivery_days
+FROM m_order_items i JOIN order_facts f ON f.order_id = i.order_id WHERE f.order_status = 'delivered'""",
+    "product_sales": """
+SELECT product_id, COUNT(DISTINCT order_id) AS n_orders, COUNT(DISTINCT customer_id) AS n_buyers,
+       COUNT(DISTINCT seller_id) AS unique_sellers, CAST(SUM(per_review) AS BIGINT) AS n_lines,
+       SUM(price * per_review) AS total_revenue,
+       SUM(price * per_review) / SUM(per_review) FILTER (price IS NOT NULL) AS avg_price,
+       SUM(freight_value * per_review) AS total_freight,
+       SUM(delivery_days * per_review) / CAST(SUM(per_review) FILTER (delivery_days IS NOT NULL) AS DOUBLE) AS avg_delivery_days,
+       MIN(order_purchase_timestamp) AS first_sale_date, MAX(order_purchase_timestamp) AS last_sale_date
+FROM delivered_items GROUP BY product_id""",
+    "product_price_spread": """
+SELECT d.product_id,
+       CASE WHEN SUM(d.per_review) > 1
+            THEN SQRT(SUM(d.per_review * (d.price - s.avg_price) * (d.price - s.avg_price)) / (SUM(d.per_review) - 1)) END
+           AS price_stddev
+FROM delivered_items d JOIN product_sales s ON s.product_id = d.product_id
+WHERE d.price IS NOT NULL GROUP BY d.product_id""",
+    "product_ratings": """
+SELECT d.product_id, AVG(r.review_score) AS avg_score, STDDEV_SAMP(r.review_score) AS score_stddev,
+       COUNT(r.review_id) AS n_reviews, COUNT(DISTINCT r.review_id) AS n_distinct_reviews
+FROM delivered_items d JOIN m_order_reviews r ON r.order_id = d.order_id GROUP BY d.product_id""",
+    "product_facts": """
+SELECT s.*, r.* EXCLUDE (product_id), x.price_stddev, p.product_category_name,
+       t.product_category_name_english AS english_name, CAST(p.product_weight_g AS DOUBLE) AS avg_weight_g,
+       CAST(p.product_length_cm * p.product_height_cm * p.product_width_cm AS DOUBLE) AS avg_volume_cm3
+FROM product_sales s
+LEFT JOIN product_ratings r ON r.product_id = s.product_id
+LEFT JOIN product_price_spread x ON x.product_id = s.product_id
+LEFT JOIN m_products p ON p.product_id = s.product_id
+LEFT JOIN m_category_translation t ON t.product_category_name = p.product_category_name""",
+    "product_analytics": """
+SELECT product_id, product_category_name, english_name AS product_category, total_revenue, avg_price, avg_weight_g,
+       avg_volume_cm3, unique_sellers, n_orders AS total_orders, n_lines AS total_items_sold, total_freight,
+       avg_score AS avg_review_score, COALESCE(n_distinct_reviews, 0) AS total_reviews, first_sale_date, last_sale_date
+FROM product_facts""",
+    "product_features": """
+SELECT product_id, product_category_name, english_name AS category, total_revenue, avg_price, avg_weight_g, avg_volume_cm3,
+       unique_sellers, n_orders AS total_sales, n_buyers AS unique_buyers, price_stddev, avg_score AS avg_rating,
+       score_stddev AS rating_stddev, COALESCE(n_reviews, 0) AS review_count, avg_delivery_days,
+       CAST(NTILE(10) OVER (ORDER BY n_orders, product_id) AS INTEGER) AS popularity_decile,
+       CASE WHEN avg_score >= 4.5 AND n_reviews >= 10 THEN 'excellent'
+            WHEN avg_score >= 4 AND n_reviews >= 5 THEN 'good'
+            WHEN avg_score >= 3 THEN 'average' ELSE 'poor' END AS quality_tier,
+       CAST(NTILE(5) OVER (PARTITION BY english_name ORDER BY avg_price NULLS FIRST, product_id) AS INTEGER)
+           AS price_tier_in_category
+FROM product_facts""",
+    # What a delivered order adds to its customer; a payment counts once for every item and review.
+    "customer_orders": """
+SELECT *, per_item * per_review AS payment_copies, per_payment * per_item AS review_copies
+FROM order_facts WHERE order_status = 'delivered'""",
+    "customer_goods": """
+SELECT o.customer_unique_id, o.customer_state, o.customer_city, i.product_id,
+       t.product_category_name_english AS category
+FROM customer_orders o JOIN m_order_items i ON i.order_id = o.order_id
+LEFT JOIN m_products p ON p.product_id = i.product_id
+LEFT JOIN m_category_translation t ON t.product_category_name = p.product_category_name""",
+    "place_goods": """
+SELECT customer_unique_id, customer_state, customer_city, COUNT(DISTINCT product_id) AS unique_products_bought,
+       COUNT(DISTINCT category) AS unique_categories
+FROM customer_goods GROUP BY ALL""",
+    "place_metrics": """
+SELECT customer_unique_id, customer_state, customer_city, COUNT(*) AS total_orders,
+       SUM(paid * payment_copies) AS total_spent,
+       SUM(paid * payment_copies) / SUM(n_values * payment_copies) AS avg_order_value,
+       SUM(score * review_copies) / CAST(SUM(n_scores * review_copies) AS DOUBLE) AS avg_review_score,
+       CAST(COALESCE(SUM(n_review_ids * review_copies), 0) AS BIGINT) AS total_reviews,
+       MIN(order_purchase_timestamp) AS first_order_date, MAX(order_purchase_timestamp) AS last_order_date
+FROM customer_orders GROUP BY customer_unique_id, customer_state, customer_city""",
     "customer_segments": f"""
-SELECT * EXCLUDE (idle),
-       CASE WHEN idle <= 90 AND total_orders >= 3 AND total_spent >= 500 THEN 'VIP'
-            WHEN idle <= 180 AND total_orders >= 2 THEN 'Active'
-            WHEN idle <= 365 THEN 'At Risk' ELSE 'Churned' END AS customer_segment,
-       {_ladder("total_spent", ">=", [(1000, "High Value"), (500, "Medium Value")], "Low Value")} AS value_tier
-FROM (SELECT *, {_TODAY} - CAST(last_order_date AS DATE) AS idle,
-             CAST(CAST(last_order_date AS DATE) - CAST(first_order_date AS DATE) AS INTEGER)
-                 AS customer_lifetime_days
-      FROM segment_metrics)""",
-    "customer_metrics": _group(_BOUGHT, _DELIVERED, {_PERSON: _PERSON}, {
-        **_SPENDING,
-        "stddev_order_value": "STDDEV_SAMP(payment_value)",
-        "min_order_value": "MIN(payment_value)",
-        "max_order_value": "MAX(payment_value)",
-        "avg_installments": "AVG(payment_installments)",
-        "total_reviews_given": "COUNT(review_id)",
-        "first_order_date": f"MIN({_DAY})",
-        "last_order_date": f"MAX({_DAY})",
-        "place": "MIN({'s': customer_state, 'c': customer_city})",
-    }),
-    "customer_days": f"""
-SELECT * EXCLUDE (place), place.s AS customer_state, place.c AS customer_city,
-       CAST({_TODAY} - last_order_date AS INTEGER) AS days_since_last_order,
-       CAST(last_order_date - first_order_date AS INTEGER) AS customer_lifetime_days
-FROM customer_metrics""",
-    "customer_scores": "SELECT *, " + ", ".join(
-        f"{_tile(5, order, _PERSON)} AS {name}_score" for name, order in {
-            "recency": "days_since_last_order DESC NULLS LAST",
-            "frequency": "total_orders NULLS FIRST",
-            "monetary": "total_spent NULLS FIRST",
-            "products": "unique_products_bought NULLS FIRST",
-            "categories": "unique_categories NULLS FIRST",
-        }.items()
-    ) + " FROM customer_days",
-    "customer_features": f"""
-SELECT * EXCLUDE (products_score, categories_score),
-       COALESCE(total_orders * 30.0::DOUBLE / NULLIF(customer_lifetime_days, 0), 0) AS orders_per_month,
-       customer_lifetime_days / NULLIF(total_orders - 1.0::DOUBLE, 0) AS avg_days_between_orders,
+SELECT m.customer_unique_id, m.customer_state, m.customer_city, total_orders, total_spent, avg_order_value,
+       COALESCE(g.unique_products_bought, 0) AS unique_products_bought,
+       COALESCE(g.unique_categories, 0) AS unique_categories, avg_review_score, total_reviews,
+       first_order_date, last_order_date,
+       CAST(CAST(last_order_date AS DATE) - CAST(first_order_date AS DATE) AS INTEGER) AS customer_lifetime_days,
+       CASE WHEN {_TODAY} - CAST(last_order_date AS DATE) <= 90 AND total_orders >= 3 AND total_spent >= 500 THEN 'VIP'
+            WHEN {_TODAY} - CAST(last_order_date AS DATE) <= 180 AND total_orders >= 2 THEN 'Active'
+            WHEN {_TODAY} - CAST(last_order_date AS DATE) <= 365 THEN 'At Risk'
+            ELSE 'Churned' END AS customer_segment,
+       CASE WHEN total_spent >= 1000 THEN 'High Value' WHEN total_spent >= 500 THEN 'Medium Value' ELSE 'Low Value' END
+           AS value_tier
+FROM place_metrics m LEFT JOIN place_goods g
+  ON g.customer_unique_id IS NOT DISTINCT FROM m.customer_unique_id
+ AND g.customer_state IS NOT DISTINCT FROM m.customer_state
+ AND g.customer_city IS NOT DISTINCT FROM m.customer_city""",
+    "person_goods": """
+SELECT customer_unique_id, COUNT(DISTINCT product_id) AS unique_products_bought,
+       COUNT(DISTINCT category) AS unique_categories
+FROM customer_goods GROUP BY customer_unique_id""",
+    "person_sums": f"""
+SELECT customer_unique_id, COUNT(*) AS total_orders, SUM(paid * payment_copies) AS total_spent,
+       SUM(paid * payment_copies) / SUM(n_values * payment_copies) AS avg_order_value,
+       SUM(installments * payment_copies) / CAST(SUM(n_installments * payment_copies) AS DOUBLE) AS avg_installments,
+       SUM(score * review_copies) / CAST(SUM(n_scores * review_copies) AS DOUBLE) AS avg_review_score,
+       CAST(COALESCE(SUM(n_review_ids * review_copies), 0) AS BIGINT) AS total_reviews_given,
+       MIN(day) AS first_order_date, MAX(day) AS last_order_date,
+       MIN({{'s': customer_state, 'c': customer_city}}) AS place,
+       CAST({_TODAY} - MAX(day) AS INTEGER) AS days_since_last_order,
+       CAST(MAX(day) - MIN(day) AS INTEGER) AS customer_lifetime_days
+FROM customer_orders GROUP BY customer_unique_id""",
+    "person_payments": """
+SELECT o.customer_unique_id, MIN(p.payment_value) AS min_order_value, MAX(p.payment_value) AS max_order_value,
+       CASE WHEN SUM(o.payment_copies) > 1
+            THEN SQRT(SUM(o.payment_copies * (p.payment_value - s.avg_order_value) * (p.payment_value - s.avg_order_value))
+                      / (SUM(o.payment_copies) - 1)) END AS stddev_order_value
+FROM customer_orders o JOIN m_order_payments p ON p.order_id = o.order_id
+JOIN person_sums s ON s.customer_unique_id IS NOT DISTINCT FROM o.customer_unique_id
+WHERE p.payment_value IS NOT NULL GROUP BY o.customer_unique_id""",
+    "person_scores": """
+SELECT s.*, COALESCE(g.unique_products_bought, 0) AS unique_products_bought,
+       COALESCE(g.unique_categories, 0) AS unique_categories, p.min_order_value, p.max_order_value, p.stddev_order_value,
+       CAST(NTILE(5) OVER (ORDER BY days_since_last_order DESC NULLS LAST, s.customer_unique_id) AS INTEGER) AS recency_score,
+       CAST(NTILE(5) OVER (ORDER BY total_orders, s.customer_unique_id) AS INTEGER) AS frequency_score,
+       CAST(NTILE(5) OVER (ORDER BY total_spent NULLS FIRST, s.customer_unique_id) AS INTEGER) AS monetary_score,
+       NTILE(5) OVER (ORDER BY COALESCE(g.unique_products_bought, 0), s.customer_unique_id) AS products_score,
+       NTILE(5) OVER (ORDER BY COALESCE(g.unique_categories, 0), s.customer_unique_id) AS categories_score
+FROM person_sums s
+LEFT JOIN person_goods g ON g.customer_unique_id IS NOT DISTINCT FROM s.customer_unique_id
+LEFT JOIN person_payments p ON p.customer_unique_id IS NOT DISTINCT FROM s.customer_unique_id""",
+    "customer_features": """
+SELECT customer_unique_id, place.s AS customer_state, place.c AS customer_city, total_orders, total_spent, avg_order_value,
+       stddev_order_value, min_order_value, max_order_value, avg_installments, unique_products_bought, unique_categories,
+       avg_review_score, total_reviews_given, first_order_date, last_order_date, days_since_last_order,
+       customer_lifetime_days, recency_score, frequency_score, monetary_score,
+       CASE WHEN customer_lifetime_days = 0 THEN 0 ELSE total_orders * 30.0::DOUBLE / customer_lifetime_days END
+           AS orders_per_month,
+       CASE WHEN total_orders > 1 THEN customer_lifetime_days / (total_orders - 1.0::DOUBLE) END AS avg_days_between_orders,
        (frequency_score + products_score + categories_score) / 3.0::DOUBLE AS engagement_score,
-       {_ladder("total_spent", ">=", [(2000, "platinum"), (1000, "gold"), (500, "silver")], "bronze")} AS value_tier,
-       {_ladder("days_since_last_order", ">",
-                [(365, "very_high"), (180, "high"), (90, "medium"), (30, "low")], "very_low")} AS churn_risk,
-       CASE WHEN LEAST(recency_score, frequency_score, monetary_score) >= 4 THEN 'champions'
+       CASE WHEN total_spent >= 2000 THEN 'platinum' WHEN total_spent >= 1000 THEN 'gold'
+            WHEN total_spent >= 500 THEN 'silver' ELSE 'bronze' END AS value_tier,
+       CASE WHEN days_since_last_order > 365 THEN 'very_high' WHEN days_since_last_order > 180 THEN 'high'
+            WHEN days_since_last_order > 90 THEN 'medium' WHEN days_since_last_order > 30 THEN 'low'
+            ELSE 'very_low' END AS churn_risk,
+       CASE WHEN recency_score >= 4 AND frequency_score >= 4 AND monetary_score >= 4 THEN 'champions'
             WHEN recency_score >= 4 AND frequency_score >= 3 THEN 'loyal_customers'
             WHEN monetary_score >= 4 THEN 'big_spenders'
-            WHEN recency_score > 2 THEN 'potential_loyalist'
-            WHEN frequency_score >= 3 THEN 'at_risk' ELSE 'lost' END AS customer_segment
-FROM customer_scores""",
-    "product_stats": _group(
-        _SOLD, _DELIVERED,
-        {"product_id": "product_id", "product_category_name": "product_category_name",
-         "category": "product_category_name_english"},
-        {
-            **_SALES,
-            "total_sales": "COUNT(DISTINCT order_id)",
-            "unique_buyers": "COUNT(DISTINCT customer_id)",
-            "price_stddev": "STDDEV_SAMP(price)",
-            "avg_rating": "AVG(review_score)",
-            "rating_stddev": "STDDEV_SAMP(review_score)",
-            "review_count": "COUNT(review_id)",
-            "avg_delivery_days": "AVG(datesub('day', order_purchase_timestamp, order_delivered_customer_date))",
-        },
-    ),
-    "product_features": f"""
-SELECT *, {_tile(10, "total_sales NULLS FIRST", "product_id")} AS popularity_decile,
-       CASE WHEN avg_rating >= 4.5 AND review_count >= 10 THEN 'excellent'
-            WHEN avg_rating >= 4 AND review_count >= 5 THEN 'good'
-            WHEN avg_rating >= 3 THEN 'average' ELSE 'poor' END AS quality_tier,
-       {_tile(5, "avg_price NULLS FIRST", "product_id", "PARTITION BY category")} AS price_tier_in_category
-FROM product_stats""",
+            WHEN recency_score >= 3 THEN 'potential_loyalist'
+            WHEN frequency_score >= 3 THEN 'at_risk'
+            ELSE 'lost' END AS customer_segment
+FROM person_scores""",
     "order_lookup": """
 SELECT o.order_id, o.customer_id, o.order_status, o.order_purchase_timestamp AS order_date,
        CAST(year(o.order_purchase_timestamp) AS INTEGER) AS year,
        CAST(month(o.order_purchase_timestamp) AS INTEGER) AS month,
-       COALESCE(p.payment_type, 'no_payment') AS payment_type, COALESCE(p.payment_value, 0.0) AS payment_value
+       COALESCE(p.payment_type, 'no_payment') AS payment_type,
+       COALESCE(p.payment_value, 0.0) AS first_value, COALESCE(s.paid, 0.0) AS payment_value
 FROM m_orders o
-LEFT JOIN (SELECT * FROM m_order_payments
-           QUALIFY ROW_NUMBER() OVER (PARTITION BY order_id ORDER BY payment_sequential) = 1) p
-  ON o.order_id = p.order_id
+LEFT JOIN m_order_payments p ON p.order_id = o.order_id AND p.payment_sequential = 1
+LEFT JOIN order_paid s ON s.order_id = o.order_id
 WHERE o.order_status = 'delivered'""",
-    # Days back from the run date (0 is today) make the reports' periods plain.
-    "days_back": f"SELECT *, {_TODAY} - order_date AS back FROM daily_metrics",
-    "revenue_comparison": """
-SELECT *, CAST(ROUND(CAST((yesterday / avg_7d_before - 1) * 100 AS DECIMAL(24, 8)), 2) AS DOUBLE) AS pct_change
-FROM (SELECT COALESCE(SUM(total_revenue) FILTER (back = 1), 0) AS yesterday,
-             AVG(total_revenue) FILTER (back BETWEEN 2 AND 8) AS avg_7d_before FROM days_back)""",
+    "revenue_comparison": f"""
+SELECT yesterday, avg_7d_before,
+       CAST(ROUND(CAST((yesterday - avg_7d_before) / avg_7d_before * 100 AS DECIMAL(24, 8)), 2) AS DOUBLE) AS pct_change
+FROM (SELECT COALESCE(SUM(total_revenue) FILTER (order_date = {_TODAY} - 1), 0) AS yesterday,
+             AVG(total_revenue) FILTER (order_date BETWEEN {_TODAY} - 8 AND {_TODAY} - 2) AS avg_7d_before
+      FROM daily_metrics)""",
     "cancellations": f"""
-SELECT CAST(ROUND(CAST(AVG(CASE WHEN order_status = 'canceled' THEN 100 ELSE 0 END) AS DECIMAL(24, 8)), 2) AS DOUBLE)
+SELECT CAST(ROUND(CAST(COUNT(*) FILTER (order_status = 'canceled') * 100.0::DOUBLE / COUNT(*) AS DECIMAL(24, 8)), 2) AS DOUBLE)
            AS cancel_rate
-FROM m_orders WHERE {_TODAY} - {_DAY} = 1""",
+FROM order_facts WHERE day = {_TODAY} - 1""",
     "inactive": "SELECT COUNT(*) AS at_risk_count FROM customer_features WHERE days_since_last_order BETWEEN 60 AND 90",
     "alerts": """
 SELECT 'CRITICAL' AS type, 'Revenue Drop Alert' AS title,
@@ -210,9 +267,9 @@ FROM inactive WHERE at_risk_count > 100""",
     "kpis": f"""
 SELECT {_TODAY} AS report_date, orders_yesterday, revenue_yesterday, avg_revenue_7d, champions_count,
        at_risk_customers, top_rated_products
-FROM (SELECT CAST(COALESCE(SUM(num_orders) FILTER (back = 1), 0) AS BIGINT) AS orders_yesterday,
-             SUM(total_revenue) FILTER (back = 1) AS revenue_yesterday,
-             AVG(total_revenue) FILTER (back <= 7) AS avg_revenue_7d FROM days_back)
+FROM (SELECT CAST(COALESCE(SUM(num_orders) FILTER (order_date = {_TODAY} - 1), 0) AS BIGINT) AS orders_yesterday,
+             SUM(total_revenue) FILTER (order_date = {_TODAY} - 1) AS revenue_yesterday,
+             AVG(total_revenue) FILTER (order_date >= {_TODAY} - 7) AS avg_revenue_7d FROM daily_metrics)
 CROSS JOIN (SELECT COUNT(*) FILTER (customer_segment = 'champions') AS champions_count,
                    COUNT(*) FILTER (churn_risk IN ('high', 'very_high')) AS at_risk_customers
             FROM customer_features)
@@ -309,27 +366,27 @@ _CLOSED = "window_end <= (SELECT MAX(event_ts) - INTERVAL '10' MINUTE FROM good_
 _ISO = "strftime({0}, '%Y-%m-%dT%H:%M:%SZ') AS {0}"
 _EVENT_ROWS = "SELECT * EXCLUDE (event_ts) REPLACE (ROUND(payment_value, 6) AS payment_value) FROM good_events"
 
+_ENRICHED = f"""
+SELECT order_id, customer_id, customer_unique_id, customer_city, customer_state, order_status, order_purchase_timestamp,
+       order_delivered_customer_date, order_estimated_delivery_date,
+       datesub('day', order_purchase_timestamp, order_delivered_customer_date) AS delivery_time_days,
+       datesub('day', order_estimated_delivery_date, order_delivered_customer_date) AS delivery_delay_days,
+       COALESCE(n_payments, 0) * {{times}} AS n_payment_entries,
+       COALESCE(n_credit_card, 0) * {{times}} AS n_credit_card, COALESCE(n_boleto, 0) * {{times}} AS n_boleto,
+       COALESCE(n_voucher, 0) * {{times}} AS n_voucher, COALESCE(n_debit_card, 0) * {{times}} AS n_debit_card,
+       ROUND(credit_card_amount * {{times}}, 6) AS credit_card_amount, ROUND(boleto_amount * {{times}}, 6) AS boleto_amount,
+       ROUND(voucher_amount * {{times}}, 6) AS voucher_amount, ROUND(debit_card_amount * {{times}}, 6) AS debit_card_amount,
+       ROUND(paid * {{times}}, 6) AS total_payment, max_installments, max_score AS review_score,
+       max_message AS review_comment, '{AS_OF}' AS processing_date
+FROM order_facts WHERE day <= {_TODAY}"""
+_MONTHLY = """
+SELECT strftime(order_date, '%Y-%m') AS year_month, COUNT(*) AS total_orders,
+       ROUND(SUM({0}), 6) AS total_revenue, ROUND(AVG({0}), 6) AS avg_order_value
+FROM order_lookup GROUP BY 1"""
+
 QUERIES = {
-    "orders_enriched": _group(
-        f"m_orders {_BUYER} {_PAID} {_REVIEWED}", _PAST,
-        {c: c for c in (
-            "order_id", "customer_id", "customer_unique_id", "customer_city", "customer_state", "order_status",
-            "order_purchase_timestamp", "order_delivered_customer_date", "order_estimated_delivery_date",
-        )},
-        {
-            "delivery_time_days":
-                "ANY_VALUE(datesub('day', order_purchase_timestamp, order_delivered_customer_date))",
-            "delivery_delay_days":
-                "ANY_VALUE(datesub('day', order_estimated_delivery_date, order_delivered_customer_date))",
-            "n_payment_entries": "CAST(COUNT(*) AS INTEGER)",
-            "payment_types": "STRING_AGG(payment_type, ',' ORDER BY payment_type)",
-            "total_payment": "ROUND(SUM(payment_value), 6)",
-            "max_installments": "MAX(payment_installments)",
-            "review_score": "MAX(m_order_reviews.review_score)",
-            "review_comment": "MAX(review_comment_message)",
-            "processing_date": f"'{AS_OF}'",
-        },
-    ),
+    "orders_enriched": _ENRICHED.format(times="per_review"),
+    "orders_enriched_grain_safe": _ENRICHED.format(times="1"),
     "order_payment_lines": f"""
 SELECT order_id, payment_sequential, payment_type, ROUND(payment_value, 6) AS payment_value, payment_installments,
        CAST(GREATEST((SELECT COUNT(*) FROM m_order_reviews r WHERE r.order_id = p.order_id), 1) AS BIGINT) AS copies
@@ -377,10 +434,15 @@ LEFT JOIN (SELECT CAST(o.order_purchase_timestamp AS DATE) AS d, COUNT(DISTINCT
            FROM m_orders o JOIN m_order_items x ON o.order_id = x.order_id GROUP BY 1) u
   ON u.d = CAST(o.order_purchase_timestamp AS DATE)
 WHERE CAST(o.order_purchase_timestamp AS DATE) <= DATE '2001-08-01' GROUP BY 1""",
-    "monthly_metrics": """
-SELECT strftime(order_date, '%Y-%m') AS year_month, COUNT(*) AS total_orders,
-       ROUND(SUM(payment_value), 6) AS total_revenue, ROUND(AVG(payment_value), 6) AS avg_order_value
-FROM order_lookup GROUP BY 1""",
+    "monthly_metrics": _MONTHLY.format("payment_value"),
+    "monthly_metrics_first_payment": _MONTHLY.format("first_value"),
+    "monthly_labels": """
+SELECT strftime(order_date, '%Y-%m') AS year_month, 'type' AS kind, payment_type AS label, COUNT(*) AS n,
+       ROUND(SUM(payment_value), 6) AS revenue
+FROM order_lookup GROUP BY 1, 3
+UNION ALL
+SELECT strftime(order_date, '%Y-%m'), 'status', order_status, COUNT(*), ROUND(SUM(payment_value), 6)
+FROM order_lookup GROUP BY 1, 3""",
     "monthly_metrics_json": """
 SELECT year_month, SUM(n) OVER (PARTITION BY year_month, histogram)::BIGINT AS total_orders, histogram, label, n
 FROM (SELECT strftime(order_date, '%Y-%m') AS year_month, 'payment_types' AS histogram, payment_type AS label,
@@ -388,7 +450,9 @@ FROM (SELECT strftime(order_date, '%Y-%m') AS year_month, 'payment_types' AS his
       UNION ALL
       SELECT strftime(order_date, '%Y-%m'), 'order_statuses', order_status, COUNT(*) FROM order_lookup GROUP BY ALL)""",
     "order_payment_lookup": """
-SELECT * REPLACE (ROUND(payment_value, 6) AS payment_value) FROM order_lookup""",
+SELECT * EXCLUDE (first_value) REPLACE (ROUND(payment_value, 6) AS payment_value) FROM order_lookup""",
+    "order_payment_lookup_first": """
+SELECT * EXCLUDE (first_value) REPLACE (ROUND(first_value, 6) AS payment_value) FROM order_lookup""",
     "daily_kpis": """
 SELECT * REPLACE (ROUND(revenue_yesterday, 6) AS revenue_yesterday, ROUND(avg_revenue_7d, 6) AS avg_revenue_7d)
 FROM kpis""",
@@ -397,9 +461,12 @@ SELECT CAST(ROW_NUMBER() OVER (ORDER BY total DESC, product_id) AS INTEGER) AS r
        ROUND(total, 6) AS revenue,
        ROUND(CAST(ROUND(CAST(rating AS DECIMAL(24, 8)), 2) AS DOUBLE), 6) AS avg_rating,
        {_TODAY} - 1 AS report_date
-FROM ({_group(_SOLD, f"{_DELIVERED} AND {_TODAY} - {_DAY} = 1",
-              {"product_id": "product_id", "category": "product_category_name_english"},
-              {"orders": "COUNT(DISTINCT order_id)", "total": "SUM(price)", "rating": "AVG(review_score)"})})
+FROM (SELECT i.product_id, ANY_VALUE(t.product_category_name_english) AS category, COUNT(DISTINCT f.order_id) AS orders,
+             SUM(i.price * f.per_review) AS total, SUM(f.score) / CAST(SUM(f.n_scores) AS DOUBLE) AS rating
+      FROM order_facts f JOIN m_order_items i ON i.order_id = f.order_id
+      LEFT JOIN m_products p ON p.product_id = i.product_id
+      LEFT JOIN m_category_translation t ON t.product_category_name = p.product_category_name
+      WHERE f.{_DELIVERED} AND f.day = {_TODAY} - 1 GROUP BY i.product_id)
 ORDER BY rank LIMIT 10""",
     "revenue_drop_alert": """
 SELECT ROUND(yesterday, 6) AS yesterday, ROUND(avg_7d_before, 6) AS avg_7d_before,
@@ -425,7 +492,8 @@ GROUP BY 1 ORDER BY 1 DESC LIMIT 12""",
 SELECT product_category_name, product_category_name_english,
        COALESCE(NULLIF(product_category_name_english, ''), product_category_name) AS category,
        COUNT(DISTINCT order_id) AS num_orders
-FROM m_order_items {_PRODUCT} WHERE product_category_name IS NOT NULL
+FROM m_order_items JOIN m_products USING (product_id) LEFT JOIN m_category_translation USING (product_category_name)
+WHERE product_category_name IS NOT NULL
 GROUP BY ALL ORDER BY num_orders DESC, product_category_name LIMIT 10""",
     "volume_class": """
 SELECT COUNT(*) AS order_count,
@@ -467,11 +535,11 @@ GROUP BY 1, 2 HAVING AVG((epoch_us(end_date) - epoch_us(start_date)) / 1000000.0
             "customer_segments": "customer_segments",
             "monthly_metrics": "(SELECT DISTINCT strftime(order_date, '%Y-%m') FROM order_lookup)",
             "ml_customer_features": "customer_features",
-            "ml_product_features": "product_stats",
+            "ml_product_features": "product_features",
             "report_daily_kpis": "kpis",
             "report_top_products_daily": f"""(
                 SELECT DISTINCT product_id FROM m_order_items JOIN m_orders USING (order_id)
-                WHERE {_DELIVERED} AND {_TODAY} - {_DAY} = 1 LIMIT 10)""",
+                WHERE {_DELIVERED} AND CAST(order_purchase_timestamp AS DATE) = {_TODAY} - 1 LIMIT 10)""",
             "business_alerts": "alerts",
             "daily_report": "kpis",
         }.items()
@@ -490,7 +558,7 @@ FROM m_orders""",
 SELECT COUNT(*) > 0 AS arrived FROM m_orders WHERE CAST(order_purchase_timestamp AS DATE) = DATE '2001-08-01'""",
     "schema_check": "\nUNION ALL\n".join(
         f"SELECT 'orders' AS table_name, '{c}' AS column_name, true AS present, COUNT({c}) AS n_values FROM m_orders"
-        for c in required_columns("orders")
+        for c in REQUIRED_OF_ORDERS.split()
     ),
     "data_freshness": "SELECT MAX(order_purchase_timestamp) AS last_order FROM m_orders",
     "valid_order_ids": """
@@ -512,8 +580,8 @@ WHERE c.customer_id IS NULL""",
     ),
     "null_report": "\nUNION ALL\n".join(
         f"SELECT '{name}' AS table_name, n AS null_cells, ROUND(n / cells * 100.0::DOUBLE, 6) AS null_pct FROM ("
-        f"SELECT CAST({' + '.join(f'COUNT(*) - COUNT({f})' for f in RAW[name].fieldNames())} AS BIGINT) AS n, "
-        f"COUNT(*) * {len(RAW[name])}.0::DOUBLE AS cells FROM {v})"
+        f"SELECT CAST({' + '.join(f'COUNT(*) - COUNT({f})' for f in RAW[name].split())} AS BIGINT) AS n, "
+        f"COUNT(*) * {len(RAW[name].split())}.0::DOUBLE AS cells FROM {v})"
         for name, v in RAW_VIEWS.items()
     ),
     "duplicate_report": "\nUNION ALL\n".join(
@@ -526,7 +594,7 @@ WHERE c.customer_id IS NULL""",
                 ("customer_ids", "COUNT(DISTINCT customer_id)"),
                 ("difference", "COUNT(DISTINCT customer_id) - COUNT(DISTINCT customer_unique_id)")),
         _freq("m_customers", "customer_state", 10), _freq("m_customers", "customer_city", 10),
-        *_nulls("m_customers", RAW["customers"].fieldNames()),
+        *_nulls("m_customers", RAW["customers"].split()),
     ),
     "profile_orders": _profile(
         *_shape("m_orders", 8), _freq("m_orders", "order_status"),
@@ -537,7 +605,7 @@ WHERE c.customer_id IS NULL""",
         _value("delivery_days", "'mean'", "AVG(d)", _DELIVERY), _value("delivery_days", "'min'", "MIN(d)", _DELIVERY),
         _value("delivery_days", "'max'", "MAX(d)", _DELIVERY),
         _value("delivery_days", "'delivery_days.median'", "MEDIAN(d)", _DELIVERY),
-        *_nulls("m_orders", RAW["orders"].fieldNames()),
+        *_nulls("m_orders", RAW["orders"].split()),
     ),
     "profile_items": _profile(
         *_shape("m_order_items", 7), *_describe("m_order_items", "price"),

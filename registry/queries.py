@@ -34,16 +34,6 @@ def _on_raw(plan: Callable[[RawTables], DataFrame]) -> Query:
     return lambda spark, sf_dir: comparable(plan(raw_tables(spark, sf_dir)))
 
 
-def _orders_enriched(raw: RawTables) -> DataFrame:
-    kinds = F.transform("payments", lambda p: p["payment_type"])
-    return (
-        marts.orders_enriched(raw, AS_OF)
-        .withColumn("n_payment_entries", F.size("payments"))
-        .withColumn("payment_types", F.array_join(F.array_sort(kinds), ","))
-        .drop("payments", "payments_in_lines")
-    )
-
-
 def _recent_days(raw: RawTables) -> DataFrame:
     """As many days of daily_metrics as the reports look back."""
     return marts.daily_metrics(raw, AS_OF, since=AS_OF - dt.timedelta(days=8))
@@ -55,7 +45,7 @@ def _kpis(raw: RawTables) -> DataFrame:
 
 
 def _alerts(raw: RawTables) -> DataFrame:
-    return reports.business_alerts(raw, _recent_days(raw), features.customer_features(raw, AS_OF), AS_OF)
+    return reports.business_alerts(raw, _recent_days(raw), reports.last_orders(raw, AS_OF), AS_OF)
 
 
 def _daily_report(raw: RawTables) -> DataFrame:
@@ -102,24 +92,28 @@ def _rounded(query: Query) -> Query:
 
 QUERIES: dict[str, Query] = {
     # analytics and feature tables
-    "orders_enriched": _on_raw(_orders_enriched),
+    "orders_enriched": _on_raw(lambda raw: marts.orders_enriched(raw, AS_OF)),
+    "orders_enriched_grain_safe": _on_raw(lambda raw: marts.orders_enriched(raw, AS_OF, grain_safe=True)),
     "order_payment_lines": _on_raw(lambda raw: marts.order_payment_lines(raw, AS_OF)),
     "product_analytics": _on_raw(marts.product_analytics),
-    "daily_metrics": _on_raw(lambda raw: marts.daily_metrics(raw, AS_OF)),
+    "daily_metrics": _on_raw(lambda raw: marts.daily_metrics(raw, AS_OF).orderBy("order_date")),
     "daily_metrics_grain_safe": _on_raw(lambda raw: marts.daily_metrics(raw, AS_OF, grain_safe=True)),
     "customer_segments": _on_raw(lambda raw: marts.customer_segments(raw, AS_OF)),
     "customer_features": _on_raw(lambda raw: features.customer_features(raw, AS_OF)),
     "product_features": _on_raw(features.product_features),
     # monthly metrics
     "monthly_metrics": _on_raw(monthly.monthly_metrics),
+    "monthly_metrics_first_payment": _on_raw(lambda raw: monthly.monthly_metrics(raw, mode="first")),
+    "monthly_labels": _on_raw(monthly.monthly_labels),
     "monthly_metrics_json": _rounded(files.monthly_metrics_json),
     "order_payment_lookup": _on_raw(monthly.order_payment_lookup),
+    "order_payment_lookup_first": _on_raw(lambda raw: monthly.order_payment_lookup(raw, mode="first")),
     # reports and alerts
     "daily_kpis": _on_raw(_kpis),
     "top_products_daily": _on_raw(lambda raw: reports.top_products_daily(raw, AS_OF)),
     "revenue_drop_alert": _on_raw(lambda raw: reports.revenue_drop(_recent_days(raw), AS_OF)),
     "cancellation_alert": _on_raw(lambda raw: reports.cancellation_rate(raw, AS_OF)),
-    "churn_alert": _on_raw(lambda raw: reports.inactive_customers(features.customer_features(raw, AS_OF))),
+    "churn_alert": _on_raw(lambda raw: reports.inactive_customers(reports.last_orders(raw, AS_OF))),
     "business_alerts": _on_raw(_alerts),
     "daily_report": _on_raw(_daily_report),
     "top_cities": _on_raw(reports.top_cities),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 
 from conftest import rows
@@ -128,37 +129,38 @@ def test_customer_features_count_as_the_joins_do(small):
 def test_orders_enriched(small):
     df = {r["order_id"]: r for r in marts.orders_enriched(small, AS_OF).collect()}
     assert len(df) == 7
-    assert [tuple(p) for p in df["o1"]["payments"]] == sorted(
-        [("credit_card", 19.5, 3), ("voucher", 12.5, 1)] * 2
-    )
+    assert df["o1"]["n_payment_entries"] == 4 and df["o1"]["max_installments"] == 3
+    assert (df["o1"]["n_credit_card"], df["o1"]["credit_card_amount"]) == (2, 39.0)
+    assert (df["o1"]["n_voucher"], df["o1"]["voucher_amount"]) == (2, 25.0)
+    assert (df["o1"]["n_boleto"], df["o1"]["boleto_amount"]) == (0, None)
     assert df["o1"]["total_payment"] == 64.0 and df["o1"]["review_score"] == 5
-    assert [tuple(p) for p in df["o3"]["payments"]] == [(None, None, None)]
-    assert df["o3"]["total_payment"] is None
+    assert df["o3"]["n_payment_entries"] == 0 and df["o3"]["total_payment"] is None
     # 13 hours before the purchase: no whole day
     assert df["o2"]["delivery_time_days"] == 0
     assert df["o5"]["customer_unique_id"] is None and df["o5"]["delivery_delay_days"] == 2
     safe = {r["order_id"]: r for r in marts.orders_enriched(small, AS_OF, grain_safe=True).collect()}
-    assert safe["o1"]["total_payment"] == 32.0 and len(safe["o1"]["payments"]) == 2
+    assert safe["o1"]["total_payment"] == 32.0 and safe["o1"]["n_payment_entries"] == 2
 
 
-def test_orders_with_many_payments_keep_them_as_lines(small):
-    df = {r["order_id"]: r for r in marts.orders_enriched(small, AS_OF, max_entries=3).collect()}
-    assert df["o1"]["payments"] is None and df["o1"]["payments_in_lines"]
-    assert df["o7"]["payments"] is None and df["o7"]["total_payment"] == 43.5
-    assert len(df["o2"]["payments"]) == 1 and not df["o2"]["payments_in_lines"]
-    lines = rows(marts.order_payment_lines(small, AS_OF).where("order_id = 'o1'"), "payment_value", "copies")
-    assert lines == [(12.5, 2), (19.5, 2)]
+def test_orders_with_many_payments_keep_them_all(small, table):
+    lines = [dict(order_id="o1", payment_sequential=n, payment_type="voucher", payment_installments=1, payment_value=0.5)
+             for n in range(20_000)]
+    raw = dataclasses.replace(small, order_payments=table("order_payments", lines))
+    enriched = {r["order_id"]: r for r in marts.orders_enriched(raw, AS_OF).collect()}["o1"]
+    assert (enriched["n_payment_entries"], enriched["n_voucher"]) == (40_000, 40_000)
+    assert enriched["total_payment"] == enriched["voucher_amount"] == 20_000.0
+    kept = marts.order_payment_lines(raw, AS_OF)
+    assert kept.count() == 20_000 and rows(kept, "copies")[0] == (2,)
 
 
 def test_monthly_metrics(small, table):
     lookup = rows(monthly.order_payment_lookup(small), "order_id", "payment_type", "payment_value")
     assert lookup == [
-        ("o1", "credit_card", 19.5), ("o2", "boleto", 17.0), ("o3", "no_payment", 0.0), ("o5", "unknown", 3.1),
-        ("o7", "voucher", 7.25),
+        ("o1", "credit_card", 32.0), ("o2", "boleto", 17.0), ("o3", "no_payment", 0.0), ("o5", "unknown", 3.1),
+        ("o7", "voucher", 21.75),
     ]
-    assert rows(monthly.monthly_metrics(small)) == [("2024-01", 5, 46.85, 9.37)]
-    assert rows(monthly.monthly_metrics(small, mode="sum"), "total_revenue") == [(73.85,)]
-    assert rows(monthly.monthly_metrics(small, limit=2), "total_orders") == [(2,)]
+    assert rows(monthly.monthly_metrics(small, mode="first")) == [("2024-01", 5, 46.85, 9.37)]
+    assert rows(monthly.monthly_metrics(small), "total_revenue") == [(73.85,)]
     assert "collect_list" not in monthly.monthly_metrics(small)._jdf.queryExecution().executedPlan().toString()
     month = monthly.monthly_histograms(small).collect()[0]
     assert month["payment_types"] == {"boleto": 1, "credit_card": 1, "no_payment": 1, "unknown": 1, "voucher": 1}

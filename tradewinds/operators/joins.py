@@ -21,8 +21,19 @@ def join_lines(lines: DataFrame, per_key: DataFrame, key: str, how: str = "inner
     return left.join(right, [key, _SPREAD], how).drop(_SPREAD)
 
 
-def first_payment(payments: DataFrame, mode: str = "first") -> DataFrame:
-    """One payment row per order: the lowest `payment_sequential`, or the sum of all."""
+def of_orders(lines: DataFrame, ids: DataFrame) -> DataFrame:
+    """The lines whose order is among `ids`, a small part of all orders.
+
+    Below the roll-up, so that Spark can broadcast the ids where they are small.
+    """
+    return lines.join(ids.select("order_id").distinct(), "order_id", "left_semi")
+
+
+def one_payment(payments: DataFrame, mode: str = "sum") -> DataFrame:
+    """One payment row per order: the sum of all, with the type of the first (lowest `payment_sequential`).
+
+    `mode="first"` takes the first alone and leaves out the rest of a split payment.
+    """
     if mode not in ("first", "sum"):
         raise ValueError(f"unknown mode {mode!r}")
     line = F.struct("payment_sequential", "payment_type", "payment_value")

@@ -12,6 +12,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+# The payment types that have columns of their own.
+PAYMENT_TYPES = ("credit_card", "boleto", "voucher", "debit_card")
+
+
 def payments_per_order(payments: DataFrame) -> DataFrame:
     value, kind = F.col("payment_value"), F.col("payment_type")
     return payments.groupBy("order_id").agg(
@@ -24,9 +28,8 @@ def payments_per_order(payments: DataFrame) -> DataFrame:
         F.count("payment_installments").alias("n_installments"),
         F.sum("payment_installments").alias("installments"),
         F.max("payment_installments").alias("max_installments"),
-        F.count_if(kind == "credit_card").alias("n_credit_card"),
-        F.count_if(kind == "boleto").alias("n_boleto"),
-        F.count_if(kind == "voucher").alias("n_voucher"),
+        *[F.count_if(kind == name).alias(f"n_{name}") for name in PAYMENT_TYPES],
+        *[F.sum(F.when(kind == name, value)).alias(f"{name}_amount") for name in PAYMENT_TYPES],
     )
 
 

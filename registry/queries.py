@@ -158,6 +158,8 @@ QUERIES: dict[str, Query] = {
     "load_csv_infer": _rounded(files.load_csv_infer),
     "load_reviews": _rounded(files.load_reviews),
     "load_reviews_rejects": _rounded(files.load_reviews_rejects),
+    "load_rejects": _rounded(files.load_rejects),
+    "load_counts": _rounded(files.load_counts),
     "load_all": _rounded(files.load_all),
     "load_daily_orders": _rounded(files.load_daily_orders),
     "load_summary": _rounded(files.load_summary),

@@ -48,7 +48,8 @@ def test_strict_file(spark, tmp_path):
         ("wrong number of fields",), ("wrong number of fields",),
     ]
     with pytest.raises(csv.BadRecordLimit, match="5 bad rows, 0 allowed"):
-        csv.load_csv(spark, path, "order_items")
+        csv.load_csv(spark, path, "order_items", str(tmp_path / "items"), max_bad_records=0)
+    assert not (tmp_path / "items").exists() and not list(tmp_path.glob("items__loading*"))
 
 
 def test_reviews_are_lenient(spark, tmp_path):
@@ -59,19 +60,26 @@ def test_reviews_are_lenient(spark, tmp_path):
         "r4,o4,many,t,m,2024-01-01,2024-01-02\n"
     )
     path = write(tmp_path / "reviews.csv", text)
-    df = csv.load_csv(spark, path, "order_reviews")
+    done = csv.load_csv(spark, path, "order_reviews", str(tmp_path / "reviews"))
+    assert done == csv.Loaded(n_loaded=2, n_rejected=2)
+    rejects = spark.read.parquet(csv.rejects_path(str(tmp_path / "reviews")))
+    assert rows(rejects, "review_id", "reason") == [("r3", "wrong number of fields"), ("r4", "bad review_score")]
+    df = spark.read.parquet(str(tmp_path / "reviews"))
     assert "ingestion_timestamp" in df.columns
     assert rows(df, "review_id", "review_score", "review_comment_title", "review_comment_message") == [
         ("r1", 5, 'a "b", c', "two\nlines"), ("r2", 4, None, None)
     ]
 
 
-def test_bad_record_limit_of_reviews(spark, tmp_path):
+def test_bad_record_limit_is_the_callers(spark, tmp_path):
     bad = "".join(f"r{i},o{i},many\n" for i in range(501))
-    with pytest.raises(csv.BadRecordLimit):
-        csv.load_csv(spark, write(tmp_path / "many.csv", REVIEWS + bad), "order_reviews")
-    few = write(tmp_path / "few.csv", REVIEWS + bad[: bad.rindex("r500")])
-    assert csv.load_csv(spark, few, "order_reviews").count() == 0
+    path, target = write(tmp_path / "many.csv", REVIEWS + bad + "r,o,1\n"), str(tmp_path / "reviews")
+    assert csv.load_csv(spark, path, "order_reviews", target) == csv.Loaded(1, 501)
+    assert spark.read.parquet(csv.rejects_path(target)).count() == 501
+    with pytest.raises(csv.BadRecordLimit, match="501 bad rows, 500 allowed"):
+        csv.load_csv(spark, path, "order_reviews", target, max_bad_records=500)
+    # what was there stays
+    assert spark.read.parquet(target).count() == 1
 
 
 def test_file_names():
@@ -91,8 +99,9 @@ def test_load_all_reports_failures(spark, tmp_path, small):
         "shop_products_dataset": str(tmp_path / "absent.csv"),
     }
     target = str(tmp_path / "raw")
-    assert rows(landing.load_all(spark, files, target), "table_name", "loaded") == [
-        ("order_items", False), ("products", False), ("sellers", True), ("weather", True)
+    results = landing.load_all(spark, files, target, {"order_items": 0})
+    assert rows(results, "table_name", "loaded", "n_loaded", "n_rejected") == [
+        ("order_items", False, None, None), ("products", False, None, None), ("sellers", True, 1, 0), ("weather", True, 1, 0)
     ]
     # a leading zero survives
     assert rows(spark.read.parquet(f"{target}/sellers"), "seller_zip_code_prefix") == [("01234",)]

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradewinds import schemas
-from tradewinds.sources.staging import stage
+from tradewinds.sources.writers import publish, remove
 
 
 @dataclass(frozen=True)
@@ -18,15 +20,22 @@ class CsvRules:
 
     quoted_newlines: bool = False
     short_rows: bool = False
-    max_bad_records: int = 0
 
 
 # Reviews hold free text.
-RULES = {"order_reviews": CsvRules(quoted_newlines=True, short_rows=True, max_bad_records=500)}
+RULES = {"order_reviews": CsvRules(quoted_newlines=True, short_rows=True)}
 
 
 class BadRecordLimit(ValueError):
-    """More rows were rejected than the rules of the table allow."""
+    """More rows were rejected than the caller allows."""
+
+
+@dataclass(frozen=True)
+class Loaded:
+    """What a load did: rows in the table, and rows in the table of rejects."""
+
+    n_loaded: int
+    n_rejected: int
 
 
 def rules_of(table: str) -> CsvRules:
@@ -46,18 +55,44 @@ def read_csv(spark: SparkSession, path: str | list[str], table: str) -> tuple[Da
     return good, rejects
 
 
-def load_csv(spark: SparkSession, path: str | list[str], table: str) -> DataFrame:
-    """The table's rows, with `ingestion_timestamp`; fails over the bad-record limit.
+def rejects_path(target: str) -> str:
+    return f"{target}__rejects"
 
-    The files are read once: what is counted is what is loaded.
+
+def load_csv(
+    spark: SparkSession,
+    path: str | list[str],
+    table: str,
+    target: str,
+    max_bad_records: int | None = None,
+    day: dt.date | None = None,
+) -> Loaded:
+    """Load files into the table at `target` (with `day`: its partition `load_date`), in place of what is there.
+
+    Good rows get an `ingestion_timestamp`; every rejected row goes to the table at `rejects_path(target)` with
+    its reason. With more than `max_bad_records` of them nothing is changed and `BadRecordLimit` raised. Rows are
+    written once, counted as they are written, and published by renaming their folder.
     """
-    records = stage(_records(spark, path, table).select("row.*", "reason"), table)
-    limit = rules_of(table).max_bad_records
-    bad = records.where(F.col("reason").isNotNull()).count()
-    if bad > limit:
-        raise BadRecordLimit(f"{table}: {bad} bad rows, {limit} allowed")
-    good = records.where(F.col("reason").isNull()).drop("reason")
-    return good.withColumn("ingestion_timestamp", F.current_timestamp())
+    records, counts = _records(spark, path, table), Observation()
+    part = f"/load_date={day.isoformat()}" if day else ""
+    bad = F.col("reason").isNotNull()
+    written = f"{target}__loading-{uuid.uuid4().hex}"
+    (
+        records.observe(counts, F.count("*").alias("n"), F.count_if(bad).alias("bad"))
+        .where(~bad).select("row.*", F.current_timestamp().alias("ingestion_timestamp"))
+        .write.parquet(written)
+    )
+    n, n_bad = counts.get["n"], counts.get["bad"]
+    if max_bad_records is not None and n_bad > max_bad_records:
+        remove(spark, written)
+        raise BadRecordLimit(f"{table}: {n_bad} bad rows, {max_bad_records} allowed")
+    # The files are read again only for their rejects, if there are any.
+    rejects = records.where(bad) if n_bad else records.limit(0)
+    rejects.select("text.*", "reason").write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
+        rejects_path(target) + part
+    )
+    publish(spark, written, target + part)
+    return Loaded(n - n_bad, n_bad)
 
 
 def _records(spark: SparkSession, path: str | list[str], table: str) -> DataFrame:

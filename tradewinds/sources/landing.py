@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewinds import schemas
-from tradewinds.sources.csv import BadRecordLimit, infer_csv, load_csv
-from tradewinds.sources.writers import overwrite, replace_day
+from tradewinds.sources.csv import BadRecordLimit, Loaded, infer_csv, load_csv
+from tradewinds.sources.writers import overwrite
 
 
 def landing_path(root: str, day: dt.date, stem: str) -> str:
@@ -42,25 +42,33 @@ def require_files(spark: SparkSession, root: str, day: dt.date, prefix: str = ""
         raise FileNotFoundError(f"missing {len(missing)} required files: {', '.join(missing)}")
 
 
-def load_all(spark: SparkSession, files: dict[str, str], target: str) -> DataFrame:
+def load_all(
+    spark: SparkSession, files: dict[str, str], target: str, max_bad_records: dict[str, int] | None = None
+) -> DataFrame:
     """Load files (stem -> path) into tables below `target`; a failed one is reported.
 
-    A stem without a declared schema is loaded under its own name with an inferred one.
+    A stem without a declared schema is loaded under its own name with an inferred one. Rejected rows are
+    counted and kept (`csv.rejects_path`); `max_bad_records` limits them by table.
     """
     results = []
     for stem, path in files.items():
-        table = schemas.table_of(stem)
+        table, limits = schemas.table_of(stem), max_bad_records or {}
         try:
-            df = load_csv(spark, path, table) if table in schemas.RAW else infer_csv(spark, path)
-            overwrite(df, f"{target}/{table}")
-            results.append((table, True, None))
+            if table in schemas.RAW:
+                done = load_csv(spark, path, table, f"{target}/{table}", limits.get(table))
+            else:
+                overwrite(infer_csv(spark, path), f"{target}/{table}")
+                done = Loaded(spark.read.parquet(f"{target}/{table}").count(), 0)
+            results.append((table, True, done.n_loaded, done.n_rejected, None))
         except (PySparkException, BadRecordLimit) as error:
-            results.append((table, False, str(error).splitlines()[0]))
-    return spark.createDataFrame(results, "table_name string, loaded boolean, error string")
+            results.append((table, False, None, None, str(error).splitlines()[0]))
+    return spark.createDataFrame(
+        results, "table_name string, loaded boolean, n_loaded bigint, n_rejected bigint, error string"
+    )
 
 
 def load_day(
-    spark: SparkSession, root: str, day: dt.date, target: str, prefix: str = ""
+    spark: SparkSession, root: str, day: dt.date, target: str, prefix: str = "", max_bad_records: dict[str, int] | None = None
 ) -> dict[str, DataFrame]:
     """Load the required files of a day into partition `load_date` of their tables.
 
@@ -69,7 +77,7 @@ def load_day(
     require_files(spark, root, day, prefix)
     loaded = {}
     for stem in daily_stems(prefix):
-        table = schemas.table_of(stem)
-        replace_day(load_csv(spark, landing_path(root, day, stem), table), f"{target}/{table}", "load_date", day)
+        table, limits = schemas.table_of(stem), max_bad_records or {}
+        load_csv(spark, landing_path(root, day, stem), table, f"{target}/{table}", limits.get(table), day)
         loaded[table] = spark.read.parquet(f"{target}/{table}")
     return loaded

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +14,26 @@ def overwrite(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
 
 
+def _folder(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    folder, files = _folder(spark, path)
+    files.delete(folder, True)
+
+
+def publish(spark: SparkSession, written: str, path: str) -> None:
+    """Put the finished folder `written` in the place of `path`, on the same file system."""
+    source, files = _folder(spark, written)
+    folder, _ = _folder(spark, path)
+    files.mkdirs(folder.getParent())
+    files.delete(folder, True)
+    if not files.rename(source, folder):
+        raise OSError(f"cannot rename {written} to {path}")
+
+
 def replace_table(df: DataFrame, table: str) -> None:
     """Create or replace a catalog table with the rows of `df`."""
     df.write.mode("overwrite").saveAsTable(table)
@@ -25,15 +43,6 @@ def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def replace_day(df: DataFrame, path: str, column: str, day: dt.date) -> None:
-    """Write `df` as the partition `column`=`day`, in place of what is there.
-
-    An empty `df` empties the partition.
-    """
-    folder = f"{path}/{column}={day.isoformat()}"
-    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(folder)
-
-
 def replace_days(df: DataFrame, path: str, day: str) -> None:
     """Replace only the days of `df` in a table partitioned by `day`."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(path)
@@ -44,18 +53,16 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "static").json(path)
 
 
-def write_by_day(df: DataFrame, path: str, ts: str, day: str, cluster_by: list[str], key: str) -> None:
+def write_by_day(df: DataFrame, path: str, ts: str, day: str, cluster_by: list[str]) -> None:
     """Partition by the date of `ts` and sort each file by `cluster_by`.
 
     A filter on `day` then reads one folder, and one on a sort column skips row groups.
-    Ranges over the unique `key` as well give every task its share: a small day goes to
-    one file, and a large one is cut into files with ranges of their own. The number of
-    ranges is fixed, as joining small ones would leave few tasks to open many files.
+    Rows are gathered by day and rebalanced: adaptive execution joins small days and cuts a
+    large one into tasks of the advised size, reading the source once.
     """
-    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (
         df.withColumn(day, F.to_date(ts))
-        .repartitionByRange(ranges, day, *cluster_by, key)
+        .hint("rebalance", day)
         .sortWithinPartitions(day, *cluster_by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
@@ -67,7 +74,7 @@ def write_by_day(df: DataFrame, path: str, ts: str, day: str, cluster_by: list[s
 def orders_partitioned(orders: DataFrame, path: str) -> DataFrame:
     """The copy of orders that is partitioned by purchase date."""
     cluster_by = ["customer_id", "order_status"]
-    write_by_day(orders, path, "order_purchase_timestamp", ORDER_DAY, cluster_by, "order_id")
+    write_by_day(orders, path, "order_purchase_timestamp", ORDER_DAY, cluster_by)
     return orders.sparkSession.read.parquet(path)
 
 

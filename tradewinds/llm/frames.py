@@ -6,12 +6,12 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tradewinds.sources.staging import new_path, stage
 
-__all__ = ["documents", "held_out", "map_documents", "new_path", "prepared", "stage", "table"]
+__all__ = ["documents", "held_out", "map_documents", "new_path", "prepared", "sampled", "stage", "table"]
 
 #: Rows of a batch that goes to Python: some are very long.
 BATCH_ROWS = 500
@@ -54,6 +54,27 @@ def map_documents(df: DataFrame, function, schema: str) -> DataFrame:
     return out.withColumn("doc_id", F.col("doc_id").cast("bigint"))
 
 
+def sampled(df: DataFrame, rows: int, of: str | None = None, counted: DataFrame | None = None) -> DataFrame:
+    """Up to `rows` rows, for every value of `of` if given: those whose doc_id hashes lowest.
+
+    A count (of `counted`, by default `df`) tells how low a hash must be for twice as many rows, so that
+    only about these are ranked. Rows without doc_id or `of` are not taken. Needs a column `text`.
+    """
+    grain = 2**30
+    whole = df if counted is None else counted
+    if of is None:
+        sized, by = df.withColumn("__n", F.lit(whole.count())), F.lit(0)
+    else:
+        sizes = whole.where(F.col(of).isNotNull()).groupBy(of).agg(F.count("*").alias("__n"))
+        sized, by = df.join(sizes, of), F.col(of)
+    low = F.pmod(F.xxhash64("doc_id"), F.lit(grain)) * F.col("__n").cast("double") < float(2 * rows * grain)
+    order = Window.partitionBy(by).orderBy(F.xxhash64("doc_id"), "doc_id", "text")
+    return (
+        sized.where(F.col("doc_id").isNotNull() & low).drop("__n")
+        .withColumn("__rank", F.row_number().over(order)).where(F.col("__rank") <= rows).drop("__rank")
+    )
+
+
 def documents(df: DataFrame, *more: str) -> DataFrame:
     """doc_id as long and text (null: empty), and more columns; nothing else a caller's table may have."""
     prepared(df.sparkSession)

@@ -20,10 +20,10 @@ from collections.abc import Iterator
 
 import pandas as pd
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewinds.llm.frames import documents, held_out, map_documents
+from tradewinds.llm.frames import documents, held_out, map_documents, sampled
 
 SAMPLE_DOCS = 400
 PIECE_CHARS = 400
@@ -37,23 +37,17 @@ UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
 
 
-def sampled(docs: DataFrame, of: str, rows: int) -> DataFrame:
-    """Up to `rows` rows for every value of `of`, by the hash of their ids."""
-    order = Window.partitionBy(of).orderBy(F.xxhash64("doc_id"), "doc_id", "text")
-    return docs.withColumn("n", F.row_number().over(order)).where(F.col("n") <= rows).drop("n")
-
-
 def dictionaries(docs: DataFrame, parts: int = 4, part: int = 2) -> dict[str, bytes]:
     """Raw-content dictionaries by language, from documents that are not held out."""
     # A piece from the middle: openings are alike in many documents.
     middle = F.greatest(F.lit(1), ((F.length("text") - PIECE_CHARS) / 2).cast("int"))
+    seen = F.col("lang").isNotNull() & ~held_out(F.col("doc_id"), parts, part)
     pieces = (
-        documents(docs, "lang").where(~held_out(F.col("doc_id"), parts, part))
-        .where("lang IS NOT NULL").where(F.col("text").rlike(r"\p{L}"))
+        documents(docs, "lang").where(seen).where(F.col("text").rlike(r"\p{L}"))
         .select("doc_id", "lang", F.substring("text", middle, F.lit(PIECE_CHARS)).alias("text"))
     )
     found: dict[str, list[str]] = {}
-    for row in sampled(pieces, "lang", SAMPLE_DOCS).orderBy("lang", F.xxhash64("doc_id"), "doc_id", "text").collect():
+    for row in sampled(pieces, SAMPLE_DOCS, "lang", docs.where(seen)).orderBy("lang", F.xxhash64("doc_id"), "doc_id", "text").collect():
         found.setdefault(row.lang, []).append(row.text.lower())
     return {lang: "\n".join(texts).encode("utf-8", "replace")[-DICTIONARY_BYTES:] for lang, texts in found.items()}
 

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewinds.llm.frames import documents, map_documents
+from tradewinds.llm.frames import documents, map_documents, sampled
 from tradewinds.llm.text import CLEAN, Words, as_bytes, blocks, chained, joined
 
 SAMPLE_LINES = 3_000
@@ -228,11 +228,9 @@ def fit(docs: DataFrame) -> Model:
     # One of the first three lines of a document, by its id.
     number = (F.pmod(F.xxhash64("doc_id"), F.lit(3)) + 1).cast("int")
     line = F.substring(F.try_element_at(F.split("text", "\n", 4), number), 1, 400)
-    rows = (
-        documents(docs).select("doc_id", line.alias("line")).where(F.length("line") > 0)
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "line").limit(SAMPLE_LINES).select("line").collect()
-    )
-    return fit_model([r.line for r in rows])
+    lines_of = documents(docs).select("doc_id", line.alias("text")).where(F.length("text") > 0)
+    rows = sampled(lines_of, SAMPLE_LINES, counted=docs).orderBy(F.xxhash64("doc_id"), "doc_id", "text").collect()
+    return fit_model([r.text for r in rows])
 
 
 def scan(docs: DataFrame, model: Model) -> DataFrame:

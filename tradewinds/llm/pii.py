@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewinds.llm.frames import documents, map_documents, prepared
+from tradewinds.llm.frames import documents, map_documents, prepared, sampled
 
 KINDS = ("email", "ip", "card", "phone", "secret")
 MAX_TOKENS = 6
@@ -361,10 +361,11 @@ def fit_field(texts: list[str]) -> Field:
 
 def fit(docs: DataFrame) -> Field:
     """A field fitted on a bounded sample of the documents that have a candidate."""
-    text = F.regexp_replace("text", r"(?s)\A(.{20000}).*", "$1")  # of a sampled row the driver gets a bounded part
+    # Of a sampled row the driver gets a bounded part.
+    candidates = documents(docs).where(F.col("text").rlike("[0-9@]"))
     rows = (
-        documents(docs).where(F.col("text").rlike("[0-9@]"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(SAMPLE_DOCS).select(text.alias("text")).collect()
+        sampled(candidates.withColumn("text", F.substring("text", 1, 20_000)), SAMPLE_DOCS, counted=candidates)
+        .orderBy(F.xxhash64("doc_id"), "doc_id", "text").collect()
     )
     return fit_field([r.text for r in rows])
 

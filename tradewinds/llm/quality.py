@@ -27,8 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewinds.llm.frames import documents, held_out, map_documents, prepared
-from tradewinds.llm.langid import sampled
+from tradewinds.llm.frames import documents, held_out, map_documents, prepared, sampled
 from tradewinds.llm.linear import calibrated, hinge_by_dual_descent, sigmoid
 from tradewinds.llm.text import Words, begins, blocks, chained, joined, word_hashes
 
@@ -92,7 +91,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", parts: int =
         .withColumn("text", F.lit(""))
     )
     # At most 2 * SAMPLE_DOCS ids, so they can be sent to where the texts are.
-    sample = sampled(known, "label", SAMPLE_DOCS).drop("text")
+    sample = sampled(known, SAMPLE_DOCS, "label").drop("text")
     drawn = (
         map_documents(documents(docs).join(F.broadcast(sample), "doc_id"), _rows, "doc_id bigint, label int, row binary")
         .orderBy(F.xxhash64("doc_id"), "doc_id", "label", "row").collect()

@@ -33,8 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewinds.llm.frames import documents, held_out, map_documents, stage
-from tradewinds.llm.langid import sampled
+from tradewinds.llm.frames import documents, held_out, map_documents, sampled, stage
 from tradewinds.llm.linear import sigmoid
 from tradewinds.llm.text import CLEAN, Words, as_bytes, begins, blocks, joined
 
@@ -173,7 +172,7 @@ def learn_voters(docs: DataFrame, labels: DataFrame, parts: int = 4, part: int =
         .withColumn("text", F.lit(""))
     )
     # At most 2 * SAMPLE_DOCS ids, so they can be sent to where the texts are.
-    sample = sampled(known, "label", SAMPLE_DOCS).drop("text")
+    sample = sampled(known, SAMPLE_DOCS, "label").drop("text")
     found = map_documents(documents(docs).join(F.broadcast(sample), "doc_id"), _rows, "doc_id bigint, label int, rows array<binary>").collect()
     labels_found = np.array([r.label for r in found])
     if len(set(labels_found.tolist())) < 2:
@@ -305,7 +304,7 @@ def fit(docs: DataFrame, labels: DataFrame, parts: int = 4, part: int = 2) -> Mo
     # Without any vote the posterior is the same for all; such texts are the clean sample.
     drawn = sampled(
         voted.where(~held_out(F.col("doc_id"), parts, part)).withColumn("toxic", toxic).withColumn("text", F.lit("")),
-        "toxic", FIT_DOCS,
+        FIT_DOCS, "toxic",
     ).select("doc_id", "pattern").dropDuplicates(["doc_id"])
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

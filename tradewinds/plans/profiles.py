@@ -10,33 +10,30 @@ from tradewinds.functions.numbers import percent
 from tradewinds.operators.frames import stack
 from tradewinds.operators.positions import percentiles
 from tradewinds.operators.profile import (
-    describe,
+    Facts,
     facts,
-    null_counts,
+    null_facts,
     percentile_rows,
+    quartiles,
     section_of,
+    summary_facts,
     value_counts,
 )
 from tradewinds.plans.reports import USD_PER_BRL
 from tradewinds.tables import RawTables
 
 
-def _shape(df: DataFrame, **more: Column) -> DataFrame:
-    return facts(df, "shape", {"rows": F.count("*"), "columns": F.max(F.lit(len(df.columns))), **more})
-
-
-def _counts(df: DataFrame, column: str, n: int | None = None) -> DataFrame:
-    return section_of(value_counts(df, column, n), column, "item", "n")
+def _shape(df: DataFrame, **more: Column) -> Facts:
+    shape = {"rows": F.count("*"), "columns": F.max(F.lit(len(df.columns))), **more}
+    return {("shape", name): value for name, value in shape.items()}
 
 
 def profile_customers(raw: RawTables) -> DataFrame:
     df = raw.customers
     people, ids = F.count_distinct("customer_unique_id"), F.count_distinct("customer_id")
     return stack([
-        _shape(df, unique_people=people, customer_ids=ids, difference=ids - people),
-        _counts(df, "customer_state", 10),
-        _counts(df, "customer_city", 10),
-        null_counts(df),
+        facts(df, {**_shape(df, unique_people=people, customer_ids=ids, difference=ids - people), **null_facts(df)}),
+        value_counts(df, {"customer_state": 10, "customer_city": 10}),
     ])
 
 
@@ -51,6 +48,7 @@ def profile_orders(raw: RawTables) -> DataFrame:
     purchase = F.col("order_purchase_timestamp")
     days = dates.floor_days(F.col("order_delivered_customer_date"), purchase).cast("double")
     delivery = df.select(F.lit("delivery_days").alias("grp"), days.alias("value"))
+    about_days = {("delivery_days", name): f(days) for name, f in (("mean", F.avg), ("min", F.min), ("max", F.max))}
     span = df.agg(F.min(purchase).alias("first"), F.max(purchase).alias("last"))
     months = (
         df.groupBy(dates.month_key(purchase).alias("item"))
@@ -60,27 +58,27 @@ def profile_orders(raw: RawTables) -> DataFrame:
         .limit(12)
     )
     return stack([
-        _shape(df),
-        _counts(df, "order_status"),
+        facts(df, {**_shape(df), **about_days, **null_facts(df)}),
+        value_counts(df, {"order_status": None}),
         section_of(span, "range", F.lit("first"), text=dates.iso_utc(F.col("first"))),
         section_of(span, "range", F.lit("last"), text=dates.iso_utc(F.col("last"))),
         section_of(months, "year_month", "item", "n"),
-        facts(delivery, "delivery_days", {"mean": F.avg("value"), "min": F.min("value"), "max": F.max("value")}),
         percentile_rows(percentiles(delivery, {"median": 0.5}), ["median"], "delivery_days"),
-        null_counts(df),
     ])
 
 
 def profile_items(raw: RawTables) -> DataFrame:
     df = raw.order_items
-    per_order = df.groupBy("order_id").agg(F.count("*").alias("items_per_order"))
+    money = ["price", "freight_value"]
+    # How many orders have how many items: a few rows, from which the mean and the maximum follow too.
+    sizes = df.groupBy("order_id").agg(F.count("*").alias("k")).groupBy("k").agg(F.count("*").alias("n"))
+    mean = F.sum(F.col("k") * F.col("n")) / F.sum("n")
     return stack([
-        _shape(df),
-        describe(df, ["price", "freight_value"]),
-        facts(per_order, "per_order", {"mean": F.avg("items_per_order"), "max": F.max("items_per_order")}),
-        _counts(per_order, "items_per_order", 10),
-        _counts(df, "product_id", 10),
-        _counts(df, "seller_id", 10),
+        facts(df, {**_shape(df), **summary_facts(money)}),
+        quartiles(df, money),
+        facts(sizes, {("per_order", "mean"): mean, ("per_order", "max"): F.max("k")}),
+        section_of(sizes.orderBy(F.desc("n"), "k").limit(10), "items_per_order", "k", "n"),
+        value_counts(df, {"product_id": 10, "seller_id": 10}),
     ])
 
 
@@ -95,14 +93,15 @@ def profile_payments(raw: RawTables) -> DataFrame:
         by_type.select(F.col("payment_type").alias("grp"), F.col("payment_value").alias("value")), {"median": 0.5}
     )
     return stack([
-        _shape(df),
-        _counts(df, "payment_type"),
-        _counts(df, "payment_installments", 15),
-        describe(df, ["payment_value"]),
+        facts(df, {
+            **_shape(df), **summary_facts(["payment_value"]),
+            ("revenue", "total"): total, ("revenue", "total_usd"): total * F.lit(USD_PER_BRL),
+        }),
+        value_counts(df, {"payment_type": None, "payment_installments": 15}),
+        quartiles(df, ["payment_value"]),
         section_of(values, "mean_by_type", "payment_type", "mean"),
         section_of(values, "count_by_type", "payment_type", "n"),
         section_of(medians, "median_by_type", "grp", "median"),
-        facts(df, "revenue", {"total": total, "total_usd": total * F.lit(USD_PER_BRL)}),
     ])
 
 
@@ -122,15 +121,15 @@ def profile_reviews(raw: RawTables, examples: int = 3) -> DataFrame:
         return section_of(first, f"comments_{score}", "review_id", text=preview)
 
     return stack([
-        _shape(df),
-        _counts(df, "review_score"),
-        facts(df, "content", {
-            "mean_score": F.avg("review_score"),
-            "with_title": titles,
-            "with_title_pct": percent(titles, rows),
-            "with_message": messages,
-            "with_message_pct": percent(messages, rows),
+        facts(df, {
+            **_shape(df),
+            ("content", "mean_score"): F.avg("review_score"),
+            ("content", "with_title"): titles,
+            ("content", "with_title_pct"): percent(titles, rows),
+            ("content", "with_message"): messages,
+            ("content", "with_message_pct"): percent(messages, rows),
         }),
+        value_counts(df, {"review_score": None}),
         comments(1),
         comments(5),
     ])
@@ -140,13 +139,12 @@ def profile_products(raw: RawTables) -> DataFrame:
     df = raw.products
     sizes = ["product_weight_g", "product_length_cm", "product_height_cm", "product_width_cm"]
     return stack([
-        _shape(df, without_category=F.count("*") - F.count("product_category_name")),
-        _counts(df, "product_category_name", 20),
-        describe(df, sizes),
-        _counts(df, "product_photos_qty", 10),
+        facts(df, {**_shape(df, without_category=F.count("*") - F.count("product_category_name")), **summary_facts(sizes)}),
+        value_counts(df, {"product_category_name": 20, "product_photos_qty": 10}),
+        quartiles(df, sizes),
     ])
 
 
 def profile_sellers(raw: RawTables) -> DataFrame:
     df = raw.sellers
-    return stack([_shape(df), _counts(df, "seller_state"), _counts(df, "seller_city", 15)])
+    return stack([facts(df, _shape(df)), value_counts(df, {"seller_state": None, "seller_city": 15})])

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tradewinds import schemas
 from tradewinds.functions import dates
 from tradewinds.functions.numbers import percent
+from tradewinds.operators.joins import join_lines
 from tradewinds.operators.days import orders_between
 from tradewinds.operators.frames import stack
 from tradewinds.tables import RawTables
@@ -168,12 +169,18 @@ def null_report(raw: RawTables) -> DataFrame:
 
 
 def duplicate_report(raw: RawTables) -> DataFrame:
-    """Per table: rows that repeat an earlier row in every column, and their share."""
+    """Per table: rows that repeat an earlier row in every column, and their share.
+
+    Rows are first counted by a 128-bit hash; only rows whose hash repeats are compared in full.
+    """
 
     def one(name: str, df: DataFrame) -> DataFrame:
-        copies = df.groupBy(*df.columns).agg(F.count("*").alias("copies"))
-        surplus = F.coalesce(F.sum(F.col("copies") - 1), F.lit(0))
-        return copies.agg(surplus.alias("duplicate_rows"), F.sum("copies").alias("n")).select(
+        hashed = df.withColumns({"__a": F.xxhash64(*df.columns), "__b": F.xxhash64(F.lit(name), *df.columns)})
+        counts = hashed.groupBy("__a", "__b").agg(F.count("*").alias("n"))
+        repeated = join_lines(hashed, counts.where("n > 1").select("__a", F.col("__b").alias("__c")), "__a")
+        copies = repeated.where("__b = __c").groupBy(*df.columns).agg(F.count("*").alias("copies"))
+        surplus = copies.agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)))
+        return counts.agg(F.sum("n").alias("n")).withColumn("duplicate_rows", surplus.scalar()).select(
             F.lit(name).alias("table_name"),
             "duplicate_rows",
             percent(F.col("duplicate_rows"), F.col("n")).alias("duplicate_pct"),

@@ -3,6 +3,7 @@
 BENCH_SF_DIR   directory of the test tables (default /root/testdata/sf0.1)
 BENCH_CPUS     local cores (default 8)
 BENCH_QUERIES  comma-separated names, default the list below
+BENCH_DIR      folder for intermediate tables (default a temporary one)
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -51,6 +53,7 @@ def main() -> None:
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
         spark__driver__memory="8g",
+        spark__checkpoint__dir=os.environ.get("BENCH_DIR") or tempfile.mkdtemp(prefix="bench-"),
     )
     spark.sparkContext.setLogLevel("ERROR")
     seconds = {}

@@ -3,8 +3,8 @@
 Words are runs of letters and digits in lower case. Each mask of `MASKS` covers 12 words in a
 row and looks at 7 of them, so a substituted word at an ignored position does not matter. The hashes
 of all windows of the benchmark and of the documents are joined. To keep the join small, document
-windows first pass a bit table of the benchmark's hashes, of fixed size `TABLE_BITS`; a full table
-would only let more windows through. Around every hit the document's words are compared with the
+windows first pass a bit table of the benchmark's hashes, of fixed size `TABLE_BITS` with three bits for
+each hash; a full table would only let more windows through. Around every hit the document's words are compared with the
 item's along the hit's diagonal: a match is a stretch of `WINDOW` words (the whole item if it is
 shorter) of which at least `EQUAL` are the same, with substitutions allowed anywhere in it.
 
@@ -38,7 +38,9 @@ WINDOW = 13
 EQUAL = 0.8
 #: Words kept on either side of a hit; a stretch of WINDOW words around it always fits.
 MARGIN = 2 * WINDOW
-TABLE_BITS = 2**22
+TABLE_BITS = 2**23
+#: The bits of a hash that say which bit of the table stands for it begin here; all have to be set.
+TABLE_SHIFTS = (0, 20, 40)
 
 _REGION = "doc_id bigint, region bigint, first bigint, words array<bigint>, seeds array<struct<at: int, hash: bigint>>"
 
@@ -91,7 +93,9 @@ def _regions(table: np.ndarray, sizes: list[int]):
             for doc_id, words in zip(batch["doc_id"], _words(list(batch["text"]))):
                 at, found = [], []
                 for hashes in [*_window_hashes(words), *(_whole_hashes(words, n) for n in sizes)]:
-                    hits = np.flatnonzero(table[(hashes & mask).astype(np.int64)])
+                    hits = np.arange(len(hashes))
+                    for shift in TABLE_SHIFTS:
+                        hits = hits[table[((hashes[hits] >> np.uint64(shift)) & mask).astype(np.int64)]]
                     at.append(hits)
                     found.append(hashes[hits])
                 at, found = np.concatenate(at), np.concatenate(found).view(np.int64)
@@ -148,10 +152,11 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         "item_id", "whole", F.col("seed.at").alias("item_at"), F.col("seed.hash").alias("hash")
     )
     # At most TABLE_BITS / 64 rows, and the numbers 5 to 11, come to the driver.
-    slot = F.col("hash").bitwiseAND(F.lit(TABLE_BITS - 1))
+    slots = [F.shiftrightunsigned("hash", shift).bitwiseAND(F.lit(TABLE_BITS - 1)) for shift in TABLE_SHIFTS]
     cells = (
-        seeds.groupBy(F.shiftright(slot, 6).alias("cell"))
-        .agg(F.bit_or(F.expr(f"shiftleft(1L, CAST((hash & {TABLE_BITS - 1}) & 63 AS INT))")).alias("bits")).collect()
+        seeds.select(F.explode(F.array(*slots)).alias("slot"))
+        .groupBy(F.shiftright("slot", 6).alias("cell"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, CAST(slot & 63 AS INT))")).alias("bits")).collect()
     )
     packed = np.zeros(TABLE_BITS // 64, np.int64)
     for cell in cells:

@@ -147,7 +147,7 @@ def _blocks(vectors: DataFrame, block_rows: int) -> DataFrame:
     # A length that very many share would make one large block: cut it by id.
     sizes = blocked.groupBy("block").count().withColumn("parts", F.ceil(F.col("count") / (2 * block_rows)).cast("int"))
     part = F.pmod(F.xxhash64("vec_id"), "parts")
-    return blocked.join(F.broadcast(sizes.drop("count")), "block").withColumn("part", part).drop("parts")
+    return blocked.join(sizes.drop("count"), "block").withColumn("part", part).drop("parts")
 
 
 def top_k(embeddings: DataFrame, is_query, k: int = K, head: int = HEAD, block_rows: int = BLOCK_ROWS,

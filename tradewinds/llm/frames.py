@@ -65,8 +65,12 @@ def sampled(df: DataFrame, rows: int, of: str | None = None, counted: DataFrame
     if of is None:
         sized, by = df.withColumn("__n", F.lit(whole.count())), F.lit(0)
     else:
-        sizes = whole.where(F.col(of).isNotNull()).groupBy(of).agg(F.count("*").alias("__n"))
-        sized, by = df.join(sizes, of), F.col(of)
+        # One number for every value: classes or languages, of which a model has few.
+        sizes = whole.where(F.col(of).isNotNull()).groupBy(of).count().collect()
+        if not sizes:
+            return df.limit(0)
+        count = F.create_map(*[F.lit(x) for r in sizes for x in (r[of], r["count"])])
+        sized, by = df.where(F.col(of).isNotNull()).withColumn("__n", F.try_element_at(count, F.col(of))), F.col(of)
     low = F.pmod(F.xxhash64("doc_id"), F.lit(grain)) * F.col("__n").cast("double") < float(2 * rows * grain)
     order = Window.partitionBy(by).orderBy(F.xxhash64("doc_id"), "doc_id", "text")
     return (

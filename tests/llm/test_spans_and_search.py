@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import random
 import re
 
@@ -162,6 +163,41 @@ def test_decontamination_against_brute_force(spark, docs):
     assert clean.columns == docs([]).columns
 
 
+def accepted(n):
+    """Sets of substituted words of an isolated item of n words (at most four) that the rule accepts."""
+    size = min(decontaminate.WINDOW, n)
+    for count in range(5):
+        for gone in itertools.combinations(range(n), count):
+            same = [k not in gone for k in range(n)]
+            if any(sum(same[k:k + size]) >= decontaminate.EQUAL * size for k in range(n - size + 1)):
+                yield gone
+
+
+@pytest.mark.parametrize("n", [12, 13, 15, 17])
+def test_every_accepted_overlap_shares_a_seed(n):
+    item = np.arange(1, n + 1, dtype=np.uint64)
+    seeds = list(decontaminate._window_hashes(item))
+    for gone in accepted(n):
+        doc = item.copy()
+        doc[list(gone)] = 1_000
+        assert any((a == b).any() for a, b in zip(seeds, decontaminate._window_hashes(doc))), gone
+
+
+def test_substitutions_anywhere(spark, docs):
+    items = [[f"{name}{k}" for k in range(n)] for name, n in (("a", 12), ("b", 13), ("c", 15))]
+    found, want = [], []
+    for i, item in enumerate(items):
+        for gone in accepted(len(item)):
+            want.append((len(found), [i]))
+            found.append((len(found), " ".join("other" if k in gone else w for k, w in enumerate(item))))
+        for gone in ((0, 5, 9), (0, 3, 6, 9, 11)):
+            if gone not in set(accepted(len(item))):
+                found.append((len(found), " ".join("other" if k in gone else w for k, w in enumerate(item))))
+    benchmark = spark.createDataFrame([(i, " ".join(item)) for i, item in enumerate(items)], "item_id bigint, text string")
+    assert rows(decontaminate.contaminated(docs(found), benchmark), "doc_id", "item_ids") == sorted(want, key=repr)
+    assert len(found) > len(want)
+
+
 def test_decontamination_odd(spark, docs):
     text = " ".join(f"a{k}" for k in range(20))
     benchmark = spark.createDataFrame([(1, text)], "item_id bigint, text string")

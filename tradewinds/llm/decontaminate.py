@@ -1,14 +1,15 @@
 """Benchmark passages in documents: spaced-seed hashing, joined by hash, verified around the hits.
 
-Words are runs of letters and digits in lower case. Each mask of `MASKS` covers 12 words in a
-row and looks at 7 of them, so a substituted word at an ignored position does not matter. The hashes
+Words are runs of letters and digits in lower case. Each of `PATTERNS` looks at 7 of the words it
+spans, so a substituted word at an ignored position does not matter. Whichever two words of `SPAN` in a row are
+substituted, some pattern fits between or around them; so every stretch described below holds a hit. The hashes
 of all windows of the benchmark and of the documents are joined. To keep the join small, document
 windows first pass a bit table of the benchmark's hashes, of fixed size `TABLE_BITS` with three bits for
 each hash; a full table would only let more windows through. Around every hit the document's words are compared with the
 item's along the hit's diagonal: a match is a stretch of `WINDOW` words (the whole item if it is
 shorter) of which at least `EQUAL` are the same, with substitutions allowed anywhere in it.
 
-Items of 5 to 11 words are found by the hash of all their words and must occur in full; items
+Items of 5 to 11 words are found by the hash of all their words and must occur in full, without substitutions; items
 of fewer words are no evidence and are not looked for.
 
 Defined cases: null text is empty; empty texts match nothing; rows that repeat a doc_id (or have
@@ -30,9 +31,12 @@ from pyspark.sql import functions as F
 from tradewinds.llm.frames import documents, map_documents, prepared, stage
 from tradewinds.llm.text import CLEAN, Words, begins, blocks, chained, joined
 
-#: Fixed masks: 1 is looked at, 0 ignored.
-MASKS = ("110101100101", "101100111001", "111001010011", "100111001101")
-SPAN = len(MASKS[0])
+#: 1 is looked at, 0 ignored.
+PATTERNS = ("11110111", "1110100111", "100111111", "11011101001")
+#: The shortest stretch that may hold substitutions.
+SPAN = 12
+#: The patterns at all their places in SPAN words. Any two words of SPAN are ignored by one of them.
+MASKS = tuple("0" * k + p + "0" * (SPAN - len(p) - k) for p in PATTERNS for k in range(SPAN - len(p) + 1))
 SHORTEST_ITEM = 5
 WINDOW = 13
 EQUAL = 0.8
@@ -55,10 +59,10 @@ def _words(texts: list[str | None]) -> Iterator[np.ndarray]:
 
 
 def _window_hashes(words: np.ndarray) -> Iterator[np.ndarray]:
-    """For every mask a hash of each window of SPAN words."""
-    n = len(words) - SPAN + 1
-    for number, mask in enumerate(MASKS):
-        parts = [words[k:n + k] for k, c in enumerate(mask) if c == "1"]
+    """For every pattern a hash of each window of the words it spans."""
+    for number, pattern in enumerate(PATTERNS):
+        n = len(words) - len(pattern) + 1
+        parts = [words[k:n + k] for k, c in enumerate(pattern) if c == "1"]
         yield chained([*parts, np.full(n, number, np.uint64)]) if n > 0 else words[:0]
 
 
@@ -77,7 +81,7 @@ def _items(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 hashes, sizes = [_whole_hashes(words, len(words))], len(words)
             else:
                 continue
-            seeds = [(int(at), int(h)) for of_mask in hashes for at, h in enumerate(of_mask.view(np.int64))]
+            seeds = [(int(at), int(h)) for of_pattern in hashes for at, h in enumerate(of_pattern.view(np.int64))]
             rows.append((item, words.view(np.int64), sizes, seeds))
         yield pd.DataFrame(rows, columns=["item_id", "words", "whole", "seeds"])
 

@@ -92,6 +92,20 @@ def test_keep_one(docs):
     assert kept.columns == docs([]).columns
 
 
+def test_texts_that_share_a_doc_id(docs):
+    pick = random.Random(4)
+    first, second = (" ".join(f"{name}{pick.randrange(900)}" for _ in range(60)) for name in "ab")
+    near = second + " more"
+    found = [(5, first), (5, second), (5, second), (5, near), (9, near), (5, ""), (5, " "), (8, second.title())]
+    want = [(5, 56, 5, True)] * 3 + [(5, 57, 5, True), (9, 57, 5, False), (5, 0, 5, True), (5, 0, 5, True), (8, 56, 5, False)]
+    assert rows(neardup.near_duplicates(docs(found))) == sorted(want, key=repr)
+    for order in (found, found[::-1]):
+        kept = rows(neardup.keep_one(docs(order)), "doc_id", "text")
+        assert len(kept) == 3 and {i for i, _ in kept} == {5}
+        texts = {t.strip() for _, t in kept}
+        assert first in texts and "" in texts and len(texts & {second, near}) == 1
+
+
 def test_chain_is_one_component(spark):
     links = spark.createDataFrame([(k + 1, k) for k in range(40)] + [(100, 99)], "a bigint, b bigint")
     assert rows(neardup.components(links)) == sorted([(k, 0) for k in range(41)] + [(99, 99), (100, 99)], key=repr)

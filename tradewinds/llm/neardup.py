@@ -18,8 +18,8 @@ into pairs.
 
 Defined cases: null text is empty; documents without words have `n_shingles` 0 and are linked
 with nothing; rows with a null doc_id are left unlinked, with a null component, and kept;
-rows that repeat a doc_id get a row each; other columns are ignored; an empty table gives an
-empty result.
+rows that repeat a doc_id get a row each, and each of its texts is linked by its own set; other
+columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -101,7 +101,7 @@ def _signed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         flush()
         counts = np.array(found, np.int64).reshape(-1, 3)
         yield pd.DataFrame({
-            "doc_id": batch["doc_id"].values, "n_shingles": counts[:, 0], "high": counts[:, 1], "low": counts[:, 2],
+            "doc_id": batch["doc_id"].values, "text_hash": batch["text_hash"].values, "n_shingles": counts[:, 0], "high": counts[:, 1], "low": counts[:, 2],
             "signature": signatures,
         })
 
@@ -237,28 +237,36 @@ def _left_over(buckets: DataFrame, classes: DataFrame, sets: DataFrame, labels:
     return placed.groupBy("small", "unit", "i", "j").applyInPandas(_pairs(percent), "a bigint, b bigint")
 
 
-def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row of `docs` (doc_id, text)."""
-    docs = documents(docs)
+#: Tells the texts of one doc_id apart; only compared within a doc_id.
+_TEXT_HASH = "xxhash64(coalesce(text, ''))"
+
+
+def _grouped(docs: DataFrame, percent: int) -> DataFrame:
+    """doc_id, text_hash, n_shingles, component (a number of this run), component_id for every row of `docs`."""
+    docs = documents(docs).withColumn("text_hash", F.expr(_TEXT_HASH))
     signed = stage(map_documents(
-        docs, _signed, "doc_id bigint, n_shingles bigint, high bigint, low bigint, signature array<int>"
+        docs, _signed,
+        "doc_id bigint, text_hash bigint, n_shingles bigint, high bigint, low bigint, signature array<int>",
     ), "signed")
     of_set = ["n_shingles", "high", "low"]
     classes = stage(
         signed.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*of_set)
-        .agg(F.min("doc_id").alias("rep"), F.first("signature").alias("signature")),
+        .agg(F.min(F.struct("doc_id", "text_hash")).alias("one"), F.first("signature").alias("signature"))
+        # A number of its own for every class: a doc_id that repeats with other texts stands in several.
+        .select(*of_set, "one.doc_id", "one.text_hash", "signature", F.monotonically_increasing_id().alias("rep")),
         "classes",
     )
-    # A doc_id that repeats with other texts stands in several classes: its smallest class speaks for it.
-    keyed = classes.select(F.posexplode(_keys(F.col("signature"))).alias("number", "key"), "rep").select(
+    keyed = classes.select(F.posexplode(_keys(F.col("signature"))).alias("number", "key"), "rep", "doc_id").select(
         "key", F.floor(F.col("number") / _KEYS_OF_CHUNK).cast("int").alias("chunk"),
-        (F.col("number") % _KEYS_OF_CHUNK).alias("omitted"), "rep",
+        (F.col("number") % _KEYS_OF_CHUNK).alias("omitted"), "rep", "doc_id",
     )
-    shared = keyed.groupBy("key").agg(F.min("rep").alias("first"), F.max("rep").alias("last")).where("first <> last")
-    buckets = stage(keyed.join(shared.select("key", "first"), "key"), "buckets")
+    # By doc_id, as the numbers follow the hash of a set: all buckets of a group should have the same first member.
+    first = [F.min_by("rep", "doc_id").alias("first"), F.min("rep").alias("low"), F.max("rep").alias("high")]
+    shared = keyed.groupBy("key").agg(*first).where("low <> high")
+    buckets = stage(keyed.drop("doc_id").join(shared.select("key", "first"), "key"), "buckets")
 
     in_buckets = buckets.select("rep").distinct()
-    texts = docs.withColumnRenamed("doc_id", "rep").join(in_buckets, "rep", "left_semi")
+    texts = docs.join(classes.select("rep", "doc_id", "text_hash").join(in_buckets, "rep"), ["doc_id", "text_hash"])
     sets = stage(
         texts.groupBy("rep").agg(F.min("text").alias("text"))
         .mapInPandas(_sets, "rep bigint, members array<bigint>, sketch binary"),
@@ -271,22 +279,39 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     if more.limit(1).count():
         labels = components(links.union(more))
 
+    smallest = labels.join(classes.select(F.col("rep").alias("id"), "doc_id"), "id")
+    smallest = smallest.groupBy("component").agg(F.min("doc_id").alias("smallest"))
     of_class = (
-        classes.join(labels, classes["rep"] == labels["id"], "left")
-        .select(*of_set, F.coalesce("component", "rep").alias("component"))
-    )
-    return (
-        signed.join(of_class, of_set, "left")
+        classes.join(labels.join(smallest, "component").withColumnRenamed("id", "rep"), "rep", "left")
         .select(
-            "doc_id", "n_shingles",
-            F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"),
+            *of_set, F.coalesce("component", "rep").alias("component"), F.coalesce("smallest", "doc_id").alias("component_id")
         )
-        .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     )
+    with_id = F.col("doc_id").isNotNull()
+    return signed.join(of_class, of_set, "left").select(
+        "doc_id", "text_hash", "n_shingles", F.when(with_id, F.col("component")).alias("component"),
+        F.when(with_id, F.coalesce("component_id", "doc_id")).alias("component_id"),
+    )
+
+
+_KEPT = "coalesce(doc_id = component_id, true)"
+
+
+def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept for every row of `docs` (doc_id, text)."""
+    return _grouped(docs, percent).select("doc_id", "n_shingles", "component_id", F.expr(_KEPT).alias("kept"))
 
 
 def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """`docs` without the documents that another of their group stands for; a repeated doc_id stays once."""
-    kept = near_duplicates(docs, percent).where("kept").select("doc_id").distinct()
-    with_id = docs.where("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    """`docs` without the documents that another of their group stands for.
+
+    Of rows that share a doc_id and a group one stays; other texts of that doc_id stay too.
+    """
+    kept = (
+        _grouped(docs, percent).where("doc_id IS NOT NULL").where(_KEPT).groupBy("doc_id", "component")
+        .agg(F.min("text_hash").alias("text_hash")).select(F.col("doc_id").alias("kept"), "text_hash")
+    )
+    hashed = docs.where("doc_id IS NOT NULL").withColumn("__text", F.expr(_TEXT_HASH))
+    same = (F.col("doc_id").cast("bigint") == F.col("kept")) & (F.col("__text") == F.col("text_hash"))
+    with_id = hashed.join(kept, same, "left_semi").dropDuplicates(["doc_id", "__text"])
     return with_id.select(docs.columns).unionByName(docs.where("doc_id IS NULL"))

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewinds.llm import chat, decontaminate, langid, licenses, neardup, packing, pii, quality, topk, toxicity
+from tradewinds.llm import (
+    chat, decontaminate, langid, licenses, merkle, neardup, packing, pii, quality, topk, toxicity,
+)
 from tradewinds.llm.frames import table
 
 
@@ -55,6 +57,11 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    every_third = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, F.lit(False))
+    return merkle.audit(table(spark, sf_dir, "documents"), every_third, merkle.without_capitals(F.col("text")))
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_packing": op2_packing,
@@ -66,6 +73,7 @@ QUERIES = {
     "op8_topk": op8_topk,
     "op9_langid": op9_langid,
     "op10_minhash": op10_minhash,
+    "op13_merkle": op13_merkle,
 }
 
 ORACLE_SQL = {
@@ -128,4 +136,64 @@ ORACLE_SQL = {
         SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
         FROM documents d JOIN smallest USING (doc_id) LEFT JOIN sizes USING (doc_id)
     """,
+    "op13_merkle": """
+        WITH RECURSIVE bits AS (
+            SELECT i, i AS c, 0 AS step FROM range(256) t(i)
+            UNION ALL
+            SELECT i, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, step + 1 FROM bits WHERE step < 8
+        ), crc AS (
+            SELECT list(c ORDER BY i) AS t FROM bits WHERE step = 8
+        ), rows AS (
+            SELECT doc_id, lang, text,
+                coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-')
+                    || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-')
+                    || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head,
+                xor(list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ord(x) AS BIGINT)),
+                    lambda c, b: xor(c // 256, t[CAST(xor(c, b) & 255 AS BIGINT) + 1]), 4294967295), 4294967295) % 3 = 0 AS tampered
+            FROM documents, crc
+        ), leaves AS (
+            SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS idx,
+                count(*) OVER (PARTITION BY lang) AS n, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+                CASE WHEN tampered THEN sha256(head || coalesce(strlen(text) || ':'
+                    || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-')) END AS other
+            FROM rows
+        ), nodes AS (
+            SELECT lang, 0 AS level, idx, n, leaf AS h FROM leaves
+            UNION ALL
+            SELECT lang, level + 1, idx // 8, (max(n) + 7) // 8, sha256(string_agg(h, '' ORDER BY idx))
+            FROM nodes WHERE n > 1 GROUP BY lang, level, idx // 8
+        ), subroots AS (
+            SELECT lang, h, row_number() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS idx, count(*) OVER () AS n
+            FROM nodes WHERE n = 1
+        ), upper_nodes AS (
+            SELECT 0 AS level, idx, n, h FROM subroots
+            UNION ALL
+            SELECT level + 1, idx // 8, (max(n) + 7) // 8, sha256(string_agg(h, '' ORDER BY idx))
+            FROM upper_nodes WHERE n > 1 GROUP BY level, idx // 8
+        ), lower_sides AS (
+            SELECT *, coalesce(string_agg(h, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before,
+                coalesce(string_agg(h, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after
+            FROM nodes WHERE n > 1 WINDOW w AS (PARTITION BY lang, level, idx // 8 ORDER BY idx)
+        ), upper_sides AS (
+            SELECT *, coalesce(string_agg(h, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before,
+                coalesce(string_agg(h, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after
+            FROM upper_nodes WHERE n > 1 WINDOW w AS (PARTITION BY level, idx // 8 ORDER BY idx)
+        ), lower_path AS (
+            SELECT doc_id, lang, leaf, 0 AS level, idx, coalesce(other, leaf) AS h, '' AS proof FROM leaves
+            UNION ALL
+            SELECT p.doc_id, p.lang, p.leaf, p.level + 1, p.idx // 8, sha256(s.before || p.h || s.after),
+                p.proof || s.before || s.after
+            FROM lower_path p JOIN lower_sides s ON s.lang IS NOT DISTINCT FROM p.lang AND s.level = p.level AND s.idx = p.idx
+        ), upper_path AS (
+            SELECT p.doc_id, p.leaf, t.h AS subroot, 0 AS level, t.idx, p.h, p.proof
+            FROM lower_path p JOIN nodes d ON d.lang IS NOT DISTINCT FROM p.lang AND d.level = p.level AND d.n = 1
+                JOIN subroots t ON t.lang IS NOT DISTINCT FROM p.lang
+            UNION ALL
+            SELECT p.doc_id, p.leaf, p.subroot, p.level + 1, p.idx // 8, sha256(s.before || p.h || s.after),
+                p.proof || s.before || s.after
+            FROM upper_path p JOIN upper_sides s ON s.level = p.level AND s.idx = p.idx
+        )
+        SELECT p.doc_id, p.leaf, p.subroot, r.h AS root, sha256(p.proof) AS proof_sha256, p.h AS folded_root, p.h = r.h AS verified
+        FROM upper_path p JOIN upper_nodes r ON r.n = 1 AND r.level = p.level
+    """,
 }

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewinds.llm import (
-    chat, decontaminate, langid, licenses, merkle, neardup, packing, pii, quality, topk, toxicity,
+    chat, decontaminate, langid, licenses, merkle, negatives, neardup, packing, pii, quality, topk, toxicity,
 )
 from tradewinds.llm.frames import table
 
@@ -57,6 +57,12 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return negatives.hard_negatives(vectors, F.col("vec_id") % 50 == 0)
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     every_third = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, F.lit(False))
     return merkle.audit(table(spark, sf_dir, "documents"), every_third, merkle.without_capitals(F.col("text")))
@@ -73,6 +79,7 @@ QUERIES = {
     "op8_topk": op8_topk,
     "op9_langid": op9_langid,
     "op10_minhash": op10_minhash,
+    "op12_negatives": op12_negatives,
     "op13_merkle": op13_merkle,
 }
 
@@ -136,6 +143,28 @@ ORACLE_SQL = {
         SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
         FROM documents d JOIN smallest USING (doc_id) LEFT JOIN sizes USING (doc_id)
     """,
+    "op12_negatives": """
+        WITH whole AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+                CAST(list_sum(list_transform(list_zip(a.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+            FROM whole a JOIN whole c ON c.vec_id <> a.vec_id AND len(a.v) = len(c.v) WHERE a.vec_id % 50 = 0
+        ), positives AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+        )
+        SELECT p.anchor_id, p.positive_id,
+            CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS rank,
+            n.vec_id AS negative_id, p.positive_score, n.score AS negative_score
+        FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
+            AND 50 * p.positive_score <= 100 * n.score AND 100 * n.score <= 95 * p.positive_score
+        QUALIFY rank <= 3
+    """,
     "op13_merkle": """
         WITH RECURSIVE bits AS (
             SELECT i, i AS c, 0 AS step FROM range(256) t(i)

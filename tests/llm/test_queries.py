@@ -40,12 +40,17 @@ def test_contract_columns(spark):
                        "offset bigint",
         "op3_quality": "doc_id bigint, held_out boolean, score double, predicted int",
         "op6_toxicity": "doc_id bigint, held_out boolean, score double, predicted int",
+        "op11_sentencepiece": "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string, agrees boolean",
+        "op12_negatives": "anchor_id bigint, positive_id bigint, rank int, negative_id bigint, positive_score bigint, "
+                          "negative_score bigint",
+        "op13_merkle": "doc_id bigint, leaf string, subroot string, root string, proof_sha256 string, folded_root string, "
+                       "verified boolean",
         "op9_langid": "doc_id bigint, held_out boolean, lang_pred string, score double, rejected boolean",
     }
     for name, schema in want.items():
         got = queries.QUERIES[name](spark, SF_DIR)
         assert ", ".join(f"{c} {t}" for c, t in got.dtypes) == schema
-        assert name == "op2_packing" or got.count() == spark.read.parquet(f"{SF_DIR}/documents.parquet").count()
+        assert name in ("op2_packing", "op12_negatives") or got.count() == spark.read.parquet(f"{SF_DIR}/documents.parquet").count()
 
 
 def test_base_digest_of_every_document(spark, tables):

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewinds.llm import (
-    chat, decontaminate, langid, licenses, merkle, negatives, neardup, packing, pii, quality, topk, toxicity,
+    chat, decontaminate, langid, licenses, merkle, negatives, neardup, packing, pieces, pii, quality, topk, toxicity,
 )
 from tradewinds.llm.frames import table
 
@@ -57,6 +57,10 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digest(pieces.encode(table(spark, sf_dir, "documents")))
+
+
 def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     vectors = table(spark, sf_dir, "embeddings").withColumn("label", moved)
@@ -79,6 +83,7 @@ QUERIES = {
     "op8_topk": op8_topk,
     "op9_langid": op9_langid,
     "op10_minhash": op10_minhash,
+    "op11_sentencepiece": op11_sentencepiece,
     "op12_negatives": op12_negatives,
     "op13_merkle": op13_merkle,
 }

@@ -71,14 +71,16 @@ def joined(block: list[bytes]) -> np.ndarray:
 
 
 class Words:
-    """Words (runs of bytes that are not ASCII white space) of a byte array, and their hashes.
+    """Words (runs of bytes that are not ASCII white space, or the given ones) of a byte array, and their hashes.
 
     A hash is a polynomial over a word's bytes modulo 2**64, mixed; it depends on the word alone.
     """
 
-    def __init__(self, data: np.ndarray) -> None:
-        edge = np.diff(_SPACE[data].view(np.int8), prepend=np.int8(1))
-        self.starts, self.ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+    def __init__(self, data: np.ndarray, starts: np.ndarray | None = None, ends: np.ndarray | None = None) -> None:
+        if starts is None or ends is None:
+            edge = np.diff(_SPACE[data].view(np.int8), prepend=np.int8(1))
+            starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+        self.starts, self.ends = starts, ends
         up, self._down = _powers.of(len(data) + 1)
         self._total = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(_BYTE_VALUES[data] * up[:len(data)], out=self._total[1:])

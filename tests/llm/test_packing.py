@@ -5,10 +5,12 @@ from __future__ import annotations
 import struct
 import zlib
 
+import numpy as np
+import public_tokenizers
 from llm_helpers import ODD, docs, tables  # noqa: F401
 from tokenizers import Tokenizer
 
-from tradewinds.llm import packing
+from tradewinds.llm import packing, text, wordtable
 
 
 def check(docs, packed, size):
@@ -63,9 +65,54 @@ def test_empty_table(docs):
     assert packing.digest(packing.pack(docs([]))).collect() == []
 
 
-def test_small_word_cache(monkeypatch):
-    monkeypatch.setattr(packing, "CACHED_WORDS", 4)
-    tokenizer = Tokenizer.from_file(packing.default_tokenizer())
-    texts = ["a b c d e f g", "a b", "h i j k l m n", "a"] * 30
-    got = [list(struct.unpack(f"<{len(b) // 4}I", b)) for b in packing.token_ids(texts, None)]
-    assert got == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+WORDS = [
+    "It's 'S we've don't o'clock 'tis", "A-b c.d, (e) f! 10,000.50 x1y2 3rd", "J\u030c I\u0307 \u212a A\u030a \u0130 \u01f0 e\u0301", "<|ENDOFTEXT|> a<|endoftext|>b <a>B</a>",
+    "Mixed CASE Words\tand\x0bodd\x1cspace\u3000here\x85", "http://A.b/c?d=E&f=0", "00 0 a0b", "\u03a3\u03b1\u03a3 stra\u00dfe \ufb01 \u00bd\u00b2", "\x00 \x7f a\x00B",
+]
+
+
+def same(texts, path=None):
+    tokenizer = Tokenizer.from_file(path or packing.default_tokenizer())
+    got = [list(struct.unpack(f"<{len(b) // 4}I", b)) for b in packing.token_ids(texts, path)]
+    assert got == [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
+def test_words_cut_and_lowered():
+    same([*ODD, *WORDS])
+    same([a + b for a in WORDS for b in WORDS])
+
+
+def test_every_pair_of_bytes():
+    characters = [chr(c) for c in range(128)]
+    same(["".join(f"Q{a}{b}z {a}{b} " for b in characters) for a in characters])
+
+
+def test_documents(tables):
+    same([r.text for r in tables("documents").collect()])
+
+
+def test_small_table(monkeypatch):
+    monkeypatch.setattr(wordtable, "TABLE_BYTES", 2_000_000)
+    monkeypatch.setattr(text, "BLOCK_BYTES", 20_000)
+    packing._known.clear()
+    random = np.random.default_rng(1)
+    words = ["".join(random.choice(list("abcdefgh"), 6)) for _ in range(40_000)]
+    forgotten = []
+    monkeypatch.setattr(wordtable.WordTable, "_forget", lambda self, old=wordtable.WordTable._forget: (old(self), forgotten.append(self.hash.size)))
+    same([" ".join(random.choice(words, 500)) for _ in range(300)] + ["abc " * 9_000] * 3)
+    assert len(forgotten) > 1
+    packing._known.clear()
+
+
+def test_equal_hashes_of_different_words(monkeypatch):
+    monkeypatch.setattr(text, "_mixed", lambda value: value % np.uint64(7))
+    packing._known.clear()
+    same(["one two three four five six seven eight nine ten one two twelve", "ten nine seventeen"])
+    packing._known.clear()
+
+
+def test_another_tokenizer_goes_text_by_text():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    packing.token_ids([], path)
+    assert not packing._known[path].by_word
+    same([*ODD, *WORDS], path)

@@ -13,9 +13,9 @@ task) and cut every `size` ids. The last stretch, shorter than `size`, is cut in
 The pieces are written once to shared storage, as sequence numbers come from the task; a lost task
 writes its own pieces anew and a lost executor costs no others.
 
-Tokens: the tokenizer's file comes as a parameter. Its ids of a text are those of its words one after
-another, as its normalisation and splitting never look across ASCII white space; the ids of
-at least the last `CACHED_WORDS` distinct words are kept in each Python worker.
+Tokens: the tokenizer's file comes as a parameter. Where its rules say that words can be cut apart (see
+`_Tokenizer`), the ids of words met before come from a table of bounded size in each Python worker
+(`wordtable`); with any other file every text goes through the tokenizer as a whole.
 
 Defined cases: null or empty text is the one id `END_ID`; a null doc_id is packed as such; repeated
 rows are packed each; very long texts are spread over many sequences; other columns are ignored;
@@ -24,8 +24,8 @@ an empty table gives an empty result.
 
 from __future__ import annotations
 
+import json
 import os
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,15 +35,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradewinds.llm.frames import documents, map_documents, new_path
-from tradewinds.llm.text import as_bytes
+from tradewinds.llm.merges import LONGEST, PairTable, merged
+from tradewinds.llm.text import Words, begins, blocks, joined
+from tradewinds.llm.wordtable import WordTable
 
 SIZE = 4096
 OPEN = 16
 END_ID = 2
-CACHED_WORDS = 600_000
 
-_END = array("I", [END_ID]).tobytes()
-_known: dict[str, _Known] = {}
+_END = np.array([END_ID], np.uint32).tobytes()
+_known: dict[str, _Tokenizer] = {}
 
 
 def default_tokenizer() -> str:
@@ -52,71 +53,148 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-class _Known(dict):
-    """Ids of words, for two generations of `CACHED_WORDS`: a word that is used again moves to the newer."""
-
-    def __init__(self, tokenizer) -> None:
-        self.older: dict[bytes, bytes] = {}
-        self.tokenizer = tokenizer
-        self.marks = {m: self._one(m) for m in (b".", b",")}
-        self.between = b"0"
-        self.border = self._one(self.between)
-
-    def __missing__(self, word: bytes) -> bytes:
-        value = self[word] = self.older[word]
-        return value
-
-    def _one(self, word: bytes) -> bytes:
-        return array("I", self.tokenizer.encode(word.decode("utf-8"), add_special_tokens=False).ids).tobytes()
-
-    def learn(self, words: set[bytes]) -> None:
-        """Ids of the words not known yet. A single mark after letters is a token of its own, and letters count in lower case."""
-        if len(self) + 2 * len(words) > CACHED_WORDS:
-            self.older = dict(self)
-            self.clear()
-        new = [w for w in words if w not in self and w not in self.older]
-        cores = {}
-        for word in new:
-            core, mark = word.lower(), b""
-            if core[-1:] in self.marks:
-                core, mark = core[:-1], core[-1:]
-            cores[word] = (core, mark) if core.isalpha() else (word, b"")
-        self._encode([c for c in {c for c, _ in cores.values()} if c not in self and c not in self.older])
-        for word, (core, mark) in cores.items():
-            self[word] = self[core] + self.marks.get(mark, b"")
-
-    def _encode(self, words: list[bytes]) -> None:
-        """Many words in one call, with a digit, which is always one token, between them."""
-        odd = [w for w in words if self.between in w or b"<|" in w]
-        plain = list(set(words).difference(odd))
-        for k in range(0, len(plain), 2_000):
-            some = plain[k:k + 2_000]
-            ids = array("I", self.tokenizer.encode_batch_fast(
-                [f" {self.between.decode()} ".join(w.decode("utf-8") for w in some)], add_special_tokens=False
-            )[0].ids)
-            borders = np.flatnonzero(np.frombuffer(ids, np.uint32) == np.frombuffer(self.border, np.uint32)[0])
-            if len(self.border) != 4 or len(borders) != len(some) - 1:
+#: Of a byte: white space, letter (its case apart), digit, anything else of ASCII, or beyond.
+_SPACE, _LETTER, _DIGIT, _OTHER, _BEYOND = range(5)
+_KIND = np.full(256, _BEYOND, np.uint8)
+_KIND[:128] = _OTHER
+_KIND[[32, *range(9, 14)]] = _SPACE
+_KIND[[*range(65, 91), *range(97, 123)]] = _LETTER
+_KIND[48:58] = _DIGIT
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+
+#: What a tokenizer's file says of its text where words can be cut apart and lowered ahead of it (fixed values).
+_NORMALIZERS = [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"},
+]
+_PATTERN = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+
+
+class _Tokenizer:
+    """Ids of texts, word by word from a table where the tokenizer's file allows that, else text by text.
+
+    By that file's rules a token never spans white space, nor a border between ASCII letters, digits and
+    other characters, and every digit is a word of its own. Words with an apostrophe, a character beyond
+    ASCII or the first character of an added token are left whole and as they are.
+    """
+
+    def __init__(self, path: str) -> None:
+        from tokenizers import Tokenizer
+
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        self.tokenizer = Tokenizer.from_file(path)
+        rules = json.loads(self.tokenizer.to_str())
+        normalizer, splitter = rules["normalizer"] or {}, rules["pre_tokenizer"] or {}
+        split = (splitter.get("pretokenizers") or [{}])[0]
+        added = [token["content"] for token in rules["added_tokens"]]
+        self.by_word = (
+            normalizer.get("normalizers") == _NORMALIZERS and splitter["type"] == "Sequence"
+            and (split["type"], split["pattern"], split["behavior"], split["invert"]) == ("Split", {"Regex": _PATTERN}, "Removed", True)
+            and [p["type"] for p in splitter["pretokenizers"][1:]] in ([], ["ByteLevel"])
+            and not any(p.get("add_prefix_space") or p.get("use_regex") for p in splitter["pretokenizers"][1:])
+            and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] for t in rules["added_tokens"])
+            and all(t and t[0].isascii() and not t[0].isalnum() and not any(map(str.isspace, t)) for t in added)
+        )
+        self.added = [t.encode("utf-8") for t in added]
+        self.whole = np.zeros(256, bool)
+        self.whole[128:] = self.whole[ord("'")] = True
+        for token in self.added:
+            self.whole[token[0]] = True
+        self.pairs = self._merges(rules["model"]) if self.by_word else None
+        self.table = WordTable(self._learn)
+        self.border = self._one(b"0")
+
+    def _one(self, word: bytes) -> np.ndarray:
+        return np.array(self.tokenizer.encode(word.decode("utf-8"), add_special_tokens=False).ids, np.uint32)
+
+    def _merges(self, model: dict) -> PairTable | None:
+        """The merges for words of lower-case letters, if they are all that such a word's ids depend on."""
+        plain = {"type": "BPE", "dropout": None, "unk_token": None, "continuing_subword_prefix": None, "ignore_merges": False}
+        vocab, suffix = model.get("vocab"), model.get("end_of_word_suffix") or ""
+        letters = [chr(c) for c in range(97, 123)]
+        if any(model.get(k) != v for k, v in plain.items()) or any(c not in vocab or c + suffix not in vocab for c in letters):
+            return None
+        self.inner = np.array([0] * 97 + [vocab[c] for c in letters], np.int32)
+        self.last = np.array([0] * 97 + [vocab[c + suffix] for c in letters], np.int32)
+        merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        return PairTable(np.array([[vocab[a], vocab[b]] for a, b in merges]), np.array([vocab[a + b] for a, b in merges]))
+
+    def _learn(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
+        """Ids of words: of letters by merges, of others by many words in one call with a digit, one token, between them."""
+        lengths = ends - starts
+        others = np.ones(len(starts), bool)
+        if self.pairs is not None:
+            total = np.concatenate([[0], np.cumsum((data < 97) | (data > 122))])
+            others = (total[ends] > total[starts]) | (lengths > LONGEST)
+            for n in range(1, LONGEST + 1):
+                some = np.flatnonzero(~others & (lengths == n))
+                if len(some):
+                    letters = data[starts[some][:, None] + np.arange(n)]
+                    symbols = self.inner[letters]
+                    symbols[:, -1] = self.last[letters[:, -1]]
+                    ids, counts = merged(self.pairs, symbols, lengths[some])
+                    yield some, ids.astype(np.uint32), counts
+        positions = np.flatnonzero(others).tolist()
+        words = {k: data[starts[k]:ends[k]].tobytes() for k in positions}
+        plain, odd = [], []
+        for k, word in words.items():
+            (odd if b"0" in word or any(t in word for t in self.added) else plain).append(k)
+        for first in range(0, len(plain), 2_000):
+            some = plain[first:first + 2_000]
+            text = b" 0 ".join([words[k] for k in some]).decode("utf-8")
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+            borders = np.flatnonzero(ids == self.border[0])
+            if len(self.border) != 1 or len(borders) != len(some) - 1:
                 odd += some
                 continue
-            data, cuts = ids.tobytes(), [-1, *borders.tolist(), len(ids)]
-            self.update((w, data[4 * (i + 1):4 * j]) for w, i, j in zip(some, cuts, cuts[1:]))
-        self.update((w, self._one(w)) for w in odd)
+            counts = np.diff(borders, prepend=-1, append=len(ids)) - 1
+            yield np.array(some), np.delete(ids, borders), counts
+        for first in range(0, len(odd), 2_000):
+            some = odd[first:first + 2_000]
+            found = [self._one(words[k]) for k in some]
+            yield np.array(some), np.concatenate(found), np.array(list(map(len, found)))
+
+    def _words(self, block: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The texts' bytes, in lower case where that is free, and where the words in them begin and end."""
+        data = joined(block)
+        kind = _KIND[data]
+        inside = kind != _SPACE
+        edge = np.diff(inside.view(np.int8), prepend=np.int8(0))
+        starts = np.flatnonzero(edge == 1)
+        # The last byte is white space, so that every run of others ends.
+        lengths = np.flatnonzero(edge == -1) - starts
+        total = np.concatenate([[0], np.cumsum(self.whole[data])])
+        left = total[starts + lengths] > total[starts]
+        whole = np.zeros(len(data), bool)
+        whole[inside] = np.repeat(left, lengths)
+        cut = np.empty(len(data), bool)
+        cut[0] = True
+        cut[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT)
+        begin = (edge == 1) | (inside & ~whole & cut)
+        ends = np.append(begin[1:], True) | ~np.append(inside[1:], False)
+        return np.where(whole, data, _LOWER[data]), np.flatnonzero(begin), np.flatnonzero(ends & inside) + 1
+
+    def ids(self, texts: list[str | None]) -> Iterator[bytes]:
+        if not self.by_word:
+            for text in texts:
+                found = self.tokenizer.encode_batch_fast([text or ""], add_special_tokens=False)
+                yield np.array(found[0].ids, np.uint32).tobytes()
+            return
+        for _, block in blocks(texts):
+            data, starts, ends = self._words(block)
+            words = Words(data, starts, ends)
+            ids, counts = self.table.look_up(words.hashes(), data, starts, ends)
+            before = np.concatenate([[0], np.cumsum(counts)])[begins(block, starts)]
+            for i, j in zip(before.tolist(), before[1:].tolist()):
+                yield ids[i:j].tobytes()
 
 
 def token_ids(texts: list[str | None], path: str | None) -> Iterator[bytes]:
     """The ids of every text as little-endian unsigned 32-bit values, without special tokens."""
-    from tokenizers import Tokenizer
-
     path = path or default_tokenizer()
     if path not in _known:
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        _known[path] = _Known(Tokenizer.from_file(path))
-    known = _known[path]
-    for k in range(0, len(texts), 100):
-        split = [as_bytes(t).split() for t in texts[k:k + 100]]
-        known.learn(set().union(*split))
-        for words in split:
-            yield b"".join(map(known.__getitem__, words))
+        _known[path] = _Tokenizer(path)
+    return _known[path].ids(texts)
 
 
 class _Packer:

@@ -97,6 +97,53 @@ def test_label_model_finds_accuracies_and_repeats():
     assert none < 0.1 < one < two < every and every > 0.9
 
 
+def planted(rates, copies=(), share=0.1, n=200_000, seed=7, flips=0.0):
+    """Voters with (hit, false) rates; `copies` of voters, a share of them flipped; the true share per pattern."""
+    random = np.random.default_rng(seed)
+    truth = random.random(n) < share
+    votes = [np.where(truth, random.random(n) < hit, random.random(n) < false) for hit, false in rates]
+    votes += [np.where(random.random(n) < flips, random.random(n) < 0.1, votes[k]) for k in copies]
+    patterns = sum(v.astype(np.int64) << k for k, v in enumerate(votes))
+    seen, at, counts = np.unique(patterns, return_inverse=True, return_counts=True)
+    return seen, counts, np.bincount(at, truth) / counts, len(votes)
+
+
+@pytest.mark.parametrize("case", [
+    {"rates": [(0.9, 0.01), (0.8, 0.02), (0.6, 0.05)], "copies": [2, 2]},
+    {"rates": [(0.9, 0.01), (0.8, 0.02), (0.3, 0.1)], "copies": [2, 2, 2]},
+    {"rates": [(0.95, 0.002), (0.9, 0.005), (0.4, 0.05), (0.5, 0.1)]},
+    {"rates": [(0.7, 0.01), (0.7, 0.02), (0.5, 0.05), (0.4, 0.08)], "copies": [3, 3]},
+    {"rates": [(0.8, 0.01), (0.7, 0.02), (0.6, 0.04), (0.4, 0.1)], "copies": [3, 3], "flips": 0.1},
+])
+def test_label_model_posteriors_of_planted_voters(case):
+    patterns, counts, true, voters = planted(**case)
+    model = toxicity.fit_label_model(patterns, counts, voters)
+    often = counts >= 400
+    assert np.abs(model.posterior(patterns) - true)[often].max() < 0.05
+    assert (np.abs(model.posterior(patterns) - true) * counts).sum() / counts.sum() < 0.005
+    together = sorted(len(g) for g in model.groups)
+    assert together[-1] == 1 + len(case.get("copies", ()))
+
+
+def enumerated(model, patterns, counts):
+    """Posteriors by Bayes' rule, pattern by pattern, from the model's tables of joint votes."""
+    out = []
+    for pattern in patterns.tolist():
+        odds = model.share / (1 - model.share)
+        for group, table in zip(model.groups, model.odds):
+            odds *= np.exp(table[sum((pattern >> k & 1) << n for n, k in enumerate(group))])
+        out.append(odds / (1 + odds))
+    return np.array(out)
+
+
+def test_posteriors_by_enumeration():
+    patterns, counts, _, voters = planted([(0.9, 0.01), (0.8, 0.02), (0.6, 0.05)], [2])
+    model = toxicity.fit_label_model(patterns, counts, voters)
+    every = np.arange(2**voters)
+    assert np.allclose(model.posterior(every), enumerated(model, every, counts))
+    assert sorted(k for g in model.groups for k in g) == list(range(voters))
+
+
 def test_toxicity_odd(spark, docs):
     none = spark.createDataFrame([], "doc_id bigint, toxic int")
     found = docs([*enumerate(ODD), (None, "no id"), (90, "you are an idiot and a moron, pathetic scum"), (91, "a fine day")])

@@ -7,9 +7,10 @@ once for density). Pattern voters: several distinct insults, insults close
 together, an insult near a pronoun that addresses someone, disguised spellings.
 
 The label model is fitted on the counts of vote patterns over all documents, which are at most
-2 ** voters rows (65,536) and in practice a few hundred: expectation maximisation estimates the share of toxic
-documents and every voter's hit rate in both classes; the residual correlation of every two voters
-within the classes then shrinks their weight, so that voters that repeat each other count once.
+2 ** voters rows (65,536) and in practice a few hundred. Voters that depend on each other beyond what the
+class explains form groups (`fit_label_model`), and expectation maximisation estimates the share of toxic
+documents and, in both classes, every voter's hit rate or every group's rate of each joint vote, so that
+voters that repeat each other count once. The votes on the labelled sample hold the classes in place.
 Its posteriors label a bounded sample of documents (`FIT_DOCS` of either kind, the lowest id
 hashes), and a logistic regression over hashed word openings learns from them, restricted to features
 with a clear share in one class. Its probability is the score.
@@ -46,6 +47,11 @@ RATIO = 30.0
 LEAST_DOCS = 4
 DENSE_WORDS = 150
 NEAR_WORDS = 6
+#: Voters may be one group from the start if so many of the texts that either marks are marked by both.
+SAME_VOTES = (0.97, 0.8, 0.6, 0.4)
+#: Voters of a group at most, and pairs of groups tried by each of two measures before one is joined.
+GROUP_VOTERS = 10
+TRIED_PAIRS = 6
 
 # General insults by language.
 INSULTS = {
@@ -165,14 +171,18 @@ def _rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"doc_id": batch["doc_id"], "label": batch["label"], "rows": found})
 
 
-def learn_voters(docs: DataFrame, labels: DataFrame, parts: int = 4, part: int = 2) -> Voters:
+def known_sample(labels: DataFrame, parts: int = 4, part: int = 2) -> DataFrame:
+    """doc_id and label of up to `SAMPLE_DOCS` rows of each class that are not held out."""
     known = (
         labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("toxic").cast("int").alias("label"))
         .where("label IN (0, 1) AND doc_id IS NOT NULL").where(~held_out(F.col("doc_id"), parts, part))
         .withColumn("text", F.lit(""))
     )
+    return sampled(known, SAMPLE_DOCS, "label").drop("text")
+
+
+def learn_voters(docs: DataFrame, sample: DataFrame) -> Voters:
     # At most 2 * SAMPLE_DOCS ids, so they can be sent to where the texts are.
-    sample = sampled(known, SAMPLE_DOCS, "label").drop("text")
     found = map_documents(documents(docs).join(F.broadcast(sample), "doc_id"), _rows, "doc_id bigint, label int, rows array<binary>").collect()
     labels_found = np.array([r.label for r in found])
     if len(set(labels_found.tolist())) < 2:
@@ -194,47 +204,160 @@ def learn_voters(docs: DataFrame, labels: DataFrame, parts: int = 4, part: int =
     return Voters(learned)
 
 
+def _bits(patterns: np.ndarray, voters: int) -> np.ndarray:
+    return (np.asarray(patterns, np.int64)[:, None] >> np.arange(voters)) & 1
+
+
+def _category(said: np.ndarray, group: list[int]) -> np.ndarray:
+    """The votes of a group's members as one number."""
+    return said[:, group] @ (1 << np.arange(len(group)))
+
+
 @dataclass
 class LabelModel:
-    """Log odds of a vote pattern: offset plus a weight for every yes and every no."""
+    """Log odds of a vote pattern: an offset plus, for every group of dependent voters, those of its joint vote."""
 
     share: float
-    yes: np.ndarray
+    yes: np.ndarray  # log odds of a voter's yes on its own
     no: np.ndarray
     trust: np.ndarray  # 1 for a voter on its own, less for voters that repeat others
+    groups: list[list[int]]
+    odds: list[np.ndarray]  # by group: log odds of every joint vote of its members
 
     def posterior(self, patterns: np.ndarray) -> np.ndarray:
-        said = (np.asarray(patterns, np.int64)[:, None] >> np.arange(len(self.yes))) & 1
-        odds = np.log(self.share / (1 - self.share)) + (self.trust * np.where(said, self.yes, self.no)).sum(1)
+        said = _bits(patterns, len(self.yes))
+        odds = np.full(len(said), np.log(self.share / (1 - self.share)))
+        for group, own in zip(self.groups, self.odds):
+            odds += own[_category(said, group)]
         return sigmoid(odds)
 
 
-def fit_label_model(patterns: np.ndarray, counts: np.ndarray, voters: int, rounds: int = 200) -> LabelModel:
-    """Accuracies and correlations of the voters from how often each pattern of votes occurs."""
-    said = ((np.asarray(patterns, np.int64)[:, None] >> np.arange(voters)) & 1).astype(float)
-    weight = np.asarray(counts, float)
-    trust = np.ones(voters)
-    # Start: a text is toxic to the degree that voters agree.
-    p = np.where(said.sum(1) >= 2, 0.95, np.where(said.sum(1) == 1, 0.3, 0.01))
-    model = None
+def _fit_groups(said: np.ndarray, weight: np.ndarray, known: np.ndarray, groups: list[list[int]], rounds: int) -> tuple[float, float, list, np.ndarray]:
+    """Expectation maximisation with independent groups whose members vote jointly in any way.
+
+    Where `known` (weights of patterns of texts known to be toxic, and to be clean) has both classes, the rates of
+    a class are the means of those among known texts and those among all. Every yes, alone or jointly, speaks
+    for toxic. Returns the penalised likelihood, the share, by group the joint votes' probabilities if toxic and if clean, and
+    every pattern's posterior.
+    """
+    categories = [_category(said, g) for g in groups]
+    sizes = [1 << len(g) for g in groups]
+    members = [_bits(np.arange(n), len(g)).astype(bool) for g, n in zip(groups, sizes)]
+    # Start from groups counted once each, so that voters that repeat each other are no agreement.
+    agree = sum((c > 0).astype(int) for c in categories)
+    p = np.where(agree >= 2, 0.95, np.where(agree == 1, 0.3, 0.01))
+    if known.sum(1).all():
+        known = known / known.sum(1, keepdims=True)
+    else:
+        known = np.zeros_like(known)
     for step in range(rounds):
         toxic, clean = weight * p, weight * (1 - p)
-        hit = (toxic @ said + 1) / (toxic.sum() + 10)
-        false = np.minimum((clean @ said + 0.1) / (clean.sum() + 10), hit / 2)
         share = min(max((toxic.sum() + 1) / (weight.sum() + 10), 1e-4), 0.5)
-        model = LabelModel(share, np.log(hit / false), np.log((1 - hit) / (1 - false)), trust)
-        new = model.posterior(patterns)
-        if np.abs(new - p).max() < 1e-6 and step > 20:
-            break
+        n1, n0 = toxic.sum(), clean.sum()
+        if known.any():
+            # The first round knows known texts only.
+            toxic, clean = (n * k + (w if step else 0) for n, k, w in ((n1, known[0], toxic), (n0, known[1], clean)))
+            n1, n0 = toxic.sum(), clean.sum()
+        hit, false = (toxic @ said + 1) / (n1 + 10), (clean @ said + 0.1) / (n0 + 10)
+        false = np.minimum(false, hit / 2)
+        tables, odds, likely = [], np.full(len(p), np.log(share / (1 - share))), np.full(len(p), np.log(1 - share))
+        for group, c, size, yes in zip(groups, categories, sizes, members):
+            if len(group) == 1:
+                k = group[0]
+                table = np.array([[1 - hit[k], hit[k]], [1 - false[k], false[k]]])
+            else:
+                # A joint vote that is rare or was never seen is drawn to what independent members would give.
+                alone = [np.where(yes, r[group], 1 - r[group]).prod(1) for r in (hit, false)]
+                table = np.array([
+                    (np.bincount(c, w, size) + prior) / (w.sum() + 1) for w, prior in ((toxic, alone[0]), (clean, alone[1]))
+                ])
+                table[1, 1:] = np.minimum(table[1, 1:], table[0, 1:] / 2)
+                table[1, 0] = 1 - table[1, 1:].sum()
+            tables.append(table)
+            odds += np.log(table[0] / table[1])[c]
+            likely += np.log(table[1])[c]
+        new = sigmoid(odds)
+        done = step > 5 and np.abs(new - p).max() < 1e-6
         p = new
-        if step == 10:
-            residual = np.zeros((voters, voters))
-            for share_of, mean in ((toxic, hit), (clean, false)):
-                d = said - mean
-                residual += (d * share_of[:, None]).T @ d
-            scale = np.sqrt(np.maximum(np.diag(residual), 1e-9))
-            trust = 1 / np.clip(np.maximum(residual / np.outer(scale, scale), 0), 0, 1).sum(1).clip(1)
-    return model
+        if done:
+            break
+    total = (weight * (likely + np.logaddexp(0, odds))).sum()
+    parameters = 1 + 2 * sum(len(np.unique(c)) - 1 for c in categories)
+    return total - parameters / 2 * np.log(max(weight.sum(), 2)), share, tables, p
+
+
+def _association(said: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Correlations of the voters' votes."""
+    d = said - np.average(said, axis=0, weights=weight)
+    moments = (d * weight[:, None]).T @ d
+    scale = np.sqrt(np.maximum(np.diag(moments), 1e-9))
+    return moments / np.outer(scale, scale)
+
+
+def _merged(groups: list[list[int]], a: int, b: int) -> list[list[int]]:
+    return [g for k, g in enumerate(groups) if k not in (a, b)] + [sorted(groups[a] + groups[b])]
+
+
+def _alike(said: np.ndarray, weight: np.ndarray, least: float) -> list[list[int]]:
+    """Groups of voters that say the same of all but a few of the texts that either marks."""
+    both = (said * weight[:, None]).T @ said
+    either = np.diag(both)[:, None] + np.diag(both)[None, :] - both
+    alike = both >= least * np.maximum(either, 1)
+    groups: list[list[int]] = []
+    for k in range(said.shape[1]):
+        near = [g for g in groups if any(alike[k, j] for j in g)]
+        groups = [g for g in groups if g not in near] + [sorted([k, *(j for g in near for j in g)])]
+    return groups
+
+
+def _joined(said: np.ndarray, weight: np.ndarray, known: np.ndarray, groups: list[list[int]], rounds: int) -> tuple[tuple, list[list[int]]]:
+    """Groups joined two by two as long as that pays, and the model fitted with them; with fewer than three, any class fits."""
+    best, association = _fit_groups(said, weight, known, groups, rounds), np.abs(_association(said, weight))
+    while len(groups) > 3:
+        pairs = [(a, b) for a in range(len(groups)) for b in range(a) if len(groups[a]) + len(groups[b]) <= GROUP_VOTERS]
+        p = best[3]
+        within = [_association(said, np.maximum(weight * share, 1e-12)) for share in (p, 1 - p)]
+        linked = {ab: max(association[i, j] for i in groups[ab[0]] for j in groups[ab[1]]) for ab in pairs}
+        apart = {ab: max(abs(w[i, j]) for w in within for i in groups[ab[0]] for j in groups[ab[1]]) for ab in pairs}
+        tried = {ab for seen in (linked, apart) for ab in sorted(pairs, key=seen.get, reverse=True)[:TRIED_PAIRS]}
+        found = [(_fit_groups(said, weight, known, _merged(groups, *ab), rounds), ab) for ab in sorted(tried)]
+        if not found or max(found, key=lambda f: f[0][0])[0][0] <= best[0]:
+            break
+        best, (a, b) = max(found, key=lambda f: f[0][0])
+        groups = _merged(groups, a, b)
+    return best, groups
+
+
+def fit_label_model(patterns: np.ndarray, counts: np.ndarray, voters: int, rounds: int = 200,
+                    known: np.ndarray | None = None) -> LabelModel:
+    """Accuracies and correlations of the voters from how often each pattern of votes occurs.
+
+    Dependence is sought apart from the class, from several starts: voters that mostly say the same are one
+    group to begin with; then, again and again, the two groups are joined whose joint voting explains the
+    patterns best, with the whole model fitted anew each time, until the likelihood no longer pays for the
+    parameters. The start that ends with the best penalised likelihood wins. `known`: how many texts of each
+    pattern are known to be toxic, and to be clean.
+    """
+    said, weight = _bits(patterns, voters), np.asarray(counts, float)
+    known = np.zeros((2, len(weight))) if known is None else np.asarray(known, float)
+    starts = []
+    for least in SAME_VOTES:
+        groups = _alike(said, weight, least)
+        if groups not in starts and max(map(len, groups)) <= GROUP_VOTERS:
+            starts.append(groups)
+    best, groups = max((_joined(said, weight, known, groups, rounds) for groups in starts), key=lambda found: found[0][0])
+    _, share, tables, p = best
+    toxic, clean = weight * p, weight * (1 - p)
+    hit = (toxic @ said + 1) / (toxic.sum() + 10)
+    false = np.minimum((clean @ said + 0.1) / (clean.sum() + 10), hit / 2)
+    trust = np.ones(voters)
+    for group in groups:
+        if len(group) > 1:
+            # A voter's residual correlations with the others of its group: three copies have a third each.
+            residual = sum(np.clip(_association(said, np.maximum(w, 1e-12)), 0, 1) * w.sum() for w in (toxic, clean)) / weight.sum()
+            trust[group] = 1 / residual[np.ix_(group, group)].sum(1).clip(1)
+    odds = [np.log(t[0] / t[1]) for t in tables]
+    return LabelModel(share, np.log(hit / false), np.log((1 - hit) / (1 - false)), trust, groups, odds)
 
 
 @dataclass
@@ -285,8 +408,9 @@ class Model:
 
 
 def fit(docs: DataFrame, labels: DataFrame, parts: int = 4, part: int = 2) -> Model:
-    """Voters from labelled documents, their accuracies from all documents, the classifier from posteriors."""
-    voters = learn_voters(docs, labels, parts, part)
+    """Voters from labelled documents, their accuracies from these and all others, the classifier from posteriors."""
+    sample = stage(known_sample(labels, parts, part), "known")
+    voters = learn_voters(docs, sample)
 
     def voting(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -297,20 +421,26 @@ def fit(docs: DataFrame, labels: DataFrame, parts: int = 4, part: int = 2) -> Mo
     patterns, counts = np.array([r.pattern for r in seen], np.int64), np.array([r["count"] for r in seen])
     if not len(seen) or not patterns.any():
         none = np.zeros(voters.count)
-        return Model(voters, LabelModel(1e-4, none, none, none), Classifier(np.empty(0, np.int64), np.empty(0, np.float32), -40.0))
-    labelling = fit_label_model(patterns, counts, voters.count)
+        return Model(voters, LabelModel(1e-4, none, none, none, [], []), Classifier(np.empty(0, np.int64), np.empty(0, np.float32), -40.0))
+    by_class = voted.join(F.broadcast(sample), "doc_id").groupBy("pattern", "label").count().collect()
+    known = np.zeros((2, len(patterns)))
+    for r in by_class:
+        known[1 - r.label, np.searchsorted(patterns, r.pattern)] += r["count"]
+    labelling = fit_label_model(patterns, counts, voters.count, known=known)
     posterior = labelling.posterior(patterns)
-    toxic = F.col("pattern").isin([int(x) for x in patterns[posterior >= 0.5]])
-    # Without any vote the posterior is the same for all; such texts are the clean sample.
+    # At most 2 ** voters rows (65,536). Without any vote the posterior is the same for all; such texts are the clean sample.
+    classes = docs.sparkSession.createDataFrame(
+        [(int(k), bool(p >= 0.5)) for k, p in zip(patterns, posterior)], "pattern bigint, toxic boolean"
+    )
     drawn = sampled(
-        voted.where(~held_out(F.col("doc_id"), parts, part)).withColumn("toxic", toxic).withColumn("text", F.lit("")),
+        voted.where(~held_out(F.col("doc_id"), parts, part)).join(F.broadcast(classes), "pattern").withColumn("text", F.lit("")),
         FIT_DOCS, "toxic",
-    ).select("doc_id", "pattern").dropDuplicates(["doc_id"])
+    ).select("doc_id").distinct()
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield pd.DataFrame({
-                "doc_id": batch["doc_id"], "pattern": batch["pattern"],
+                "doc_id": batch["doc_id"], "pattern": voters.votes(list(batch["text"])),
                 "row": [r.tobytes() for r in _feature_rows(list(batch["text"]))],
             })
 

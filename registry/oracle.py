@@ -694,7 +694,12 @@ FROM messages WHERE n <= 3""",
     f"{_METRICS} FROM minute_metrics",
     "stream_rolling_metrics": f"SELECT {_ISO.format('window_start')}, {_ISO.format('window_end')}, "
     f"{_METRICS} FROM five_minute_metrics",
-    "stream_late_events": "SELECT CAST(0 AS BIGINT) AS n_late FROM (SELECT COUNT(*) FROM good_events)",
+    # The first run brings all but every twentieth event; its newest event less the delay is the watermark of the second.
+    "stream_late_events": """
+SELECT COUNT(*) AS n_late, true AS dropped_by_engine FROM good_events
+WHERE CAST(event_id AS BIGINT) % 20 = 7 AND time_bucket(INTERVAL '1' MINUTE, event_ts) + INTERVAL '1' MINUTE
+    <= (SELECT date_trunc('millisecond', MAX(event_ts)) FROM good_events WHERE CAST(event_id AS BIGINT) % 20 <> 7)
+       - INTERVAL '10' MINUTE""",
     "binary_messages": _EVENT_ROWS,
     "table_sizes": "\nUNION ALL\n".join(
         f"SELECT '{name}' AS table_name, COUNT(*) AS n_rows, true AS has_size FROM {v}" for name, v in RAW_VIEWS.items()
@@ -710,6 +715,7 @@ SELECT '0', 'order_reviews', false, NULL, NULL, 'order_reviews: ' || bad || ' ba
 FROM (SELECT COUNT(*) AS bad FROM ({QUERIES["load_rejects"]}))"""
 QUERIES["catalog_revenue_by_month"] = QUERIES["revenue_by_month"]
 QUERIES["stream_realtime_orders"] = QUERIES["realtime_orders"]
+QUERIES["stream_redelivered"] = QUERIES["stream_realtime_metrics"]
 QUERIES["stream_realtime_rejects"] = QUERIES["realtime_rejects"]
 
 

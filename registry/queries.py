@@ -177,6 +177,7 @@ QUERIES: dict[str, Query] = {
     "stream_realtime_metrics": _rounded(files.stream_realtime_metrics),
     "stream_rolling_metrics": _rounded(files.stream_rolling_metrics),
     "stream_late_events": _rounded(files.stream_late_events),
+    "stream_redelivered": _rounded(files.stream_redelivered),
     "binary_messages": _rounded(files.binary_messages),
     # sizes and catalog tables
     "table_sizes": _rounded(files.table_sizes),

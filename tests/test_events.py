@@ -10,7 +10,7 @@ from conftest import rows, ts
 
 from tradewinds.sources import bus
 from tradewinds.streaming import jobs
-from tradewinds.streaming.events import event_rows, read_events, rejected, usable
+from tradewinds.streaming.events import event_rows, once, read_events, rejected, usable
 from tradewinds.streaming.jobs import Sinks, run_available
 from tradewinds.streaming.metrics import realtime_metrics, rolling_metrics
 
@@ -104,14 +104,14 @@ def test_rolling_metrics(spark):
     assert all(r["window_end"] - r["window_start"] == dt.timedelta(minutes=5) for r in df.collect())
 
 
-def run(spark, tmp_path, batches, delay="0 seconds"):
+def run(spark, tmp_path, batches, delay="0 seconds", redelivery=None):
     """The job over files that arrive one batch after another."""
     incoming = tmp_path / "incoming"
     incoming.mkdir()
     sinks = Sinks(str(tmp_path / "tables"), str(tmp_path / "progress"))
     for i, batch in enumerate(batches):
         (incoming / f"{i}.json").write_text("\n".join(batch) + "\n")
-        run_available(bus.read_bus(spark, "text", path=str(incoming)), sinks, delay)
+        run_available(bus.read_bus(spark, "text", path=str(incoming)), sinks, delay, redelivery=redelivery)
     return sinks, {
         "realtime_orders": jobs.realtime_orders(spark, sinks),
         "realtime_rejects": jobs.realtime_rejects(spark, sinks),
@@ -156,7 +156,7 @@ def test_late_events(spark, tmp_path):
     assert got == [("2024-01-01T10:00:00Z", 1), ("2024-01-01T10:03:00Z", 1), ("2024-01-01T10:05:00Z", 1)]
     # the event itself is kept
     assert tables["realtime_orders"].count() == 5
-    assert rows(jobs.late_events(spark, sinks)) == [(1,)]
+    assert rows(jobs.late_events(spark, sinks)) == [(1, 2)]  # refused once by customer and once by order
     complete = rows(jobs.complete_metrics(spark, sinks, "realtime_metrics"), "window_start", "event_count")
     assert complete == [*got, ("2024-01-01T11:00:00Z", 1)]
 
@@ -177,3 +177,29 @@ def test_windows_by_arrival(spark, tmp_path):
     assert query.exception() is None
     batch = realtime_metrics(usable(read(spark, message(), message())), time_col="processing_ts")
     assert rows(batch, "event_count") == [(2,)]
+
+
+def test_late_events_where_no_other_closes_their_minute(spark, tmp_path):
+    """A window without any event in time is closed by the watermark alone."""
+    first = [message(event_timestamp="2024-01-01T10:00:10Z"), message(event_timestamp="2024-01-01T10:30:00Z")]
+    second = [message(event_timestamp=f"2024-01-01T10:{m}:30Z", customer_id=f"c{m}", order_id=f"o{m}") for m in (10, 12, 27, 28)]
+    sinks, tables = run(spark, tmp_path, [first, second], "2 minutes")
+    late = jobs.late_events(spark, sinks).first()
+    assert late.n_late == 3 and late.dropped_rows == 6  # by customer and by order
+    complete = rows(jobs.complete_metrics(spark, sinks, "realtime_metrics"), "window_start", "event_count")
+    assert complete == [("2024-01-01T10:00:00Z", 1), *((f"2024-01-01T10:{m}:00Z", 1) for m in (28, 30))]
+
+
+def test_redelivered_messages_count_once(spark, tmp_path):
+    whole = [message(event_id=str(i), event_timestamp=f"2024-01-01T10:00:{i:02d}Z", customer_id=f"c{i}") for i in range(10)]
+    nameless = message(event_id=None, event_timestamp="2024-01-01T10:00:40Z")
+    feeds = [[*whole, whole[3], nameless, "broken", "broken"], [whole[3], whole[7], nameless, "broken", "other"]]
+    # the same id in a damaged message first, whole afterwards
+    feeds[0].append(message(event_id="90", event_timestamp="never"))
+    feeds[1].append(message(event_id="90", event_timestamp="2024-01-01T10:00:50Z"))
+    sinks, tables = run(spark, tmp_path, feeds, redelivery="1 hour")
+    assert tables["realtime_orders"].count() == 12
+    assert sorted(r.reason for r in tables["realtime_rejects"].collect()) == ["bad event_timestamp", "not a JSON object", "not a JSON object"]
+    assert [r.event_count for r in jobs.complete_metrics(spark, sinks, "realtime_metrics").collect()] == [12]
+    bounded = once(read(spark, *feeds[0], *feeds[1]), "1 hour")
+    assert usable(bounded).count() == 12 and rejected(bounded).count() == 3

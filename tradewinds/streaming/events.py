@@ -80,6 +80,23 @@ def rejected(events: DataFrame) -> DataFrame:
     return events.where(F.col("reason").isNotNull()).select("value", "reason")
 
 
+def once(events: DataFrame, redelivery: str) -> DataFrame:
+    """Events without repeats of a message that came within `redelivery` of its first arrival.
+
+    A bus that delivers at least once may repeat messages. A usable event is told by its id (by its text
+    where it has none), another message by its text, so that a damaged message hides no whole one. On a
+    stream the state holds the keys of that span of arrivals.
+    """
+    same = F.concat_ws(":", F.col("reason").isNull().cast("string"), F.when(F.col("reason").isNull(), F.col("event_id")))
+    keyed = events.withColumn("message_key", F.sha2(F.concat(same, F.lit("|"), F.when(
+        F.col("reason").isNull() & F.col("event_id").isNotNull(), F.lit("")).otherwise(F.coalesce("value", F.lit("")))), 256))
+    if events.isStreaming:
+        kept = keyed.withWatermark("processing_ts", redelivery).dropDuplicatesWithinWatermark(["message_key"])
+    else:
+        kept = keyed.dropDuplicates(["message_key"])
+    return kept.drop("message_key")
+
+
 def event_rows(events: DataFrame) -> DataFrame:
     """The flat event table; times are ISO text, as its readers expect."""
     return events.select(

@@ -9,6 +9,8 @@ from tradewinds.functions.dates import iso_utc
 from tradewinds.functions.numbers import money_mean
 from tradewinds.operators.rollups import rollup_with_members
 
+MINUTE, FIVE_MINUTES = "60 seconds", "5 minutes"
+
 
 def realtime_metrics(events: DataFrame, delay: str = "0 seconds", time_col: str = "event_ts") -> DataFrame:
     """Per event type and minute: events, revenue, average, customers, orders.
@@ -16,12 +18,12 @@ def realtime_metrics(events: DataFrame, delay: str = "0 seconds", time_col: str
     `delay` is how long a stream waits for late events; later ones are dropped.
     `time_col` may be "processing_ts" for windows by arrival.
     """
-    return _windowed(events, F.window(time_col, "60 seconds"), ["event_type"], delay, time_col)
+    return _windowed(events, F.window(time_col, MINUTE), ["event_type"], delay, time_col)
 
 
 def rolling_metrics(events: DataFrame, delay: str = "0 seconds", time_col: str = "event_ts") -> DataFrame:
     """Every minute, the totals of the last five minutes."""
-    return _windowed(events, F.window(time_col, "5 minutes", "1 minute"), [], delay, time_col)
+    return _windowed(events, F.window(time_col, FIVE_MINUTES, MINUTE), [], delay, time_col)
 
 
 def _windowed(events: DataFrame, window: Column, keys: list[str], delay: str, time_col: str) -> DataFrame:

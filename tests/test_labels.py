@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
@@ -100,6 +101,26 @@ def test_numbers(spark):
     assert value(spark, numbers.percent_change(lit(50.0), lit(100.0))) == -50.0
     assert value(spark, numbers.money_mean(lit(381.27), lit(6))) == 63.55
     assert value(spark, numbers.money_mean(lit(0.0), lit(0))) is None
-    equal = numbers.weighted_stddev(lit(3), lit(0.3), lit(0.03), lit(0.1), lit(0.1))
-    assert value(spark, equal) == 0.0
-    assert value(spark, numbers.weighted_stddev(lit(1), lit(5.0), lit(25.0), lit(5.0), lit(5.0))) is None
+
+
+@pytest.mark.parametrize("amounts,weights", [
+    ([0.1] * 3, [1] * 3), ([5.0], [1]), ([5.0], [4]), ([1_000_000.0, 1_000_000.01] * 4, [1] * 8),
+    ([99_999_999_999.99, 99_999_999_999.98, 0.01], [3, 1, 2]), ([-4.5, 4.5, 1 / 3], [1, 1, 7]), ([None, 2.0, 3.0], [1, 1, 1]),
+    ([float("nan"), 1e15, 2.0, 4.0], [1, 1, 1, 1]),
+])
+def test_exact_stddev_of_weighted_amounts(spark, amounts, weights):
+    """Against exact fractions; amounts out of range take no part."""
+    df = spark.createDataFrame(list(zip(amounts, weights)), "x double, w bigint")
+    x, w = F.col("x"), F.col("w")
+    got = df.agg(
+        F.sum(F.when(numbers.units(x).isNotNull(), w)).alias("n"), F.sum(numbers.units(x) * w).alias("s"),
+        F.sum(F.try_multiply(numbers.unit_squares(x), w)).alias("q"),
+    ).select(numbers.exact_stddev(F.col("n"), F.col("s"), F.col("q")).alias("d")).first().d
+    inside = [(Fraction(str(round(a, 6))), k) for a, k in zip(amounts, weights) if a is not None and abs(a) < 1e12]
+    n = sum(k for _, k in inside)
+    if n < 2:
+        assert got is None
+    else:
+        mean = sum(a * k for a, k in inside) / n
+        want = float(sum((a - mean) ** 2 * k for a, k in inside) / (n - 1)) ** 0.5
+        assert got == pytest.approx(want, rel=1e-9, abs=1e-9)

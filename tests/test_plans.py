@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import dataclasses
 import datetime as dt
+import statistics
+from fractions import Fraction
 
-from conftest import rows
+import pytest
+from conftest import rows, ts
 from pyspark.sql import functions as F
 
 from tradewinds.functions import dates
@@ -126,6 +129,31 @@ def test_customer_features_count_as_the_joins_do(small):
     assert {r["stddev_order_value"] for r in df.where("customer_unique_id = 'u3'").collect()} == {0.0}
 
 
+def test_deviation_of_large_close_amounts(small, table):
+    """Amounts a cent apart at a million: a sum of squares of doubles has lost the difference."""
+    n, stamp = 40, ts("2024-01-05 12:00:00")
+    amount = [1_000_000.0 + k % 2 / 100 for k in range(n)]
+    raw = dataclasses.replace(
+        small,
+        customers=table("customers", [dict(customer_id=f"c{k}", customer_unique_id="u", customer_city="x", customer_state="S") for k in range(n)]),
+        orders=table("orders", [dict(order_id=f"o{k}", customer_id=f"c{k}", order_status="delivered", order_purchase_timestamp=stamp) for k in range(n)]),
+        order_items=table("order_items", [dict(order_id=f"o{k}", order_item_id=1, product_id="p1", seller_id="s", price=a, freight_value=1.0) for k, a in enumerate(amount)]),
+        order_payments=table("order_payments", [dict(order_id=f"o{k}", payment_sequential=1, payment_type="boleto", payment_installments=1, payment_value=a) for k, a in enumerate(amount)]),
+        order_reviews=table("order_reviews", []),
+    )
+    want = statistics.stdev(Fraction(str(a)) for a in amount)
+    assert round(want, 4) == 0.0051  # 0.0050 with many rows
+    assert features.customer_features(raw, AS_OF).first().stddev_order_value == pytest.approx(want, rel=1e-9)
+    assert features.product_features(raw).first().price_stddev == pytest.approx(want, rel=1e-9)
+
+
+def test_shared_reviews_meet_products_not_items(small):
+    """The branch of reviews that several orders share takes an order's products, not its items."""
+    plan = marts.product_analytics(small)._jdf.queryExecution().optimizedPlan().toString()
+    branch = plan[plan.index("shared_review"):]
+    assert "Aggregate [order_id" in branch and "product_id" in branch
+
+
 def test_orders_enriched(small):
     df = {r["order_id"]: r for r in marts.orders_enriched(small, AS_OF).collect()}
     assert len(df) == 7

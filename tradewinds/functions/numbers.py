@@ -29,12 +29,32 @@ def money_mean(total: Column, n: Column) -> Column:
     return F.round(exact, 2).cast("double")
 
 
-def weighted_stddev(n: Column, total: Column, squares: Column, low: Column, high: Column) -> Column:
-    """Sample standard deviation from the weighted count, sum and sum of squares.
+_UNITS = 1_000_000
 
-    Equal values give exactly 0, which the formula alone would miss by rounding.
+
+def units(value: Column) -> Column:
+    """An amount of money as a whole number of millionths; null for NaN and amounts of 10^12 and more."""
+    exact = value.cast("double").try_cast("decimal(18,6)")
+    return (exact * F.lit(_UNITS).cast("decimal(7,0)")).try_cast("decimal(18,0)")
+
+
+def unit_squares(value: Column) -> Column:
+    return F.try_multiply(units(value), units(value)).cast("decimal(38,0)")
+
+
+def exact_stddev(n: Column, total: Column, squares: Column) -> Column:
+    """Sample standard deviation from the weighted count, sum of `units` and sum of `unit_squares`.
+
+    The sums are whole numbers, so they merge through any roll-up without rounding, in any order. The squared
+    deviations from the whole number next to the mean follow exactly too, however large and close the values
+    are. Null where a sum has left the range of 38 digits.
     """
-    spread = squares - total * total / n
-    return F.when(n > 1, F.when(low == high, F.lit(0.0)).otherwise(
-        F.sqrt(F.greatest(spread, F.lit(0.0)) / (n - 1))
-    ))
+    whole = "decimal(38,0)"
+    near = F.round(F.try_divide(total, n.cast("decimal(20,0)"))).try_cast("decimal(20,0)")
+    around = F.try_add(
+        F.try_subtract(squares, F.try_multiply(2 * near, total).try_cast(whole)),
+        F.try_multiply(F.try_multiply(near, near).try_cast(whole), n.cast("decimal(20,0)")).try_cast(whole),
+    ).cast("double")
+    rest = F.try_subtract(total, F.try_multiply(near, n.cast("decimal(20,0)")).try_cast(whole)).cast("double")
+    spread = F.greatest(around - rest * rest / n, F.lit(0.0))
+    return F.when(n > 1, F.sqrt(spread / (n - 1)) / F.lit(float(_UNITS)))

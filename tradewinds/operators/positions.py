@@ -37,7 +37,8 @@ def _sortable(value: Column) -> Column:
 
 def _brackets(rows: DataFrame, ranks: Callable[[Column], Column]) -> DataFrame:
     """Per group: its rows, the wanted ranks, and an interval of `key` for each that is sure to hold it."""
-    shares = [i / GRID for i in range(GRID + 1)]
+    # One literal, cast: as many literals would each be a call and a node of the plan.
+    shares = F.split(F.lit(",".join(str(i / GRID) for i in range(GRID + 1))), F.lit(",")).cast("array<double>")
     total = F.col("total")
 
     def around(rank: Column) -> Column:

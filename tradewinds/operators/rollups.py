@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tradewinds.functions.numbers import unit_squares, units
 
 # The payment types that have columns of their own.
 PAYMENT_TYPES = ("credit_card", "boleto", "voucher", "debit_card")
@@ -22,7 +23,9 @@ def payments_per_order(payments: DataFrame) -> DataFrame:
         F.count("*").alias("n_payments"),
         F.count(value).alias("n_payment_values"),
         F.sum(value).alias("paid"),
-        F.sum(value * value).alias("paid_squares"),
+        F.count(units(value)).alias("n_paid_units"),
+        F.try_sum(units(value)).alias("paid_units"),
+        F.try_sum(unit_squares(value)).alias("paid_unit_squares"),
         F.min(value).alias("paid_min"),
         F.max(value).alias("paid_max"),
         F.count("payment_installments").alias("n_installments"),

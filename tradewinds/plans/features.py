@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradewinds.functions import dates, labels
-from tradewinds.functions.numbers import ratio, weighted_stddev
+from tradewinds.functions.numbers import exact_stddev, ratio, unit_squares, units
 from tradewinds.operators.joins import join_lines
 from tradewinds.operators.positions import ntile_cuts, tile_of
 from tradewinds.operators.rollups import copies, rollup_with_members
@@ -24,10 +24,7 @@ def customer_features(raw: RawTables, as_of: dt.date | None = None, grain_safe:
     """
     last, first = F.to_date("last_order_date"), F.to_date("first_order_date")
     lifetime = F.col("customer_lifetime_days")
-    spread = weighted_stddev(
-        F.col("n_payment_values"), F.col("paid"), F.col("paid_squares"),
-        F.col("min_order_value"), F.col("max_order_value"),
-    )
+    spread = exact_stddev(F.col("n_paid_units"), F.col("paid_units"), F.col("paid_unit_squares"))
     features = (
         customer_metrics(raw, ["customer_unique_id"], grain_safe)
         .withColumn("stddev_order_value", spread)
@@ -109,7 +106,9 @@ def product_features(raw: RawTables) -> DataFrame:
         },
         sums={
             "total_revenue": price * repeat,
-            "price_squares": price * price * repeat,
+            "n_price_units": F.when(units(price).isNotNull(), repeat),
+            "price_units": F.try_multiply(units(price), repeat),
+            "price_unit_squares": F.try_multiply(unit_squares(price), repeat),
             "n_prices": F.when(price.isNotNull(), repeat),
             "score": score,
             "score_squares": F.col("score_squares"),
@@ -118,8 +117,6 @@ def product_features(raw: RawTables) -> DataFrame:
             "delivery_days": F.col("delivery_days") * repeat,
             "n_deliveries": F.when(F.col("delivery_days").isNotNull(), repeat),
         },
-        low={"price_min": price},
-        high={"price_max": price},
     )
     volume = F.col("product_length_cm") * F.col("product_height_cm") * F.col("product_width_cm")
     n_scores = F.col("n_scores").cast("double")
@@ -131,10 +128,7 @@ def product_features(raw: RawTables) -> DataFrame:
         "unique_buyers",
         "total_revenue",
         ratio(F.col("total_revenue"), F.col("n_prices")).alias("avg_price"),
-        weighted_stddev(
-            F.col("n_prices"), F.col("total_revenue"), F.col("price_squares"),
-            F.col("price_min"), F.col("price_max"),
-        ).alias("price_stddev"),
+        exact_stddev(F.col("n_price_units"), F.col("price_units"), F.col("price_unit_squares")).alias("price_stddev"),
         ratio(F.col("score"), n_scores).alias("avg_rating"),
         # Scores are whole numbers, so n * squares - sum^2 has no rounding before the division.
         F.when(

@@ -83,9 +83,12 @@ def product_analytics(raw: RawTables) -> DataFrame:
     repeat = copies("n_reviews")
     sales = join_lines(
         raw.order_items.select("order_id", "product_id", "seller_id", "price", "freight_value"),
-        delivered_with_reviews(raw).unionByName(_shared_reviews(raw), allowMissingColumns=True),
-        "order_id",
+        delivered_with_reviews(raw), "order_id",
     )
+    # A review that several orders share meets each product of an order once, however many items it has.
+    products = raw.order_items.select("order_id", "product_id").distinct()
+    shared = join_lines(products, _shared_reviews(raw), "order_id").select("product_id", "shared_review")
+    sales = sales.unionByName(shared, allowMissingColumns=True)
     # A row with a shared review only names that review; the order's own row has the rest.
     own = F.col("shared_review").isNull()
     per_product = rollup_with_members(
@@ -255,7 +258,9 @@ def customer_metrics(raw: RawTables, keys: list[str], grain_safe: bool = False)
     of_payment, of_review = per_item * per_review, per_payment * per_item
     sums = {
         "paid": of_payment,
-        "paid_squares": of_payment,
+        "n_paid_units": of_payment,
+        "paid_units": of_payment,
+        "paid_unit_squares": of_payment,
         "n_payment_values": of_payment,
         "installments": of_payment,
         "n_installments": of_payment,

@@ -93,7 +93,7 @@ def test_documents(tables):
 
 def test_small_table(monkeypatch):
     monkeypatch.setattr(wordtable, "TABLE_BYTES", 2_000_000)
-    monkeypatch.setattr(text, "BLOCK_BYTES", 20_000)
+    monkeypatch.setattr(packing, "BLOCK_BYTES", 20_000)
     packing._known.clear()
     random = np.random.default_rng(1)
     words = ["".join(random.choice(list("abcdefgh"), 6)) for _ in range(40_000)]

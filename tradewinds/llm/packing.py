@@ -42,6 +42,8 @@ from tradewinds.llm.wordtable import WordTable
 SIZE = 4096
 OPEN = 16
 END_ID = 2
+#: Texts are looked up together until they have so many bytes; the arrays for it take some 60 times as many.
+BLOCK_BYTES = 500_000
 
 _END = np.array([END_ID], np.uint32).tobytes()
 _known: dict[str, _Tokenizer] = {}
@@ -180,7 +182,7 @@ class _Tokenizer:
                 found = self.tokenizer.encode_batch_fast([text or ""], add_special_tokens=False)
                 yield np.array(found[0].ids, np.uint32).tobytes()
             return
-        for _, block in blocks(texts):
+        for _, block in blocks(texts, BLOCK_BYTES):
             data, starts, ends = self._words(block)
             words = Words(data, starts, ends)
             ids, counts = self.table.look_up(words.hashes(), data, starts, ends)

@@ -34,7 +34,7 @@ from tradewinds.llm.frames import documents
 from tradewinds.llm.text import Words
 from tradewinds.llm.wordtable import WordTable
 
-BLOCK_BYTES = 2_000_000
+BLOCK_BYTES = 500_000
 _SPACE = "▁"
 _SCHEMA = "doc_id bigint, ids array<int>, decoded string, agrees boolean"
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _UNUSED, _BYTE = range(1, 7)  # fixed values of the model file

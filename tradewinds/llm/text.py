@@ -52,13 +52,14 @@ def as_bytes(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "replace")
 
 
-def blocks(texts: list[str | None]) -> Iterator[tuple[int, list[bytes]]]:
-    """Consecutive texts as bytes, with the position of the first."""
+def blocks(texts: list[str | None], least: int | None = None) -> Iterator[tuple[int, list[bytes]]]:
+    """Consecutive texts as bytes, with the position of the first; `least` bytes (default `BLOCK_BYTES`) end a block."""
+    least = least or BLOCK_BYTES
     first, block, size = 0, [], 0
     for k, text in enumerate(texts):
         block.append(as_bytes(text))
         size += len(block[-1])
-        if size >= BLOCK_BYTES:
+        if size >= least:
             yield first, block
             first, block, size = k + 1, [], 0
     if block:

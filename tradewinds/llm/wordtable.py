@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 
 #: Bytes a table may take, counted with its spare room; then words not met since the last time are dropped.
-TABLE_BYTES = 200_000_000
+TABLE_BYTES = 80_000_000
 _LEAST_SLOTS = 1 << 16
 
 #: For some of the asked words (their positions): all their ids end to end, and how many each has.

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from registry.model import AS_OF, raw_tables, view
 from tradewinds import schemas
 from tradewinds.operators.frames import stack
-from tradewinds.plans import monthly, quality, reports
+from tradewinds.plans import daystore, monthly, quality, reports
 from tradewinds.session import prepare
 from tradewinds.sources import bus, csv, landing, writers
 from tradewinds.sources.staging import new_path
@@ -163,6 +163,29 @@ def monthly_metrics_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     ])
 
 
+def latest_daily_metrics_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest five days of the table kept by day."""
+    path = new_path(spark, "daily-metrics")
+    daystore.build_daily_metrics(raw_tables(spark, sf_dir), path, AS_OF)
+    return daystore.latest_daily_metrics(spark, path, 5)
+
+
+def daily_metrics_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Built without the newest orders, some payments and some items, then brought up to date with these."""
+    raw, path = raw_tables(spark, sf_dir), new_path(spark, "daily-metrics")
+    number = F.col("order_id").cast("bigint")
+    later = {
+        "orders": F.col("order_purchase_timestamp") >= F.date_sub(F.lit(AS_OF), 3),
+        "order_payments": number % 997 == 0,
+        "order_items": number % 1009 == 0,
+    }
+    every = dict(raw.items())
+    before = RawTables(**{**every, **{t: every[t].where(~late) for t, late in later.items()}})
+    daystore.build_daily_metrics(before, path, AS_OF)
+    daystore.update_daily_metrics(raw, path, {t: every[t].where(late) for t, late in later.items()}, AS_OF)
+    return spark.read.parquet(path).drop(daystore.MONTH)
+
+
 def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as the JSON the bus carries; some are damaged."""
     prepare(spark)

@@ -715,6 +715,8 @@ SELECT '0', 'order_reviews', false, NULL, NULL, 'order_reviews: ' || bad || ' ba
 FROM (SELECT COUNT(*) AS bad FROM ({QUERIES["load_rejects"]}))"""
 QUERIES["catalog_revenue_by_month"] = QUERIES["revenue_by_month"]
 QUERIES["stream_realtime_orders"] = QUERIES["realtime_orders"]
+QUERIES["latest_daily_metrics_stored"] = QUERIES["latest_daily_metrics"]
+QUERIES["daily_metrics_incremental"] = QUERIES["daily_metrics"]
 QUERIES["stream_redelivered"] = QUERIES["stream_realtime_metrics"]
 QUERIES["stream_realtime_rejects"] = QUERIES["realtime_rejects"]
 

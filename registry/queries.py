@@ -40,16 +40,16 @@ def _recent_days(raw: RawTables) -> DataFrame:
 
 
 def _kpis(raw: RawTables) -> DataFrame:
-    customers = features.customer_features(raw, AS_OF)
+    customers = features.customer_scores(raw, AS_OF)
     return reports.daily_kpis(_recent_days(raw), customers, marts.product_analytics(raw), AS_OF)
 
 
 def _alerts(raw: RawTables) -> DataFrame:
-    return reports.business_alerts(raw, _recent_days(raw), reports.last_orders(raw, AS_OF), AS_OF)
+    return reports.business_alerts(raw, _recent_days(raw), reports.last_orders(raw, AS_OF, reports.INACTIVE_DAYS[1]), AS_OF)
 
 
 def _daily_report(raw: RawTables) -> DataFrame:
-    customers, days = features.customer_features(raw, AS_OF), stage(_recent_days(raw), "days")
+    customers, days = features.customer_scores(raw, AS_OF), stage(_recent_days(raw), "days")
     kpis = reports.daily_kpis(days, customers, marts.product_analytics(raw), AS_OF)
     report = reports.daily_report(kpis, reports.business_alerts(raw, days, customers, AS_OF))
     return report.withColumn("alerts", F.array_join(F.transform("alerts", lambda a: a["message"]), "; "))
@@ -114,7 +114,7 @@ QUERIES: dict[str, Query] = {
     "top_products_daily": _on_raw(lambda raw: reports.top_products_daily(raw, AS_OF)),
     "revenue_drop_alert": _on_raw(lambda raw: reports.revenue_drop(_recent_days(raw), AS_OF)),
     "cancellation_alert": _on_raw(lambda raw: reports.cancellation_rate(raw, AS_OF)),
-    "churn_alert": _on_raw(lambda raw: reports.inactive_customers(reports.last_orders(raw, AS_OF))),
+    "churn_alert": _on_raw(lambda raw: reports.inactive_customers(reports.last_orders(raw, AS_OF, reports.INACTIVE_DAYS[1]))),
     "business_alerts": _on_raw(_alerts),
     "daily_report": _on_raw(_daily_report),
     "top_cities": _on_raw(reports.top_cities),
@@ -122,11 +122,11 @@ QUERIES: dict[str, Query] = {
     "top_categories": _on_raw(reports.top_categories),
     "volume_class": _on_raw(lambda raw: reports.volume_class(raw, AS_OF)),
     "segment_distribution": _on_raw(
-        lambda raw: reports.segment_distribution(features.customer_features(raw, AS_OF))
-    ),
-    "latest_daily_metrics": _on_raw(
-        lambda raw: reports.latest(marts.daily_metrics(raw, AS_OF), "order_date", "num_orders", 5)
+        lambda raw: reports.segment_distribution(features.customer_scores(raw, AS_OF))
     ),
+    "latest_daily_metrics": _on_raw(lambda raw: reports.latest_days(raw, AS_OF, 5)),
+    "latest_daily_metrics_stored": _rounded(files.latest_daily_metrics_stored),
+    "daily_metrics_incremental": _rounded(files.daily_metrics_incremental),
     "orders_by_month": _on_raw(reports.orders_by_month),
     "top_states": _on_raw(reports.top_states),
     # run logs

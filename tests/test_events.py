@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import random
 
 import pytest
 from conftest import rows, ts
@@ -203,3 +204,29 @@ def test_redelivered_messages_count_once(spark, tmp_path):
     assert [r.event_count for r in jobs.complete_metrics(spark, sinks, "realtime_metrics").collect()] == [12]
     bounded = once(read(spark, *feeds[0], *feeds[1]), "1 hour")
     assert usable(bounded).count() == 12 and rejected(bounded).count() == 3
+
+
+def test_rolling_metrics_against_every_window(spark):
+    """Members that come back within and beyond the window, missing ones, gaps; one row per event before grouping."""
+    rng = random.Random(5)
+    base = dt.datetime(2024, 1, 1, 10)
+    events = []
+    for i in range(400):
+        at = base + dt.timedelta(seconds=rng.choice([rng.randrange(900), rng.randrange(3_000, 3_300), 5_000]))
+        events.append((at, rng.choice(["a", "b", "c", None]), f"o{rng.randrange(30)}", rng.randrange(100) / 4))
+    given = [message(event_id=str(i), event_timestamp=t.strftime("%Y-%m-%dT%H:%M:%SZ"), customer_id=c, order_id=o, payment_value=v)
+             for i, (t, c, o, v) in enumerate(events)]
+    df = rolling_metrics(usable(read(spark, *given)))
+    want = []
+    for m in range(-5, 100):
+        start = base + dt.timedelta(minutes=m)
+        inside = [e for e in events if start <= e[0] < start + dt.timedelta(minutes=5)]
+        if inside:
+            total = sum(e[3] for e in inside)
+            want.append((start, len(inside), total, len({e[1] for e in inside}), len({e[2] for e in inside})))
+    got = rows(df, "window_start", "event_count", "total_revenue", "unique_customers", "unique_orders")
+    assert got == sorted(want, key=repr)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    # Nothing is copied below the grouping into panes.
+    below = plan[plan.rindex("Aggregate [window"):] if "Aggregate [window" in plan else plan[plan.rindex("Aggregate"):]
+    assert "Expand" not in below and below.count("Generate") == 1 and "inline" in below  # the parsing of a message

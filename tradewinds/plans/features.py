@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewinds.functions import dates, labels
@@ -63,27 +63,57 @@ def customer_features(raw: RawTables, as_of: dt.date | None = None, grain_safe:
         "products_score": F.col("unique_products_bought"),
         "categories_score": F.col("unique_categories"),
     }
+    recency, frequency, monetary, products, categories = (F.col(name) for name in ranked)
+    return (
+        _scored(features, ranked)
+        .withColumn("engagement_score", (frequency + products + categories) / F.lit(3.0))
+        .drop("products_score", "categories_score")
+        .withColumn("value_tier", labels.spend_tier(F.col("total_spent")))
+        .withColumn("churn_risk", labels.churn_risk(F.col("days_since_last_order")))
+        .withColumn("customer_segment", labels.rfm_segment(recency, frequency, monetary))
+        .withColumn("feature_timestamp", F.current_timestamp())
+    )
+
+
+def customer_scores(raw: RawTables, as_of: dt.date | None = None, grain_safe: bool = False) -> DataFrame:
+    """Per customer: days since the last order, churn risk and segment, as in `customer_features`.
+
+    For reports that need no more: three rankings, and neither products nor categories.
+    """
+    metrics = customer_metrics(raw, ["customer_unique_id"], grain_safe, diversity=False)
+    days = dates.calendar_days(dates.run_date(as_of), F.to_date("last_order_date"))
+    facts = stage(
+        metrics.select("customer_unique_id", days.alias("days_since_last_order"), "total_orders", "total_spent"), "customer-scores"
+    )
+    scored = _scored(facts, {
+        "recency": -F.col("days_since_last_order"), "frequency": F.col("total_orders"), "monetary": F.col("total_spent"),
+    })
+    return scored.select(
+        "customer_unique_id",
+        "days_since_last_order",
+        labels.churn_risk(F.col("days_since_last_order")).alias("churn_risk"),
+        labels.rfm_segment(F.col("recency"), F.col("frequency"), F.col("monetary")).alias("customer_segment"),
+    )
+
+
+def _scored(customers: DataFrame, ranked: dict[str, Column]) -> DataFrame:
+    """`customers` with the quintile (ties by customer) of each ranking.
+
+    At most four cuts for each ranking: a row is compared with those, and the customers are neither sorted
+    nor moved.
+    """
     person = F.col("customer_unique_id")
     entries = F.array(*[
         F.struct(F.lit(name).alias("grp"), value.cast("double").alias("value")) for name, value in ranked.items()
     ])
-    ranking = features.select(F.explode(entries).alias("e"), person.alias("id")).select("e.*", "id")
-    # At most four cuts for each of five rankings: a row is compared with those, and the
-    # customers are neither sorted nor moved.
+    ranking = customers.select(F.explode(entries).alias("e"), person.alias("id")).select("e.*", "id")
     cuts = ntile_cuts(ranking, 5).agg(F.map_from_entries(F.collect_list(F.struct("grp", "cuts"))))
-    recency, frequency, monetary, products, categories = (F.col(name) for name in ranked)
     return (
-        features.withColumn("cuts", cuts.scalar())
+        customers.withColumn("cuts", cuts.scalar())
         .withColumns({
             name: tile_of(value, person, F.try_element_at("cuts", F.lit(name))) for name, value in ranked.items()
         })
         .drop("cuts")
-        .withColumn("engagement_score", (frequency + products + categories) / F.lit(3.0))
-        .drop("products_score", "categories_score")
-        .withColumn("value_tier", labels.spend_tier(F.col("total_spent")))
-        .withColumn("churn_risk", labels.churn_risk(F.col("days_since_last_order")))
-        .withColumn("customer_segment", labels.rfm_segment(recency, frequency, monetary))
-        .withColumn("feature_timestamp", F.current_timestamp())
     )
 
 

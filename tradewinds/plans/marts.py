@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tradewinds.functions import dates, labels
 from tradewinds.functions.numbers import ratio
-from tradewinds.operators.days import orders_between
+from tradewinds.operators.days import orders_between, orders_on
 from tradewinds.operators.joins import join_lines, of_orders
 from tradewinds.operators.rollups import (
     PAYMENT_TYPES,
@@ -137,16 +137,20 @@ def daily_metrics(
     as_of: dt.date | None = None,
     since: dt.date | None = None,
     grain_safe: bool = False,
+    days: list[dt.date] | None = None,
 ) -> DataFrame:
     """Per purchase date: orders, customers, revenue, status and payment mix, products.
 
     Sums repeat a payment for each item of its order and an item for each payment;
-    `grain_safe` counts each once. `since` leaves out earlier dates.
+    `grain_safe` counts each once. `since` leaves out earlier dates, `days` all but those.
     """
     first = None if since is None else F.lit(since)
-    orders = orders_between(raw.orders, first, dates.run_date(as_of)).withColumn("order_date", F.to_date("order_purchase_timestamp"))
+    orders = orders_between(raw.orders, first, dates.run_date(as_of))
+    if days is not None:
+        orders = orders_on(orders, days)
+    orders = orders.withColumn("order_date", F.to_date("order_purchase_timestamp"))
     payments, items = raw.order_payments, raw.order_items
-    if since is not None:
+    if since is not None or days is not None:
         # A few days of orders: their children are picked before they are rolled up.
         ids = orders.select("order_id")
         payments, items = (of_orders(lines, ids) for lines in (payments, items))
@@ -239,10 +243,10 @@ def customer_segments(raw: RawTables, as_of: dt.date | None = None, grain_safe:
     )
 
 
-def customer_metrics(raw: RawTables, keys: list[str], grain_safe: bool = False) -> DataFrame:
+def customer_metrics(raw: RawTables, keys: list[str], grain_safe: bool = False, diversity: bool = True) -> DataFrame:
     """Delivered orders of each customer; `keys` are columns of customers.
 
-    Order rows carry the sums and category rows the diversity. Both are free of
+    Without `diversity` products and categories are neither read nor counted. Order rows carry the sums and category rows the diversity. Both are free of
     repeats before they meet, so one grouping without distinct counts is enough.
     """
     place = ["customer_state", "customer_city"]
@@ -298,9 +302,12 @@ def customer_metrics(raw: RawTables, keys: list[str], grain_safe: bool = False)
         .groupBy(*keys, F.col("product_category_name_english").alias("category"))
         .agg(F.count("product_id").alias("n_products"))
     )
+    if diversity:
+        order_rows = order_rows.unionByName(category_rows, allowMissingColumns=True)
+    else:
+        order_rows = order_rows.withColumns({"category": F.lit(None).cast("string"), "n_products": F.lit(0)})
     return (
-        order_rows.unionByName(category_rows, allowMissingColumns=True)
-        .groupBy(*keys)
+        order_rows.groupBy(*keys)
         .agg(
             F.count("order_id").alias("total_orders"),
             F.coalesce(F.sum("n_products"), F.lit(0)).alias("unique_products_bought"),

@@ -9,15 +9,17 @@ from pyspark.sql import functions as F
 
 from tradewinds.functions import dates, labels
 from tradewinds.functions.numbers import percent, percent_change, ratio
-from tradewinds.operators.days import orders_between
+from tradewinds.operators.days import ORDER_DAY, orders_between
 from tradewinds.operators.joins import join_lines, of_orders
 from tradewinds.operators.rollups import copies, payments_per_order, reviews_per_order
+from tradewinds.plans.marts import daily_metrics
 from tradewinds.tables import RawTables
 
 # Alert limits and the rough conversion of the local currency.
 REVENUE_DROP_PERCENT = -20
 CANCEL_RATE_PERCENT = 5
 INACTIVE_CUSTOMERS = 100
+INACTIVE_DAYS = (60, 90)
 USD_PER_BRL = 0.20
 
 
@@ -120,12 +122,21 @@ def cancellation_rate(raw: RawTables, as_of: dt.date | None = None) -> DataFrame
     )
 
 
-def last_orders(raw: RawTables, as_of: dt.date | None = None) -> DataFrame:
-    """Per customer the days since the last delivered order, without the rest of the features."""
-    delivered = raw.orders.where(F.col("order_status") == "delivered").select("customer_id", "order_purchase_timestamp")
+def last_orders(raw: RawTables, as_of: dt.date | None = None, days: int | None = None) -> DataFrame:
+    """Per customer the days since the last delivered order, without the rest of the features.
+
+    With `days` only customers whose last order is not older; older orders are not read.
+    """
+    orders = raw.orders
+    if days is not None:
+        first = F.date_sub(dates.run_date(as_of), days)
+        orders = orders.where(F.col("order_purchase_timestamp") >= first.cast("timestamp"))
+        if ORDER_DAY in orders.columns:
+            orders = orders.where(F.col(ORDER_DAY) >= first)
+    delivered = orders.where(F.col("order_status") == "delivered").select("customer_id", "order_purchase_timestamp")
     return (
         delivered.groupBy("customer_id").agg(F.max("order_purchase_timestamp").alias("last"))
-        .join(raw.customers.select("customer_id", "customer_unique_id"), "customer_id", "left")
+        .join(raw.customers.select("customer_id", "customer_unique_id"), "customer_id")
         .groupBy("customer_unique_id").agg(F.max(F.to_date("last")).alias("last"))
         .select("customer_unique_id", F.date_diff(dates.run_date(as_of), "last").alias("days_since_last_order"))
     )
@@ -134,7 +145,7 @@ def last_orders(raw: RawTables, as_of: dt.date | None = None) -> DataFrame:
 def inactive_customers(features: DataFrame) -> DataFrame:
     """Customers whose last order is 60 to 90 days old, of customer_features or `last_orders`."""
     return (
-        features.where(F.col("days_since_last_order").between(60, 90))
+        features.where(F.col("days_since_last_order").between(*INACTIVE_DAYS))
         .agg(F.count("*").alias("at_risk_count"))
         .withColumn("alert", F.col("at_risk_count") > INACTIVE_CUSTOMERS)
     )
@@ -232,6 +243,14 @@ def segment_distribution(features: DataFrame) -> DataFrame:
     )
 
 
+def latest_days(raw: RawTables, as_of: dt.date | None = None, n: int = 5) -> DataFrame:
+    """daily_metrics of the newest `n` days with orders: the dates first, then nothing but their orders and children."""
+    day = F.to_date("order_purchase_timestamp").alias(ORDER_DAY)
+    newest = orders_between(raw.orders, None, dates.run_date(as_of)).select(day).distinct().orderBy(F.desc(ORDER_DAY)).limit(n)
+    days = [r[0] for r in newest.collect() if r[0]]
+    return daily_metrics(raw, as_of, days=days).orderBy(F.desc(ORDER_DAY))
+
+
 def latest(df: DataFrame, by: str, key: str, n: int) -> DataFrame:
     """The `n` rows with the highest `by`."""
     return df.orderBy(F.desc(by), key).limit(n)

@@ -44,8 +44,8 @@ def append(df: DataFrame, path: str) -> None:
 
 
 def replace_days(df: DataFrame, path: str, day: str) -> None:
-    """Replace only the days of `df` in a table partitioned by `day`."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(path)
+    """Replace only the days of `df` in a table partitioned by `day`, a file for each unless it is large."""
+    df.hint("rebalance", day).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(path)
 
 
 def write_json(df: DataFrame, path: str) -> None:
@@ -78,10 +78,26 @@ def orders_partitioned(orders: DataFrame, path: str) -> DataFrame:
     return orders.sparkSession.read.parquet(path)
 
 
+def partitions(spark: SparkSession, path: str, column: str) -> list[str]:
+    """The values that partition a table, newest (largest) first, by one listing of its folder."""
+    folder, files = _folder(spark, path)
+    names = [p.getName() for p in spark._jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(files.listStatus(folder))]
+    values = [n.split("=", 1)[1] for n in names if n.startswith(f"{column}=")]
+    return sorted((v for v in values if v != "__HIVE_DEFAULT_PARTITION__"), reverse=True)
+
+
+def read_newest(spark: SparkSession, path: str, column: str, n: int) -> DataFrame:
+    """The rows of the newest `n` partitions; the other folders are not opened."""
+    newest = partitions(spark, path, column)[:n]
+    if not newest:
+        return spark.read.parquet(path).limit(0)
+    return spark.read.option("basePath", path).parquet(*[f"{path}/{column}={v}" for v in newest])
+
+
 def partition_stats(spark: SparkSession, path: str, day: str, n: int | None = 10) -> DataFrame:
-    """Rows and size of the latest `n` partitions."""
+    """Rows and size of the latest `n` partitions; only these are opened."""
     per_file = (
-        spark.read.parquet(path)
+        (spark.read.parquet(path) if n is None else read_newest(spark, path, day, n))
         .select(day, "_metadata.file_path", "_metadata.file_size")
         .groupBy(day, "file_path", "file_size")
         .agg(F.count("*").alias("n_rows"))

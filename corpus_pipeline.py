@@ -3,6 +3,13 @@
 Each stage takes (spark, docs, sf_dir) and works on all rows that the stage before kept; all but the last
 return the columns of `documents`. `run` writes what a stage returns to the shared folder and reads it
 again, so a stage starts from a table and a lost executor costs no earlier stage.
+
+Defined cases: a null text counts as empty and is kept as null up to packing, where it is the closing id alone;
+empty texts are linked with nothing, hold nothing and stay unless the classifier rejects them; very long texts are
+taken whole; of rows that repeat a doc_id with the same text one stays, with other texts each that is no near
+duplicate; rows without doc_id are linked with nothing and stay; of a group of equal or near documents the smallest
+doc_id stays; columns beside doc_id, text and n_chars, whatever their names, pass all stages but the last unchanged;
+an empty table gives an empty result.
 """
 
 from __future__ import annotations

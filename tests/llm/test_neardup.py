@@ -6,8 +6,9 @@ import random
 
 import numpy as np
 from llm_helpers import ODD, docs, rows  # noqa: F401
+from pyspark.sql import functions as F
 
-from tradewinds.llm import neardup
+from tradewinds.llm import decontaminate, neardup
 from tradewinds.llm.text import shingle_sets
 
 
@@ -122,3 +123,20 @@ def test_every_pair_within_the_radius_shares_a_key():
 
 def test_shingle_counts():
     assert [len(s) for s in shingle_sets(ODD)] == [len(s) for s in sets_of(ODD)]
+
+
+def test_columns_named_like_the_operators_own(docs, spark):
+    """Columns of the caller that have the names of helper and output columns are kept as they are."""
+    names = ["kept", "text_hash", "__text", "__kept_id", "__kept_text", "found", "__found", "component_id", "rep", "signature"]
+    text = "one two three four five six seven eight nine ten"
+    table = docs([(3, text), (2, text), (9, "else"), (None, text)])
+    for name in names:
+        table = table.withColumn(name, F.concat(F.lit(name), F.col("doc_id").cast("string")))
+    kept = neardup.keep_one(table)
+    assert kept.columns == table.columns
+    assert rows(kept, "doc_id", "kept", "__text") == [(2, "kept2", "__text2"), (9, "kept9", "__text9"), (None, None, None)]
+    passage = " ".join(f"word{k}" for k in range(20))
+    benchmark = spark.createDataFrame([(1, passage)], "item_id bigint, text string")
+    dirty = table.unionByName(table.limit(1).withColumn("text", F.lit(passage)).withColumn("doc_id", F.lit(50).cast("bigint")))
+    clean = decontaminate.clean(dirty, benchmark)
+    assert clean.columns == table.columns and rows(clean, "doc_id") == [(2,), (3,), (9,), (None,)]

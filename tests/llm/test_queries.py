@@ -9,6 +9,7 @@ import corpus_pipeline
 import duckdb
 import pytest
 from llm_helpers import SF_DIR, rows, tables  # noqa: F401
+from pyspark.sql import functions as F
 from test_neardup import brute
 from test_packing import check
 from test_spans_and_search import base, matched
@@ -109,3 +110,43 @@ def test_pipeline_stage_by_stage(spark, tables):
     before, after = kept["packing"]
     check(before, after, packing.SIZE)
     assert all(r.ids_crc32 == zlib.crc32(r.ids) for r in after.collect())
+
+
+CLASHING = ("kept", "found", "text_hash", "__text", "__found", "component_id", "score", "predicted", "label", "spans", "ids")
+
+
+def test_pipeline_odd_documents(spark, tables, tmp_path):
+    """Nulls, empty and long texts, repeats, ids missing or repeated, and columns named like the stages' own."""
+    some = tables("documents").select("doc_id", "text", "lang", "source", "n_chars")
+    first = some.orderBy("doc_id").limit(40)
+    long_text = "a long text of words " * 9_000
+    more = [
+        (10**6, None), (10**6 + 1, ""), (10**6 + 2, " \n"), (10**6 + 3, long_text), (None, "a row without an id"),
+        (None, None), (10**6 + 4, "same id, one text of it"), (10**6 + 4, "same id, quite another text"),
+        (10**6 + 5, "ask me at someone@example.org today"), (10**6 + 6, "x" * 20_000),
+    ]
+    odd = spark.createDataFrame([(i, t, "en", "odd", len(t or "")) for i, t in more], first.schema)
+    docs = first.unionByName(first.limit(5)).unionByName(odd)
+    for name in CLASHING:
+        docs = docs.withColumn(name, F.concat(F.lit(name), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))))
+    docs = stage(docs, "odd")
+    columns, given = docs.columns, {(r.doc_id, r.text) for r in docs.collect()}
+    for name, function in corpus_pipeline.STAGES:
+        docs = stage(function(spark, docs, SF_DIR), "odd")
+        if name != "packing":
+            got = docs.collect()
+            assert docs.columns == columns and got
+            assert all(r[c] == c + ("none" if r.doc_id is None else str(r.doc_id)) for r in got for c in CLASHING)
+            if name != "personal data":
+                assert {(r.doc_id, r.text) for r in got} <= given and len({(r.doc_id, r.text) for r in got}) == len(got) or name == "quality"
+            else:
+                before = got
+                assert not any("someone@example.org" in (r.text or "") for r in got)
+    check(spark.createDataFrame([(r.doc_id, r.text) for r in before], "doc_id bigint, text string"), docs, packing.SIZE)
+
+
+def test_pipeline_of_no_documents(spark, tables, tmp_path):
+    for name in ("documents", "labels", "benchmark"):
+        table = tables(name)
+        (table.limit(0) if name == "documents" else table).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewinds.llm.frames import documents, map_documents, prepared, stage
+from tradewinds.llm.frames import documents, map_documents, prepared, stage, unused
 from tradewinds.llm.text import CLEAN, Words, begins, blocks, chained, joined
 
 #: 1 is looked at, 0 ignored.
@@ -197,7 +197,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """`docs` without the documents that hold benchmark passages; rows without doc_id stay."""
+    name = unused(docs, "__found")
     found = stage(
-        matches(docs, benchmark).where("doc_id IS NOT NULL").select(F.col("doc_id").alias("found")).distinct(), "found"
+        matches(docs, benchmark).where("doc_id IS NOT NULL").select(F.col("doc_id").alias(name)).distinct(), "found"
     )
-    return docs.join(found, F.col("doc_id").cast("bigint") == F.col("found"), "left_anti")
+    return docs.join(found, F.col("doc_id").cast("bigint") == F.col(name), "left_anti")

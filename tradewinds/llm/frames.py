@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tradewinds.sources.staging import new_path, stage
 
-__all__ = ["documents", "held_out", "map_documents", "new_path", "prepared", "sampled", "stage", "table"]
+__all__ = ["documents", "held_out", "map_documents", "new_path", "prepared", "sampled", "stage", "table", "unused"]
 
 #: Rows of a batch that goes to Python: some are very long.
 BATCH_ROWS = 500
@@ -79,6 +79,14 @@ def sampled(df: DataFrame, rows: int, of: str | None = None, counted: DataFrame
     )
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """`name`, made longer until no column of `df` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def documents(df: DataFrame, *more: str) -> DataFrame:
     """doc_id as long and text (null: empty), and more columns; nothing else a caller's table may have."""
     prepared(df.sparkSession)

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradewinds.llm.frames import documents, map_documents, stage
+from tradewinds.llm.frames import documents, map_documents, stage, unused
 from tradewinds.llm.text import shingle_sets
 
 CHUNKS, SLOTS, ALLOWED, BITS = 12, 4, 1, 16
@@ -309,9 +309,11 @@ def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """
     kept = (
         _grouped(docs, percent).where("doc_id IS NOT NULL").where(_KEPT).groupBy("doc_id", "component")
-        .agg(F.min("text_hash").alias("text_hash")).select(F.col("doc_id").alias("kept"), "text_hash")
+        .agg(F.min("text_hash").alias("text_hash"))
     )
-    hashed = docs.where("doc_id IS NOT NULL").withColumn("__text", F.expr(_TEXT_HASH))
-    same = (F.col("doc_id").cast("bigint") == F.col("kept")) & (F.col("__text") == F.col("text_hash"))
-    with_id = hashed.join(kept, same, "left_semi").dropDuplicates(["doc_id", "__text"])
+    own, kept_id, kept_text = (unused(docs, name) for name in ("__text", "__kept_id", "__kept_text"))
+    kept = kept.select(F.col("doc_id").alias(kept_id), F.col("text_hash").alias(kept_text))
+    hashed = docs.where("doc_id IS NOT NULL").withColumn(own, F.expr(_TEXT_HASH))
+    same = (F.col("doc_id").cast("bigint") == F.col(kept_id)) & (F.col(own) == F.col(kept_text))
+    with_id = hashed.join(kept, same, "left_semi").dropDuplicates(["doc_id", own])
     return with_id.select(docs.columns).unionByName(docs.where("doc_id IS NULL"))

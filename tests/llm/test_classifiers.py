@@ -175,6 +175,10 @@ def test_language_odd(docs):
         not any(c.isalpha() for c in t or "") for t in ODD
     ]
     assert langid.predict_language(docs([]), {}).collect() == []
+    # Numbers and marks that are no letters, and letters beyond the alphabet.
+    signs = docs([(1, "½ ² ① Ⅷ 12"), (2, "½ ª"), (3, "漢")])
+    got = {r.doc_id: r.lang_pred for r in langid.predict_language(signs, {"en": b"some words", "de": b"ein paar"}).collect()}
+    assert [got[k] == "und" for k in (1, 2, 3)] == [True, False, False]
 
 
 def test_licences_found_and_confirmed(docs):

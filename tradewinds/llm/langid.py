@@ -15,7 +15,6 @@ repeated rows get a row each; other columns are ignored; an empty table gives an
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -34,8 +33,6 @@ MARGIN = 0.01
 BLOCK_BYTES = 1_500
 UNKNOWN = "und"
 
-_LETTER = re.compile(r"[^\W\d_]")
-
 
 def dictionaries(docs: DataFrame, parts: int = 4, part: int = 2) -> dict[str, bytes]:
     """Raw-content dictionaries by language, from documents that are not held out."""
@@ -70,7 +67,7 @@ def _predictor(learned: dict[str, bytes]):
         for batch in batches:
             rows = []
             for text in batch["text"]:
-                if not compressors or not _LETTER.search(text):
+                if not compressors or not any(map(str.isalpha, text)):
                     rows.append((UNKNOWN, 0.0, True))
                     continue
                 data = text.lower().encode("utf-8", "replace")

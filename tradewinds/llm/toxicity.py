@@ -46,6 +46,8 @@ FEATURES = 2**20
 RATIO = 30.0
 LEAST_DOCS = 4
 DENSE_WORDS = 150
+#: From this posterior on a text is an example of a toxic one, below one half of a clean one; others are no examples.
+SURE = 0.95
 NEAR_WORDS = 6
 #: Voters may be one group from the start if so many of the texts that either marks are marked by both.
 SAME_VOTES = (0.97, 0.8, 0.6, 0.4)
@@ -430,7 +432,8 @@ def fit(docs: DataFrame, labels: DataFrame, parts: int = 4, part: int = 2) -> Mo
     posterior = labelling.posterior(patterns)
     # At most 2 ** voters rows (65,536). Without any vote the posterior is the same for all; such texts are the clean sample.
     classes = docs.sparkSession.createDataFrame(
-        [(int(k), bool(p >= 0.5)) for k, p in zip(patterns, posterior)], "pattern bigint, toxic boolean"
+        [(int(k), True if p >= SURE else False if p < 0.5 else None) for k, p in zip(patterns, posterior)],
+        "pattern bigint, toxic boolean",
     )
     drawn = sampled(
         voted.where(~held_out(F.col("doc_id"), parts, part)).join(F.broadcast(classes), "pattern").withColumn("text", F.lit("")),

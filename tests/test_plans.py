@@ -345,3 +345,28 @@ def test_profiles(small, spark):
     assert items[("items_per_order", "1")] == 3.0
     reviews = [r["text"] for r in profiles.profile_reviews(small).where("section = 'comments_5'").collect()]
     assert reviews == ["good...", "good..."]
+
+
+def test_run_tables_give_what_the_plans_give(spark, small, tmp_path):
+    """The tables of a daily run, which share their joins, are those of the plans alone; also where orders repeat."""
+    from tradewinds.plans import daily
+
+    clocks = ("processed_at", "feature_timestamp")
+    for name, raw in (("once", small), ("twice", dataclasses.replace(small, orders=small.orders.unionAll(small.orders)))):
+        tables = daily.build_analytics(raw, str(tmp_path / name), AS_OF)
+        alone = {
+            "orders_enriched": marts.orders_enriched(raw, AS_OF), "order_payment_lines": marts.order_payment_lines(raw, AS_OF),
+            "product_analytics": marts.product_analytics(raw), "daily_metrics": marts.daily_metrics(raw, AS_OF),
+            "customer_segments": marts.customer_segments(raw, AS_OF),
+            "ml_customer_features": features.customer_features(raw, AS_OF), "ml_product_features": features.product_features(raw),
+        }
+        for table, want in alone.items():
+            names = [c for c in want.columns if c not in clocks]
+            assert [c for c in tables[table].columns if c not in clocks] == names
+            assert rows(tables[table], *names) == rows(want, *names), table
+    run = marts.run_tables(small)
+    shared = marts.orders_enriched(small, AS_OF, run=run), marts.daily_metrics(small, AS_OF, grain_safe=True, run=run)
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in shared]
+    # Nothing is joined anew, and orders are shuffled by order only where they repeat.
+    assert "Join" not in plans[0] and "Exchange" not in plans[0]
+    assert rows(shared[1]) == rows(marts.daily_metrics(small, AS_OF, grain_safe=True))

@@ -12,16 +12,20 @@ from tradewinds.tables import RawTables
 
 
 def build_analytics(raw: RawTables, root: str, as_of: dt.date | None = None) -> dict[str, DataFrame]:
-    """Write the analytics and feature tables below `root`; fail where one is empty."""
+    """Write the analytics and feature tables below `root`; fail where one is empty.
+
+    They share joins and roll-ups (`marts.run_tables`), which are written once instead of built by each.
+    """
+    run = marts.run_tables(raw)
     plans = {
-        "orders_enriched": lambda: marts.orders_enriched(raw, as_of),
-        "order_payment_lines": lambda: marts.order_payment_lines(raw, as_of),
-        "product_analytics": lambda: marts.product_analytics(raw),
-        "daily_metrics": lambda: marts.daily_metrics(raw, as_of),
-        "customer_segments": lambda: marts.customer_segments(raw, as_of),
+        "orders_enriched": lambda: marts.orders_enriched(raw, as_of, run=run),
+        "order_payment_lines": lambda: marts.order_payment_lines(raw, as_of, run=run),
+        "product_analytics": lambda: marts.product_analytics(raw, run),
+        "daily_metrics": lambda: marts.daily_metrics(raw, as_of, run=run),
+        "customer_segments": lambda: marts.customer_segments(raw, as_of, run=run),
         "monthly_metrics": lambda: monthly.monthly_metrics(raw),
-        "ml_customer_features": lambda: features.customer_features(raw, as_of),
-        "ml_product_features": lambda: features.product_features(raw),
+        "ml_customer_features": lambda: features.customer_features(raw, as_of, run=run),
+        "ml_product_features": lambda: features.product_features(raw, run),
     }
     tables = {name: _written(plan(), root, name) for name, plan in plans.items()}
     quality.require_rows({n: t for n, t in tables.items() if n != "order_payment_lines"})

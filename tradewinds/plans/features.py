@@ -8,16 +8,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewinds.functions import dates, labels
-from tradewinds.functions.numbers import exact_stddev, ratio, unit_squares, units
+from tradewinds.functions.numbers import exact_stddev, ratio
 from tradewinds.operators.joins import join_lines
 from tradewinds.operators.positions import ntile_cuts, tile_of
-from tradewinds.operators.rollups import copies, rollup_with_members
-from tradewinds.plans.marts import customer_metrics, delivered_with_reviews, with_category
+from tradewinds.plans.marts import RunTables, customer_metrics, delivered_with_reviews, product_sales, with_category
 from tradewinds.sources.staging import stage
 from tradewinds.tables import RawTables
 
 
-def customer_features(raw: RawTables, as_of: dt.date | None = None, grain_safe: bool = False) -> DataFrame:
+def customer_features(
+    raw: RawTables, as_of: dt.date | None = None, grain_safe: bool = False, run: RunTables | None = None
+) -> DataFrame:
     """Per customer: spend statistics, recency, scores 1-5, tier, churn risk, segment.
 
     `customer_state` and `customer_city` are the smallest pair of the customer.
@@ -26,7 +27,7 @@ def customer_features(raw: RawTables, as_of: dt.date | None = None, grain_safe:
     lifetime = F.col("customer_lifetime_days")
     spread = exact_stddev(F.col("n_paid_units"), F.col("paid_units"), F.col("paid_unit_squares"))
     features = (
-        customer_metrics(raw, ["customer_unique_id"], grain_safe)
+        customer_metrics(raw, ["customer_unique_id"], grain_safe, run=run)
         .withColumn("stddev_order_value", spread)
         .withColumn("customer_lifetime_days", dates.calendar_days(last, first))
         .withColumn("days_since_last_order", dates.calendar_days(dates.run_date(as_of), last))
@@ -117,44 +118,22 @@ def _scored(customers: DataFrame, ranked: dict[str, Column]) -> DataFrame:
     )
 
 
-def product_features(raw: RawTables) -> DataFrame:
+def product_features(raw: RawTables, run: RunTables | None = None) -> DataFrame:
     """Per sold product: sales, prices, ratings, popularity decile, quality and price tiers."""
-    repeat, price, score = copies("n_reviews"), F.col("price"), F.col("score")
-    delivery = dates.whole_days(F.col("order_delivered_customer_date"), F.col("order_purchase_timestamp"))
-    sales = join_lines(
-        raw.order_items.select("order_id", "product_id", "seller_id", "price"),
-        delivered_with_reviews(raw),
-        "order_id",
-    ).withColumn("delivery_days", delivery)
-    per_product = rollup_with_members(
-        sales,
-        ["product_id"],
-        members={
-            "total_sales": F.col("order_id"),
-            "unique_buyers": F.col("customer_id"),
-            "unique_sellers": F.col("seller_id"),
-        },
-        sums={
-            "total_revenue": price * repeat,
-            "n_price_units": F.when(units(price).isNotNull(), repeat),
-            "price_units": F.try_multiply(units(price), repeat),
-            "price_unit_squares": F.try_multiply(unit_squares(price), repeat),
-            "n_prices": F.when(price.isNotNull(), repeat),
-            "score": score,
-            "score_squares": F.col("score_squares"),
-            "n_scores": F.col("n_scores"),
-            "n_review_ids": F.col("n_review_ids"),
-            "delivery_days": F.col("delivery_days") * repeat,
-            "n_deliveries": F.when(F.col("delivery_days").isNotNull(), repeat),
-        },
-    )
+    if run is not None:
+        per_product = run.sales
+    else:
+        sales = join_lines(
+            raw.order_items.select("order_id", "product_id", "seller_id", "price"), delivered_with_reviews(raw), "order_id"
+        )
+        per_product = product_sales(sales, None, analytics=False)
     volume = F.col("product_length_cm") * F.col("product_height_cm") * F.col("product_width_cm")
     n_scores = F.col("n_scores").cast("double")
     stats = with_category(per_product, raw).select(
         "product_id",
         "product_category_name",
         F.col("product_category_name_english").alias("category"),
-        "total_sales",
+        F.col("total_orders").alias("total_sales"),
         "unique_buyers",
         "total_revenue",
         ratio(F.col("total_revenue"), F.col("n_prices")).alias("avg_price"),

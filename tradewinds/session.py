@@ -11,6 +11,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Where every partition of the smaller side of a join is at most this large, it is hashed and neither side sorted.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     # Parquet files are several times smaller than their rows in memory; without this a
     # side could be broadcast that is far larger than the threshold.
     "spark.sql.sources.fileCompressionFactor": "4.0",

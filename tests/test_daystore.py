@@ -91,3 +91,18 @@ def test_latest_days_and_last_orders(spark, small):
 def test_scores_are_those_of_the_features(small):
     names = ["customer_unique_id", "days_since_last_order", "churn_risk", "customer_segment"]
     assert rows(features.customer_scores(small, AS_OF), *names) == rows(features.customer_features(small, AS_OF), *names)
+
+
+def test_days_are_counted_without_copies_of_orders(spark, small, tmp_path):
+    """Distinct counts beside the sums copy no row, and orders that repeat or all change give what a full build gives."""
+    twice = dataclasses.replace(small, orders=small.orders.unionAll(small.orders))
+    path = str(tmp_path / "daily")
+    daystore.build_daily_metrics(small, path, AS_OF)
+    days = daystore.update_daily_metrics(twice, path, {"orders": small.orders}, AS_OF)
+    assert 2 * len(days) >= spark.read.parquet(path).count()
+    same(spark, path, twice)
+    df = marts.daily_metrics(small, AS_OF, run=marts.day_tables(small, AS_OF))
+    assert "Expand" not in df._jdf.queryExecution().executedPlan().toString()
+    few = marts.day_tables(small, AS_OF, [dt.date(2024, 1, 3)])
+    assert rows(few.orders, "order_id", "n_items") == [("o4", 1)]
+    assert rows(few.lines, "order_id") == [("o4",)]

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewinds.operators.days import ORDER_DAY
-from tradewinds.plans.marts import daily_metrics
+from tradewinds.plans.marts import daily_metrics, day_tables
 from tradewinds.sources.staging import stage
 from tradewinds.sources.writers import read_newest, remove, replace_days
 from tradewinds.tables import RawTables
@@ -42,7 +42,7 @@ def changed_days(raw: RawTables, loaded: dict[str, DataFrame]) -> list[dt.date]:
 
 def build_daily_metrics(raw: RawTables, path: str, as_of: dt.date | None = None, grain_safe: bool = False) -> None:
     """Write all days, in a folder for each month."""
-    _replace_months(daily_metrics(raw, as_of, grain_safe=grain_safe), path)
+    _replace_months(daily_metrics(raw, as_of, grain_safe=grain_safe, run=day_tables(raw, as_of)), path)
 
 
 def update_daily_metrics(
@@ -58,8 +58,11 @@ def update_daily_metrics(
         return days
     spark = raw.orders.sparkSession
     months = sorted({f"{day:%Y-%m}" for day in days})
-    rebuilt = daily_metrics(raw, as_of, days=days, grain_safe=grain_safe)
-    others = spark.read.parquet(path).where(F.col(MONTH).isin(months) & ~F.col(ORDER_DAY).isin(days)).drop(MONTH)
+    stored = spark.read.parquet(path)
+    # Where most days change, nearly all payments and items are theirs.
+    run = day_tables(raw, as_of, days, few=2 * len(days) < stored.count())
+    rebuilt = daily_metrics(raw, as_of, days=days, grain_safe=grain_safe, run=run)
+    others = stored.where(F.col(MONTH).isin(months) & ~F.col(ORDER_DAY).isin(days)).drop(MONTH)
     # The rows to write are read from the months that they replace.
     merged = stage(others.unionByName(rebuilt), "months")
     _replace_months(merged, path)

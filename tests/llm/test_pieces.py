@@ -122,6 +122,24 @@ def test_small_table(monkeypatch):
     same(vocabulary, [" ".join(random.choice(words, 300)) for _ in range(100)])
 
 
+@pytest.mark.parametrize("model", [None, 0, 1, 2, 3])
+def test_new_words_of_letters_are_merged_many_at_once(monkeypatch, model):
+    """The agenda, one word at a time, is left with the words that are long or have other characters."""
+    if model is None:
+        with open(pieces.default_model(), "rb") as file:
+            vocabulary = pieces.Pieces(file.read())
+    else:
+        vocabulary = pieces.Pieces(made(model, True, spanning=bool(model % 2)))
+    seen, agenda = [], vocabulary.agenda
+    monkeypatch.setattr(vocabulary, "agenda", lambda text: seen.append(text) or agenda(text))
+    random = np.random.default_rng(8)
+    words = ["".join(random.choice(list("abcd"), random.integers(1, 9))) for _ in range(3_000)]
+    same(vocabulary, [" ".join(words), "abc\u00fcd", "", " ".join(words[::-1]), "ab" * 30])
+    plain = vocabulary.letters >= 0
+    assert len(seen) < 50 or model is not None
+    assert all(len(w) > pieces.LONGEST or not all(ord(c) < 128 and plain[ord(c)] for c in w) for w in seen)
+
+
 def test_other_models_are_refused():
     model = sentencepiece_model_pb2.ModelProto.FromString(made(1, True))
     model.trainer_spec.model_type = model.trainer_spec.UNIGRAM

@@ -18,8 +18,8 @@ _MIX = np.uint64(0x9E3779B97F4A7C15)
 class PairTable:
     """Rank and product of pairs of ids, by open addressing."""
 
-    def __init__(self, pairs: np.ndarray, products: np.ndarray) -> None:
-        """`pairs`: rows (left, right), best rank first."""
+    def __init__(self, pairs: np.ndarray, products: np.ndarray, ranks: np.ndarray | None = None) -> None:
+        """`pairs`: rows (left, right), best rank first; or with their `ranks`, where pairs may be equals."""
         self.bits = max(4, int(4 * len(pairs)).bit_length())
         self.keys = np.full(1 << self.bits, -1, np.int64)
         self.ranks = np.full(1 << self.bits, _NONE, np.int32)
@@ -31,7 +31,7 @@ class PairTable:
             self.keys[at[left[free]]] = keys[left[free]]
             left = left[self.keys[at[left]] != keys[left]]
             at[left] = (at[left] + 1) & (len(self.keys) - 1)
-        self.ranks[at] = np.arange(len(keys), dtype=np.int32)
+        self.ranks[at] = np.arange(len(keys), dtype=np.int32) if ranks is None else ranks
         self.products[at] = products
 
     def _at(self, keys: np.ndarray) -> np.ndarray:

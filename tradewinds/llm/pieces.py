@@ -9,7 +9,8 @@ become bytes (or the unknown id, one for a run of them).
 Two symbols can only ever merge if some piece has their characters side by side. So a text is cut, before
 the agenda, wherever no piece has the two bytes on both sides next to each other. With common vocabularies
 that leaves words; the ids of those met before come from a table of bounded size in each Python worker
-(`wordtable`), and the agenda only sees new ones.
+(`wordtable`). New words of ASCII characters that are pieces are merged many at once (`merges`, the same
+order of merges); the agenda sees the other new ones.
 
 Texts come and go in Arrow batches. With `check` each batch is also encoded and decoded by the sentencepiece
 library, and `agrees` tells where both have the same ids and text.
@@ -31,11 +32,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradewinds.llm.frames import documents
+from tradewinds.llm.merges import LONGEST, PairTable, merged
 from tradewinds.llm.text import Words
 from tradewinds.llm.wordtable import WordTable
 
 BLOCK_BYTES = 500_000
 _SPACE = "▁"
+#: Lengths of words that are merged in one call.
+_BANDS = ((0, 7), (7, 12), (12, LONGEST))
 _SCHEMA = "doc_id bigint, ids array<int>, decoded string, agrees boolean"
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _UNUSED, _BYTE = range(1, 7)  # fixed values of the model file
 
@@ -91,12 +95,29 @@ class Pieces:
                 data = b""
             self.text.append(data)
         self.id = own | reserved
+        self.letters = np.full(256, -1, np.int32)
+        # Symbols of the user and unused pieces are for the agenda alone.
+        self.pairs = None if user or self.unused or own.keys() & reserved.keys() else self._pairs(own)
         joins[:, 0x80:0xC0] = True  # never within a character
         self.cut = ~joins
         self.user = re.compile("|".join(map(re.escape, sorted(user, key=len, reverse=True)))) if user else None
         self.fallback = trainer.byte_fallback
         self.table = WordTable(self._learn)
 
+    def _pairs(self, own: dict[str, int]) -> PairTable | None:
+        """All pairs of pieces that make a piece; pairs of equal score are equals. Fills `letters`."""
+        for form, k in own.items():
+            if len(form) == 1 and form < "\x80":
+                self.letters[ord(form)] = k
+        found = [
+            (self.rank[form], own[form[:i]], own[form[i:]], k)
+            for form, k in own.items() for i in range(1, len(form)) if form[:i] in own and form[i:] in own
+        ]
+        if not found:
+            return None
+        scores, left, right, products = map(np.array, zip(*found))
+        return PairTable(np.stack([left, right], 1), products, np.unique(scores, return_inverse=True)[1])
+
     def _symbols(self, text: str) -> tuple[list[str], set[int]]:
         """Characters and user-defined symbols, and the positions of the latter."""
         if self.user is None:
@@ -164,9 +185,25 @@ class Pieces:
         return out
 
     def _learn(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
-        found = [self._ids(self.agenda(data[i:j].tobytes().decode("utf-8"))) for i, j in zip(starts.tolist(), ends.tolist())]
+        lengths, others = ends - starts, np.ones(len(starts), bool)
+        if self.pairs is not None:
+            total = np.concatenate([[0], np.cumsum(self.letters[data] < 0)])
+            others = (total[ends] > total[starts]) | (lengths > LONGEST)
+            for low, n in _BANDS:
+                some = np.flatnonzero(~others & (lengths > low) & (lengths <= n))
+                if len(some):
+                    # What lies beyond a word's end is not used.
+                    at = np.minimum(starts[some][:, None] + np.arange(n), len(data) - 1)
+                    symbols = self.letters[data[at]]
+                    ids, counts = merged(self.pairs, symbols, lengths[some])
+                    yield some, ids.astype(np.uint32), counts
+        rest = np.flatnonzero(others)
+        found = [
+            self._ids(self.agenda(data[i:j].tobytes().decode("utf-8")))
+            for i, j in zip(starts[rest].tolist(), ends[rest].tolist())
+        ]
         counts = np.array([len(x) for x in found], np.int64)
-        yield np.arange(len(found)), np.array([k for x in found for k in x], np.uint32), counts
+        yield rest, np.array([k for x in found for k in x], np.uint32), counts
 
     def _normal(self, text: str) -> bytes:
         if not text:
@@ -248,7 +285,7 @@ def _encoding(path: str | None, check: bool):
             agrees = None
             if check:
                 library = vocabulary.library.encode(texts, out_type=int, num_threads=1)
-                again = vocabulary.library.decode(lists) if lists else []
+                again = vocabulary.library.decode(lists, num_threads=1) if lists else []
                 agrees = [a == b and c == d for a, b, c, d in zip(lists, library, decoded, again)]
             offsets = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
             flat = np.concatenate([*found, np.empty(0, np.uint32)]).astype(np.int32)

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import uuid
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from registry.model import AS_OF, raw_tables, view
 from tradewinds import schemas
-from tradewinds.operators.frames import stack
+from tradewinds.operators.frames import side_by_side, stack
 from tradewinds.plans import daystore, monthly, quality, reports
 from tradewinds.session import prepare
 from tradewinds.sources import bus, csv, landing, writers
@@ -98,9 +99,10 @@ def load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _land(spark: SparkSession, sf_dir: str, tables: list[str]) -> tuple[str, dict[str, str]]:
     """The tables as CSV files of the landing folder of the run date."""
     raw, root = raw_tables(spark, sf_dir), new_path(spark, "landing")
-    return root, {
-        _stem(t): _write_csv(getattr(raw, t), landing.landing_path(root, AS_OF, _stem(t))) for t in tables
-    }
+    paths = side_by_side(spark, [
+        partial(_write_csv, getattr(raw, t), landing.landing_path(root, AS_OF, _stem(t))) for t in tables
+    ])
+    return root, dict(zip(map(_stem, tables), paths))
 
 
 def load_all(spark: SparkSession, sf_dir: str) -> DataFrame:

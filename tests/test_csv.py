@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
+import threading
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from tradewinds import RawTables, schemas
+from tradewinds.operators import frames
 from tradewinds.plans import marts, reports
 from tradewinds.sources import csv, landing, writers
 from tradewinds.sources.staging import new_path, shared_folder, stage
@@ -186,3 +189,22 @@ def test_stage_writes_to_the_shared_folder(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     assert df.inputFiles()[0].removeprefix("file://").startswith(shared_folder(spark))
     assert new_path(spark, "x") != new_path(spark, "x")
+
+
+def test_a_value_is_converted_once(spark, tmp_path):
+    """Not once for the row and again for the reason of a reject."""
+    path = str(tmp_path / "items.csv")
+    with open(path, "w") as file:
+        file.write("order_id,order_item_id,product_id,seller_id,shipping_limit_date,price,freight_value\n")
+        file.write("o1,1,p1,s1,2024-01-01 00:00:00,1.5,x\n")
+    records = csv._records(spark, path, "order_items")
+    plan = records._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"cast\(price#\d+ as double\)", plan)) == 1
+    assert [r.reason for r in records.collect()] == ["bad freight_value"]
+
+
+def test_loads_run_side_by_side(spark):
+    meet = threading.Barrier(2, timeout=60)
+    assert frames.side_by_side(spark, [lambda: meet.wait() >= 0 and "a", lambda: meet.wait() >= 0 and "b"]) == ["a", "b"]
+    with pytest.raises(ZeroDivisionError):
+        frames.side_by_side(spark, [lambda: 1, lambda: 1 // 0])

@@ -114,7 +114,12 @@ def _records(spark: SparkSession, path: str | list[str], table: str) -> DataFram
                  columnPruning=False, **options)
         .csv(path)
     )
-    typed = {f.name: _convert(F.col(f.name), f.dataType).alias(f.name) for f in schema.fields}
+    # Columns of their own, so that a value is converted once for its row and its reason.
+    kept = [f.name for f in schema.fields if f.dataType == T.StringType()]
+    typed = {n: F.col(n if n in kept else f"__typed_{n}") for n in names}
+    rows = rows.select(*names, "_extra", *[
+        _convert(F.col(f.name), f.dataType).alias(f"__typed_{f.name}") for f in schema.fields if f.name not in kept
+    ])
     reason = F.coalesce(
         F.when(F.col("_extra").isNotNull(), "wrong number of fields"),
         *[
@@ -129,7 +134,7 @@ def _records(spark: SparkSession, path: str | list[str], table: str) -> DataFram
         ],
     )
     return rows.select(
-        F.struct(*typed.values()).alias("row"), F.struct(*names).alias("text"), reason.alias("reason")
+        F.struct(*[c.alias(n) for n, c in typed.items()]).alias("row"), F.struct(*names).alias("text"), reason.alias("reason")
     )
 
 

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import partial
 
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewinds import schemas
+from tradewinds.operators.frames import side_by_side
 from tradewinds.sources.csv import BadRecordLimit, Loaded, infer_csv, load_csv
 from tradewinds.sources.writers import overwrite
 
@@ -50,18 +52,21 @@ def load_all(
     A stem without a declared schema is loaded under its own name with an inferred one. Rejected rows are
     counted and kept (`csv.rejects_path`); `max_bad_records` limits them by table.
     """
-    results = []
-    for stem, path in files.items():
-        table, limits = schemas.table_of(stem), max_bad_records or {}
+    limits = max_bad_records or {}
+
+    def load(stem: str, path: str) -> tuple:
+        table = schemas.table_of(stem)
         try:
             if table in schemas.RAW:
                 done = load_csv(spark, path, table, f"{target}/{table}", limits.get(table))
             else:
                 overwrite(infer_csv(spark, path), f"{target}/{table}")
                 done = Loaded(spark.read.parquet(f"{target}/{table}").count(), 0)
-            results.append((table, True, done.n_loaded, done.n_rejected, None))
+            return table, True, done.n_loaded, done.n_rejected, None
         except (PySparkException, BadRecordLimit) as error:
-            results.append((table, False, None, None, str(error).splitlines()[0]))
+            return table, False, None, None, str(error).splitlines()[0]
+
+    results = side_by_side(spark, [partial(load, stem, path) for stem, path in files.items()])
     return spark.createDataFrame(
         results, "table_name string, loaded boolean, n_loaded bigint, n_rejected bigint, error string"
     )
